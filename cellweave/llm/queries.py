@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cellweave.llm import packing, token_counts, token_store
+from cellweave.llm import packing, quality_rules, simhash, token_counts, token_store
 from cellweave.llm.common import documents, fresh_path
 
 
@@ -19,11 +19,20 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), capacity=2048, end_id=0)
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.groups(documents(spark, sf_dir))
+    return found.select("doc_id", simhash.hex_of(found.fp).alias("fingerprint"), "component_id")
+
+
 def op7_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "token-files")
     token_store.write_files(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), path, end_id=1)
     return token_store.read_files(spark, path).drop("ids")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op3_token_counts, op4_packing, op7_token_store)}
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.apply_rules(documents(spark, sf_dir))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op3_token_counts, op4_packing, op5_simhash, op7_token_store, op10_quality_rules)}
 ORACLE_SQL: dict[str, str] = {}
