@@ -6,11 +6,21 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cellweave.llm import packing, quality_rules, simhash, token_counts, token_store
+from cellweave.llm import mixing, packing, quality_fm, quality_rules, simhash, token_counts, token_store, toxicity
 from cellweave.llm.common import documents, fresh_path
 
 
+def table_of(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return toxicity.severity(docs, toxicity.train(docs, table_of(spark, sf_dir, "labels")))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), fresh_path(spark, "token-cache"), limit=512)
 
@@ -30,9 +40,22 @@ def op7_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.read_files(spark, path).drop("ids")
 
 
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mixing.mix(documents(spark, sf_dir).select("doc_id", "text", "source", "lang"))
+    named = {"doc_id": "doc_id", "cell_source": "source", "cell_lang": "lang", "cell_topic": "topic", "cell_tokens": "n_tokens", "cell_kept": "kept"}
+    rounded = [F.round(f"cell_{c}", 6).alias(c) for c in ("weight", "probability")]
+    return found.select(*[F.col(a).alias(b) for a, b in named.items()], *rounded)
+
+
+def op9_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return quality_fm.score(docs, quality_fm.train(docs, table_of(spark, sf_dir, "labels")))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_rules(documents(spark, sf_dir))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op3_token_counts, op4_packing, op5_simhash, op7_token_store, op10_quality_rules)}
-ORACLE_SQL: dict[str, str] = {}
+ALL = (op1_toxicity, op3_token_counts, op4_packing, op5_simhash, op7_token_store, op8_mixing, op9_quality_fm, op10_quality_rules)
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in ALL}
+ORACLE_SQL: dict[str, str] = {"op8_mixing": mixing.oracle_sql()}
