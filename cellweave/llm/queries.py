@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellweave.llm import mixing, packing, quality_fm, quality_rules, simhash, token_counts, token_store, toxicity
+from cellweave.llm import media, mixing, packing, quality_fm, quality_rules, simhash, token_counts, token_store, toxicity
 from cellweave.llm.common import documents, fresh_path
 
 
@@ -21,6 +21,12 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.severity(docs, toxicity.train(docs, table_of(spark, sf_dir, "labels")))
 
 
+def op2_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "media")
+    media.store(documents(spark, sf_dir), path)
+    return media.payloads(spark.read.schema("doc_id long, n_bytes long, media binary").parquet(path))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), fresh_path(spark, "token-cache"), limit=512)
 
@@ -56,6 +62,6 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_rules(documents(spark, sf_dir))
 
 
-ALL = (op1_toxicity, op3_token_counts, op4_packing, op5_simhash, op7_token_store, op8_mixing, op9_quality_fm, op10_quality_rules)
+ALL = (op1_toxicity, op2_media, op3_token_counts, op4_packing, op5_simhash, op7_token_store, op8_mixing, op9_quality_fm, op10_quality_rules)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in ALL}
 ORACLE_SQL: dict[str, str] = {"op8_mixing": mixing.oracle_sql()}
