@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellweave.llm import media, mixing, packing, quality_fm, quality_rules, simhash, token_counts, token_store, toxicity
+from cellweave.llm import licenses, media, mixing, packing, quality_fm, quality_rules, simhash, token_counts, token_store, toxicity
 from cellweave.llm.common import documents, fresh_path
 
 
@@ -40,6 +40,11 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_of(found.fp).alias("fingerprint"), "component_id")
 
 
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return licenses.scan(docs, licenses.train(docs))
+
+
 def op7_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "token-files")
     token_store.write_files(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), path, end_id=1)
@@ -62,6 +67,6 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_rules(documents(spark, sf_dir))
 
 
-ALL = (op1_toxicity, op2_media, op3_token_counts, op4_packing, op5_simhash, op7_token_store, op8_mixing, op9_quality_fm, op10_quality_rules)
+ALL = (op1_toxicity, op2_media, op3_token_counts, op4_packing, op5_simhash, op6_licenses, op7_token_store, op8_mixing, op9_quality_fm, op10_quality_rules)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in ALL}
 ORACLE_SQL: dict[str, str] = {"op8_mixing": mixing.oracle_sql()}
