@@ -13,14 +13,14 @@ def test_stages(spark):
     columns = docs.columns
     ids = lambda df, condition="true": sorted(r.doc_id for r in df.where(condition).select("doc_id").collect())
     quality, clean, groups, mix, pack = (f for _, f in corpus_pipeline.STAGES)
-    kept = quality(spark, docs, root).localCheckpoint()
+    kept = quality(spark, docs, root).checkpoint()
     assert kept.columns == columns and ids(kept) == ids(quality_rules.apply_rules(docs), "kept")
-    after = clean(spark, kept, root).localCheckpoint()
+    after = clean(spark, kept, root).checkpoint()
     model = toxicity.train(kept, spark.read.parquet(f"{root}/labels.parquet"))
     assert after.columns == columns and ids(after) == ids(toxicity.severity(kept, model), "not toxic")
-    one = groups(spark, after, root).localCheckpoint()
+    one = groups(spark, after, root).checkpoint()
     assert one.columns == columns and ids(one) == ids(simhash.groups(after), "doc_id = component_id")
-    mixed = mix(spark, one, root).localCheckpoint()
+    mixed = mix(spark, one, root).checkpoint()
     assert mixed.columns == columns and ids(mixed) == ids(mixing.mix(one), "cell_kept")
     rows, library = mixed.collect(), Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
     lengths = {r.doc_id: len(x.ids) + 1 for r, x in zip(rows, library.encode_batch([r.text for r in rows], add_special_tokens=False), strict=True)}
