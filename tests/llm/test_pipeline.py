@@ -4,7 +4,7 @@ import public_tokenizers
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from cellweave.llm import mixing, quality_rules, simhash, toxicity
+from cellweave.llm import mixing, near_copies, quality_rules, toxicity
 
 
 def test_stages(spark):
@@ -19,7 +19,7 @@ def test_stages(spark):
     model = toxicity.train(kept, spark.read.parquet(f"{root}/labels.parquet"))
     assert after.columns == columns and ids(after) == ids(toxicity.severity(kept, model), "not toxic")
     one = groups(spark, after, root).checkpoint()
-    assert one.columns == columns and ids(one) == ids(simhash.groups(after), "doc_id = component_id")
+    assert one.columns == columns and ids(one) == ids(near_copies.groups(after), "doc_id = component_id")
     mixed = mix(spark, one, root).checkpoint()
     assert mixed.columns == columns and ids(mixed) == ids(mixing.mix(one), "cell_kept")
     rows, library = mixed.collect(), Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
