@@ -67,10 +67,10 @@ def summary(labelled: DataFrame, places: DataFrame) -> DataFrame:
     return each.groupBy("sample", "cluster").agg(F.count("*").alias("n"), F.avg("x").alias("cx"), F.avg("y").alias("cy"))
 
 
-def named_members(labelled: DataFrame, category: str) -> DataFrame:
-    """region, cell_idx: clusters as regions named sample_cluster_category; ValueError if there is none."""
+def named_members(labelled: DataFrame, category: str, needed: bool = True) -> DataFrame:
+    """region, cell_idx: clusters as regions named sample_cluster_category; ValueError if there is none but one is needed."""
     found = labelled.where("cluster >= 0").select(F.concat_ws("_", "sample", "cluster", F.lit(category)).alias("region"), "cell_idx")
-    if found.isEmpty():
+    if needed and found.isEmpty():
         raise ValueError("no clusters")
     return found
 

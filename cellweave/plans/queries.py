@@ -585,7 +585,7 @@ ed AS (SELECT region, a, b FROM empt GROUP BY ALL HAVING count(*) = 1)"""
 
 def cluster_members(c: CellSet) -> DataFrame:
     """The members of all clusters, as regions."""
-    return cluster.named_members(cut(cluster.density_clusters(sample_places(c), EPS, LEAST)), "all")
+    return cluster.named_members(cut(cluster.density_clusters(sample_places(c), EPS, LEAST)), "all", needed=False)
 
 
 MEMBER_SQL = "SELECT concat_ws('_', sample, cluster, 'all') AS region, cell_idx, x, y FROM labelled JOIN pts USING (cell_idx) WHERE cluster >= 0"

@@ -1,4 +1,4 @@
-"""Every registered query with SQL against DuckDB, over the smallest tables."""
+"""Every registered query with SQL against DuckDB, over the small tables."""
 
 import math
 from pathlib import Path
@@ -9,7 +9,7 @@ from pyspark.sql import SparkSession
 
 import __spark_entry__
 
-ROOT = Path("/root/testdata/sf0.001")
+ROOT = Path("/root/testdata/sf0.01")
 
 
 @pytest.fixture(scope="module")
