@@ -10,7 +10,8 @@ Training reads a bounded sample: the `sample` labelled documents of each class t
 executors, where near copies count once (one document for each smallest hash of its 3-word shingles, under three orders); the at most `n_features` with the largest likelihood ratio, from LEAST_GAIN on, are kept, and the driver fits their weights on
 at most 2 * sample sparse rows. Scoring covers every word of every text, where the text was read.
 
-Null and empty texts score by the thresholds alone (not toxic). Repeated rows get equal scores. Without labels of both classes ValueError is raised.
+Null and empty texts score by the thresholds alone (not toxic). Repeated rows get equal scores. Without labels of both classes ValueError is raised;
+where too few labels make any feature certain, all rows get the training rows' mean severity.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ from cellweave.llm.training import labelled
 BEGINNINGS = (4, 5, 6)
 MARKS = ".,;:!?\"'()[]{}*#$%&|<>-_"
 #: A feature stands in so many training documents at least, and its likelihood ratio is so high that a hundred thousand features bring about none by chance.
-LEAST_DOCS, LEAST_GAIN = 6, 12.0
+LEAST_DOCS, LEAST_GAIN = 4, 10.0
 GRADES, SAMPLE, N_FEATURES, STRONG = 3, 4000, 4096, 3.0
 
 
@@ -140,6 +141,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, n_features:
         if set(sizes) != {0, 1}:
             raise ValueError("labels of both classes are needed")
         names, strong = select_features(chosen, n_features, (sizes[0], sizes[1]))
+        strong = np.append(strong, False)  # for words without a feature
         model = Model(names, np.zeros(len(names)), np.zeros(grades))
         schema = pa.schema([("doc_id", pa.int64()), ("label", pa.int32()), ("evidence", pa.int64()), ("features", pa.list_(pa.int32())), ("times", pa.list_(pa.int32()))])
 
@@ -147,7 +149,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, n_features:
             for batch in slices(batches):
                 counts, number, kinds = word_features(batch.column("text"))
                 of_word = model.index(kinds)
-                evident = (strong[np.maximum(of_word, 0)] & (of_word >= 0)).any(axis=1)[number]
+                evident = strong[of_word].any(axis=1)[number]
                 row, feature, times = pairs(counts, number, of_word)
                 cuts = pa.array(np.searchsorted(row, np.arange(len(counts) + 1)).astype(np.int32))
                 lists = [pa.ListArray.from_arrays(cuts, pa.array(x.astype(np.int32))) for x in (feature, times)]
