@@ -96,9 +96,12 @@ def words_of(line: Column) -> Column:
 
 def groups_of(words: Column, sizes: tuple[int, ...] = (1, 2, 3)) -> Column:
     """Distinct runs of 1, 2 and 3 words."""
-    parts = [F.transform(F.sequence(F.lit(1), F.size(words) - n + 1), lambda i, n=n: F.array_join(F.slice(words, i, n), " ")) for n in sizes]
+
+    def runs(n: int) -> Column:
+        return F.transform(F.sequence(F.lit(1), F.size(words) - n + 1), lambda i: F.array_join(F.slice(words, i, n), " "))
+
     empty = F.array().cast("array<string>")
-    return F.array_distinct(F.concat(*[F.when(F.size(words) >= n, p).otherwise(empty) for n, p in zip(sizes, parts, strict=True)]))
+    return F.array_distinct(F.concat(*[F.when(F.size(words) >= n, runs(n)).otherwise(empty) for n in sizes]))
 
 
 def rows(spark: SparkSession, values: list[dict], schema: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellweave.llm.common import id_and_text
@@ -24,8 +24,11 @@ def labelled(docs: DataFrame, labels: DataFrame, column: str, sample: int) -> Da
     words = F.split(F.lower("text"), r"\s+")
     shingles = F.transform(F.sequence(F.lit(1), F.greatest(F.size("words") - 2, F.lit(1))), lambda i: F.xxhash64(F.slice("words", i, 3)))
     found = found.withColumn("words", words).withColumn("hashes", shingles)
-    for order in range(ORDERS):
-        found = found.withColumn(f"least{order}", F.array_min(F.transform("hashes", lambda h, k=order: F.xxhash64(h, F.lit(k)))))
+
+    def least(order: int) -> Column:
+        return F.array_min(F.transform("hashes", lambda h: F.xxhash64(h, F.lit(order))))
+
+    found = found.withColumns({f"least{order}": least(order) for order in range(ORDERS)})
     found = found.drop("words", "hashes")
     for order in range(ORDERS):
         found = found.dropDuplicates(["label", f"least{order}"])
