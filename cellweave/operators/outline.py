@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -89,10 +90,8 @@ def area(ring: list[tuple[float, float]]) -> float:
     return sum(x0 * y1 - x1 * y0 for (x0, y0), (x1, y1) in zip(ring, ring[1:] + ring[:1], strict=True)) / 2
 
 
-def corners(held: pd.DataFrame) -> pd.DataFrame:
-    """The corners of the convex hull, counter-clockwise from the leftmost point; points along an edge are none."""
-    rows = held.sort_values(["x", "y", "cell_idx"]).drop_duplicates(["x", "y"])
-    points = list(zip(rows.x, rows.y, rows.cell_idx, strict=True))
+def chain(points: list[tuple[float, float, int]]) -> list[tuple[float, float, int]]:
+    """The corners of the hull of points in ascending order, counter-clockwise from the first; points along an edge are none."""
 
     def half(some: list) -> list:
         out = []
@@ -102,23 +101,37 @@ def corners(held: pd.DataFrame) -> pd.DataFrame:
             out.append(p)
         return out
 
-    way = points if len(points) < LEAST_POINTS else half(points)[:-1] + half(points[::-1])[:-1]
-    return pd.DataFrame({"region": held.region.iloc[0], "position": range(len(way)), "cell_idx": [p[2] for p in way], "x": [p[0] for p in way], "y": [p[1] for p in way]})
+    return points if len(points) < LEAST_POINTS else half(points)[:-1] + half(points[::-1])[:-1]
+
+
+def corners(held: pd.DataFrame) -> pd.DataFrame:
+    """The hull's corners for each region of a table; of cells at one place the first stands for all."""
+    number, names = pd.factorize(held.region)
+    x, y, cell = held.x.to_numpy(), held.y.to_numpy(), held.cell_idx.to_numpy()
+    order = np.lexsort((cell, y, x, number))
+    number, x, y, cell = number[order], x[order], y[order], cell[order]
+    new = np.concatenate([[True], (number[1:] != number[:-1]) | (x[1:] != x[:-1]) | (y[1:] != y[:-1])])[: len(order)]
+    number, x, y, cell = number[new], x[new], y[new], cell[new]
+    cuts = np.searchsorted(number, np.arange(len(names) + 1)).tolist()
+    points = list(zip(x.tolist(), y.tolist(), cell.tolist(), strict=True))
+    rows = [(names[k], i, p[2], p[0], p[1]) for k in range(len(names)) for i, p in enumerate(chain(points[cuts[k] : cuts[k + 1]]))]
+    return pd.DataFrame(rows, columns=["region", "position", "cell_idx", "x", "y"])
 
 
 def hull(places: DataFrame, salts: int = 32) -> DataFrame:
-    """region, position, cell_idx, x, y of the hull's corners: hulls of parts in each batch of rows, then the hull of their corners."""
+    """region, position, cell_idx, x, y of the hull's corners.
+
+    Each batch of rows is cut down to its own hulls, then again after a region's rows are dealt over `salts` tasks at most; few are left to meet.
+    """
     schema = "region string, position long, cell_idx long, x double, y double"
 
     def parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for _, held in batch.groupby("region"):
-                yield corners(held)
+            yield corners(batch)
 
     some = places.select("region", "cell_idx", "x", "y").mapInPandas(parts, schema)
-    salted = some.withColumn("salt", F.pmod(F.xxhash64("cell_idx"), F.lit(salts)))
-    some = salted.groupBy("region", "salt").applyInPandas(corners, schema)
-    return some.groupBy("region").applyInPandas(corners, schema)
+    dealt = some.repartition(F.col("region"), F.pmod(F.xxhash64("cell_idx"), F.lit(salts)))
+    return dealt.mapInPandas(parts, schema).groupBy("region").applyInPandas(corners, schema)
 
 
 def outlines(members: DataFrame, places: DataFrame, alpha: float, exterior_only: bool = False) -> tuple[DataFrame, DataFrame]:
