@@ -50,16 +50,19 @@ def id_and_text(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """The batches, cut so that one holds about `most` bytes of a string column, and one row at least."""
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
-        part = np.cumsum(sizes, dtype=np.int64) // most
-        cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
-        for a, b in zip(cuts, cuts[1:], strict=False):
-            yield batch.slice(a, b - a)
+    try:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+            part = np.cumsum(sizes, dtype=np.int64) // most
+            cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+            for a, b in zip(cuts, cuts[1:], strict=False):
+                yield batch.slice(a, b - a)
+    finally:
+        pa.default_memory_pool().release_unused()  # the worker process stays for other tasks
 
 
 def split_words(text: pa.Array) -> tuple[pa.Array, np.ndarray]:

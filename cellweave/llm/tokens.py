@@ -21,7 +21,7 @@ from cellweave.llm.common import coded, codes, split_words
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Pieces that one process remembers; beyond that it forgets all and starts again.
-REMEMBERED = 800_000
+REMEMBERED = 300_000
 #: Pieces joined to one call of the library.
 JOINED = 500
 #: In Latin-1: letters, numbers and white space as Unicode classes them.
