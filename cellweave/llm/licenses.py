@@ -91,7 +91,7 @@ TEMPERATURES = tuple(0.5 * 1.25**i for i in range(12))
 
 
 def words_of(line: Column) -> Column:
-    return F.filter(F.split(F.lower(line), r"[^\p{L}0-9]+"), lambda x: x != "")
+    return F.array_remove(F.split(F.lower(line), r"[^\p{L}0-9]+"), "")
 
 
 def groups_of(words: Column, sizes: tuple[int, ...] = (1, 2, 3)) -> Column:
@@ -127,7 +127,8 @@ def examples(docs: DataFrame, sample: int) -> DataFrame:
     less = less.groupBy("words").agg(F.min_by("family", "i").alias("family"), F.min("i").alias("i"), F.count_distinct("family").alias("n"))
     less = less.where("i = 0 or n = 1").select("family", "words")
     known = given.where(F.col("family") != UNKNOWN).select(F.explode(groups_of(F.col("words"), (3,))).alias("group")).distinct()
-    chosen = docs.select("doc_id", "text").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    ids = docs.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    chosen = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id", "left_semi")
     others = paragraphs(chosen).withColumn("group", F.explode_outer(groups_of(F.col("words"), (3,))))
     others = others.join(F.broadcast(known.withColumn("known", F.lit(1))), "group", "left").groupBy("doc_id", "paragraph").agg(F.first("words").alias("words"), F.max("known").alias("known"))
     others = others.where("known is null").select(F.lit(UNKNOWN).alias("family"), F.slice("words", 1, 60).alias("words"))
@@ -154,10 +155,11 @@ class Model:
 
 
 def telling_words(weights: list[dict], intercepts: list[float], frequency: dict[str, int]) -> list[str]:
-    """The first words of word groups, without those that are too weak even all together; the most frequent are tried first as weak ones."""
+    """The rarest word of each word group, without those whose groups are too weak even all together; the most frequent are tried first as weak ones."""
     last, gains = len(intercepts) - 1, {}
     for x in weights:
-        gain = gains.setdefault(x["group"].split(" ")[0], [0.0] * last)
+        rarest = min(x["group"].split(" "), key=lambda w: (frequency.get(w, 0), w))
+        gain = gains.setdefault(rarest, [0.0] * last)
         for k in range(last):
             gain[k] += max(0.0, x["w"][k] - x["w"][last])
     total, telling = [0.0] * last, []
@@ -197,8 +199,8 @@ def train(docs: DataFrame, sample: int = SAMPLE, penalty: float = 3e-4) -> Model
             total += weight * (top + math.log(sum(math.exp(v - top) for v in x)) - x[label])
         return total
 
-    first = sorted({x["group"].split(" ")[0] for x in weights})
-    words = data.where(f"label = {len(TEMPLATES)}").select(F.explode("words").alias("word")).where(F.col("word").isin(first))
+    held = sorted({w for x in weights for w in x["group"].split(" ")})
+    words = data.where(f"label = {len(TEMPLATES)}").select(F.explode("words").alias("word")).where(F.col("word").isin(held))
     frequency = dict(words.groupBy("word").count().collect())
     return Model(families, intercepts.tolist(), weights, min(TEMPERATURES, key=loss) if scored else 1.0, telling_words(weights, intercepts.tolist(), frequency))
 

@@ -52,7 +52,8 @@ def test_logits_against_all_paragraphs(spark, make, model):
 
 def test_weak_words():
     weights = [{"group": "the license", "w": [1.0, 0.0]}, {"group": "of", "w": [0.5, 0.0]}, {"group": "gnu", "w": [3.0, -1.0]}, {"group": "a", "w": [-2.0, 1.0]}]
-    assert L.telling_words(weights, [0.0, 2.0], {"the": 9, "of": 5}) == ["gnu"]
+    assert L.telling_words(weights, [0.0, 2.0], {"the": 9, "of": 5, "license": 1}) == ["gnu"]
+    assert L.telling_words(weights, [0.0, 1.2], {"the": 9, "of": 5, "license": 1}) == ["license", "gnu"]
 
 
 def test_no_python_in_the_plan(spark, make, model):
