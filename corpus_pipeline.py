@@ -8,7 +8,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cellweave.llm import mixing, near_copies, packing, quality_rules, toxicity
+from cellweave.llm import mixing, packing, quality_rules, shingle_copies, toxicity
 from cellweave.llm.common import documents, written
 
 
@@ -21,8 +21,8 @@ def keep_clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    # the SimHash operator with 256 bits: copies that are 0.8 alike in five-word shingles differ in too many of 64
-    return near_copies.keep_one(docs)
+    # copies that are 0.8 alike in five-word shingles differ in any number of bits of a SimHash, so their sets are compared
+    return shingle_copies.keep_one(docs)
 
 
 def keep_mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
