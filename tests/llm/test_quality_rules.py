@@ -75,3 +75,18 @@ def test_rules(make, odd):
 def test_long_repeat_of_one_word(make):
     row = Q.apply_rules(make(["word " * 20000])).first()
     assert (row.longest_repeat, row.n_repeat_words, row.covered_chars, row.kept) == (19999, 20000, 80000, False)
+
+
+def test_the_repeats_decide_on_texts_that_pass_the_base_rules(make):
+    fresh = lambda n, k: [f"w{k}x{i}" for i in range(n)]
+    passage, long = fresh(9, 0), fresh(30, 1)
+    texts = [passage + fresh(80, 2) + passage + fresh(2, 3), passage + fresh(200, 2) + passage, long + fresh(900, 2) + long, fresh(100, 2)]
+    rows = sorted(Q.apply_rules(make([" ".join(t) for t in texts])).select("doc_id", "base_failed", "kept").collect())
+    assert [(r.base_failed, r.kept) for r in rows] == [(False, False), (False, True), (False, False), (False, True)]
+
+
+def test_labelled_clean_texts_stay(spark):
+    root = "/root/testdata/sf0.01"
+    labels = spark.read.parquet(f"{root}/labels.parquet").where("quality = 1").select("doc_id").distinct()
+    rules = Q.apply_rules(spark.read.parquet(f"{root}/documents.parquet")).where("not base_failed").join(labels, "doc_id")
+    assert rules.where("kept").count() >= 0.99 * rules.count() > 0
