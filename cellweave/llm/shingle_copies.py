@@ -7,7 +7,7 @@ the first floor((1 - t) * n) + 1 of each have one in common; fingerprints meet t
 What meets is thinned by conditions that no link fails: the sizes, how many shingles can follow the common one, and 256-bit parities
 (a bit is the parity of the shingles that fall on it, so differing bits are no more than differing shingles). Links are then verified on the sets.
 
-Large groups of copies would meet in all pairs. So every set is first compared with one of each of its buckets, twice, and what these verified
+Large groups of copies would meet in all pairs. So every set is first compared with one of each of its buckets of over LARGE, twice, and what these verified
 links join is one component; the pairs of a bucket are then met only between different components. Equal sets share their digest.
 
 Null texts count as empty; all texts without words are copies of each other. Rows without doc_id, and rows that share one, are kept once a group like all others.
@@ -22,13 +22,13 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellweave.llm.common import coded, slices, split_words, table, written
 from cellweave.llm.simhash import components
 
-SHINGLE, PARTS, SAMPLE, OFTEN = 5, 4, 20000, 3
+SHINGLE, PARTS, SAMPLE, OFTEN, LARGE = 5, 4, 5000, 3, 16
 #: Copies are alike in ALIKE[0] / ALIKE[1] of their shingles or more; whole numbers, as a limit must not be rounded.
 ALIKE = (4, 5)
 PARITY = [f"p{k}" for k in range(PARTS)]
@@ -155,30 +155,34 @@ def grouped(docs: DataFrame) -> DataFrame:
     prefix = F.slice("set", F.lit(1), F.floor(n * (ALIKE[1] - ALIKE[0]) / ALIKE[1]).cast("int") + 1)
     heads = marked.where(n > 0).select(F.col("row").alias("id"), n.alias("n"), *PARITY, prefix.alias("prefix")).join(distinct.select("id"), "id", "left_semi")
     heads = written(heads, "set-prefixes")
-    each = heads.select("id", F.posexplode("prefix").alias("at", "key"))
-    keys = each.groupBy("key").count().where("count > 1").select("key")
-    each = written(each.join(keys, "key").join(heads.drop("prefix"), "id"), "shared-shingles")
+    shared = heads.select("id", F.posexplode("prefix").alias("at", "key")).withColumn("held", F.count("*").over(Window.partitionBy("key")))
+    shared = written(shared.where("held > 1"), "shared-shingles")
     members = written(distinct.select("id", F.col("id").alias("group")), "alone")
     same = F.col("x.key") == F.col("y.key")
     for turn in range(2):
-        now = each.join(members, "id")
+        now = with_parities(shared.where(F.col("held") > LARGE), heads, members)
         middle = now.groupBy("key").agg(F.min_by(F.struct("id", "n", "at", "group", *PARITY), F.xxhash64("id", F.lit(turn))).alias("m")).select("key", "m.*")
         near = now.alias("x").join(middle.alias("y"), same & (F.col("x.group") != F.col("y.group")) & possible("x", "y"))
-        links = linked(near, sets, members)
-        members = joined(members, links)
-    now = each.join(members, "id")
+        members = joined(members, linked(near, sets, members))
+    now = with_parities(shared, heads, members)
     near = now.alias("x").join(now.alias("y"), same & (F.col("x.group") < F.col("y.group")) & possible("x", "y"))
     members = joined(members, linked(near, sets, members))
     of_print = distinct.join(members, "id").select("d0", "d1", "group")
     return marked.select("doc_id", "t", "d0", "d1").join(of_print, ["d0", "d1"]).select("doc_id", "t", "group")
 
 
+def with_parities(shared: DataFrame, heads: DataFrame, members: DataFrame) -> DataFrame:
+    """key, id, at, n, the parities and group of rows of shared."""
+    return shared.select("key", "id", "at").join(heads.drop("prefix").join(members, "id"), "id")
+
+
 def linked(near: DataFrame, sets: DataFrame, members: DataFrame) -> DataFrame:
     """The groups a, b of the pairs x, y that are alike."""
     x, y = F.col("x.id"), F.col("y.id")
     pairs = written(near.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).distinct(), "pairs")
     asked = pairs.select(F.col("a").alias("row")).unionAll(pairs.select(F.col("b").alias("row"))).distinct()
-    found = verified(pairs, written(sets.join(asked, "row", "left_semi"), "sets-of-pairs"))
+    few = asked.count() <= 1 << 20  # then the sets stay where they are
+    found = verified(pairs, written(sets.join(F.broadcast(asked) if few else asked, "row", "left_semi"), "sets-of-pairs"))
     of = lambda c: members.select(F.col("id").alias(c), F.col("group").alias(f"group_{c}"))
     found = found.join(of("a"), "a").join(of("b"), "b").select(F.col("group_a").alias("a"), F.col("group_b").alias("b"))
     return written(found.distinct(), "links")
