@@ -62,3 +62,10 @@ def test_groups_against_all_pairs(make, odd, real):
     kept = S.keep_one(make(texts))
     assert kept.columns == make([]).columns and sorted(r.doc_id for r in kept.collect()) == sorted(set(label))
     assert S.groups(make([])).count() == S.keep_one(make([])).count() == 0
+
+
+def test_rows_without_or_with_shared_ids_are_kept_once_a_group(make):
+    """Unique texts without doc_id, and different texts under one doc_id, all stay; copies go."""
+    texts = ["a b c d e f g", "h i j k l m n", "h i j k l m n", "o p q r s t u", "v w x y z 1 2"]
+    kept = S.keep_one(make(texts, ids=[None, None, None, 7, 7])).collect()
+    assert sorted((r.text, r.doc_id) for r in kept) == [(texts[0], None), (texts[1], None), (texts[3], 7), (texts[4], 7)]
