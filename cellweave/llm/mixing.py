@@ -1,20 +1,27 @@
 """Mixing to target weights by iterative proportional fitting, with DataFrame functions only.
 
 Documents fall into cells (source, language, topic). Raking multiplies the cells' token weights by target over present share of each
-source, then of each language, then of each topic, round after round, until all three marginals hold. A document of a cell is kept with probability
-min(1, c * raked share / present share), c chosen so that the kept tokens are the stated share of all: cells that would exceed 1 are
-taken whole and the others scaled up for them.
+source, then of each language, then of each topic, round after round, until all three marginals hold within TOLERANCE or `rounds` are done. A
+document of a cell is kept with probability min(1, c * raked share / present share), c chosen so that the kept tokens are the stated share of
+all: cells that would exceed 1 are taken whole and the others scaled up for them.
 
-Targets: for each dimension a table of values and weights, or an exponent e by which the present shares are tempered (share ** e). Values
-without a target get weight 0; null sources and languages are a value of their own, ''. A draw is a hash of doc_id, so equal
-doc_ids are kept or dropped together, and the same rows in any order give the same result.
+Targets: for each dimension a table of values and weights (of rows with the same value the weights add up, null or negative ones count as 0), or an
+exponent e by which the present shares are tempered (share ** e). Values without a target get weight 0 and none of their documents with tokens is kept; null sources and
+languages are a value of their own, ''. Where that leaves less than the stated share, all of what has a weight is kept. A draw is a hash of
+doc_id (null: of ''), so equal doc_ids are kept or dropped together if their cells are, and the same rows in any order give the same result.
+
+The topic of a text is a parameter: any string Column, or a list of (topic, term), of which the first whose term the text contains applies.
 
 One pass over the texts counts tokens by cell (partial sums first, so a source with a third of all rows is no load); rounds work on the cells only,
-which number at most sources x languages x topics; a second pass draws. An empty table gives an empty result.
+which number at most sources x languages x topics; a second pass draws. Texts are read whole, however long. Null and empty texts have no tokens, and
+cells without tokens have no share to change: their documents stay. Repeated rows count as often as they stand there. An empty table gives an
+empty result. Other columns pass through; where one of them begins with `cell_`, the new columns begin with `cell__` (and so on) instead.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,7 +29,11 @@ from cellweave.llm.common import SPACES, written
 
 DIMENSIONS = ("source", "lang", "topic")
 TEMPER = {"source": 0.7, "lang": 0.7, "topic": 0.7}
-ROUNDS, SHARE, SEED = 12, 0.9, "mix"
+ROUNDS, TOLERANCE, SHARE, SEED = 60, 1e-11, 0.9, "mix"
+#: Rounds between two looks at the marginals.
+STRIDE = 4
+#: Coarse topics by what a text contains; PROSE where nothing applies.
+TOPICS, PROSE = (("legal", "icense"), ("contact", "@"), ("tabular", " | ")), "prose"
 
 
 def n_tokens(text: Column) -> Column:
@@ -30,15 +41,24 @@ def n_tokens(text: Column) -> Column:
     return F.coalesce(F.size(F.filter(F.split(text, SPACES), lambda x: x != "")), F.lit(0)).cast("long")
 
 
-def topic(text: Column) -> Column:
-    """A coarse topic by what a text contains; the first that applies."""
-    kinds = F.when(text.contains("icense"), "legal").when(text.contains("@"), "contact").when(text.contains(" | "), "tabular")
-    return F.coalesce(kinds.otherwise("prose"), F.lit("prose"))
+def topic(text: Column, topics: Sequence[tuple[str, str]] = TOPICS) -> Column:
+    """The first topic whose term the text contains."""
+    return F.coalesce(*[F.when(text.contains(term), F.lit(name)) for name, term in topics], F.lit(PROSE))
+
 
+def free_prefix(docs: DataFrame) -> str:
+    """`cell_`, with more underscores where columns of docs begin like that."""
+    prefix = "cell_"
+    while any(c.lower().startswith(prefix) for c in docs.columns):
+        prefix += "_"
+    return prefix
 
-def with_cells(docs: DataFrame) -> DataFrame:
-    """The rows with the columns cell_source, cell_lang, cell_topic and cell_tokens."""
-    return docs.withColumns({"cell_source": F.coalesce("source", F.lit("")), "cell_lang": F.coalesce("lang", F.lit("")), "cell_topic": topic(F.col("text")), "cell_tokens": n_tokens(F.coalesce("text", F.lit("")))})
+
+def with_cells(docs: DataFrame, topics: Column | Sequence[tuple[str, str]] = TOPICS) -> DataFrame:
+    """The rows with their source, lang, topic and tokens under free_prefix."""
+    of = topics if isinstance(topics, Column) else topic(F.col("text"), topics)
+    new = {"source": F.coalesce("source", F.lit("")), "lang": F.coalesce("lang", F.lit("")), "topic": F.coalesce(of, F.lit("")), "tokens": n_tokens(F.coalesce("text", F.lit("")))}
+    return docs.withColumns({free_prefix(docs) + c: v for c, v in new.items()})
 
 
 def targeted(cells: DataFrame, dimension: str, target: float | DataFrame) -> DataFrame:
@@ -46,36 +66,55 @@ def targeted(cells: DataFrame, dimension: str, target: float | DataFrame) -> Dat
     name = f"target_{dimension}"
     present = cells.groupBy(dimension).agg(F.sum("tokens").alias("n"))
     if isinstance(target, DataFrame):
-        wanted = present.join(target.select(F.col("value").alias(dimension), F.col("weight").cast("double").alias("wanted")), dimension, "left").select(dimension, F.coalesce("wanted", F.lit(0.0)).alias("wanted"))
+        weight = F.greatest(F.coalesce(F.col("weight").cast("double"), F.lit(0.0)), F.lit(0.0))
+        given = target.groupBy(F.coalesce(F.col("value").cast("string"), F.lit("")).alias(dimension)).agg(F.sum(weight).alias("wanted"))
+        wanted = present.join(given, dimension, "left").select(dimension, F.when(F.col("n") > 0, F.coalesce("wanted", F.lit(0.0))).otherwise(0.0).alias("wanted"))
     else:
-        wanted = present.select(dimension, F.pow(F.col("n").cast("double"), F.lit(float(target))).alias("wanted"))
+        wanted = present.select(dimension, F.when(F.col("n") > 0, F.pow(F.col("n").cast("double"), F.lit(float(target)))).otherwise(0.0).alias("wanted"))
     total = wanted.agg(F.sum("wanted").alias("all"))
-    return cells.join(wanted.crossJoin(F.broadcast(total)).select(dimension, (F.col("wanted") / F.col("all")).alias(name)), dimension)
+    share = F.coalesce(F.try_divide(F.col("wanted"), F.col("all")), F.lit(0.0))
+    return cells.join(wanted.crossJoin(F.broadcast(total)).select(dimension, share.alias(name)), dimension)
+
 
+def farthest(cells: DataFrame) -> float:
+    """The largest distance of a marginal's share from its target."""
+    each = [cells.groupBy(d).agg(F.sum("weight").alias("now"), F.first(f"target_{d}").alias("wanted")).select(F.lit(d).alias("d"), "now", "wanted") for d in DIMENSIONS]
+    every = each[0].unionAll(each[1]).unionAll(each[2])
+    sums = every.groupBy("d").agg(F.sum("now").alias("all"))
+    found = every.join(F.broadcast(sums), "d").agg(F.max(F.abs(F.coalesce(F.try_divide(F.col("now"), F.col("all")), F.lit(0.0)) - F.col("wanted")))).first()[0]
+    return found or 0.0
 
-def rake(cells: DataFrame, rounds: int) -> DataFrame:
+
+def rake(cells: DataFrame, rounds: int, tolerance: float = TOLERANCE) -> DataFrame:
     """cells (source, lang, topic, tokens and the targets) with the column weight, whose marginals are the targets."""
     cells = cells.withColumn("weight", F.col("tokens").cast("double"))
-    for _ in range(rounds):
+    for done in range(1, rounds + 1):
         for d in DIMENSIONS:
             now = F.sum("weight").over(Window.partitionBy(d))
-            cells = cells.withColumn("weight", F.when(now > 0, F.col("weight") * F.col(f"target_{d}") / now).otherwise(0.0))
-        cells = written(cells, "raked")
+            cells = cells.withColumn("weight", F.when(now > 0, F.try_divide(F.col("weight") * F.col(f"target_{d}"), now)).otherwise(0.0))
+        if done % STRIDE == 0 or done == rounds:
+            cells = written(cells, "raked")
+            if farthest(cells) <= tolerance:
+                break
     return cells
 
 
 def probabilities(cells: DataFrame, share: float) -> DataFrame:
     """source, lang, topic, weight (the raked share) and probability of each cell; the kept tokens are expected to be `share` of all."""
     total = cells.agg(F.sum("tokens").alias("all_tokens"), F.sum("weight").alias("all_weight"))
-    cells = cells.crossJoin(F.broadcast(total)).withColumn("weight", F.col("weight") / F.col("all_weight")).where("tokens > 0").withColumn("ratio", F.col("weight") * F.col("all_tokens") / F.col("tokens"))
-    # cells by falling ratio: with the first k of them taken whole, the rest get a common factor; cells are few, so one task orders them
-    order = Window.orderBy(F.desc("ratio"), *DIMENSIONS)
-    whole = F.coalesce(F.sum("tokens").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    rest = F.sum(F.col("tokens") * F.col("ratio")).over(order.rowsBetween(0, Window.unboundedFollowing))
-    cells = cells.withColumn("factor", (F.lit(share) * F.col("all_tokens") - whole) / rest)
-    fits = cells.where("factor * ratio <= 1").agg(F.max_by("factor", "ratio").alias("c"))
-    chance = F.when(F.col("c").isNull(), 1.0).otherwise(F.least(F.lit(1.0), F.col("c") * F.col("ratio")))
-    return cells.crossJoin(F.broadcast(fits)).select(*DIMENSIONS, "weight", chance.alias("probability"))
+    part = F.coalesce(F.try_divide(F.col("weight"), F.col("all_weight")), F.lit(0.0))
+    cells = cells.crossJoin(F.broadcast(total)).withColumn("weight", part).where("tokens > 0").withColumn("ratio", F.col("weight") * F.col("all_tokens") / F.col("tokens"))
+    cells = written(cells.select(*DIMENSIONS, "tokens", "weight", "ratio", "all_tokens"), "ratios")
+    # the factor of the cells that aren't taken whole grows with each cell that is, until no further one exceeds 1
+    factor, whole = 0.0, -1
+    while True:
+        full = F.col("ratio") * factor >= 1
+        now = cells.agg(F.count_if(full).alias("whole"), F.sum(F.when(full, F.col("tokens")).otherwise(0)).alias("taken"), F.sum(F.when(full, 0.0).otherwise(F.col("tokens") * F.col("ratio"))).alias("rest"), F.max("all_tokens").alias("all")).first()
+        if now.whole == whole or not now.rest:
+            # nothing is left to scale: all cells with a weight are taken whole
+            chance = F.when(F.col("ratio") > 0, 1.0).otherwise(0.0) if not now.rest else F.least(F.lit(1.0), F.col("ratio") * factor)
+            return cells.select(*DIMENSIONS, "weight", chance.alias("probability"))
+        factor, whole = (share * now.all - now.taken) / now.rest, now.whole
 
 
 def draw(doc_id: Column, seed: str = SEED) -> Column:
@@ -84,25 +123,29 @@ def draw(doc_id: Column, seed: str = SEED) -> Column:
     return (F.conv(digits, 16, 10).cast("double") + 0.5) / F.lit(2.0**32)
 
 
-def mix(docs: DataFrame, targets: dict[str, float | DataFrame] | None = None, share: float = SHARE, rounds: int = ROUNDS, seed: str = SEED) -> DataFrame:
+def mix(docs: DataFrame, targets: dict[str, float | DataFrame] | None = None, share: float = SHARE, rounds: int = ROUNDS, seed: str = SEED, topics: Column | Sequence[tuple[str, str]] = TOPICS) -> DataFrame:
     """All rows of docs with the columns cell_source, cell_lang, cell_topic, cell_tokens, cell_weight, cell_probability and cell_kept."""
-    each = with_cells(docs)
-    cells = written(each.groupBy(*[F.col(f"cell_{d}").alias(d) for d in DIMENSIONS]).agg(F.sum("cell_tokens").alias("tokens")), "cells")
+    p, each = free_prefix(docs), with_cells(docs, topics)
+    cells = written(each.groupBy(*[F.col(p + d).alias(d) for d in DIMENSIONS]).agg(F.sum(p + "tokens").alias("tokens")), "cells")
     for d in DIMENSIONS:
         cells = targeted(cells, d, (targets or TEMPER)[d])
     chances = written(probabilities(rake(written(cells, "targets"), rounds), share), "probabilities")
-    chances = chances.select(*[F.col(d).alias(f"cell_{d}") for d in DIMENSIONS], F.col("weight").alias("cell_weight"), F.col("probability").alias("cell_probability"))
-    # cells without tokens have no share to change: their documents stay
-    found = each.join(chances, [f"cell_{d}" for d in DIMENSIONS], "left").withColumns({"cell_weight": F.coalesce("cell_weight", F.lit(0.0)), "cell_probability": F.coalesce("cell_probability", F.lit(1.0))})
-    return found.withColumn("cell_kept", draw(F.col("doc_id"), seed) < F.col("cell_probability"))
+    chances = chances.select(*[F.col(d).alias(p + d) for d in DIMENSIONS], F.col("weight").alias(p + "weight"), F.col("probability").alias(p + "probability"))
+    found = each.join(chances, [p + d for d in DIMENSIONS], "left").withColumns({p + "weight": F.coalesce(p + "weight", F.lit(0.0)), p + "probability": F.coalesce(p + "probability", F.lit(1.0))})
+    found = found.withColumn(p + "kept", draw(F.col("doc_id"), seed) < F.col(p + "probability"))
+    return found.select(*docs.columns, *[p + c for c in (*DIMENSIONS, "tokens", "weight", "probability", "kept")])
 
 
 def keep_mixed(docs: DataFrame, **options) -> DataFrame:
     """The rows that are drawn, with all their columns."""
-    return mix(docs, **options).where("cell_kept").select(docs.columns)
+    return mix(docs, **options).where(free_prefix(docs) + "kept").select(docs.columns)
+
+
+#: Rounds of the SQL, which cannot stop by itself; the marginals hold within TOLERANCE by then.
+SQL_ROUNDS = 12
 
 
-def oracle_sql(rounds: int = ROUNDS, share: float = SHARE) -> str:
+def oracle_sql(rounds: int = SQL_ROUNDS, share: float = SHARE) -> str:
     """The query over `documents` in DuckDB's SQL, with the default targets."""
     parts = ["""each AS (SELECT doc_id, coalesce(source, '') AS source, coalesce(lang, '') AS lang,
   CASE WHEN text LIKE '%icense%' THEN 'legal' WHEN text LIKE '%@%' THEN 'contact' WHEN text LIKE '% | %' THEN 'tabular' ELSE 'prose' END AS topic,

@@ -2,6 +2,7 @@ import hashlib
 import re
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from cellweave.llm import mixing as M
 
@@ -64,3 +65,33 @@ def test_rows_keep_their_columns(make, odd):
     kept = M.keep_mixed(docs)
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {r.doc_id for r in M.mix(docs).where("cell_kept").collect()}
     assert M.mix(make([])).count() == 0 and M.mix(make([None, ""])).where("cell_kept").count() == 2
+
+
+def test_tables_without_tokens_and_targets_without_values(spark, make):
+    docs = make([None, "", None])
+    assert [(r.cell_weight, r.cell_probability, r.cell_kept) for r in M.mix(docs).collect()] == [(0.0, 1.0, True)] * 3
+    docs = make(["a b c", "d e", None, "f " * 50, "g"], sources=["a", "a", "b", "b", None], ids=[1, 2, 3, 4, None])
+    only_a = spark.createDataFrame([("a", 2.0), ("a", 1.0), ("zzz", 5.0), ("b", -1.0), (None, None)], "value string, weight double")
+    rows = {r.doc_id: r for r in M.mix(docs, {**M.TEMPER, "source": only_a}).collect()}
+    # b and null have no weight; what is left is less than the share, so all of it is kept
+    assert {i: (r.cell_probability, r.cell_kept) for i, r in rows.items()} == {1: (1.0, True), 2: (1.0, True), 3: (0.0, False), 4: (0.0, False), None: (0.0, False)}
+    nothing = only_a.where("value = 'zzz'")
+    assert {r.doc_id for r in M.keep_mixed(docs, targets={**M.TEMPER, "source": nothing}).collect()} == set()
+    assert M.keep_mixed(docs, targets={**M.TEMPER, "source": only_a.limit(0)}).count() == 0
+
+
+def test_columns_of_the_caller_stay(make, odd):
+    docs = make(odd).withColumns({"cell_source": F.lit("MINE"), "Cell_kept": F.lit(None).cast("string"), "tokens": F.lit(7), "weight": F.lit(1)})
+    assert {(r.cell_source, r.Cell_kept, r.tokens, r.weight) for r in M.keep_mixed(docs).collect()} == {("MINE", None, 7, 1)}
+    mixed = M.mix(docs)
+    assert mixed.columns[: len(docs.columns)] == docs.columns and "cell__source" in mixed.columns
+    assert {r.doc_id: r.cell__kept for r in mixed.collect()} == {r.doc_id: r.cell_kept for r in M.mix(make(odd)).collect()}
+
+
+def test_repeated_rows_and_topics(make):
+    texts = ["one two three", "x @ y", "z"] * 4
+    rows = M.mix(make(texts, ids=[1, 2, None] * 4), topics=(("at", "@"),)).collect()
+    assert len(rows) == 12 and {r.cell_topic for r in rows} == {"at", "prose"}
+    for i in (1, 2, None):
+        assert len({(r.cell_probability, r.cell_kept) for r in rows if r.doc_id == i}) == 1
+    assert {r.cell_topic for r in M.mix(make(texts), topics=F.lit(None).cast("string")).collect()} == {""}
