@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -16,18 +17,52 @@ from pyspark.sql import functions as F
 SPACES = r"[\x20\x09-\x0D]+"
 
 
+#: A key with over 1 / HOT of a table's rows is hot; there are fewer than HOT of them.
+HOT = 1000
+
+
 def shared_root(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a new local one where that is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir; where that is unset, a new local one if all runs in one process, else an error."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
     current = spark.sparkContext.getCheckpointDir()
     if current is None:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="cellweave-"))
         current = spark.sparkContext.getCheckpointDir()
     return current.rstrip("/")
 
 
+def even_join(left: DataFrame, right: DataFrame, keys: str | list[str], total: int) -> DataFrame:
+    """left joined with right, which holds each key once and in n how many of left's `total` rows have it; n is dropped.
+
+    Hot keys are fewer than HOT whatever the size, so their rows of right are broadcast and left's stay where they are; no task gathers them.
+    """
+    keys = [keys] if isinstance(keys, str) else keys
+    is_hot = F.col("n") * HOT > total
+    hot = right.where(is_hot).drop("n")
+    rest = left.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(right.where(~is_hot).drop("n"), keys)
+    return left.join(F.broadcast(hot), keys).unionByName(rest)
+
+
+def one_of_each(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """One row of each group with all its columns. found: doc_id, t (xxhash64 of the text, null as '') and group of every row.
+
+    It is the one with the smallest doc_id (rows without one come last), then the smallest t; of rows that share both, any. Rows move only where a chosen one stands more than once.
+    """
+    each = found.groupBy("group", "doc_id", "t").agg(F.count("*").alias("n"))
+    least = each.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "t", "n")).alias("m"))
+    chosen = written(least.select(F.col("group").alias("g"), F.col("m.doc_id").alias("chosen_id"), F.col("m.t").alias("chosen_t"), "m.n"), "chosen")
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("row_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("row_t"))
+    mine = F.col("row_id").eqNullSafe(F.col("chosen_id")) & (F.col("row_t") == F.col("chosen_t"))
+    once = rows.join(chosen.where("n = 1"), mine, "left_semi").select("row.*")
+    if chosen.where("n > 1").isEmpty():
+        return once
+    return once.unionAll(rows.join(chosen.where("n > 1"), mine).dropDuplicates(["g"]).select("row.*"))
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path below the shared folder that nothing has used yet."""
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"

@@ -1,16 +1,22 @@
-"""Near copies by the exact similarity of their five-word shingles: all pairs at ALIKE or more, and no others, are linked.
+"""Near copies by SimHash and by the exact similarity of their five-word shingles: all pairs at ALIKE or more, and no others, are linked.
 
-A text is the set of its five-word shingles (A-Z lower-cased; a shorter text is one shingle), as 64-bit hashes. Sets are ordered alike everywhere: those
-seen often in a sample come last. Two sets of a and b shingles with similarity t = ALIKE or more share at least t / (1 + t) * (a + b), so
-the first floor((1 - t) * n) + 1 of each have one in common; fingerprints meet there. The order only changes how many meet, not which links are found.
+A text is the set of its five-word shingles (A-Z lower-cased; a shorter text is one shingle), as 64-bit hashes; equal sets are one from the start.
 
-What meets is thinned by conditions that no link fails: the sizes, how many shingles can follow the common one, and 256-bit parities
-(a bit is the parity of the shingles that fall on it, so differing bits are no more than differing shingles). Links are then verified on the sets.
+1. The SimHashes of the sets are linked by pigeonring filtering (`simhash`), and what is linked so is verified on the sets.
+2. SimHashes of sets that are 0.8 alike differ in about 10 of 64 bits, so these links are not all. Sets are ordered alike everywhere: those shingles
+   seen often in a sample come last. Two sets of a and b shingles with similarity t = ALIKE or more share at least t / (1 + t) * (a + b), so
+   the first floor((1 - t) * n) + 1 of each have one in common; sets meet there. The order only changes how many meet, not which links are found.
+   What meets is thinned by conditions that no link fails: the sizes, how often the two meet and how many shingles can follow, and 256-bit
+   parities (a bit is the parity of the shingles that fall on it, so differing bits are no more than differing shingles). Links are then verified
+   on the sets.
 
-Large groups of copies would meet in all pairs. So every set is first compared with one of each of its buckets of over LARGE, twice, and what these verified
-links join is one component; the pairs of a bucket are then met only between different components. Equal sets share their digest.
+Large groups of copies would meet in all pairs. So in the first step each set is also compared with two of each bucket of a quarter of all
+buckets (by a hash of their shingle) where they meet often, and what the verified links of the first step join is one group; in the second step a set meets the
+groups that a bucket holds, then the sets of other groups; those of one group never meet.
 
-Null texts count as empty; all texts without words are copies of each other. Rows without doc_id, and rows that share one, are kept once a group like all others.
+Sets aren't stored: they are made again from the texts for those that are compared. Null texts count as empty; all texts without words are copies
+of each other. Rows without doc_id, and rows that share one, are kept once a group like all others; equal rows are copies. Texts are read whole,
+however long. An empty table gives an empty result. Other columns, whatever their names, are not read by `groups`; `keep_one` returns them.
 """
 
 from __future__ import annotations
@@ -25,10 +31,12 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cellweave.llm.common import coded, slices, split_words, table, written
-from cellweave.llm.simhash import components
+from cellweave.llm import simhash
+from cellweave.llm.common import coded, even_join, id_and_text, one_of_each, slices, split_words, table, written
 
-SHINGLE, PARTS, SAMPLE, OFTEN, LARGE = 5, 4, 5000, 3, 16
+SHINGLE, PARTS, SAMPLE, OFTEN = 5, 4, 5000, 3
+#: One of SOME buckets is looked at in the first step; up to FEW ids are broadcast.
+SOME, FEW = 4, 1 << 18
 #: Copies are alike in ALIKE[0] / ALIKE[1] of their shingles or more; whole numbers, as a limit must not be rounded.
 ALIKE = (4, 5)
 PARITY = [f"p{k}" for k in range(PARTS)]
@@ -90,16 +98,27 @@ def often_seen(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return h[order], n[order]
 
 
+def simhashes(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Each row's SimHash: a bit is 1 if it is set in over half of its shingles."""
+    out = np.zeros(len(counts), dtype="<u8")
+    some = np.flatnonzero(counts)
+    if len(some):
+        bits = np.unpackbits(hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        ones = np.add.reduceat(bits, (np.cumsum(counts) - counts)[some], axis=0, dtype=np.int32)
+        out[some] = np.packbits(ones * 2 > counts[some, None], axis=1, bitorder="little").view("<u8").ravel()
+    return out
+
+
 def shingled(docs: DataFrame) -> DataFrame:
-    """row (a key), doc_id, t (hash of the text), the set's digest d0 and d1, its parities and the set in the common order, rare ones first."""
-    schema = pa.schema([*((c, pa.int64()) for c in ("row", "doc_id", "t", "d0", "d1", *PARITY)), ("set", pa.list_(pa.int64()))])
-    text = F.coalesce("text", F.lit(""))
+    """row (a key), doc_id, t (hash of the text), the set's digest d0 and d1, its SimHash fp, its size, its parities and its first shingles in the common order, rare ones first."""
+    longs = ("row", "doc_id", "t", "d0", "d1", "fp", "size", *PARITY)
+    schema = pa.schema([*((c, pa.int64()) for c in longs), ("prefix", pa.list_(pa.int64()))])
     often = docs.sparkSession.sparkContext.broadcast(often_seen(docs))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, seen = often.value
         row = TaskContext.get().partitionId() << 40
-        for batch in slices(batches, most=1 << 20):
+        for batch in slices(batches, most=1 << 19):
             hashes, counts = shingle_sets(batch.column("text"))
             d0, d1 = by_row(hashes, counts, np.add), by_row(mixed(hashes ^ ODD[0]), counts, np.add)
             level = np.zeros(len(hashes), dtype=np.int64)
@@ -107,14 +126,16 @@ def shingled(docs: DataFrame) -> DataFrame:
                 at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
                 level = np.where(known[at] == hashes, seen[at], 0)
             order = np.lexsort((hashes, level, np.repeat(np.arange(len(counts)), counts)))
-            sets = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), pa.array(hashes[order].view(np.int64)))
+            heads = np.where(counts > 0, counts * (ALIKE[1] - ALIKE[0]) // ALIKE[1] + 1, 0)  # as heads_of
+            nth = np.arange(len(hashes)) - np.repeat(np.cumsum(counts) - counts, counts)
+            first = hashes[order][nth < np.repeat(heads, counts)]
+            prefix = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(heads)]), pa.int32()), pa.array(first.view(np.int64)))
             bits = {p: v.view(np.int64) for p, v in zip(PARITY, parities(hashes, counts), strict=True)}
             rows = np.arange(row, row + len(counts))
             row += len(counts)
-            yield table(schema, row=rows, doc_id=batch.column("doc_id"), t=batch.column("t"), d0=d0.view(np.int64), d1=d1.view(np.int64), set=sets, **bits)
+            yield table(schema, row=rows, doc_id=batch.column("doc_id"), t=batch.column("t"), d0=d0.view(np.int64), d1=d1.view(np.int64), fp=simhashes(hashes, counts).view(np.int64), size=counts, prefix=prefix, **bits)
 
-    given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("t"))
-    return given.mapInArrow(run, ", ".join(f"{c} long" for c in ("row", "doc_id", "t", "d0", "d1", *PARITY)) + ", set array<long>")
+    return id_and_text(docs).withColumn("t", F.xxhash64("text")).mapInArrow(run, ", ".join(f"{c} long" for c in longs) + ", prefix array<long>")
 
 
 def enough(common: Column, a: Column, b: Column) -> Column:
@@ -122,83 +143,123 @@ def enough(common: Column, a: Column, b: Column) -> Column:
     return common * (ALIKE[0] + ALIKE[1]) >= (a + b) * ALIKE[0]
 
 
+def heads_of(size: Column) -> Column:
+    """How many of a set's first shingles are compared."""
+    return F.floor(size * (ALIKE[1] - ALIKE[0]) / ALIKE[1]) + 1
+
+
 def possible(x: str, y: str) -> Column:
-    """What every link fulfils: sizes, shingles that can follow the common one, parities."""
-    a, b = F.col(f"{x}.n"), F.col(f"{y}.n")
-    left = F.least(a - F.col(f"{x}.at"), b - F.col(f"{y}.at"))
-    before = F.least(F.col(f"{x}.at"), F.col(f"{y}.at"))
+    """What every link fulfils: sizes and parities."""
+    a, b = F.col(f"{x}.size"), F.col(f"{y}.size")
     differ = sum((F.bit_count(F.col(f"{x}.{p}").bitwiseXOR(F.col(f"{y}.{p}"))) for p in PARITY), F.lit(0))
-    return enough(F.least(a, b), a, b) & enough(before + left, a, b) & (differ * (ALIKE[0] + ALIKE[1]) <= (a + b) * (ALIKE[1] - ALIKE[0]))
+    return enough(F.least(a, b), a, b) & (differ * (ALIKE[0] + ALIKE[1]) <= (a + b) * (ALIKE[1] - ALIKE[0]))
 
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def with_both(pairs: DataFrame, each: DataFrame, column: str) -> DataFrame:
+    """pairs (a, b) with a column of each (id, column) for both: x and y."""
+    total = pairs.count()
+    for side, name in (("b", "y"), ("a", "x")):
+        right = each.select(F.col("id").alias(side), F.col(column).alias(name)).join(pairs.groupBy(side).agg(F.count("*").alias("n")), side)
+        pairs = even_join(pairs, right, side, total)
+    return pairs
+
+
+def sets_of(docs: DataFrame, asked: DataFrame) -> DataFrame:
+    """id and set (its shingles) of the rows asked for (id, doc_id, t), made from their texts."""
+    schema = pa.schema([("id", pa.int64()), ("set", pa.list_(pa.int64()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, most=1 << 19):
+            hashes, counts = shingle_sets(batch.column("text"))
+            sets = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), pa.array(hashes.view(np.int64)))
+            yield table(schema, id=batch.column("id"), set=sets)
+
+    few = asked.count() <= FEW  # then the texts stay where they are
+    asked = asked.select("id", F.col("doc_id").alias("asked_id"), F.col("t").alias("asked_t"))
+    same = F.col("doc_id").eqNullSafe(F.col("asked_id")) & (F.col("t") == F.col("asked_t"))
+    texts = id_and_text(docs).withColumn("t", F.xxhash64("text")).join(F.broadcast(asked) if few else asked, same)
+    return texts.select("id", "text").mapInArrow(run, "id long, set array<long>").dropDuplicates(["id"])
+
+
+def verified(pairs: DataFrame, distinct: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs a, b of ids whose sets are alike."""
-    both = pairs.join(sets.select(F.col("row").alias("a"), F.col("set").alias("x")), "a").join(sets.select(F.col("row").alias("b"), F.col("set").alias("y")), "b")
-    return both.where(enough(F.size(F.array_intersect("x", "y")), F.size("x"), F.size("y"))).select("a", "b")
+    sized = with_both(written(pairs.distinct(), "pairs"), distinct, "size").where(enough(F.least("x", "y"), F.col("x"), F.col("y")))
+    pairs = written(sized.select("a", "b"), "pairs-of-like-sizes")
+    ids = pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id"))).distinct()
+    asked = written(distinct.select("id", "doc_id", "t").join(ids, "id", "left_semi"), "asked")
+    both = with_both(pairs, written(sets_of(docs, asked), "sets-of-pairs"), "set")
+    return written(both.where(enough(F.size(F.array_intersect("x", "y")), F.size("x"), F.size("y"))).select("a", "b"), "links")
+
+
+def by_simhash(distinct: DataFrame) -> DataFrame:
+    """Pairs (a, b) of ids that SimHash links join: those with one fingerprint, and those of linked fingerprints."""
+    prints = written(distinct.groupBy("fp").agg(F.min("id").alias("first"), F.count("*").alias("n")), "distinct-fingerprints")
+    same = even_join(distinct.select("id", "fp"), prints, "fp", distinct.count()).where("id != first").select(F.col("first").alias("a"), F.col("id").alias("b"))
+    stars = written(simhash.star_links(prints.select(F.col("first").alias("id"), "fp")), "simhash-stars")
+    label = simhash.components(stars).withColumnRenamed("component", "group")
+    known = prints.select(F.col("first").alias("id"), "fp").join(label, "id", "left").select("id", "fp", F.coalesce("group", "id").alias("group"))
+    return same.unionAll(stars).unionAll(simhash.links(written(known, "grouped-fingerprints")))
+
+
+def by_some_buckets(shared: DataFrame, distinct: DataFrame) -> DataFrame:
+    """Pairs (a, b): each id with two of each of the buckets looked at, if they meet there about as often as links do."""
+    some = shared.where(F.pmod(F.xxhash64("key"), F.lit(SOME)) == 0)
+    first = [F.min_by("id", F.xxhash64("id", F.lit(turn))) for turn in range(2)]
+    middle = some.groupBy("key").agg(F.array_distinct(F.array(*first)).alias("middle"), F.count("*").alias("n"))
+    met = even_join(some.select("key", "id"), middle, "key", some.count()).select("id", F.explode("middle").alias("m")).where("id != m")
+    met = met.groupBy("id", "m").agg(F.count("*").alias("met")).join(distinct.select("id", "size"), "id")
+    # sets of a size that are alike share 4 / 45 of it among their first shingles; half of that will do
+    return met.where(F.col("met") * SOME * 90 >= F.col("size") * 4).select(F.least("id", "m").alias("a"), F.greatest("id", "m").alias("b"))
+
+
+def between_groups(shared: DataFrame, members: DataFrame, distinct: DataFrame) -> DataFrame:
+    """Pairs (a, b) of ids of different groups that could be alike by the first shingles that they share."""
+    of = shared.join(members, "id")
+    mixed_keys = of.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low != high").select("key")
+    each = written(of.join(mixed_keys, "key", "left_semi").join(distinct.select("id", "size", *PARITY), "id"), "mixed-buckets")
+    others = each.select("key", "group").distinct().withColumnRenamed("group", "other")
+    asks = each.join(others, "key").where(F.col("group") < F.col("other"))
+    same = (F.col("x.key") == F.col("y.key")) & (F.col("x.other") == F.col("y.group"))
+    near = asks.alias("x").join(each.alias("y"), same & possible("x", "y"))
+    met = near.groupBy(F.col("x.id").alias("a"), F.col("y.id").alias("b")).agg(F.count("*").alias("met"), F.first("x.size").alias("x"), F.first("y.size").alias("y"))
+    # of the set whose last compared shingle comes first, all common shingles that come later are among its other ones
+    later = F.greatest(F.col("x") - heads_of(F.col("x")), F.col("y") - heads_of(F.col("y")))
+    return met.where(enough(F.col("met") + later, F.col("x"), F.col("y"))).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
 def joined(members: DataFrame, links: DataFrame) -> DataFrame:
-    """members (id, group) with the groups that links (a, b) of groups join."""
+    """members (id, group) with the groups that links (a, b) of ids join."""
     if links.isEmpty():
         return members
-    label = components(links).withColumnRenamed("id", "group")
+    of = lambda c, g: members.select(F.col("id").alias(c), F.col("group").alias(g))
+    between = links.join(of("a", "x"), "a").join(of("b", "y"), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
+    label = simhash.components(between).withColumnRenamed("id", "group")
     return written(members.join(label, "group", "left").select("id", F.coalesce("component", "group").alias("group")), "grouped")
 
 
 def grouped(docs: DataFrame) -> DataFrame:
     """doc_id, t and group of every row."""
-    marked = written(shingled(docs), "shingle-sets")
-    sets = marked.select("row", "set")
-    prints = marked.select("row", "d0", "d1")
-    distinct = written(prints.groupBy("d0", "d1").agg(F.min("row").alias("id")), "distinct-sets")
-    n = F.size("set")
-    prefix = F.slice("set", F.lit(1), F.floor(n * (ALIKE[1] - ALIKE[0]) / ALIKE[1]).cast("int") + 1)
-    heads = marked.where(n > 0).select(F.col("row").alias("id"), n.alias("n"), *PARITY, prefix.alias("prefix")).join(distinct.select("id"), "id", "left_semi")
-    heads = written(heads, "set-prefixes")
-    shared = heads.select("id", F.posexplode("prefix").alias("at", "key")).withColumn("held", F.count("*").over(Window.partitionBy("key")))
-    shared = written(shared.where("held > 1"), "shared-shingles")
-    members = written(distinct.select("id", F.col("id").alias("group")), "alone")
-    same = F.col("x.key") == F.col("y.key")
-    for turn in range(2):
-        now = with_parities(shared.where(F.col("held") > LARGE), heads, members)
-        middle = now.groupBy("key").agg(F.min_by(F.struct("id", "n", "at", "group", *PARITY), F.xxhash64("id", F.lit(turn))).alias("m")).select("key", "m.*")
-        near = now.alias("x").join(middle.alias("y"), same & (F.col("x.group") != F.col("y.group")) & possible("x", "y"))
-        members = joined(members, linked(near, sets, members))
-    now = with_parities(shared, heads, members)
-    near = now.alias("x").join(now.alias("y"), same & (F.col("x.group") < F.col("y.group")) & possible("x", "y"))
-    members = joined(members, linked(near, sets, members))
-    of_print = distinct.join(members, "id").select("d0", "d1", "group")
-    return marked.select("doc_id", "t", "d0", "d1").join(of_print, ["d0", "d1"]).select("doc_id", "t", "group")
-
-
-def with_parities(shared: DataFrame, heads: DataFrame, members: DataFrame) -> DataFrame:
-    """key, id, at, n, the parities and group of rows of shared."""
-    return shared.select("key", "id", "at").join(heads.drop("prefix").join(members, "id"), "id")
-
-
-def linked(near: DataFrame, sets: DataFrame, members: DataFrame) -> DataFrame:
-    """The groups a, b of the pairs x, y that are alike."""
-    x, y = F.col("x.id"), F.col("y.id")
-    pairs = written(near.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).distinct(), "pairs")
-    asked = pairs.select(F.col("a").alias("row")).unionAll(pairs.select(F.col("b").alias("row"))).distinct()
-    few = asked.count() <= 1 << 20  # then the sets stay where they are
-    found = verified(pairs, written(sets.join(F.broadcast(asked) if few else asked, "row", "left_semi"), "sets-of-pairs"))
-    of = lambda c: members.select(F.col("id").alias(c), F.col("group").alias(f"group_{c}"))
-    found = found.join(of("a"), "a").join(of("b"), "b").select(F.col("group_a").alias("a"), F.col("group_b").alias("b"))
-    return written(found.distinct(), "links")
+    marked = written(shingled(docs), "shingle-prefixes")
+    whole = F.min_by(F.struct("doc_id", "t", "fp", "size", *PARITY), "row").alias("m")
+    distinct = marked.groupBy("d0", "d1").agg(F.min("row").alias("id"), F.count("*").alias("n"), whole)
+    distinct = written(distinct.select("d0", "d1", "id", "n", "m.*"), "distinct-sets")
+    heads = marked.where(F.size("prefix") > 0).select(F.col("row").alias("id"), "prefix").join(distinct.select("id"), "id", "left_semi")
+    held = heads.select("id", F.explode("prefix").alias("key")).withColumn("held", F.count("*").over(Window.partitionBy("key")))
+    shared = written(held.where("held > 1").select("key", "id"), "shared-shingles")
+    members = distinct.select("id", F.col("id").alias("group"))
+    members = joined(members, verified(by_simhash(distinct).unionAll(by_some_buckets(shared, distinct)), distinct, docs))
+    members = joined(members, verified(between_groups(shared, members, distinct), distinct, docs))
+    of_set = distinct.join(members, "id").select("d0", "d1", "group", "n")
+    return even_join(marked.select("doc_id", "t", "d0", "d1"), of_set, ["d0", "d1"], marked.count()).select("doc_id", "t", "group")
 
 
 def groups(docs: DataFrame) -> DataFrame:
     """doc_id and component_id, the smallest doc_id of its group (null where none has one), of every row."""
     found = written(grouped(docs), "groups")
-    least = found.groupBy("group").agg(F.min("doc_id").alias("component_id"))
-    return found.join(least, "group").select("doc_id", "component_id")
+    least = found.groupBy("group").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("n"))
+    return even_join(found, least, "group", found.count()).select("doc_id", "component_id")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """One row of each group with all its columns: the one with the smallest doc_id, or any where none has one; of rows that share that doc_id, one."""
-    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "t")).alias("m")
-    chosen = grouped(docs).groupBy("group").agg(least).select("group", F.col("m.doc_id").alias("chosen_id"), F.col("m.t").alias("chosen_t"))
-    text = F.coalesce("text", F.lit(""))
-    mine = F.col("doc_id").cast("long").eqNullSafe(F.col("chosen_id")) & (F.xxhash64(text) == F.col("chosen_t"))
-    return docs.join(chosen, mine).dropDuplicates(["group"]).select(docs.columns)
+    return one_of_each(docs, written(grouped(docs), "groups"))

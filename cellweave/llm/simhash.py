@@ -6,11 +6,14 @@ equi-join on two consecutive segments, of which the first is equal and the secon
 two segments for each of the four starts, the other all 17 values that the chain allows. The third segment prunes what met by
 chance, before the full Hamming check, which is the chain of four.
 
-Only distinct fingerprints are joined, each under the smallest doc_id that has it; copies join by equality of the fingerprint, however
-many there are. Components are found by alternating large-star and small-star rounds on the links, written out each round.
-
-Null texts count as empty; texts without words have fingerprint zero and are linked like any other. Rows without doc_id get a component only
-through others. Equal rows are in one component. Other columns are not read.
+Only distinct fingerprints are joined; copies join by equality of the fingerprint, however
+many there are. Large groups of near copies would meet in all pairs: so each fingerprint is first linked to one in each of its own four buckets, what that
+joins is one group, and only fingerprints of different groups meet after that. Components are found by alternating large-star and
+small-star rounds on the links, written out each round.
+
+Null texts count as empty; texts without words have fingerprint zero and are linked like any other. Texts are read whole, however long. Rows without doc_id
+are linked like others, and component_id is null where no row of a component has one. Equal rows, and rows that share a doc_id, each
+have a row in the result. An empty table gives an empty result. Other columns, whatever their names, are not read by `groups`; `keep_one` returns them.
 """
 
 from __future__ import annotations
@@ -25,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cellweave.llm.common import id_and_text, slices, table, written
+from cellweave.llm.common import even_join, id_and_text, one_of_each, slices, table, written
 
 SHINGLE, SEED, DISTANCE, SEGMENTS, BITS = 3, 42, 3, 4, 16
 BIT_OF_BYTE = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)
@@ -51,16 +54,16 @@ def fingerprint(words: list[bytes]) -> int:
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id and fp, the fingerprint as a signed 64-bit number."""
-    schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
+    """doc_id, t (a hash of the text) and fp, the fingerprint as a signed 64-bit number."""
+    schema = pa.schema([("doc_id", pa.int64()), ("t", pa.int64()), ("fp", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             text = pc.ascii_lower(batch.column("text")).cast(pa.binary()).to_pylist()
             found = np.array([fingerprint(WORD.findall(t)) for t in text], dtype=np.uint64)
-            yield table(schema, doc_id=batch.column("doc_id"), fp=found.view(np.int64))
+            yield table(schema, doc_id=batch.column("doc_id"), t=batch.column("t"), fp=found.view(np.int64))
 
-    return id_and_text(docs).mapInArrow(run, "doc_id long, fp long")
+    return id_and_text(docs).withColumn("t", F.xxhash64("text")).mapInArrow(run, "doc_id long, t long, fp long")
 
 
 def turned(fp: Column, by: int) -> Column:
@@ -68,14 +71,30 @@ def turned(fp: Column, by: int) -> Column:
     return fp if not by else F.shiftleft(fp, by * BITS).bitwiseOR(F.shiftrightunsigned(fp, 64 - by * BITS))
 
 
-def links(distinct: DataFrame) -> DataFrame:
-    """Pairs a < b of ids whose fingerprints differ in DISTANCE bits or fewer. distinct: id and fp, each fp once."""
-    two = SEGMENTS * BITS // 2
+def rings_of(distinct: DataFrame) -> DataFrame:
+    """id, group, and for each of the four starts k the ring from there on and its first two segments (head)."""
     starts = F.array(*[F.struct(F.lit(k).alias("k"), turned(F.col("fp"), k).alias("ring")) for k in range(SEGMENTS)])
-    rings = distinct.select("id", F.explode(starts).alias("s")).select("id", "s.k", "s.ring", F.shiftrightunsigned("s.ring", 64 - two).alias("head"))
+    return distinct.select("id", "group", F.explode(starts).alias("s")).select("id", "group", "s.k", "s.ring", F.shiftrightunsigned("s.ring", BITS * SEGMENTS // 2).alias("head"))
+
+
+def star_links(distinct: DataFrame) -> DataFrame:
+    """Links of fingerprints (id, fp, each fp once) to one in each of their buckets: never more than four for each, however large the buckets."""
+    rings = rings_of(distinct.withColumn("group", F.col("id")))
+    first = rings.groupBy("k", "head").agg(F.min(F.struct("id", "ring")).alias("m"), F.count("*").alias("held")).where("held > 1")
+    met = rings.join(first, ["k", "head"]).where(F.col("id") > F.col("m.id"))
+    return met.where(F.bit_count(F.col("ring").bitwiseXOR(F.col("m.ring"))) <= DISTANCE).select(F.col("m.id").alias("a"), F.col("id").alias("b")).distinct()
+
+
+def links(distinct: DataFrame) -> DataFrame:
+    """Pairs a < b of ids in different groups whose fingerprints differ in DISTANCE bits or fewer. distinct: id, fp and group, each fp once.
+
+    A fingerprint first meets the groups that a bucket holds, then the fingerprints of the other groups; those of one group never meet.
+    """
+    rings = rings_of(distinct)
     flips = F.array(*[F.lit(0).cast("long"), *[F.lit(1 << j).cast("long") for j in range(BITS)]])
-    asks = rings.select(F.col("id").alias("a"), "k", F.col("ring").alias("ring_a"), F.explode(F.transform(flips, lambda x: F.col("head").bitwiseXOR(x))).alias("head"))
-    met = asks.join(rings.withColumnsRenamed({"id": "b", "ring": "ring_b"}), ["k", "head"]).where("a < b")
+    asks = rings.select(F.col("id").alias("a"), F.col("group").alias("group_a"), "k", F.col("ring").alias("ring_a"), F.explode(F.transform(flips, lambda x: F.col("head").bitwiseXOR(x))).alias("head"))
+    others = asks.join(rings.select("k", "head", "group").distinct(), ["k", "head"]).where("group_a != group")
+    met = others.join(rings.select(F.col("id").alias("b"), "group", "k", F.col("ring").alias("ring_b"), "head"), ["k", "head", "group"]).where("a < b")
     differ = F.col("ring_a").bitwiseXOR(F.col("ring_b"))
     three = F.bit_count(F.shiftrightunsigned(differ, BITS)) * SEGMENTS <= 3 * DISTANCE
     return met.where(three).where(F.bit_count(differ) <= DISTANCE).select("a", "b").distinct()
@@ -84,36 +103,52 @@ def links(distinct: DataFrame) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """id and component (the smallest id reachable) of every id that stands in an edge (a, b)."""
     edges = written(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct(), "edges")
-    before = None
     while True:
+        size = edges.count()
         both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        least = both.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")).select("a", F.least("a", "m").alias("m"), "n")
+        large = even_join(both.where("b > a"), least, "a", 2 * size).select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = written(large.unionAll(least.where("m < a").select("a", F.col("m").alias("b"))).distinct(), "large-star")
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a")
+        least = large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
+        small = even_join(large, least, "a", 2 * size)
         small = small.select("a", F.col("m").alias("b")).unionAll(small.where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b")))
         edges = written(small.distinct(), "small-star")
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == before:
+        # stars: each id has one edge down, to an id that has none
+        ends = edges.select("a", F.lit(0).alias("up"), F.lit(1).alias("down")).unionAll(edges.select("b", F.lit(1), F.lit(0)))
+        if ends.groupBy("a").agg(F.max("up").alias("up"), F.sum("down").alias("down")).where("down + up > 1").isEmpty():
             break
-        before = now
     return edges.select(F.col("a").alias("id"), F.col("b").alias("component")).unionAll(edges.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())
 
 
+def near_groups(distinct: DataFrame) -> DataFrame:
+    """fp and group of distinct fingerprints: a group is all that links join, named by one of them."""
+    first = components(star_links(distinct.select(F.col("fp").alias("id"), "fp"))).withColumnRenamed("component", "group")
+    known = distinct.select("fp").join(first, F.col("fp") == F.col("id"), "left").select("fp", F.coalesce("group", "fp").alias("group"))
+    known = written(known, "grouped-fingerprints")
+    of = lambda c, g: known.select(F.col("fp").alias(c), F.col("group").alias(g))
+    between = links(known.withColumn("id", F.col("fp"))).join(of("a", "x"), "a").join(of("b", "y"), "b")
+    last = components(between.select(F.col("x").alias("a"), F.col("y").alias("b"))).withColumnRenamed("id", "group")
+    return known.join(last, "group", "left").select("fp", F.coalesce("component", "group").alias("group"))
+
+
+def grouped(docs: DataFrame) -> DataFrame:
+    """doc_id, t, fp, group and component_id, the smallest doc_id of the group (null where none has one), of every document."""
+    marked = written(fingerprints(docs), "fingerprints")
+    distinct = written(marked.groupBy("fp").agg(F.min("doc_id").alias("id"), F.count("*").alias("n")), "distinct-fingerprints")
+    of_fp = written(distinct.join(near_groups(distinct), "fp"), "groups")
+    least = of_fp.groupBy("group").agg(F.min("id").alias("component_id"), F.count("*").alias("n"))
+    of_fp = even_join(of_fp.withColumnRenamed("n", "rows"), least, "group", of_fp.count()).select("fp", "group", "component_id", F.col("rows").alias("n"))
+    return even_join(marked, of_fp, "fp", marked.count())
+
+
 def groups(docs: DataFrame) -> DataFrame:
     """doc_id, fp and component_id of every document."""
-    marked = written(fingerprints(docs), "fingerprints")
-    distinct = written(marked.groupBy("fp").agg(F.min("doc_id").alias("id")), "distinct-fingerprints")
-    found = components(links(distinct.where("id is not null")))
-    of_fp = distinct.join(found, "id", "left").select("fp", F.coalesce("component", "id").alias("component_id"))
-    return marked.join(of_fp, "fp").select("doc_id", "fp", "component_id")
+    return grouped(docs).select("doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """One document of each component, the one with the smallest doc_id, with all its columns; of rows that share that doc_id, one."""
-    chosen = groups(docs).where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    return docs.join(chosen, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns)
+    """One document of each component, the one with the smallest doc_id, with all its columns."""
+    return one_of_each(docs, written(grouped(docs).select("doc_id", "t", "group"), "grouped"))
 
 
 def hex_of(fp: Column) -> Column:

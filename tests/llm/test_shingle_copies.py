@@ -38,7 +38,7 @@ def edited(w, kind, share, draw):
 def test_every_kind_of_edit_is_found(make, kind):
     draw, texts = random.Random(kind), []
     for share in (0.02, 0.05, 0.1, 0.15, 0.18):
-        for _ in range(12):
+        for _ in range(16):
             w = words(draw, draw.randrange(100, 600))
             texts += [" ".join(w), " ".join(edited(w, kind, share, draw))]
     sets = [shingles(t) for t in texts]

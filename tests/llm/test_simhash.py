@@ -49,8 +49,35 @@ def test_links_are_all_within_three_bits(spark):
                     y ^= 1 << b
                 prints.append(y)
     prints = list(dict.fromkeys(prints))
-    rows = S.links(spark.createDataFrame([(i, signed(x)) for i, x in enumerate(prints)], "id long, fp long")).collect()
+    apart = spark.createDataFrame([(i, signed(x), i) for i, x in enumerate(prints)], "id long, fp long, group long")
+    rows = S.links(apart).collect()
     assert sorted((r.a, r.b) for r in rows) == near(prints)
+    # a star never links what isn't near, and with the links between what it leaves apart everything is reached
+    stars = [(r.a, r.b) for r in S.star_links(apart).collect()]
+    assert set(stars) <= set(near(prints)) and len(stars) > 20
+    known = {r.fp: r.group for r in S.near_groups(apart.select("fp")).collect()}
+    label = reachable(len(prints), near(prints))
+    named = {}
+    assert all(named.setdefault(known[signed(x)], label[i]) == label[i] for i, x in enumerate(prints)) and len(named) == len(set(label))
+
+
+def test_rows_without_or_with_shared_ids(make):
+    texts = ["a b c d", "a b c d", "e f g h", "i j k l", "m n o p"]
+    docs = make(texts, ids=[None, None, 5, 7, 7])
+    rows = [(r.doc_id, r.component_id) for r in S.groups(docs).collect()]
+    assert sorted(rows, key=str) == [(5, 5), (7, 7), (7, 7), (None, None), (None, None)]
+    assert sorted(r.text for r in S.keep_one(docs).collect()) == texts[1:]
+    more = docs.selectExpr("*", "'g' as group", "1 as n", "2 as t", "3 as row", "4 as fp", "5 as key")
+    assert S.keep_one(more).columns == more.columns and S.keep_one(more).count() == 4
+
+
+def test_even_join_is_a_join(spark):
+    from cellweave.llm.common import HOT, even_join
+
+    left = spark.range(3 * HOT).selectExpr("id", "if(id % 3 = 0, -1, id) as k")
+    right = left.groupBy("k").count().withColumnRenamed("count", "n").selectExpr("k", "n", "k * 2 as twice").where("k != 4")
+    rows = {(r.id, r.k, r.twice) for r in even_join(left, right, "k", left.count()).collect()}
+    assert rows == {(i, k, 2 * k) for i in range(3 * HOT) for k in [-1 if i % 3 == 0 else i] if k != 4}
 
 
 def test_components(spark):
