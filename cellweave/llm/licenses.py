@@ -1,24 +1,29 @@
 """Licence scan of every paragraph of every text, with DataFrame functions and Spark ML only.
 
+Lines without words (blank ones, or bare comment marks) end a paragraph. What is scored are all runs of 1 to LINES lines inside a paragraph, so a notice is found on
+one line, hard-wrapped, behind comment marks, and between other lines of its paragraph; of confirmed runs of one family the shortest count.
+
 A multinomial logistic regression with an L1 penalty over words, pairs and triples of words tells licence families from `unknown`. It learns from
-the templates below, from variants of them with a word left out, from sentences that only speak of licences, and from a bounded sample of
-paragraphs of the corpus that share no triple of words with a template. Its scores are divided by a temperature fitted on rows held
+the templates below, from variants of them with a word left out, from sentences that only speak of licences, and from the lines and longest runs of a
+bounded sample of documents (`sample`) that share no triple of words with a template. Its scores are divided by a temperature fitted on rows held
 out of training, so that they are calibrated, the unknown class included. A family is accepted where it is the likeliest class, its probability is at
-least `least_probability`, and a template of that family confirms it: at least `least_similarity` of the template's word pairs stand in the paragraph.
+least `least_probability`, and a template of that family confirms it: at least `least_similarity` of the template's word pairs stand in the run.
 
 The weights that aren't zero form a small table (at most the templates' word groups), which is broadcast. Words whose groups, even all
-together, cannot outweigh the intercept of `unknown` are weak, frequent ones first; a paragraph with weak words alone is unknown without being
-taken apart into word groups. Partial sums are by paragraph, so
-frequent lines and large documents are no load. Null and empty texts have no licence. Every row gets a result; repeated rows get equal ones.
+together, cannot outweigh the intercept of `unknown` are weak, frequent ones first; a run with weak words alone is unknown without being
+taken apart into word groups. Partial sums are by run, so frequent lines and large documents are no load; texts are read whole, however long.
+
+Null and empty texts have no licence. Every row gets a result, rows without doc_id too; equal rows get equal ones, and rows that share a doc_id but not their
+text each get their own. Of equally likely families the first by order of TEMPLATES is taken. An empty table gives an empty result, and training on
+one leaves the templates and sentences alone to learn from. Other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
 
 import json
-import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cellweave.llm.common import written
@@ -87,6 +92,10 @@ OTHERS = (
     "The commons were open to the public, with attribution to the library",
 )
 SAMPLE, LEAST_PROBABILITY, LEAST_SIMILARITY = 1000, 0.5, 0.8
+#: A run has so many lines at most; wrapped at 40 columns, the longest template has them.
+LINES = 5
+#: What tells a run apart.
+RUN = ("doc_id", "t", "line", "n_lines")
 TEMPERATURES = tuple(0.5 * 1.25**i for i in range(12))
 
 
@@ -109,10 +118,21 @@ def rows(spark: SparkSession, values: list[dict], schema: str) -> DataFrame:
     return spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(values)), f"array<struct<{schema}>>")))
 
 
-def paragraphs(docs: DataFrame) -> DataFrame:
-    """doc_id, paragraph (from 0) and words of every line that has words."""
-    lines = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.posexplode(F.split("text", "\n")).alias("paragraph", "line"))
-    return lines.select("doc_id", "paragraph", words_of(F.col("line")).alias("words")).where(F.size("words") > 0)
+def contains(words: Column, some: list[str]) -> Column:
+    return F.arrays_overlap(words, F.array(*map(F.lit, some)).cast("array<string>"))
+
+
+def runs(docs: DataFrame, telling: list[str] | None = None) -> DataFrame:
+    """doc_id, t (a hash of the text), line (from 0), n_lines and words of every run of lines; with `telling`, of those that hold one of these words."""
+    each = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("t"), F.transform(F.split("text", "\n"), words_of).alias("lines"))
+    if telling is not None:
+        each = each.where(F.exists("lines", lambda x: contains(x, telling)))
+    from_each = F.transform("lines", lambda x, i: F.struct(i.alias("line"), F.slice("lines", i + 1, LINES).alias("near")))
+    lines = each.select("doc_id", "t", F.inline(F.filter(from_each, lambda x: F.size(x.near[0]) > 0)))
+    blank = F.array_position(F.transform("near", lambda x: F.size(x) == 0), True)
+    lines = lines.withColumn("n_lines", F.explode(F.sequence(F.lit(1), F.when(blank > 0, blank.cast("int") - 1).otherwise(F.size("near")))))
+    found = lines.select("doc_id", "t", "line", "n_lines", F.flatten(F.slice("near", F.lit(1), F.col("n_lines"))).alias("words"))
+    return found if telling is None else found.where(contains(F.col("words"), telling))
 
 
 def examples(docs: DataFrame, sample: int) -> DataFrame:
@@ -126,13 +146,12 @@ def examples(docs: DataFrame, sample: int) -> DataFrame:
     # without its telling word a notice may be another family's, or anyone's
     less = less.groupBy("words").agg(F.min_by("family", "i").alias("family"), F.min("i").alias("i"), F.count_distinct("family").alias("n"))
     less = less.where("i = 0 or n = 1").select("family", "words")
-    known = given.where(F.col("family") != UNKNOWN).select(F.explode(groups_of(F.col("words"), (3,))).alias("group")).distinct()
+    triples = given.where(F.col("family") != UNKNOWN).select(F.explode(groups_of(F.col("words"), (3,))).alias("group")).distinct()
+    known = [r.group for r in triples.collect()]  # as many as the templates have
     ids = docs.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     chosen = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id", "left_semi")
-    others = paragraphs(chosen).withColumn("group", F.explode_outer(groups_of(F.col("words"), (3,))))
-    others = others.join(F.broadcast(known.withColumn("known", F.lit(1))), "group", "left").groupBy("doc_id", "paragraph").agg(F.first("words").alias("words"), F.max("known").alias("known"))
-    others = others.where("known is null").select(F.lit(UNKNOWN).alias("family"), F.slice("words", 1, 60).alias("words"))
-    return less.unionAll(others).dropDuplicates(["family", "words"]).withColumn("held_out", F.pmod(F.xxhash64("words"), F.lit(4)) == 3)
+    others = runs(chosen).where(F.col("n_lines").isin(1, LINES)).where(~contains(groups_of(F.col("words"), (3,)), known))
+    return less.unionAll(others.select(F.lit(UNKNOWN).alias("family"), "words")).dropDuplicates(["family", "words"]).withColumn("held_out", F.pmod(F.xxhash64("words"), F.lit(4)) == 3)
 
 
 @dataclass
@@ -143,15 +162,17 @@ class Model:
     temperature: float
     telling: list[str]  # without one of these words no paragraph gets a known family
 
-    def logits(self, table: DataFrame, keys: list[str]) -> DataFrame:
-        """keys and logits (one a family) of rows with words, for those that could be of a known family."""
+    def logits(self, table: DataFrame) -> DataFrame:
+        """The runs, with logits (one a family) for their words; equal runs are one row."""
         spark = table.sparkSession
         last = len(self.families) - 1
-        some = table.where(F.arrays_overlap("words", F.array(*map(F.lit, self.telling)).cast("array<string>")))
-        weights = F.broadcast(rows(spark, self.weights, "group:string,w:array<double>"))
-        held = some.select(*keys, F.explode(groups_of(F.col("words"))).alias("group")).join(weights, "group")
-        sums = held.groupBy(*keys).agg(*[F.sum(F.col("w")[k]).alias(f"w{k}") for k in range(last + 1)])
-        return sums.select(*keys, F.array(*[F.col(f"w{k}") + self.intercepts[k] for k in range(last + 1)]).alias("logits"))
+        # the empty group stands once in each run: it counts how many equal rows of the input have it
+        weights = F.broadcast(rows(spark, [*self.weights, {"group": "", "w": [0.0] * (last + 1)}], "group:string,w:array<double>"))
+        groups = F.concat(F.array(F.lit("")), groups_of(F.col("words")))
+        held = table.select(*RUN, "words", F.explode(groups).alias("group")).join(weights, "group")
+        copies = F.count_if(F.col("group") == "")
+        sums = held.groupBy(*RUN, "words").agg(*[(F.sum(F.col("w")[k]) / copies).alias(f"w{k}") for k in range(last + 1)])
+        return sums.select(*RUN, "words", F.array(*[F.col(f"w{k}") + self.intercepts[k] for k in range(last + 1)]).alias("logits"))
 
 
 def telling_words(weights: list[dict], intercepts: list[float], frequency: dict[str, int]) -> list[str]:
@@ -173,9 +194,10 @@ def telling_words(weights: list[dict], intercepts: list[float], frequency: dict[
 
 
 def train(docs: DataFrame, sample: int = SAMPLE, penalty: float = 3e-4) -> Model:
-    """Fits the model; the driver gets the weights and the held-out rows' scores only."""
+    """Fits the model; the driver gets the weights only."""
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import CountVectorizer
+    from pyspark.ml.functions import vector_to_array
 
     families = [*TEMPLATES, UNKNOWN]
     number = F.coalesce(*[F.when(F.col("family") == f, F.lit(float(i))) for i, f in enumerate(families)])
@@ -189,47 +211,56 @@ def train(docs: DataFrame, sample: int = SAMPLE, penalty: float = 3e-4) -> Model
     fitted = LogisticRegression(family="multinomial", regParam=penalty, elasticNetParam=1.0, maxIter=60, weightCol="weight", standardization=False).fit(vectors.transform(data.where("not held_out")))
     matrix, intercepts = fitted.coefficientMatrix.toArray(), fitted.interceptVector.toArray()
     weights = [{"group": g, "w": matrix[:, i].tolist()} for i, g in enumerate(vectors.vocabulary) if matrix[:, i].any()]
-    scored = [(int(r.label), r.weight, r.raw) for r in fitted.transform(vectors.transform(data.where("held_out"))).select("label", "weight", F.col("rawPrediction").alias("raw")).collect()]
+    scored = fitted.transform(vectors.transform(data.where("held_out"))).select("label", "weight", vector_to_array("rawPrediction").alias("x"))
+    top = F.array_max("x")
 
-    def loss(t: float) -> float:
-        total = 0.0
-        for label, weight, raw in scored:
-            x = [v / t for v in raw]
-            top = max(x)
-            total += weight * (top + math.log(sum(math.exp(v - top) for v in x)) - x[label])
-        return total
+    def loss(t: float) -> Column:
+        rest = F.aggregate("x", F.lit(0.0), lambda a, x: a + F.exp((x - top) / t))
+        return F.sum(F.col("weight") * (F.log(rest) + (top - F.element_at("x", F.col("label").cast("int") + 1)) / t))
 
+    losses = scored.agg(*[loss(t).alias(f"loss_{k}") for k, t in enumerate(TEMPERATURES)]).first()
+    temperature = 1.0 if losses[0] is None else min(zip(losses, TEMPERATURES, strict=True))[1]
     held = sorted({w for x in weights for w in x["group"].split(" ")})
     words = data.where(f"label = {len(TEMPLATES)}").select(F.explode("words").alias("word")).where(F.col("word").isin(held))
     frequency = dict(words.groupBy("word").count().collect())
-    return Model(families, intercepts.tolist(), weights, min(TEMPERATURES, key=loss) if scored else 1.0, telling_words(weights, intercepts.tolist(), frequency))
+    return Model(families, intercepts.tolist(), weights, temperature, telling_words(weights, intercepts.tolist(), frequency))
 
 
-def classify(docs: DataFrame, model: Model, least_probability: float = LEAST_PROBABILITY, least_similarity: float = LEAST_SIMILARITY) -> DataFrame:
-    """doc_id, paragraph, family, probability, similarity and confirmed of each paragraph whose likeliest class is a family."""
-    spark = docs.sparkSession
-    scores = model.logits(paragraphs(docs), ["doc_id", "paragraph", "words"])
+def scored(docs: DataFrame, model: Model) -> DataFrame:
+    """RUN, words, family and probability of each run whose likeliest class is a family."""
+    scores = model.logits(runs(docs, model.telling))
     t = F.transform("logits", lambda x: x / model.temperature)
-    scores = scores.withColumn("t", t).withColumn("top", F.array_max("t"))
-    scores = scores.withColumn("probability", 1 / F.aggregate("t", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("top"))))
-    scores = scores.withColumn("family", F.element_at(F.array(*map(F.lit, model.families)), F.array_position("t", F.col("top")).cast("int"))).where(F.col("family") != UNKNOWN)
-    templates = rows(spark, [{"family": f, "line": x} for f, texts in TEMPLATES.items() for x in texts], "family:string,line:string")
+    scores = scores.withColumn("scaled", t).withColumn("top", F.array_max("scaled"))
+    scores = scores.withColumn("probability", 1 / F.aggregate("scaled", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("top"))))
+    family = F.element_at(F.array(*map(F.lit, model.families)), F.array_position("scaled", F.col("top")).cast("int"))
+    return scores.select(*RUN, "words", family.alias("family"), "probability").where(F.col("family") != UNKNOWN)
+
+
+def classify(docs: DataFrame, model: Model, least_probability: float = LEAST_PROBABILITY, least_similarity: float = LEAST_SIMILARITY) -> DataFrame:
+    """RUN, family, probability, similarity and confirmed: of the confirmed runs of a family those that hold no other one, and all single lines that aren't confirmed."""
+    templates = rows(docs.sparkSession, [{"family": f, "line": x} for f, texts in TEMPLATES.items() for x in texts], "family:string,line:string")
     templates = templates.select("family", groups_of(words_of(F.col("line")), (2,)).alias("pairs")).groupBy("family").agg(F.collect_list("pairs").alias("templates"))  # a few for each family
-    both = scores.withColumn("pairs", groups_of(F.col("words"), (2,))).join(F.broadcast(templates), "family")
+    both = scored(docs, model).withColumn("pairs", groups_of(F.col("words"), (2,))).join(F.broadcast(templates), "family")
     similarity = F.array_max(F.transform("templates", lambda x: F.size(F.array_intersect(x, F.col("pairs"))) / F.size(x)))
     both = both.withColumn("similarity", similarity)
     confirmed = (F.col("similarity") >= least_similarity) & (F.col("probability") >= least_probability)
-    return both.select("doc_id", "paragraph", "family", "probability", "similarity", confirmed.alias("confirmed"))
+    both = both.select(*RUN, "family", "probability", "similarity", confirmed.alias("confirmed"), (F.col("line") + F.col("n_lines")).alias("end"))
+    of_family = Window.partitionBy("doc_id", "t", "family").orderBy("line")
+    end = F.min(F.when(F.col("confirmed"), F.col("end")))
+    both = both.withColumns({"first_end": end.over(of_family.rangeBetween(0, LINES - 1)), "later_end": end.over(of_family.rangeBetween(1, LINES - 1))})
+    shortest = (F.col("end") == F.col("first_end")) & (F.col("later_end").isNull() | (F.col("later_end") > F.col("end")))
+    return both.where(F.when(F.col("confirmed"), shortest).otherwise(F.col("n_lines") == 1)).select(*RUN, "family", "probability", "similarity", "confirmed")
 
 
 def scan(docs: DataFrame, model: Model) -> DataFrame:
-    """For every document: the confirmed families (sorted, distinct), how many paragraphs state one, how many were not confirmed, and the largest probability."""
-    found = classify(docs, model).groupBy("doc_id").agg(
+    """For every document: the confirmed families (sorted, distinct), how many runs state one, how many lines were not confirmed, and the largest probability."""
+    found = classify(docs, model).groupBy("doc_id", "t").agg(
         F.array_join(F.array_sort(F.collect_set(F.when(F.col("confirmed"), F.col("family")))), ",").alias("families"),
         F.count_if("confirmed").alias("n_licenses"),
         F.count_if(~F.col("confirmed")).alias("n_unconfirmed"),
         F.max("probability").alias("probability"),
-    )
-    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"))
+    ).withColumnsRenamed({"doc_id": "found_id", "t": "found_t"})
+    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("t"))
+    mine = F.col("doc_id").eqNullSafe(F.col("found_id")) & (F.col("t") == F.col("found_t"))
     zero = {"n_licenses": F.lit(0), "n_unconfirmed": F.lit(0), "probability": F.lit(0.0)}
-    return ids.join(found, "doc_id", "left").select("doc_id", F.coalesce("families", F.lit("")).alias("families"), *[F.coalesce(F.col(c), z.cast("double" if c == "probability" else "long")).alias(c) for c, z in zero.items()])
+    return ids.join(found, mine, "left").select("doc_id", F.coalesce("families", F.lit("")).alias("families"), *[F.coalesce(F.col(c), z.cast("double" if c == "probability" else "long")).alias(c) for c, z in zero.items()])
