@@ -8,7 +8,10 @@ Training reads a bounded sample: up to `sample` labelled documents of each class
 classes' shares among all labels. Labels, lang, source and doc_id are never inputs. Documents whose crc32(doc_id as text) mod 4 is 2 are
 held out of training. Scoring covers every word of every text, where the text was read.
 
-Null and empty texts have a score like any other, from the steps of their statistics. Repeated rows get equal scores; a missing class of labels raises ValueError.
+Null and empty texts have a score like any other, from the steps of their statistics; texts are read whole, however long. Repeated rows get equal scores, and
+rows without doc_id (not held out) or with a shared one theirs; of labels that share a doc_id one is used for each class. An empty table gives an empty
+result. Where no labelled document of one of the classes is found, every text gets the share of label 1 among the labels (each class counted once
+more), 0.5 without labels. Other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -127,15 +130,19 @@ def fit(rows: np.ndarray, found: np.ndarray, values: np.ndarray, label: np.ndarr
     return model
 
 
+def constant(share: float) -> Model:
+    """Scores every text with the share of label 1."""
+    size = BUCKETS + len(STATISTICS) * STEPS
+    return Model(float(np.log(share / (1 - share))), np.zeros(size), np.zeros((size, RANK)))
+
+
 def held_out(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     usable = labels.where(~held_out(F.col("doc_id"))).where("quality in (0, 1)")
-    shares = dict(usable.groupBy("quality").count().collect())
-    if set(shares) != {0, 1}:
-        raise ValueError("labels of both classes are needed")
+    shares = {0: 0, 1: 0} | dict(usable.groupBy("quality").count().collect())
     schema = pa.schema([("doc_id", pa.int64()), ("label", pa.int32()), ("features", pa.list_(pa.int32())), ("x", pa.list_(pa.float64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -146,6 +153,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 
     held = labelled(docs, usable, "quality", sample).mapInArrow(run, "doc_id long, label int, features array<int>, x array<double>").toPandas().sort_values("doc_id")
     label = held.label.to_numpy().astype(float)
+    if len(set(label)) < 2:
+        return constant((shares[1] + 1) / (shares[0] + shares[1] + 2))
     weight = np.where(label == 1, shares[1] / max((label == 1).sum(), 1), shares[0] / max((label == 0).sum(), 1))
     rows = np.repeat(np.arange(len(held)), held.features.map(len).to_numpy())
     return fit(rows, np.concatenate([*held.features]).astype(np.int64), np.concatenate([*held.x]), label, weight / weight.mean())

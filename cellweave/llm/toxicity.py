@@ -10,8 +10,10 @@ Training reads a bounded sample: the `sample` labelled documents of each class t
 executors, where near copies count once (one document for each smallest hash of its 3-word shingles, under three orders); the at most `n_features` with the largest likelihood ratio, from LEAST_GAIN on, are kept, and the driver fits their weights on
 at most 2 * sample sparse rows. Scoring covers every word of every text, where the text was read.
 
-Null and empty texts score by the thresholds alone (not toxic). Repeated rows get equal scores. Without labels of both classes ValueError is raised;
-where too few labels make any feature certain, all rows get the training rows' mean severity.
+Null and empty texts score by the thresholds alone (not toxic); texts are read whole, however long. Repeated rows get equal scores, and rows without doc_id
+or with a shared one theirs; of labels that share a doc_id one is used for each class. Features with equal likelihood ratios are taken in the order of
+their names. An empty table gives an empty result. Where no labelled document of one of the classes is found there is nothing to learn from: every text gets
+grade 0. Where too few labels make any feature certain, all rows get the training rows' mean severity. Other columns, whatever their names, pass through `keep_clean` untouched.
 """
 
 from __future__ import annotations
@@ -33,6 +35,8 @@ MARKS = ".,;:!?\"'()[]{}*#$%&|<>-_"
 #: A feature stands in so many training documents at least, and its likelihood ratio is so high that a hundred thousand features bring about none by chance.
 LEAST_DOCS, LEAST_GAIN = 4, 10.0
 GRADES, SAMPLE, N_FEATURES, STRONG = 3, 4000, 4096, 3.0
+#: A threshold that no text reaches.
+NEVER = 60.0
 
 
 def word_features(text: pa.Array) -> tuple[np.ndarray, np.ndarray, list[pa.Array]]:
@@ -139,7 +143,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, n_features:
     try:
         sizes = dict(chosen.groupBy("label").count().collect())
         if set(sizes) != {0, 1}:
-            raise ValueError("labels of both classes are needed")
+            return Model(pa.array([], pa.string()), np.zeros(0), np.full(grades, NEVER))
         names, strong = select_features(chosen, n_features, (sizes[0], sizes[1]))
         strong = np.append(strong, False)  # for words without a feature
         model = Model(names, np.zeros(len(names)), np.zeros(grades))

@@ -1,10 +1,13 @@
 """Toxicity grades and quality scores: gradients, formulas and held-out accuracy."""
 
+import re
 import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
+import xxhash
 
 from cellweave.llm import quality_fm, toxicity
 
@@ -71,8 +74,43 @@ def test_toxic_rows(make, odd, toxic_model, tables):
     kept = toxicity.keep_clean(docs, toxic_model)
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == list(range(len(odd)))
     assert toxicity.severity(make([]), toxic_model).count() == 0
-    with pytest.raises(ValueError):
-        toxicity.train(docs, tables[1].where("toxic = 0"))
+    # nothing to learn from: no grade for anyone
+    for given, labels in ((docs, tables[1].where("toxic = 0")), (make([]), tables[1]), (docs, tables[1].limit(0))):
+        plain = toxicity.train(given, labels)
+        assert {(r.grade, r.toxic, round(r.expected_severity, 9)) for r in toxicity.severity(docs, plain).collect()} == {(0, False, 0.0)}
+        assert toxicity.severity(make([]), plain).count() == toxicity.keep_clean(make([]), plain).count() == 0
+
+
+def test_toxic_ids_and_columns(make, toxic_model):
+    texts = ["you idiot moron loser scum " * 3, "a fine day", "you idiot moron loser scum " * 3, None, "word " * 60000 + "you idiot moron loser scum " * 30000]
+    docs = make(texts, ids=[None, 5, 5, 5, None]).selectExpr("*", "'x' as label", "1 as grade", "2 as times", "3 as features")
+    assert sorted((r.doc_id or 0, r.toxic) for r in toxicity.severity(docs, toxic_model).collect()) == [(0, True), (0, True), (5, False), (5, False), (5, True)]
+    kept = toxicity.keep_clean(docs, toxic_model)
+    assert kept.columns == docs.columns and sorted((r.text or "") for r in kept.collect()) == ["", "a fine day"]
+
+
+def test_chosen_features_against_plain_counting(spark, make):
+    """Features, their likelihood ratios and the strong ones as a plain count gives them."""
+    draw = np.random.default_rng(5)
+    words = [f"{c}{k}word" for k in range(9) for c in "abc"]
+    rows = [(i, " ".join(draw.choice(words[: 9 if i % 3 else 27], 12)) + (" Vile, vile!" if i % 3 == 0 else ""), int(i % 3 == 0)) for i in range(90)]
+    sample = spark.createDataFrame(rows, "doc_id long, text string, label int")
+    names, strong = toxicity.select_features(sample, 50, (60, 30))
+    held = {}
+    for _, text, label in rows:
+        bare = {w.strip(toxicity.MARKS) for w in text.lower().split()}
+        for f in {f"w:{w}" for w in bare} | {f"{n}:{w[:n]}" for w in bare for n in toxicity.BEGINNINGS if len(w) >= n}:
+            held.setdefault(f, [0, 0])[label] += 1
+
+    def gain(a, b):
+        p = (a + b) / 90
+        term = lambda k, x, y: k * np.log(x / y) if k else 0.0
+        return term(b, b / 30, p) + term(30 - b, 1 - b / 30, 1 - p) + term(a, a / 60, p) + term(60 - a, 1 - a / 60, 1 - p)
+
+    expected = sorted(((-round(gain(*n), 9), f) for f, n in held.items() if sum(n) >= toxicity.LEAST_DOCS and gain(*n) >= toxicity.LEAST_GAIN))[:50]
+    assert sorted(names.to_pylist()) == sorted(f for _, f in expected) and "w:vile" in names.to_pylist()
+    odds = {f: np.log((n[1] + 0.5) / (30 - n[1] + 0.5)) - np.log((n[0] + 0.5) / (60 - n[0] + 0.5)) for f, n in held.items()}
+    assert [bool(x) for x in strong] == [odds[f] > toxicity.STRONG for f in names.to_pylist()]
 
 
 def test_pairwise_sum_is_the_sum_over_pairs():
@@ -101,5 +139,36 @@ def test_quality_rows(make, odd, quality_model, tables):
     rows = sorted(quality_fm.score(make(odd), quality_model).collect())
     assert len(rows) == len(odd) and all(0 <= r.score <= 1 for r in rows) and rows[0].score == rows[1].score and rows[3].score == rows[4].score
     assert quality_fm.score(make([]), quality_model).count() == 0
-    with pytest.raises(ValueError):
-        quality_fm.train(make(odd), tables[1].where("quality = 1"))
+    one = tables[1].where("quality = 1")
+    n = one.where("crc32(cast(cast(doc_id as string) as binary)) % 4 != 2").count()
+    for docs, labels, share in ((make(odd), one, (n + 1) / (n + 2)), (make([]), tables[1].limit(0), 0.5)):
+        plain = quality_fm.train(docs, labels)
+        assert {round(r.score, 9) for r in quality_fm.score(make(odd), plain).collect()} == {round(share, 9)} and quality_fm.score(make([]), plain).count() == 0
+    assert quality_fm.score(make([]), quality_fm.train(make([]), tables[1])).count() == 0
+    docs = make(["a b", "a b", None, "word " * 60000], ids=[None, 7, 7, 7]).selectExpr("*", "1 as label", "2 as score", "3 as features")
+    assert sorted((r.doc_id or 0, r.held_out) for r in quality_fm.score(docs, quality_model).collect()) == [(0, False)] + [(7, zlib.crc32(b"7") % 4 == 2)] * 3
+
+
+def test_features_against_plain_counting(odd):
+    """Hashed words with scaled logs, and the step of every statistic."""
+    texts = [*odd, "One two ONE two\n#tag 12 | x\n#tag 12 | x\n", "long words " * 500]
+    rows, found, values = quality_fm.features(pa.array(texts))
+    for i, text in enumerate(texts):
+        text = text or ""
+        raw = re.findall(r"[^\x20\x09-\x0D]+", text)
+        words = re.findall(r"[^\x20\x09-\x0D]+", pc.utf8_lower(pa.scalar(text)).as_py())
+        counts = {}
+        for w in words:
+            k = xxhash.xxh64_intdigest(w.encode()) % quality_fm.BUCKETS
+            counts[k] = counts.get(k, 0) + 1
+        logs = {k: np.log1p(n) for k, n in counts.items()}
+        size = np.sqrt(sum(x * x for x in logs.values()))
+        data, lines = text.encode(), [x for x in text.split("\n") if x.strip()]
+        part = lambda chars: sum(c in chars for c in data) / max(len(data), 1)
+        some = max(len(words), 1)
+        shares = [part(range(65, 91)), part(range(48, 58)), part(b"#*$%&|<>{}[]\\^~=_+@"), part(b".,;:!?\"'()-"), part(b"\n"), part(range(128, 256)), len(set(words)) / some, sum(a == b for a, b in zip(words, words[1:])) / some, (len(lines) - len(set(lines))) / max(len(lines), 1), sum(bool(re.search(r"[#*$%&|<>]", w)) for w in raw) / some]
+        sizes = [len(words), len(text) / some, len(words) / max(len(lines), 1), len(text)]
+        steps = [int(np.sqrt(x) * 31) for x in shares] + [min(int(2 * np.log2(1 + x)), 31) for x in sizes]
+        expected = {k: x / size for k, x in logs.items()} | {quality_fm.BUCKETS + j * 32 + s: 1 / np.sqrt(14) for j, s in enumerate(steps)}
+        mine = rows == i
+        assert dict(zip(found[mine].tolist(), np.round(values[mine], 9).tolist(), strict=True)) == {k: round(float(x), 9) for k, x in expected.items()}, text[:40]
