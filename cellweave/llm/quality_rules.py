@@ -1,13 +1,18 @@
-"""Quality rules with repetition measured by suffix arrays.
+"""Quality rules with repetition measured by suffix arrays over characters.
 
-Each text is a string of words. `suffix_array` sorts all suffixes of many texts at once by prefix doubling (a suffix never
-compares equal to one of another text), keeping the ranks of every level; from these come the longest common prefixes of
-neighbours. Where an interval of neighbours shares a prefix, that prefix repeats; at each position the longest one is the larger of its
-two neighbours' common prefixes. The union of all repeats of `min_words` words or more gives the covered share of a text's
-characters; the longest repeat is limited on its own. Cheaper counts (words, symbols, equal lines, repeated 5-word windows) come first.
+All suffixes of many texts are sorted at once by prefix doubling (`suffix_array`): first by as many characters as fit into a 64-bit key, then by twice
+as many each time; a suffix never equals one of another text, and one that is alone with its prefix is not sorted again. Neighbours in that order have
+longest common prefixes; a longest-common-prefix interval is a run of suffixes that share one longer than their neighbours do. It is a maximal repeat where
+the characters before its suffixes differ too (else a longer repeat has the same places). A suffix's innermost interval is the longer of the prefixes shared
+with its two neighbours, so these give the union of all repeats' spans in one pass. Repeats count from `min_chars` characters on; they may
+begin and end inside words and overlap themselves. Limited are the share of a text's word characters that the union covers, and the longest repeat.
+Cheaper counts (words, symbols, equal lines, repeated 5-word windows) come first.
 
-Batches of texts are worked on where they were read: nothing is shuffled, and a filter keeps whole rows in place.
-Null and empty texts have no words and fail; repeated rows get equal results; other columns pass through untouched.
+Batches of texts are worked on where they were read: nothing is shuffled, and a filter keeps whole rows in place. Texts are read whole, however long;
+the ranks kept for a text take about 8 bytes a character for each doubling that still has equal prefixes.
+
+Null and empty texts have no words and fail. Equal rows get equal results, rows without doc_id and with a shared one theirs. An empty table gives an empty
+result. Other columns, whatever their names, are not read, and pass through `keep_good` untouched.
 """
 
 from __future__ import annotations
@@ -23,78 +28,127 @@ from pyspark.sql import functions as F
 from cellweave.llm.common import coded, id_and_text, slices, split_words, table
 
 SYMBOLS = "#*$%&|<>"
+SPACE = np.array([32, 9, 10, 11, 12, 13])
 WINDOW = 5
-#: A repeat counts from this many words; more than this share of characters in repeats, or a repeat of more words, is refused. Words in repeats
-#: are at most the fifth that the rule on 5-word windows lets through, so the share lies below that, where 99.8 % of the labelled clean texts of sf0.1
-#: stay (none of them repeats over 13 words). A repeat of k words in n at two places covers 2k of n words, so the share also limits it by the text's length.
-MIN_WORDS, MAX_COVERED, MAX_LONGEST = 8, 0.15, 25
+#: A repeat counts from this many characters; more than this share of word characters in repeats, or a longer repeat, is refused. Words in repeats
+#: are at most the fifth that the rule on 5-word windows lets through, so the share lies below that.
+MIN_CHARS, MAX_COVERED, MAX_LONGEST = 48, 0.15, 150
+#: Odd multipliers that mix a window's words into one number (any would do: what meets by chance is compared).
+ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xBF58476D1CE4E5B9], dtype="<u8")
+
+
+class Level:
+    """Ranks of suffixes by their first `size` characters: all of them, or those that share that prefix's first half (others equal none)."""
+
+    def __init__(self, size: int, rank: np.ndarray, at: np.ndarray | None = None):
+        self.size, self.rank, self.at = size, rank, at
+
+    def same(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        if self.at is None:
+            return self.rank[a] == self.rank[b]
+        if not len(self.at):
+            return np.zeros(len(a), dtype=bool)
+        i, j = (np.minimum(np.searchsorted(self.at, x), len(self.at) - 1) for x in (a, b))
+        return (self.at[i] == a) & (self.at[j] == b) & (self.rank[i] == self.rank[j])
 
 
-def suffix_array(symbols: np.ndarray, row: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
-    """All suffixes in order, and for k = 0, 1, ... the ranks by their first 2**k symbols.
+def suffix_array(symbols: np.ndarray, row: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, list[Level]]:
+    """All suffixes in order, text by text, and their ranks by ever longer prefixes.
 
-    symbols: all texts' symbols one after another; row: each one's text, ascending; ends: where its text ends.
+    symbols: all texts' symbols (from 1) one after another; row: each one's text, ascending; ends: where its text ends.
     """
     n = len(symbols)
-    key = row.astype(np.int64) * (int(symbols.max(initial=0)) + 1) + symbols
-    order = np.argsort(key, kind="stable")
+    bits = int(symbols.max(initial=1)).bit_length()
+    size = max(1, (63 - int(row[-1] if n else 0).bit_length()) // bits)
+    left = ends - np.arange(n)
+    key = row.astype(np.uint64)
+    for k in range(size):
+        next_one = np.zeros(n, dtype=np.uint64)
+        next_one[: n - k] = np.where(left[: n - k] > k, symbols[k:], 0)
+        key = key << np.uint64(bits) | next_one
+    order = np.argsort(key)
     slots, sorted_keys = np.arange(n), key[order]
     rank = np.zeros(n, dtype=np.int64)
-    levels, h = [], 1
+    levels: list[Level] = []
     while True:
         new = np.concatenate([[True], sorted_keys[1:] != sorted_keys[:-1]])[: len(slots)]
         first = np.maximum.accumulate(np.where(new, np.arange(len(slots)), 0))
-        rank[order[slots]] = slots[first]
-        levels.append(rank.astype(np.int32))
-        alone = new & np.concatenate([new[1:], [True]])[: len(slots)]
-        slots = slots[~alone]
+        at = order[slots]
+        rank[at] = slots[first]
+        if levels:
+            by = np.argsort(at)
+            levels.append(Level(size, rank[at[by]].astype(np.int32), at[by].astype(np.int32)))
+        else:
+            levels.append(Level(size, rank.astype(np.int32)))
+        slots = slots[~(new & np.concatenate([new[1:], [True]])[: len(slots)])]
         if not len(slots):
             return order, levels
         at = order[slots]
-        after = np.where(at + h < ends[at], rank[np.minimum(at + h, n - 1)] + 1, 0)
+        after = np.where(at + size < ends[at], rank[np.minimum(at + size, n - 1)] + 1, 0)
         key = rank[at] * (n + 2) + after
-        by = np.argsort(key, kind="stable")
+        by = np.argsort(key)
         order[slots], sorted_keys = at[by], key[by]
-        h *= 2
+        size *= 2
 
 
-def common_prefixes(order: np.ndarray, levels: list[np.ndarray], ends: np.ndarray, least: int) -> np.ndarray:
-    """For each neighbouring pair of suffixes the number of equal first symbols; 0 where that is below `least`."""
+def common_prefixes(symbols: np.ndarray, order: np.ndarray, levels: list[Level], ends: np.ndarray, least: int) -> np.ndarray:
+    """For each suffix in order the number of first symbols that it shares with the one before; 0 where that is below `least`."""
     n = len(order)
-    found = np.zeros(max(n - 1, 0), dtype=np.int64)
-    know = levels[min(int(least).bit_length() - 1, len(levels) - 1)]
-    pairs = np.flatnonzero(know[order[1:]] == know[order[:-1]])
-    a, b = order[pairs], order[pairs + 1]
+    found = np.zeros(n, dtype=np.int64)
+    pairs = np.flatnonzero(ends[order[1:]] == ends[order[:-1]]) + 1
+    for level in levels:  # the longest prefixes that are no longer than `least` leave few pairs
+        if level.size <= least:
+            pairs = pairs[level.same(order[pairs], order[pairs - 1])]
+    a, b = order[pairs], order[pairs - 1]
     ends_a, ends_b, total = ends[a], ends[b], np.zeros(len(pairs), dtype=np.int64)
-    for k in range(len(levels) - 1, -1, -1):
-        same = (a < ends_a) & (b < ends_b)
-        same &= levels[k][np.minimum(a, n - 1)] == levels[k][np.minimum(b, n - 1)]
-        total += same * (1 << k)
-        a, b = a + same * (1 << k), b + same * (1 << k)
+
+    def step(same: np.ndarray, size: int) -> None:
+        nonlocal a, b, total
+        total, a, b = total + same * size, a + same * size, b + same * size
+
+    for level in levels[::-1]:
+        inside = (a < ends_a) & (b < ends_b)
+        step(inside & level.same(np.minimum(a, n - 1), np.minimum(b, n - 1)), level.size)
+    going = np.ones(len(pairs), dtype=bool)
+    for _ in range(levels[0].size - 1 if levels else 0):
+        going = going & (a < ends_a) & (b < ends_b)
+        going &= symbols[np.minimum(a, n - 1)] == symbols[np.minimum(b, n - 1)]
+        step(going, 1)
     found[pairs] = np.where(total >= least, total, 0)
     return found
 
 
-def longest_repeats(symbols: np.ndarray, counts: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """At each position the longest prefix (of `least` symbols or more, else 0) that its text has elsewhere too; and how often the WINDOW there occurs, 2 standing for more."""
-    row = np.repeat(np.arange(len(counts)), counts)
-    ends = np.repeat(np.cumsum(counts), counts)
-    n, window = len(symbols), np.ones(len(symbols), dtype=np.int64)
-    length = np.zeros(n, dtype=np.int64)
-    if not n:
-        return length, window
-    order, levels = suffix_array(symbols, row, ends)
-    shared = common_prefixes(order, levels, ends, least)
-    length[order] = np.maximum(np.concatenate([shared, [0]]), np.concatenate([[0], shared]))
-    part = min((WINDOW - 1).bit_length() - 1, len(levels) - 1)
-    at = np.arange(n)
-    at = at[at + WINDOW <= ends]
-    four, one = levels[part], levels[0]
-    often = np.bincount(four, minlength=n) > 1
-    at = at[often[four[at]]]
-    _, group, times = np.unique(four[at].astype(np.int64) * (n + 1) + one[at + WINDOW - (1 << part)], return_inverse=True, return_counts=True)
-    window[at] = np.minimum(times[group], 2)
-    return length, window
+def maximal_repeats(symbols: np.ndarray, order: np.ndarray, shared: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """First place in the text, length and times (3 rows) of the longest-common-prefix intervals before whose suffixes not always the same character stands."""
+    before = np.where(order > begins[order], symbols[np.maximum(order - 1, 0)], -1 - order)  # none is like no other
+    changes = np.cumsum(np.concatenate([[False], before[1:] != before[:-1]])[: len(order)])
+    some = np.flatnonzero(shared)
+    found, stack, last = [], [], -2
+
+    def close(high: int, length: int) -> int:
+        """Ends the intervals that share more than `length`; the first one's low end, if any."""
+        low = high
+        while stack and stack[-1][1] > length:
+            low, size, least = stack.pop()
+            found.append((low, high, size, least))
+            if stack and least < stack[-1][2]:
+                stack[-1][2] = least
+        return low
+
+    for at, length, here, there in zip(some.tolist(), shared[some].tolist(), order[some].tolist(), order[some - 1].tolist(), strict=True):
+        if at != last + 1:  # nothing is shared in between
+            close(last, 0)
+        known = len(found)
+        low = close(at - 1, length)
+        if not stack or stack[-1][1] < length:
+            stack.append([low, length, found[-1][3] if len(found) > known else there])
+        if here < stack[-1][2]:
+            stack[-1][2] = here
+        last = at
+    close(last, 0)
+    low, high, length, first = np.array(found, dtype=np.int64).reshape(-1, 4).T
+    diverse = changes[high] > changes[low]
+    return np.stack([first, length, high - low + 1])[:, diverse]
 
 
 def union(starts: np.ndarray, lengths: np.ndarray, n: int) -> np.ndarray:
@@ -116,24 +170,67 @@ def duplicate_lines(text: str) -> int:
     return len(lines) - len(set(lines))
 
 
-def measure(text: pa.Array, min_words: int = MIN_WORDS) -> dict[str, np.ndarray]:
-    """The features of a batch of texts, and which words lie in repeats."""
+def repeated_windows(number: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Where a run of WINDOW words begins that its text has twice or more. number: each word's number among the distinct ones."""
+    row = np.repeat(np.arange(len(counts)), counts)
+    at = np.arange(len(number))
+    at = at[at + WINDOW <= np.repeat(np.cumsum(counts), counts)]
+    if not len(at):
+        return at
+    key = row[at].astype(np.uint64) * ODD[WINDOW]
+    for k in range(WINDOW):
+        key += number[at + k].astype(np.uint64) * ODD[k]
+    key ^= key >> np.uint64(31)
+    sorted_keys = np.sort(key)
+    twice = sorted_keys[1:][sorted_keys[1:] == sorted_keys[:-1]]
+    if not len(twice):
+        return twice.astype(np.int64)
+    at = at[twice[np.minimum(np.searchsorted(twice, key), len(twice) - 1)] == key]
+    parts = [row[at], *[number[at + k] for k in range(WINDOW)]]  # what has an equal key is compared in full
+    order = np.lexsort(parts)
+    equal = np.logical_and.reduce([p[order][1:] == p[order][:-1] for p in parts])
+    return np.sort(at[order[np.concatenate([[False], equal]) | np.concatenate([equal, [False]])]])
+
+
+def characters(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The code points of all rows one after another, and each row's number of them."""
+    counts = pc.utf8_length(text).to_numpy(zero_copy_only=False).astype(np.int64)
+    whole = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(text)], pa.int32()), text), "")[0].as_py() if len(text) else ""
+    return np.frombuffer(whole.encode("utf-32-le"), dtype="<u4"), counts
+
+
+def measure(text: pa.Array, min_chars: int = MIN_CHARS) -> dict[str, np.ndarray]:
+    """The features of a batch of texts, their maximal repeats (text, first place, length, times), and which characters lie in repeats."""
     text = pc.fill_null(text, "")
-    words, counts = split_words(text)
-    chars = pc.utf8_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
-    length, window = longest_repeats(coded(words)[0], counts, min_words)
-    n, some = len(chars), np.flatnonzero(length)
+    words, n_words = split_words(text)
+    points, counts = characters(text)
+    n = len(points)
+    is_word = ~np.isin(points, SPACE)
+    held = np.zeros(int(points.max(initial=0)) + 1, dtype=bool)
+    held[points] = True
+    symbols = np.cumsum(held)[points] if n else np.zeros(0, dtype=np.int64)
+    row = np.repeat(np.arange(len(counts)), counts)
+    ends, begins = np.repeat(np.cumsum(counts), counts), np.repeat(np.cumsum(counts) - counts, counts)
+    length = np.zeros(n, dtype=np.int64)
+    order, levels = suffix_array(symbols, row, ends) if n else (np.zeros(0, dtype=np.int64), [])
+    shared = common_prefixes(symbols, order, levels, ends, min_chars)
+    length[order] = np.maximum(shared, np.concatenate([shared[1:], [0]])[:n])
+    first, size, times = maximal_repeats(symbols, order, shared, begins)
+    some = np.flatnonzero(length)
     covered = union(some, length[some], n)
-    twice = np.flatnonzero(window > 1)
+    windows = repeated_windows(coded(words)[0], n_words)
     return {
-        "n_words": counts,
-        "word_chars": by_row(chars, counts),
+        "n_words": n_words,
+        "word_chars": by_row(is_word.astype(np.int64), counts),
         "n_symbols": pc.count_substring_regex(text, f"[{SYMBOLS}]").to_numpy(zero_copy_only=False).astype(np.int64),
         "n_dup_lines": np.array([duplicate_lines(t) for t in text.to_pylist()], dtype=np.int64),
-        "n_repeat_words": by_row(union(twice, np.full(len(twice), WINDOW), n).astype(np.int64), counts),
-        "covered_chars": by_row(chars * covered, counts),
+        "n_repeat_words": by_row(union(windows, np.full(len(windows), WINDOW), len(words)).astype(np.int64), n_words),
+        "covered_chars": by_row((covered & is_word).astype(np.int64), counts),
         "longest_repeat": by_row(length, counts, np.maximum),
+        "n_repeats": np.bincount(row[first], minlength=len(counts)).astype(np.int64),
+        "repeats": (row[first], first - begins[first], size, times),
         "covered": covered,
+        "counts": counts,
     }
 
 
@@ -143,45 +240,59 @@ def verdict(m: dict[str, np.ndarray], max_covered: float = MAX_COVERED, max_long
     return failed, ~failed & (m["covered_chars"] <= max_covered * m["word_chars"]) & (m["longest_repeat"] <= max_longest)
 
 
-COLUMNS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "covered_chars", "longest_repeat")
+COLUMNS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "covered_chars", "longest_repeat", "n_repeats")
+#: Bytes of text that are sorted at once.
+MOST = 1 << 20
 
 
-def apply_rules(docs: DataFrame, min_words: int = MIN_WORDS, max_covered: float = MAX_COVERED, max_longest: int = MAX_LONGEST) -> DataFrame:
+def apply_rules(docs: DataFrame, min_chars: int = MIN_CHARS, max_covered: float = MAX_COVERED, max_longest: int = MAX_LONGEST) -> DataFrame:
     """Every document's features and verdict."""
     schema = pa.schema([(c, pa.int64()) for c in ("doc_id", *COLUMNS)] + [("base_failed", pa.bool_()), ("kept", pa.bool_())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, most=2 << 20):
-            m = measure(batch.column("text"), min_words)
+        for batch in slices(batches, most=MOST):
+            m = measure(batch.column("text"), min_chars)
             failed, kept = verdict(m, max_covered, max_longest)
             yield table(schema, doc_id=batch.column("doc_id"), base_failed=failed, kept=kept, **{c: m[c] for c in COLUMNS})
 
     return id_and_text(docs).mapInArrow(run, ", ".join(f"{c} long" for c in ("doc_id", *COLUMNS)) + ", base_failed boolean, kept boolean")
 
 
-def keep_good(docs: DataFrame, min_words: int = MIN_WORDS, max_covered: float = MAX_COVERED, max_longest: int = MAX_LONGEST) -> DataFrame:
+def keep_good(docs: DataFrame, min_chars: int = MIN_CHARS, max_covered: float = MAX_COVERED, max_longest: int = MAX_LONGEST) -> DataFrame:
     """The rows that the rules keep, with all their columns."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, most=2 << 20):
-            yield batch.filter(pa.array(verdict(measure(batch.column("text"), min_words), max_covered, max_longest)[1]))
+        for batch in slices(batches, most=MOST):
+            yield batch.filter(pa.array(verdict(measure(batch.column("text"), min_chars), max_covered, max_longest)[1]))
 
     return docs.mapInArrow(run, docs.schema)
 
 
-def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """The union of all repeats: doc_id, first_word and n_words of each span that isn't interrupted."""
-    schema = pa.schema([("doc_id", pa.int64()), ("first_word", pa.int64()), ("n_words", pa.int64())])
+def repeats(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
+    """doc_id, first_char (where it first stands), n_chars and times of every maximal repeat."""
+    schema = pa.schema([(c, pa.int64()) for c in ("doc_id", "first_char", "n_chars", "times")])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, most=MOST):
+            row, first, size, times = measure(batch.column("text"), min_chars)["repeats"]
+            yield table(schema, doc_id=batch.column("doc_id").take(pa.array(row)), first_char=first, n_chars=size, times=times)
+
+    return id_and_text(docs).mapInArrow(run, "doc_id long, first_char long, n_chars long, times long")
+
+
+def repeated_spans(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
+    """The union of all repeats: doc_id, first_char and n_chars of each span that isn't interrupted."""
+    schema = pa.schema([(c, pa.int64()) for c in ("doc_id", "first_char", "n_chars")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, most=2 << 20):
-            m = measure(batch.column("text"), min_words)
-            counts, covered = m["n_words"], m["covered"].astype(np.int64)
+        for batch in slices(batches, most=MOST):
+            m = measure(batch.column("text"), min_chars)
+            counts, covered = m["counts"], m["covered"].astype(np.int64)
             row, begin = np.repeat(np.arange(len(counts)), counts), np.repeat(np.cumsum(counts) - counts, counts)
             at = np.arange(len(row))
             opens = (covered == 1) & ((at == begin) | (np.concatenate([[0], covered])[: len(row)] == 0))
             starts = np.flatnonzero(opens)
             sizes = np.bincount(np.cumsum(opens)[covered == 1] - 1, minlength=len(starts))
-            yield table(schema, doc_id=batch.column("doc_id").take(pa.array(row[starts])), first_word=(at - begin)[starts], n_words=sizes)
+            yield table(schema, doc_id=batch.column("doc_id").take(pa.array(row[starts])), first_char=(at - begin)[starts], n_chars=sizes)
 
-    return id_and_text(docs).where(F.col("text") != "").mapInArrow(run, "doc_id long, first_word long, n_words long")
+    return id_and_text(docs).where(F.col("text") != "").mapInArrow(run, "doc_id long, first_char long, n_chars long")
