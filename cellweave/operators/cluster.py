@@ -5,8 +5,8 @@ cluster; other cells within eps of a core cell join the lowest-numbered such clu
 each sample by their first core cell.
 
 Neighbours come from an equi-join on tiles. Where at least min_samples cells lie in a tile of diagonal eps, all of them are core and linked
-through one of them, so neither their neighbours nor the pairs among them are needed; the pairs of cells of different dense
-tiles are only tested for whether any is near.
+through one of them, so neither their neighbours nor the pairs among them are needed. Two dense tiles are linked if any of their cells are near; that is mostly
+told by the boxes about the cells of SPLIT x SPLIT parts of each, and only where it isn't, cells of parts that could be near are compared.
 """
 
 from __future__ import annotations
@@ -20,6 +20,9 @@ from cellweave.operators.graph import components, cut
 from cellweave.operators.spatial_join import tile
 
 
+SPLIT = 4
+
+
 def density_clusters(places: DataFrame, eps: float, min_samples: int) -> DataFrame:
     """sample, cell_idx, cluster (-1: noise), core. places: sample, cell_idx, x, y. Samples with fewer than min_samples cells are left out."""
     enough = places.groupBy("sample").count().where(F.col("count") >= min_samples).select("sample")
@@ -38,7 +41,7 @@ def density_clusters(places: DataFrame, eps: float, min_samples: int) -> DataFra
     from_core = near.join(core.withColumnRenamed("cell_idx", "a"), "a", "left_semi").join(stand_in.withColumnsRenamed({"cell_idx": "b", "node": "to"}), "b")
     links = from_core.select(F.col("a").alias("a"), F.col("to").alias("b"))
     dense = at.where("dense")
-    between = pairs_between(dense, dense, eps, "of_tile").select(F.col("a_tile").alias("a"), F.col("b_tile").alias("b")).where("a < b").distinct()
+    between = near_tiles(dense, eps, side)
     itself = stand_in.select(F.col("node").alias("a"), F.col("node").alias("b"))
     found = components(links.unionAll(between).unionAll(itself).distinct()).withColumnRenamed("id", "node")
     of_core = stand_in.join(found, "node").join(at.select("cell_idx", "sample"), "cell_idx")
@@ -50,15 +53,35 @@ def density_clusters(places: DataFrame, eps: float, min_samples: int) -> DataFra
     return each.select("sample", "cell_idx", F.coalesce("cluster", "near_cluster", F.lit(-1)).cast("int").alias("cluster"), F.col("cluster").isNotNull().alias("core"))
 
 
-def pairs_between(left: DataFrame, right: DataFrame, eps: float, other: str | None = None) -> DataFrame:
-    """a, b within eps, a from the left and b from the right; with `other` also that column of both, and no pairs where it is equal."""
-    extra = [other] if other else []
-    at = lambda df, s: df.select("sample", F.col("cell_idx").alias(s), F.col("x").alias(f"x{s}"), F.col("y").alias(f"y{s}"), tile(F.col("x"), eps).alias("tx"), tile(F.col("y"), eps).alias("ty"), *[F.col(c).alias(f"{s}_tile") for c in extra])
+def near_tiles(dense: DataFrame, eps: float, side: float) -> DataFrame:
+    """a, b: tiles (of_tile) of which some cells are within eps. dense: sample, cell_idx, x, y, of_tile."""
+    part = {"sx": tile(F.col("x"), side), "sy": tile(F.col("y"), side), "ux": tile(F.col("x"), side / SPLIT), "uy": tile(F.col("y"), side / SPLIT)}
+    dense = dense.select("sample", "cell_idx", "x", "y", "of_tile").withColumns(part)
+    ends = {"x0": F.min("x"), "x1": F.max("x"), "y0": F.min("y"), "y1": F.max("y")}
+    boxes = cut(dense.groupBy("sample", "sx", "sy", "ux", "uy", "of_tile").agg(*[v.alias(c) for c, v in ends.items()]))
+    steps = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in range(3) for j in range(-2, 3) if (i, j) > (0, 0)]))
+    here = boxes.withColumn("s", steps).withColumns({"sx": F.col("sx") + F.col("s.i"), "sy": F.col("sy") + F.col("s.j")}).drop("s")
+    both = here.alias("a").join(boxes.alias("b"), [F.col("a.sample") == F.col("b.sample"), F.col("a.sx") == F.col("b.sx"), F.col("a.sy") == F.col("b.sy")])
+    gaps = [F.greatest(F.col(f"a.{c}0") - F.col(f"b.{c}1"), F.col(f"b.{c}0") - F.col(f"a.{c}1"), F.lit(0.0)) for c in "xy"]
+    spans = [F.greatest(F.col(f"a.{c}1") - F.col(f"b.{c}0"), F.col(f"b.{c}1") - F.col(f"a.{c}0")) for c in "xy"]
+    square = lambda v: v[0] * v[0] + v[1] * v[1]
+    pairs = both.select("a.sample", F.col("a.of_tile").alias("a"), F.col("b.of_tile").alias("b"), *[F.col(f"{s}.{u}").alias(f"{s}{u}") for s in "ab" for u in ("ux", "uy")], (square(gaps) <= eps * eps).alias("could"), (square(spans) <= eps * eps).alias("sure"))
+    pairs = cut(pairs.where("could"))
+    told = pairs.groupBy("a", "b").agg(F.bool_or("sure").alias("sure"))
+    open_pairs = pairs.join(told.where("not sure").select("a", "b"), ["a", "b"], "left_semi")
+    cells = lambda s: dense.select("sample", F.col("of_tile").alias(s), F.col("ux").alias(f"{s}ux"), F.col("uy").alias(f"{s}uy"), F.col("x").alias(f"x{s}"), F.col("y").alias(f"y{s}"))
+    met = open_pairs.join(cells("a"), ["sample", "a", "aux", "auy"]).join(cells("b"), ["sample", "b", "bux", "buy"])
+    dx, dy = F.col("xa") - F.col("xb"), F.col("ya") - F.col("yb")
+    return told.where("sure").select("a", "b").unionAll(met.where(dx * dx + dy * dy <= eps * eps).select("a", "b").distinct())
+
+
+def pairs_between(left: DataFrame, right: DataFrame, eps: float) -> DataFrame:
+    """a, b within eps, a from the left and b from the right."""
+    at = lambda df, s: df.select("sample", F.col("cell_idx").alias(s), F.col("x").alias(f"x{s}"), F.col("y").alias(f"y{s}"), tile(F.col("x"), eps).alias("tx"), tile(F.col("y"), eps).alias("ty"))
     steps = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)]))
     a = at(left, "a").withColumn("s", steps).withColumns({"tx": F.col("tx") + F.col("s.i"), "ty": F.col("ty") + F.col("s.j")}).drop("s")
     dx, dy = F.col("xa") - F.col("xb"), F.col("ya") - F.col("yb")
-    met = a.join(at(right, "b"), ["sample", "tx", "ty"]).where(dx * dx + dy * dy <= eps * eps)
-    return met.where("a_tile != b_tile").select("a", "b", "a_tile", "b_tile") if other else met.select("a", "b")
+    return a.join(at(right, "b"), ["sample", "tx", "ty"]).where(dx * dx + dy * dy <= eps * eps).select("a", "b")
 
 
 def summary(labelled: DataFrame, places: DataFrame) -> DataFrame:
@@ -67,6 +90,11 @@ def summary(labelled: DataFrame, places: DataFrame) -> DataFrame:
     return each.groupBy("sample", "cluster").agg(F.count("*").alias("n"), F.avg("x").alias("cx"), F.avg("y").alias("cy"))
 
 
+def cluster_names(members: DataFrame) -> DataFrame:
+    """region, n of clusters (region, cell_idx) in ascending order of their names."""
+    return members.groupBy("region").agg(F.count("*").alias("n")).orderBy("region")
+
+
 def named_members(labelled: DataFrame, category: str, needed: bool = True) -> DataFrame:
     """region, cell_idx: clusters as regions named sample_cluster_category; ValueError if there is none but one is needed."""
     found = labelled.where("cluster >= 0").select(F.concat_ws("_", "sample", "cluster", F.lit(category)).alias("region"), "cell_idx")

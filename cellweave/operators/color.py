@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellweave.functions.values import clean_expression, code_between, code_of_expression, number
+from cellweave.operators.graph import cut
 
 EPSILON = 1e-9
 
@@ -19,12 +20,21 @@ def numeric_codes(cells: DataFrame, column: str) -> DataFrame:
     return values.crossJoin(F.broadcast(ends)).select("cell_idx", code_between(F.col("v"), F.col("low"), F.col("high")).alias("code"))
 
 
+def numbered(df: DataFrame, by: str) -> DataFrame:
+    """df with the column number, from 1 in the order of `by` (each value once). Ranges of values are numbered on their own, after the sizes of those before; no task orders all."""
+    ranged = cut(df.repartitionByRange(by).withColumn("part", F.spark_partition_id()))
+    sizes = ranged.groupBy("part").agg(F.count("*").alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # one row a part
+    inside = F.row_number().over(Window.partitionBy("part").orderBy(by))
+    return ranged.join(F.broadcast(sizes.select("part", before.alias("before"))), "part").withColumn("number", inside + F.col("before")).drop("part", "before")
+
+
 def dictionary(cells: DataFrame, column: str, categories: list[str] | None = None) -> DataFrame:
     """category, code from 1: in the given order, or in the order of first appearance by cell_idx."""
     if categories is not None:
         return cells.sparkSession.createDataFrame([(c, i + 1) for i, c in enumerate(categories)], "category string, code int")
     first = cells.where(F.col(column).isNotNull()).groupBy(F.col(column).cast("string").alias("category")).agg(F.min("cell_idx").alias("first"))
-    return first.select("category", F.row_number().over(Window.orderBy("first")).alias("code"))
+    return numbered(first, "first").select("category", F.col("number").cast("int").alias("code"))
 
 
 def category_codes(cells: DataFrame, column: str, categories: list[str] | None = None, code_base: int = 1) -> DataFrame:
@@ -61,15 +71,16 @@ def known_genes(genes: DataFrame, wanted: list[str]) -> DataFrame:
     return asked.join(genes.select("gene", F.lit(True).alias("known")).distinct(), "gene", "left").select("gene", F.coalesce("known", F.lit(False)).alias("known"))
 
 
-def group_codes(cells: DataFrame, expression: DataFrame, genes: list[str]) -> DataFrame:
+def group_codes(cells: DataFrame, expression: DataFrame, wanted: list[str], genes: DataFrame) -> DataFrame:
     """cell_idx, v, code by the geometric mean of some genes, each raised by EPSILON; a cell with none of them has 0.
 
-    Zeros aren't stored, so a cell's missing genes add log(EPSILON) each. Genes that no cell has are left out; ValueError if none remains.
+    Zeros aren't stored, so a cell's missing genes add log(EPSILON) each, those that no cell has too. What isn't in `genes` is left out; ValueError if none remains.
     """
-    some = expression.where(F.col("gene").isin(genes)).select("cell_idx", "gene", clean_expression(F.col("value")).cast("double").alias("v"))
-    n = some.select("gene").distinct().count()  # at most the genes asked for
+    there = [r.gene for r in known_genes(genes, wanted).where("known").collect()]  # at most the genes asked for
+    n = len(there)
     if not n:
-        raise ValueError(f"none of {', '.join(genes)} is there")
+        raise ValueError(f"none of {', '.join(wanted)} is there")
+    some = expression.where(F.col("gene").isin(there)).select("cell_idx", "gene", clean_expression(F.col("value")).cast("double").alias("v"))
     sums = some.where("v > 0").groupBy("cell_idx").agg(F.sum(F.log(F.col("v") + EPSILON)).alias("logs"), F.count("*").alias("n"))
     mean = F.exp((F.col("logs") + (n - F.col("n")) * F.lit(math.log(EPSILON))) / n) - EPSILON
     found = sums.select("cell_idx", F.greatest(mean, F.lit(0.0)).alias("v"))

@@ -1,31 +1,51 @@
-"""Connected components, and tables cut off from what made them."""
+"""Connected components, and joins whose hot keys don't meet in one task."""
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cellweave.sources.scratch import written
+
+#: A key with over 1 / HOT of a table's rows is hot; there are fewer than HOT of them.
+HOT = 1000
+
 
 def cut(df: DataFrame) -> DataFrame:
-    """df, written to the checkpoint folder; one is set only where the session names none."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="cellweave-"))
-    return df.checkpoint()
+    """df without its past."""
+    return written(df, "cut")
+
+
+def even_join(left: DataFrame, right: DataFrame, keys: str | list[str], total: int) -> DataFrame:
+    """left joined with right, which holds each key once and in n how many of left's `total` rows have it; n is dropped.
+
+    Hot keys are fewer than HOT whatever the size, so their rows of right are broadcast and left's stay where they are; no task gathers them.
+    """
+    keys = [keys] if isinstance(keys, str) else keys
+    is_hot = F.col("n") * HOT > total
+    hot = right.where(is_hot).drop("n")
+    rest = left.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(right.where(~is_hot).drop("n"), keys)
+    return left.join(F.broadcast(hot), keys).unionByName(rest)
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """id, component (the smallest id reachable) of all ids in the edges (a, b): hook to the smallest neighbour's label, then shortcut, until nothing changes."""
-    pairs = cut(edges.select("a", "b").unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    labels = cut(pairs.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("label")).select(F.col("a").alias("id"), "label"))
+    """id, component (the smallest id reachable) of all ids in the edges (a, b), by alternating large-star and small-star rounds."""
+    given = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    edges = given = written(given, "edges")
+    edges = edges.where("a != b")
     while True:
-        near = pairs.join(labels.withColumnRenamed("id", "b"), "b").groupBy("a").agg(F.min("label").alias("near"))
-        hooked = cut(labels.join(near, labels.id == near.a).select("id", F.col("label").alias("was"), F.least("label", "near").alias("label")))
-        # a label's own label is as small or smaller
-        above = hooked.select(F.col("id").alias("label"), F.col("label").alias("above"))
-        labels_next = cut(hooked.join(above, "label", "left").select("id", "was", F.least("label", F.coalesce("above", "label")).alias("label")))
-        if labels_next.where("label != was").isEmpty():
-            return labels_next.select("id", F.col("label").alias("component"))
-        labels = labels_next.select("id", "label")
+        size = edges.count()
+        both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        least = both.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")).select("a", F.least("a", "m").alias("m"), "n")
+        large = even_join(both.where("b > a"), least, "a", 2 * size).select(F.col("b").alias("a"), F.col("m").alias("b"))
+        large = written(large.unionAll(least.where("m < a").select("a", F.col("m").alias("b"))).distinct(), "large-star")
+        least = large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
+        small = even_join(large, least, "a", 2 * size)
+        small = small.select("a", F.col("m").alias("b")).unionAll(small.where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b")))
+        edges = written(small.distinct(), "small-star")
+        # stars: each id has one edge down, to an id that has none
+        ends = edges.select("a", F.lit(0).alias("up"), F.lit(1).alias("down")).unionAll(edges.select("b", F.lit(1), F.lit(0)))
+        if ends.groupBy("a").agg(F.max("up").alias("up"), F.sum("down").alias("down")).where("down + up > 1").isEmpty():
+            break
+    ids = given.select("a").unionAll(given.select("b")).distinct().withColumnRenamed("a", "id")
+    return ids.join(edges.select(F.col("a").alias("id"), F.col("b").alias("component")), "id", "left").select("id", F.coalesce("component", "id").alias("component"))

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cellweave.functions.values import unassigned
+from cellweave.operators.graph import cut
 from cellweave.operators.page import bounds
 from cellweave.operators.samples import first_value, sample_attribute, sample_stats, upper_median
 
 GRID_GAP, GRID_GROUP_GAP = 0.3, 1.5
 SQUARE_GAP, SQUARE_GROUP_GAP = 0.25, 1.2
+#: Names under which samples are usually kept (fixed values).
+SAMPLE_COLUMNS = ("sample_id", "sample", "Sample", "SampleID", "sample_name", "core_id")
 
 
 def slots(samples: DataFrame, order: list[Column]) -> DataFrame:
@@ -114,8 +117,33 @@ def move_cells(cells: DataFrame, places: DataFrame, targets: DataFrame, sample:
     return each.select("cell_idx", *[(F.col(c) + F.coalesce(F.col(f"d{c}"), F.lit(0.0))).alias(c) for c in ("x", "y")])
 
 
-def rebuild(cells: DataFrame, places: DataFrame, targets: DataFrame, sample: str = "sample") -> DataFrame:
+def sample_column(cells: DataFrame, sample: str | None) -> str:
+    """The sample column, or one of the usual names where it isn't there; ValueError if none is."""
+    for name in (sample, *SAMPLE_COLUMNS):
+        if name and name in cells.columns:
+            return name
+    raise ValueError(f"no sample column {sample!r}; there are {', '.join(cells.columns[:15])}")
+
+
+def targets_of(spark: SparkSession, centroids: list[tuple[float, float]], names: list[str]) -> DataFrame:
+    """sample, target_x, target_y from two lists of one length."""
+    if len(centroids) != len(names):
+        raise ValueError(f"{len(centroids)} centroids for {len(names)} samples")
+    return spark.createDataFrame([(n, float(x), float(y)) for n, (x, y) in zip(names, centroids, strict=True)], "sample string, target_x double, target_y double")
+
+
+def grid_parts(cells: DataFrame, places: DataFrame, sample: str = "sample", **parameters) -> dict[str, DataFrame]:
+    """A group grid whole: targets, moved (cell_idx, x, y), labels (sample, x, y), groups (grp, samples) and bounds of what moved."""
+    targets = cut(group_grid(cells, places, sample, **parameters))
+    moved = move_cells(cells, places, targets, sample)
+    found = targets.select("sample", F.col("target_x").alias("x"), F.col("target_y").alias("y"))
+    groups = targets.groupBy("grp").agg(F.transform(F.array_sort(F.collect_list(F.struct("slot", "sample"))), lambda s: s.sample).alias("samples"))  # samples are few
+    return {"targets": targets, "moved": moved, "labels": found, "groups": groups, "bounds": bounds(moved.select(F.lit("layout").alias("key"), "x", "y")).drop("key")}
+
+
+def rebuild(cells: DataFrame, places: DataFrame, targets: DataFrame, sample: str | None = "sample") -> DataFrame:
     """cell_idx, x, y from stored targets (sample, target_x, target_y) alone."""
+    sample = sample_column(cells, sample)
     stats = sample_stats(cells, places, sample).select("sample", "cx", "cy")
     return move_cells(cells, places, targets.join(stats, "sample"), sample)
 

@@ -1,23 +1,36 @@
 """Outlines of groups of cells: alpha shapes and convex hulls.
 
 With R = 1 / alpha, a pair of points is a boundary edge of the alpha shape if it is closer than 2R and exactly one of the two discs of
-radius R through both holds no other point. That is a spatial join of pairs, then an anti-join of discs; only boundary edges
-and hull points reach Python, where a group's edges are put in order.
+radius R through both holds no other point. The centres of discs of radius R through a point lie on a circle about it, where each other point b closer than
+2R keeps an arc from being empty; an empty disc through both is an end of b's arc that no other arc covers.
+
+1. Points with few others all around them, one from each small tile nearby, are surrounded: their arcs cover all SECTORS of the circle. Those points are on no edge; the
+   work for each is bounded, however dense the cells.
+2. For the rest, arcs that only cover what is covered already are left out, and ends covered by another arc are found by a running maximum.
+3. The discs that remain, a few for each boundary point, are tested exactly against the points in them.
+
+Only boundary edges and hull points reach Python, where a group's edges are put in order.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cellweave.operators.spatial_join import neighbours, tile
+from cellweave.functions.geometry import in_ring
+from cellweave.operators.graph import cut
+from cellweave.operators.regions import centroids, spread_members
+from cellweave.operators.spatial_join import captures, neighbours, tile
 
 LEAST_POINTS = 3
 TOLERANCE = 1e-9
+#: Ends of arcs that another one covers by less than SLACK radians are tested exactly.
+SECTORS, SLACK, TURN = 64, 1e-6, 2 * math.pi
 
 
 def alpha_edges(places: DataFrame, alpha: float) -> DataFrame:
@@ -26,12 +39,11 @@ def alpha_edges(places: DataFrame, alpha: float) -> DataFrame:
         raise ValueError("alpha must be above 0; use hull for 0")
     radius = 1 / alpha
     one = places.groupBy("region", "x", "y").agg(F.min("cell_idx").alias("cell_idx"))
-    pairs = neighbours(one, 2 * radius, ["region"]).where("a < b")
+    one = cut(one)
+    discs = cut(open_ends(one, cut(not_surrounded(one, radius)), radius))
     dx, dy = F.col("xb") - F.col("xa"), F.col("yb") - F.col("ya")
     squared = dx * dx + dy * dy
-    rise = F.sqrt(F.greatest(F.lit(radius * radius) - squared / 4, F.lit(0.0)) / squared)
-    pairs = pairs.where(squared < 4 * radius * radius).withColumn("rise", rise)
-    discs = pairs.select("region", "a", "b", F.explode(F.array(F.lit(1), F.lit(-1))).alias("side"), "xa", "ya", "xb", "yb", "rise")
+    discs = discs.where(squared < 4 * radius * radius).withColumn("rise", F.sqrt(F.greatest(F.lit(radius * radius) - squared / 4, F.lit(0.0)) / squared))
     cx = (F.col("xa") + F.col("xb")) / 2 - F.col("side") * F.col("rise") * dy
     cy = (F.col("ya") + F.col("yb")) / 2 + F.col("side") * F.col("rise") * dx
     discs = discs.select("region", "a", "b", "side", cx.alias("cx"), cy.alias("cy"))
@@ -45,6 +57,58 @@ def alpha_edges(places: DataFrame, alpha: float) -> DataFrame:
     return empty.groupBy("region", "a", "b").count().where("count = 1").select("region", "a", "b")
 
 
+def arc(dx: Column, dy: Column, radius: float) -> tuple[Column, Column]:
+    """The middle and half the width of the arc that a point at this distance keeps from being empty."""
+    near = F.least(F.sqrt(dx * dx + dy * dy) / (2 * radius), F.lit(1.0))
+    return F.atan2(dy, dx), F.acos(near)
+
+
+def sectors(low: Column, high: Column, touched: bool = False) -> Column:
+    """The sectors that lie between two angles, or those that are touched, as bits."""
+    low, high = low / (TURN / SECTORS), high / (TURN / SECTORS)
+    first, last = (F.floor(low), F.ceil(high)) if touched else (F.ceil(low), F.floor(high))
+    ones = F.call_function("shiftleft", F.lit(1).cast("long"), F.greatest(last - first, F.lit(0)).cast("int")) - 1
+    start = F.pmod(first, F.lit(SECTORS)).cast("int")
+    return F.call_function("shiftleft", ones, start).bitwiseOR(F.call_function("shiftrightunsigned", ones, (SECTORS - start).cast("int")))
+
+
+def not_surrounded(one: DataFrame, radius: float) -> DataFrame:
+    """region, cell_idx, x, y and covered (sectors, as bits) of the points whose circle isn't covered by the arcs of one point from each tile nearby."""
+    side = radius / 2
+    at = one.select("region", "cell_idx", "x", "y", tile(F.col("x"), side).alias("tx"), tile(F.col("y"), side).alias("ty"))
+    steps = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in range(-2, 3) for j in range(-2, 3)])
+    few = at.groupBy("region", "tx", "ty").agg(F.min_by(F.struct("x", "y"), "cell_idx").alias("p")).withColumn("s", F.explode(steps))
+    few = few.groupBy("region", (F.col("tx") + F.col("s.i")).alias("tx"), (F.col("ty") + F.col("s.j")).alias("ty")).agg(F.collect_list("p").alias("near"))  # 25 at most
+
+    def covers(p: Column) -> Column:
+        dx, dy = p.x - F.col("x"), p.y - F.col("y")
+        middle, half = arc(dx, dy, radius)
+        counts = ((dx != 0) | (dy != 0)) & (half > SLACK)
+        return F.when(counts, sectors(middle - half + SLACK, middle + half - SLACK)).otherwise(F.lit(0).cast("long"))
+
+    covered = F.aggregate("near", F.lit(0).cast("long"), lambda bits, p: bits.bitwiseOR(covers(p)))
+    return at.join(few, ["region", "tx", "ty"]).select("region", "cell_idx", "x", "y", covered.alias("covered")).where("covered != -1")
+
+
+def open_ends(one: DataFrame, some: DataFrame, radius: float) -> DataFrame:
+    """region, a, b (a < b), side (1: left of a to b) and both places of the discs that may be empty: ends of arcs that no other arc of the same point covers."""
+    ends = neighbours(one, 2 * radius, ["region"], some.drop("covered")).where("a != b")
+    middle, half = arc(F.col("xb") - F.col("xa"), F.col("yb") - F.col("ya"), radius)
+    arcs = ends.withColumns({"middle": middle, "half": half}).join(some.select("region", F.col("cell_idx").alias("a"), "covered"), ["region", "a"])
+    free = sectors(F.col("middle") - F.col("half"), F.col("middle") + F.col("half"), touched=True).bitwiseAND(F.bitwise_not("covered"))
+    low = F.pmod(F.col("middle") - F.col("half"), F.lit(TURN))
+    twice = F.explode(F.array(F.lit(0), F.lit(1))).alias("turn")  # so that what begins before angle 0 covers what comes after it
+    arcs = arcs.where(free != 0).select("region", "a", "b", "xa", "ya", "xb", "yb", low.alias("low"), (low + F.col("half") * 2).alias("high"), twice)
+    arcs = arcs.withColumns({c: F.col(c) + F.col("turn") * TURN for c in ("low", "high")})
+    before = F.expr(f"max(high) OVER (PARTITION BY region, a ORDER BY low RANGE BETWEEN UNBOUNDED PRECEDING AND {SLACK!r}D PRECEDING)")
+    found = arcs.withColumn("before", before).where((F.col("turn") == 1) & (F.col("before").isNull() | (F.col("before") <= F.col("low") + SLACK)))
+    found = found.join(some.select("region", F.col("cell_idx").alias("b")), ["region", "b"], "left_semi")
+    # the low end lies right of a to b
+    up = F.col("a") < F.col("b")
+    pick = lambda x, y, name: F.when(up, F.col(x)).otherwise(F.col(y)).alias(name)
+    return found.select("region", pick("a", "b", "a"), pick("b", "a", "b"), F.when(up, -1).otherwise(1).alias("side"), pick("xa", "xb", "xa"), pick("ya", "yb", "ya"), pick("xb", "xa", "xb"), pick("yb", "ya", "yb"))
+
+
 def rings(edges: DataFrame, places: DataFrame, exterior_only: bool = False) -> DataFrame:
     """region, ring_no, ring from boundary edges, the ring with the largest area first. A vertex where rings touch is gone through by each of them."""
     a, b = (places.select("region", F.col("cell_idx").alias(s), F.col("x").alias(f"x{s}"), F.col("y").alias(f"y{s}")) for s in "ab")
@@ -57,20 +121,24 @@ def rings(edges: DataFrame, places: DataFrame, exterior_only: bool = False) -> D
             near.setdefault(r.a, set()).add(r.b)
             near.setdefault(r.b, set()).add(r.a)
         found = []
-        while near:
-            way = [min(near)]
-            while near.get(way[-1]):
-                there = min(near[way[-1]])
-                for p, q in ((way[-1], there), (there, way[-1])):
-                    near[p].discard(q)
-                    if not near[p]:
-                        del near[p]
-                if there in way:  # a loop closes here; what led to it goes on
-                    k = way.index(there)
-                    found.append([at[p] for p in way[k:]])
-                    way = way[: k + 1]
-                else:
-                    way.append(there)
+        for begin in sorted(near):
+            while begin in near:
+                way, place = [begin], {begin: 0}
+                while near.get(way[-1]):
+                    there = min(near[way[-1]])
+                    for p, q in ((way[-1], there), (there, way[-1])):
+                        near[p].discard(q)
+                        if not near[p]:
+                            del near[p]
+                    if there in place:  # a loop closes here; what led to it goes on
+                        k = place[there]
+                        found.append([at[p] for p in way[k:]])
+                        for p in way[k + 1 :]:
+                            del place[p]
+                        way = way[: k + 1]
+                    else:
+                        place[there] = len(way)
+                        way.append(there)
         found = [r for r in found if len(r) >= LEAST_POINTS]
         found.sort(key=lambda r: -abs(area(r)))
         return pd.DataFrame({"region": held.region.iloc[0], "ring_no": range(len(found)), "ring": [[{"x": x, "y": y} for x, y in r] for r in found]})
@@ -78,12 +146,18 @@ def rings(edges: DataFrame, places: DataFrame, exterior_only: bool = False) -> D
     found = full.groupBy("region").applyInPandas(stitch, "region string, ring_no int, ring array<struct<x:double,y:double>>")
     if not exterior_only:
         return found
-    # a ring inside another one is a hole
-    from cellweave.functions.geometry import in_ring
+    found = cut(found)
+    holes = nesting(found).where("depth % 2 = 1").select("region", "ring_no")
+    return found.join(holes, ["region", "ring_no"], "left_anti")
+
 
-    v = F.element_at("r.ring", 1)
-    outer = found.alias("r").join(found.alias("o"), (F.col("r.region") == F.col("o.region")) & (F.col("r.ring_no") != F.col("o.ring_no")) & in_ring(v.x, v.y, F.col("o.ring")))
-    return found.join(outer.select(F.col("r.region").alias("region"), F.col("r.ring_no").alias("ring_no")), ["region", "ring_no"], "left_anti")
+def nesting(found: DataFrame) -> DataFrame:
+    """region, ring_no, depth: in how many other rings of its region a ring lies; at odd depths it is a hole. Rings don't cross, so an edge of it tells."""
+    v, w = F.element_at("ring", 1), F.element_at("ring", 2)
+    tips = found.select(F.struct("region", "ring_no").alias("cell_idx"), ((v.x + w.x) / 2).alias("x"), ((v.y + w.y) / 2).alias("y"))
+    inside = captures(tips, found, ["region", "ring_no"]).where((F.col("cell_idx.region") == F.col("region")) & (F.col("cell_idx.ring_no") != F.col("ring_no")))
+    depth = inside.groupBy(F.col("cell_idx.region").alias("region"), F.col("cell_idx.ring_no").alias("ring_no")).agg(F.count("*").alias("depth"))
+    return found.select("region", "ring_no").join(depth, ["region", "ring_no"], "left").select("region", "ring_no", F.coalesce("depth", F.lit(0)).alias("depth"))
 
 
 def area(ring: list[tuple[float, float]]) -> float:
@@ -134,9 +208,10 @@ def hull(places: DataFrame, salts: int = 32) -> DataFrame:
     return dealt.mapInPandas(parts, schema).groupBy("region").applyInPandas(corners, schema)
 
 
-def outlines(members: DataFrame, places: DataFrame, alpha: float, exterior_only: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Rings of each region, and failures: region, reason. members: region, cell_idx; alpha 0 gives hulls."""
-    each = members.join(places, "cell_idx")
+def outlines(members: DataFrame, places: DataFrame, alpha: float, exterior_only: bool = False, wanted: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Rings of each region, and failures: region, reason. members: region, cell_idx; alpha 0 gives hulls. With `wanted` (region) of these names, whether they have members or not."""
+    names = members.select("region").distinct() if wanted is None else wanted.select("region").distinct()
+    each = members.join(names, "region", "left_semi").join(places, "cell_idx")
     counts = each.groupBy("region").agg(F.count("*").alias("n"))
     good = each.join(counts.where(F.col("n") >= LEAST_POINTS).select("region"), "region", "left_semi")
     if alpha > 0:
@@ -144,6 +219,24 @@ def outlines(members: DataFrame, places: DataFrame, alpha: float, exterior_only:
     else:
         ordered = hull(good).groupBy("region").agg(F.array_sort(F.collect_list(F.struct("position", "x", "y"))).alias("c"))
         found = ordered.select("region", F.lit(0).alias("ring_no"), F.transform("c", lambda p: F.struct(p.x.alias("x"), p.y.alias("y"))).alias("ring"))
-    few = members.select("region").distinct().join(counts, "region", "left").where(F.coalesce("n", F.lit(0)) < LEAST_POINTS).select("region", F.lit("fewer than 3 cells").alias("reason"))
-    none = good.select("region").distinct().join(found.select("region").distinct(), "region", "left_anti").select("region", F.lit("no outline").alias("reason"))
-    return found, few.unionAll(none)
+    found = cut(found)
+    held = names.join(members.select("region").distinct().withColumn("held", F.lit(True)), "region", "left").join(counts, "region", "left").join(found.select("region").distinct().withColumn("done", F.lit(True)), "region", "left")
+    reason = F.when(F.col("held").isNull(), "no members").when(F.coalesce("n", F.lit(0)) < LEAST_POINTS, "fewer than 3 cells").when(F.col("done").isNull(), "no outline")
+    return found, held.select("region", reason.alias("reason")).where("reason is not null")
+
+
+def outlined_regions(members: DataFrame, places: DataFrame, alpha: float, most: int, wanted: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Outlines of clusters as a viewer takes them: region_rings, region_cells (every k-th member, `most` at most), regions (region, centroid_x, centroid_y and n over these) and failures; ValueError if all fail."""
+    found, failed = outlines(members, places, alpha, wanted=wanted)
+    if found.isEmpty():
+        raise ValueError("no region has an outline")
+    kept = spread_members(members.join(found.select("region").distinct(), "region", "left_semi"), most)
+    middle = centroids(kept, places).select("region", F.col("x").alias("centroid_x"), F.col("y").alias("centroid_y"), "n")
+    return {"region_rings": found, "region_cells": kept, "regions": middle, "failures": failed}
+
+
+def recomputed(members: DataFrame, places: DataFrame, alpha: float) -> tuple[DataFrame, DataFrame]:
+    """Exterior rings of regions in another embedding, with centroid_x and centroid_y over all members; and failures."""
+    found, failed = outlines(members, places, alpha, exterior_only=True)
+    middle = centroids(members, places).select("region", F.col("x").alias("centroid_x"), F.col("y").alias("centroid_y"))
+    return found.join(middle, "region"), failed

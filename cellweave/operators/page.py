@@ -54,23 +54,39 @@ def with_coordinates(cells: DataFrame, coords: DataFrame, keys: list[str]) -> Da
     return cells.join(wide, "cell_idx", "left")
 
 
-def page(cells: DataFrame, coords: DataFrame, keys: list[str], expression: DataFrame | None = None, gene: str | None = None) -> DataFrame:
-    """Some cells with their coordinates in all embeddings, and the value of a gene (0 where none is stored)."""
+def page(cells: DataFrame, coords: DataFrame, keys: list[str], expression: DataFrame | None = None, gene: str | None = None, codes: DataFrame | None = None, heights: DataFrame | None = None) -> DataFrame:
+    """Some cells with their coordinates in all embeddings, the value of a gene (0 where none is stored), the code of an attribute (cell_idx, code: 0 where none) and heights (key, cell_idx, z) as <key>_z."""
     found = with_coordinates(cells, coords, keys)
     if gene:
         found = found.join(expression_of(cells, expression, gene).withColumnRenamed("v", "expression"), "cell_idx", "left")
+    if codes is not None:
+        found = found.join(codes.select("cell_idx", "code"), "cell_idx", "left").withColumn("code", F.coalesce("code", F.lit(0)))
+    if heights is not None:
+        cols = [F.first(F.when(F.col("key") == k, F.col("z")), ignorenulls=True).alias(f"{k}_z") for k in keys]
+        found = found.join(heights.where(F.col("key").isin(keys)).groupBy("cell_idx").agg(*cols), "cell_idx", "left")
     return found
 
 
-def chunk_page(cells: DataFrame, coords: DataFrame, keys: list[str], chunk: int, expression: DataFrame | None = None, gene: str | None = None) -> DataFrame:
-    """One chunk as a page."""
+def heights(coords: DataFrame) -> DataFrame:
+    """key, cell_idx, z from -1 to 1 over all cells of each embedding that has a third dimension; 0 if all are equal."""
+    some = coords.where(F.col("z").isNotNull()).select("key", "cell_idx", F.col("z").cast("double").alias("z"))
+    ends = some.groupBy("key").agg(F.min("z").alias("low"), F.max("z").alias("high"))
+    z = F.when(F.col("high") > F.col("low"), (F.col("z") - F.col("low")) / (F.col("high") - F.col("low")) * 2 - 1).otherwise(0.0)
+    return some.join(F.broadcast(ends), "key").select("key", "cell_idx", z.alias("z"))  # a row for each embedding
+
+
+def chunk_page(cells: DataFrame, coords: DataFrame, keys: list[str], chunk: int, expression: DataFrame | None = None, gene: str | None = None, codes: DataFrame | None = None, heights: DataFrame | None = None) -> DataFrame:
+    """One chunk as a page; ValueError if there are no chunks or no cells in it."""
     if "chunk" not in cells.columns:
         raise ValueError("the cells have no chunks")
-    return page(cells.where(F.col("chunk") == chunk), coords, keys, expression, gene)
+    some = cells.where(F.col("chunk") == chunk)
+    if some.isEmpty():
+        raise ValueError(f"no cells in chunk {chunk}")
+    return page(some, coords, keys, expression, gene, codes, heights)
 
 
-def viewport_page(cells: DataFrame, coords: DataFrame, key: str, box: tuple[float, float, float, float], keys: list[str], most: int = 30_000, seed: object = 42) -> DataFrame:
-    """What a viewport shows beside chunk 0, as a page."""
+def viewport_page(cells: DataFrame, coords: DataFrame, key: str, box: tuple[float, float, float, float], keys: list[str], most: int = 30_000, seed: object = 42, expression: DataFrame | None = None, gene: str | None = None, codes: DataFrame | None = None) -> DataFrame:
+    """What a viewport shows beside chunk 0, as a page; no rows where it shows nothing."""
     rest = cells.where(F.col("chunk") != 0) if "chunk" in cells.columns else cells
     seen = viewport(points(coords, key), box).select("cell_idx", "d").join(rest, "cell_idx")
-    return page(viewport_sample(seen, (box[1] - box[0]) / 2, most, seed).drop("d"), coords, keys)
+    return page(viewport_sample(seen, (box[1] - box[0]) / 2, most, seed).drop("d"), coords, keys, expression, gene, codes)

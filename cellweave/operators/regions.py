@@ -8,9 +8,12 @@ from pyspark.sql import functions as F
 from cellweave.functions.geometry import in_ellipse, in_rectangle, in_ring, moved, ring_of
 from cellweave.operators.spatial_join import captures
 from cellweave.sources.cells import points
+from cellweave.sources.sinks import attribute_column
 
 TOOLS = {"lasso", "polygon", "manual", "rectangle", "circle"}
 CANVAS_MEMBERS, VOTE_MEMBERS, NO_TOOL = 2000, 500, "polygon"
+#: Numbers of cells that one block of steps spans; places compared to tell embeddings apart, and how near they must be.
+BLOCK, FIRST_PLACES, SAME_PLACE = 1 << 20, 50, 1e-3
 
 
 def shape(x: Column, y: Column, tool: str, path: list[tuple[float, float]], rotation: float = 0.0) -> Column:
@@ -127,17 +130,34 @@ def rename(tables: dict[str, DataFrame], old: str, new: str) -> dict[str, DataFr
 
 def decode_deltas(lists: DataFrame, key: str, text: str) -> DataFrame:
     """key, position, cell_idx of lists such as '5,3,4,8': the first number, then steps. Blank lists hold nothing."""
-    numbers = F.transform(F.filter(F.split(text, ","), lambda x: F.trim(x) != ""), lambda x: F.trim(x).cast("bigint"))
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<bigint>").alias("all"))
-    sums = F.aggregate(numbers, start, lambda a, x: F.struct((a.at + x).alias("at"), F.concat(a["all"], F.array(a.at + x)).alias("all")), lambda a: a["all"])
-    return lists.select(key, F.posexplode(sums).alias("position", "cell_idx"))
+    number = F.trim("step")
+    steps = lists.select(key, F.posexplode(F.filter(F.split(text, ","), lambda x: F.trim(x) != "")).alias("position", "step"))
+    return decode_blocks(steps.select(key, F.lit(0).cast("long").alias("block"), "position", number.cast("bigint").alias("step")), key)
 
 
-def encode_deltas(members: DataFrame) -> DataFrame:
-    """region, deltas: the opposite, for the cells of each region in ascending order."""
-    ordered = members.groupBy("region").agg(F.array_sort(F.collect_set("cell_idx")).alias("cells"))
-    steps = F.transform(F.col("cells"), lambda x, i: F.when(i == 0, x).otherwise(x - F.get(F.col("cells"), i - 1)).cast("string"))
-    return ordered.select("region", F.array_join(steps, ",").alias("deltas"))
+def decode_blocks(steps: DataFrame, key: str) -> DataFrame:
+    """key, position, cell_idx: running sums of steps (key, block, position, step), from each block's first one on."""
+    sums = F.sum("step").over(Window.partitionBy(key, "block").orderBy("position"))
+    return steps.select(key, "position", sums.alias("cell_idx"))
+
+
+def encode_blocks(members: DataFrame, size: int = BLOCK) -> DataFrame:
+    """region, block, position (in the region), step of the cells of each region in ascending order: a block's first step is the cell itself.
+
+    A block holds the region's cells of one range of `size` cell numbers, so no task has a whole region, however large it is.
+    """
+    one = members.select("region", "cell_idx").distinct().withColumn("block", F.floor(F.col("cell_idx") / size))
+    inside = Window.partitionBy("region", "block").orderBy("cell_idx")
+    each = one.withColumns({"place": F.row_number().over(inside) - 1, "step": F.col("cell_idx") - F.coalesce(F.lag("cell_idx").over(inside), F.lit(0))})
+    counts = one.groupBy("region", "block").agg(F.count("*").alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("region").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # a row for each block
+    return each.join(counts.select("region", "block", before.alias("before")), ["region", "block"]).select("region", "block", (F.col("before") + F.col("place")).cast("int").alias("position"), "step")
+
+
+def delta_text(steps: DataFrame) -> DataFrame:
+    """region, block, deltas: the steps of each block as text, '5,3,4,8'; for one block a region, what decode_deltas takes."""
+    listed = F.array_sort(F.collect_list(F.struct("position", "step")))  # at most as many as a block's numbers
+    return steps.groupBy("region", "block").agg(F.array_join(F.transform(listed, lambda x: x.step.cast("string")), ",").alias("deltas"))
 
 
 def upsert(stored: DataFrame, new: DataFrame) -> DataFrame:
@@ -145,8 +165,22 @@ def upsert(stored: DataFrame, new: DataFrame) -> DataFrame:
     return stored.join(new.select("region").distinct(), "region", "left_anti").unionByName(new.select("region", "cell_idx"))
 
 
-def masks(rings: DataFrame, members: DataFrame, places: DataFrame, groups: DataFrame, embedding: str, tools: DataFrame | None = None) -> dict[str, DataFrame]:
-    """The tables of a mask set. groups: grp, ordinal, region, expanded, visible; tools: region, tool ('manual' is kept as NO_TOOL)."""
+def save_group(cells: DataFrame, places: DataFrame, rings: DataFrame, order: DataFrame, name: str, fallbacks: list[DataFrame]) -> DataFrame:
+    """cells with the attribute `name`: the last region of the order (region, ordinal) that holds a cell. Regions that capture none take the first of the fallbacks (region, cell_idx) that knows them."""
+    if order.isEmpty():
+        raise ValueError("a region group needs regions")
+    wanted = lambda df: df.join(F.broadcast(order.select("region")), "region", "left_semi")
+    return attribute_column(cells, last_region(first_found([capture(places, wanted(rings)), *map(wanted, fallbacks)]), order), name)
+
+
+def masks(rings: DataFrame, members: DataFrame, places: DataFrame, groups: DataFrame, embedding: str, tools: DataFrame | None = None, fallbacks: list[DataFrame] | None = None, form: str = "regions", **info) -> dict[str, DataFrame]:
+    """The tables of a mask set. groups: grp, ordinal, region, expanded, visible; tools: region, tool ('manual' is kept as NO_TOOL).
+
+    Regions without members take the first of the fallbacks that knows them. info: sample_column, fill_opacity, outline_weight, alpha; form: 'regions' or 'selections'.
+    """
+    spark = rings.sparkSession
+    if fallbacks:
+        members = first_found([members, *fallbacks])
     found = centroids(members, places)
     named = rings.select("region").union(members.select("region")).distinct().join(found, "region", "left")
     if tools is not None:
@@ -154,18 +188,62 @@ def masks(rings: DataFrame, members: DataFrame, places: DataFrame, groups: DataF
     else:
         named = named.withColumn("tool", F.lit(None).cast("string"))
     regions = named.select("region", F.coalesce("tool", F.lit(NO_TOOL)).alias("tool"), F.lit(True).alias("visible"), F.lit(embedding).alias("embedding"), F.col("x").alias("centroid_x"), F.col("y").alias("centroid_y"))
-    return {"regions": regions, "region_rings": rings.select("region", "ring_no", "ring"), "region_cells": members.select("region", "cell_idx"), "region_groups": groups}
+    row = (info.get("sample_column"), float(info.get("fill_opacity", 0.1)), float(info.get("outline_weight", 2)), float(info.get("alpha", 0.05)), form)
+    about = spark.createDataFrame([row], "sample_column string, fill_opacity double, outline_weight double, alpha double, form string")
+    return {"regions": regions, "region_rings": rings.select("region", "ring_no", "ring"), "region_cells": members.select("region", "cell_idx"), "region_groups": groups, "mask_info": about}
 
 
-def loaded_masks(tables: dict[str, DataFrame], coords: DataFrame, target: str, verify: bool = False) -> dict[str, DataFrame]:
-    """Stored masks with their rings moved to an embedding; with `verify` the stored embedding's name gives way to what the rings' places say."""
+def same_embedding(coords: DataFrame, a: str, b: str) -> bool:
+    """Whether two embeddings have as many cells and the first of them at the same places."""
+    if a == b:
+        return True
+    first = [points(coords, k).select("cell_idx", F.col("x").alias(f"x{s}"), F.col("y").alias(f"y{s}")).orderBy("cell_idx").limit(FIRST_PLACES) for k, s in ((a, "a"), (b, "b"))]
+    counts = dict(coords.where(F.col("key").isin(a, b)).groupBy("key").count().collect())
+    if not counts.get(a) or counts.get(a) != counts.get(b):
+        return False
+    near = lambda c: F.abs(F.col(f"{c}a") - F.col(f"{c}b")) <= SAME_PLACE
+    return first[0].join(first[1], "cell_idx").where(near("x") & near("y")).count() == first[0].count()
+
+
+def embedding_of(tables: dict[str, DataFrame], coords: DataFrame, verify: bool = False) -> str:
+    """The embedding that masks were stored in. With `verify` the stored name gives way to what the rings' places say, unless both hold the same places."""
     first = tables["regions"].select("embedding").first()
     source = first.embedding if first else None
-    if source is None or verify:
-        seen = vote(tables["region_rings"], tables["region_cells"], coords).groupBy("key").count().orderBy(F.desc("count"), "key").first()
-        source = seen.key if seen else (source or "spatial")
+    if source is not None and not verify:
+        return source
+    seen = vote(tables["region_rings"], tables["region_cells"], coords).groupBy("key").count().orderBy(F.desc("count"), "key").first()
+    if seen is None:
+        return source or "spatial"
+    return source if source is not None and same_embedding(coords, source, seen.key) else seen.key
+
+
+def loaded_masks(tables: dict[str, DataFrame], coords: DataFrame, target: str, verify: bool | None = None, most: int | None = CANVAS_MEMBERS) -> dict[str, DataFrame]:
+    """Stored masks with their rings moved to an embedding; region_cells are all members, shown_cells the first `most` of each region.
+
+    Masks stored as selections are verified (see embedding_of) unless `verify` says otherwise, their first ring is the path to edit, and all members are shown.
+    """
+    about = tables["mask_info"].first() if "mask_info" in tables else None
+    selections = about is not None and about.form == "selections"
+    source = embedding_of(tables, coords, selections if verify is None else verify)
     rings = move_rings(tables["region_rings"], tables["region_cells"], coords, source, target)
-    return {**tables, "region_rings": rings}
+    shown = tables["region_cells"] if selections or most is None else first_members(tables["region_cells"], most)
+    return {**tables, "region_rings": rings, "region_paths": rings.where("ring_no = 0"), "shown_cells": shown}
+
+
+def move_paths(paths: DataFrame, members: DataFrame, coords: DataFrame, source: str, target: str) -> DataFrame:
+    """region, ring, centroid_x, centroid_y: single rings (region, ring) moved between embeddings; ValueError if one isn't there."""
+    for key in (source, target):
+        if coords.where(F.col("key") == key).isEmpty():
+            raise ValueError(f"no embedding {key!r}")
+    return move_rings(paths.withColumn("ring_no", F.lit(0)), members, coords, source, target).drop("ring_no")
+
+
+def grouped_regions(tables: dict[str, DataFrame]) -> DataFrame:
+    """grp, ordinal, region, tool, visible, n of the regions that groups name, in groups' order; regions without a group come as group null."""
+    n = tables["region_cells"].groupBy("region").agg(F.count("*").alias("n"))
+    groups = tables["region_groups"].select("grp", "ordinal", "region", F.col("visible").alias("group_visible"))
+    each = tables["regions"].select("region", "tool", "visible").join(groups, "region", "left").join(n, "region", "left")
+    return each.select("grp", "ordinal", "region", "tool", (F.col("visible") & F.coalesce("group_visible", F.lit(True))).alias("visible"), F.coalesce("n", F.lit(0)).alias("n"))
 
 
 def totals(tables: dict[str, DataFrame]) -> DataFrame:

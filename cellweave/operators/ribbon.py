@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cellweave.functions.geometry import bezier, bezier_slope, width_at
+from cellweave.operators.color import known_genes
+from cellweave.operators.samples import cells_in
 from cellweave.operators.spatial_join import captures
+from cellweave.sources.cells import CellSet
 
 BINS, WIDTH = 15, 50.0
 
@@ -49,23 +52,42 @@ def cells_in_bins(places: DataFrame, bins: DataFrame) -> DataFrame:
     return captures(places, bins.select("bin", "ring"), ["bin"])
 
 
-def heatmap(places: DataFrame, expression: DataFrame, genes: list[str], bins: DataFrame) -> DataFrame:
+def bin_counts(places: DataFrame, bins: DataFrame) -> DataFrame:
+    """bin, n, total: cells of each bin, and of all bins, where a cell counts once for each bin that it is in."""
+    counts = cells_in_bins(places, bins).groupBy("bin").agg(F.count("*").alias("n"))
+    every = bins.select("bin").join(counts, "bin", "left").select("bin", F.coalesce("n", F.lit(0)).alias("n"))
+    return every.withColumn("total", F.sum("n").over(Window.partitionBy()))  # as many rows as bins
+
+
+def heatmap(places: DataFrame, expression: DataFrame, wanted: list[str], bins: DataFrame, genes: DataFrame) -> DataFrame:
     """gene, bin, cell_count, mean: the mean over all cells in the bin, where cells without a stored value count as 0; 0 for empty bins.
 
-    Genes that no cell has are left out.
+    What isn't in `genes` is left out; genes that no cell has are rows of zeros.
     """
-    if not genes:
-        raise ValueError("a heatmap needs genes")
+    there = [r.gene for r in known_genes(genes, wanted).where("known").collect()]  # at most the genes asked for
+    if not there:
+        raise ValueError("a heatmap needs genes that are there")
     members = cells_in_bins(places, bins)
-    values = expression.where(F.col("gene").isin(genes)).select("cell_idx", "gene", F.col("value").cast("double").alias("value"))
+    values = expression.where(F.col("gene").isin(there)).select("cell_idx", "gene", F.col("value").cast("double").alias("value"))
     counts = members.groupBy("bin").agg(F.count("*").alias("cell_count"))
     sums = members.join(values, "cell_idx").groupBy("gene", "bin").agg(F.sum("value").alias("total"))
-    frame = values.select("gene").distinct().crossJoin(F.broadcast(bins.select("bin")))
+    frame = bins.select("bin", F.explode(F.array(*map(F.lit, there))).alias("gene"))
     found = frame.join(counts, "bin", "left").join(sums, ["gene", "bin"], "left")
     mean = F.coalesce(F.col("total") / F.col("cell_count"), F.lit(0.0))
     return found.select("gene", "bin", F.coalesce("cell_count", F.lit(0)).alias("cell_count"), mean.alias("mean"))
 
 
+def ribbon_heatmap(c: CellSet, ribbon: Ribbon | None, genes: list[str], embedding: str, column: str | None = None, categories: list[str] | None = None, n_bins: int = BINS) -> DataFrame:
+    """The heatmap along a ribbon drawn in an embedding, over all cells or those of some categories; ValueError without a ribbon, genes or coordinates."""
+    if ribbon is None:
+        raise ValueError("a heatmap needs a ribbon")
+    places = c.embedding(embedding, "ribbon")
+    some = cells_in(c.cells, column, categories)
+    if some is not c.cells:
+        places = places.join(some.select("cell_idx"), "cell_idx", "left_semi")
+    return heatmap(places, c.expression, genes, ribbon_bins(c.cells.sparkSession, ribbon, n_bins), c.genes)
+
+
 def scaled(heat: DataFrame, low: float | None = None, high: float | None = None) -> DataFrame:
     """heat with t, 0 to 1 between the smallest and the largest mean, or given ends; ends that leave nothing between them are 1 apart."""
     ends = heat.agg(F.min("mean").alias("low"), F.max("mean").alias("high"))

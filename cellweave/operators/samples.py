@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cellweave.functions.values import unassigned
 
-MISSING = "__NA__"
+MISSING, ALL_CELLS = "__NA__", "all_cells"
 
 
 def sample_stats(cells: DataFrame, places: DataFrame, sample: str = "sample") -> DataFrame:
@@ -32,6 +32,27 @@ def sample_attribute(cells: DataFrame, column: str, sample: str = "sample") -> D
     return found.select("sample", "category", (F.dense_rank().over(Window.orderBy("category")) - 1).alias("code"), "valid")
 
 
+def cells_of(cells: DataFrame, column: str | None, category: str | None) -> DataFrame:
+    """The cells of one category, compared as strings; all for a blank column or ALL_CELLS. ValueError for a missing column or category, or one that no cell has."""
+    if not (column or "").strip() or column == ALL_CELLS:
+        return cells
+    if column not in cells.columns:
+        raise ValueError(f"no column {column!r}; there are {', '.join(cells.columns[:15])}")
+    if not (category or "").strip():
+        raise ValueError("a category is needed")
+    found = cells.where(F.col(column).cast("string") == category)
+    if found.isEmpty():
+        raise ValueError(f"no cell has {column} {category!r}")
+    return found
+
+
+def cells_in(cells: DataFrame, column: str | None, categories: list[str] | None) -> DataFrame:
+    """The cells of some categories; all where there is no such column or no category is given."""
+    if not categories or column not in cells.columns:
+        return cells
+    return cells.where(F.col(column).cast("string").isin([str(c) for c in categories]))
+
+
 def first_value(cells: DataFrame, column: str, sample: str = "sample") -> DataFrame:
     """sample, value: the first one by cell_idx that isn't null."""
     some = cells.where(F.col(column).isNotNull() & F.col(sample).isNotNull())

@@ -15,26 +15,29 @@ def tile(v: Column, side: float) -> Column:
 def captures(places: DataFrame, rings: DataFrame, keys: list[str]) -> DataFrame:
     """keys..., cell_idx for each cell in each ring of three vertices or more. places: cell_idx, x, y; rings: keys..., ring.
 
-    A tile is about as large as a ring on average, so a ring lies in few tiles, and a cell meets only rings that reach its tile.
+    Each ring has tiles of the power of two that is next above its size, so it lies in four at most, however the sizes differ; a cell meets the rings of
+    its tile at each of the few sizes that there are.
     """
     v = F.col("ring")
     sides = {"x0": F.array_min(v.x), "x1": F.array_max(v.x), "y0": F.array_min(v.y), "y1": F.array_max(v.y)}
     boxed = rings.where(F.size("ring") >= 3).withColumns(sides)
-    side = boxed.agg(F.avg(F.greatest(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0")))).first()[0]
-    side = float(side) if side else 1.0
+    size = F.greatest(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0"))
+    boxed = boxed.withColumn("level", F.when(size > 0, F.ceil(F.log2(size))).otherwise(F.lit(0)).cast("int"))
+    levels = sorted(r.level for r in boxed.select("level").distinct().collect())  # at most as many as doubles have exponents
     for axis in ("x", "y"):
-        boxed = boxed.withColumn(f"t{axis}", F.explode(F.sequence(tile(F.col(f"{axis}0"), side), tile(F.col(f"{axis}1"), side))))
-    each = places.select("cell_idx", "x", "y", tile(F.col("x"), side).alias("tx"), tile(F.col("y"), side).alias("ty"))
-    met = each.join(boxed, ["tx", "ty"]).where(F.col("x").between(F.col("x0"), F.col("x1")) & F.col("y").between(F.col("y0"), F.col("y1")))
+        boxed = boxed.withColumn(f"t{axis}", F.explode(F.sequence(*[F.floor(F.col(f"{axis}{k}") / F.pow(F.lit(2.0), F.col("level"))) for k in (0, 1)])))
+    at = F.explode(F.array(*[F.struct(F.lit(k).alias("level"), tile(F.col("x"), 2.0**k).alias("tx"), tile(F.col("y"), 2.0**k).alias("ty")) for k in levels] or [F.lit(None).cast("struct<level:int,tx:bigint,ty:bigint>")]))
+    each = places.select("cell_idx", "x", "y", at.alias("at")).select("cell_idx", "x", "y", "at.*")
+    met = each.join(boxed, ["level", "tx", "ty"]).where(F.col("x").between(F.col("x0"), F.col("x1")) & F.col("y").between(F.col("y0"), F.col("y1")))
     return met.where(in_ring(F.col("x"), F.col("y"), F.col("ring"))).select(*keys, "cell_idx")
 
 
-def neighbours(places: DataFrame, reach: float, by: list[str]) -> DataFrame:
-    """by..., a, b (with xa, ya, xb, yb) for all ordered pairs within `reach`, itself included. places: by..., cell_idx, x, y."""
-    at = places.select(*by, "cell_idx", "x", "y", tile(F.col("x"), reach).alias("tx"), tile(F.col("y"), reach).alias("ty"))
+def neighbours(places: DataFrame, reach: float, by: list[str], of: DataFrame | None = None) -> DataFrame:
+    """by..., a, b (with xa, ya, xb, yb) for all ordered pairs within `reach`, itself included; a is in `of` where that is given. places: by..., cell_idx, x, y."""
+    at = lambda df: df.select(*by, "cell_idx", "x", "y", tile(F.col("x"), reach).alias("tx"), tile(F.col("y"), reach).alias("ty"))
     near = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)]))
-    left = at.select(*by, F.col("cell_idx").alias("a"), F.col("x").alias("xa"), F.col("y").alias("ya"), "tx", "ty", near.alias("n"))
+    left = at(places if of is None else of).select(*by, F.col("cell_idx").alias("a"), F.col("x").alias("xa"), F.col("y").alias("ya"), "tx", "ty", near.alias("n"))
     left = left.select(*by, "a", "xa", "ya", (F.col("tx") + F.col("n.i")).alias("tx"), (F.col("ty") + F.col("n.j")).alias("ty"))
-    right = at.select(*by, F.col("cell_idx").alias("b"), F.col("x").alias("xb"), F.col("y").alias("yb"), "tx", "ty")
+    right = at(places).select(*by, F.col("cell_idx").alias("b"), F.col("x").alias("xb"), F.col("y").alias("yb"), "tx", "ty")
     dx, dy = F.col("xa") - F.col("xb"), F.col("ya") - F.col("yb")
     return left.join(right, [*by, "tx", "ty"]).where(dx * dx + dy * dy <= reach * reach).drop("tx", "ty")

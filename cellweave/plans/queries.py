@@ -3,16 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from cellweave.functions.geometry import edges
+from cellweave.functions.values import unassigned
 from cellweave.operators import cluster, color, layout, outline, page, regions, ribbon, samples
 from cellweave.operators.graph import cut
 from cellweave.plans import tables
 from cellweave.plans.tables import sql_unit
 from cellweave.sources import sinks
-from cellweave.sources.cells import CellSet, points
+from cellweave.sources.cells import CellSet, embedding_keys, full_scan, mask_sets, points, resolve
+from cellweave.sources.scratch import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -80,7 +84,15 @@ def gene_codes(c: CellSet) -> DataFrame:
 grp AS (SELECT cell_idx, greatest(exp((l + (2 - n) * ln(1e-9)) / 2) - 1e-9, 0) AS v FROM logs)
 SELECT cell_idx, round(coalesce(v, 0), 6) AS v, CASE WHEN coalesce(v, 0) > 0 THEN trunc(least(greatest(v / (SELECT max(v) FROM grp) * 254 + 1, 1), 255)) ELSE 0 END::INT AS code FROM cells LEFT JOIN grp USING (cell_idx)""")
 def gene_group_codes(c: CellSet) -> DataFrame:
-    return rounded(color.group_codes(c.cells, c.expression, ["G_k", "G_m", "absent"]), "v")
+    return rounded(color.group_codes(c.cells, c.expression, ["G_k", "G_m", "absent"], c.genes), "v")
+
+
+@query(""", logs AS (SELECT cell_idx, sum(ln(value::DOUBLE + 1e-9)) AS l, count(*) AS n FROM expression WHERE gene IN ('G_k', 'G_m', 'G_0') AND value > 0 GROUP BY cell_idx),
+grp AS (SELECT cell_idx, greatest(exp((l + (3 - n) * ln(1e-9)) / 3) - 1e-9, 0) AS v FROM logs)
+SELECT cell_idx, round(coalesce(v, 0), 6) AS v, CASE WHEN coalesce(v, 0) > 0 THEN trunc(least(greatest(v / (SELECT max(v) FROM grp) * 254 + 1, 1), 255)) ELSE 0 END::INT AS code FROM cells LEFT JOIN grp USING (cell_idx)""")
+def gene_group_silent(c: CellSet) -> DataFrame:
+    """A known gene that no cell has counts in the mean."""
+    return rounded(color.group_codes(c.cells, c.expression, ["G_k", "G_m", tables.SILENT, "absent"], c.genes), "v")
 
 
 @query("""SELECT gene_idx, gene, n FROM (SELECT (substr(gene, 2)::INT - 5)::INT AS gene_idx, gene, count(*) AS n FROM (SELECT 'g' || (i - 1) AS gene, embedding[i] AS v FROM embeddings, range(6, 65) r(i)) WHERE v > 0 GROUP BY gene) WHERE gene ILIKE '%G1%' ORDER BY gene_idx LIMIT 8""", tables.vector_cells)
@@ -146,9 +158,11 @@ def as_page(df: DataFrame, *more: str) -> DataFrame:
     return rounded(df.select("cell_idx", "sample", "cell_type", "chunk", *names, *more), *names)
 
 
-@query(f", {WIDE}, {GENE} SELECT {PAGE}, v AS expression FROM cells JOIN wide USING (cell_idx) JOIN gene_v USING (cell_idx) WHERE chunk = 1")
+@query(f", {WIDE}, {GENE}, {ZN}, {DICTIONARY} SELECT {PAGE}, v AS expression, coalesce(dict.code, 0)::INT AS code, round(zn, 6) AS X_umap_z FROM cells JOIN wide USING (cell_idx) JOIN gene_v USING (cell_idx) JOIN zn USING (cell_idx) LEFT JOIN dict ON category = cell_type WHERE chunk = 1")
 def chunk_page(c: CellSet) -> DataFrame:
-    return as_page(page.chunk_page(c.cells, c.coords, KEYS, 1, c.expression, "G_k"), "expression")
+    """One chunk with all places, z over all cells, a gene and an attribute."""
+    found = page.chunk_page(c.cells, c.coords, KEYS, 1, c.expression, "G_k", color.category_codes(c.cells, "cell_type"), page.heights(c.coords))
+    return rounded(as_page(found, "expression", "code", "X_umap_z"), "X_umap_z")
 
 
 BOX = (20.0, 140.0, 60.0, 260.0)
@@ -160,6 +174,12 @@ def viewport_page(c: CellSet) -> DataFrame:
     return as_page(page.viewport_page(c.cells, c.coords, "spatial", BOX, KEYS, most=1_000_000))
 
 
+@query(f", {SEEN}, {WIDE}, {GENE}, {DICTIONARY} SELECT {PAGE}, v AS expression, coalesce(dict.code, 0)::INT AS code FROM seen JOIN cells USING (cell_idx) JOIN wide USING (cell_idx) JOIN gene_v USING (cell_idx) LEFT JOIN dict ON category = cell_type WHERE chunk <> 0")
+def viewport_page_coloured(c: CellSet) -> DataFrame:
+    found = page.viewport_page(c.cells, c.coords, "spatial", BOX, KEYS, most=1_000_000, expression=c.expression, gene="G_k", codes=color.category_codes(c.cells, "cell_type"))
+    return as_page(found, "expression", "code")
+
+
 @query(f", {SEEN} SELECT cell_idx, round(d, 6) AS d FROM seen ORDER BY -ln({sql_unit(42, 'cell_idx')}) / exp(-((d / 60) * (d / 60)) / 0.5), cell_idx LIMIT 700")
 def viewport_sample(c: CellSet) -> DataFrame:
     return rounded(page.viewport_sample(page.viewport(points(c.coords, "spatial"), BOX), 60.0, 700).select("cell_idx", "d"), "d")
@@ -172,8 +192,6 @@ def overview_sample(c: CellSet) -> DataFrame:
 
 @query("SELECT cell_idx, chunk, row_number() OVER (PARTITION BY chunk ORDER BY cell_idx)::BIGINT AS place FROM cells")
 def loading_order(c: CellSet) -> DataFrame:
-    from pyspark.sql import Window
-
     return page.loading_order(c.cells).withColumn("place", F.row_number().over(Window.partitionBy("chunk").orderBy("cell_idx")).cast("long"))
 
 
@@ -185,12 +203,81 @@ def page_attribute_codes(c: CellSet) -> DataFrame:
 
 @query("SELECT cell_idx, cell_type, sample FROM cells WHERE cell_type = 'click' OR sample IN ('u1', 'u2')")
 def category_filter(c: CellSet) -> DataFrame:
-    return c.cells.where((F.col("cell_type").cast("string") == "click") | F.col("sample").isin("u1", "u2")).select("cell_idx", "cell_type", "sample")
+    found = samples.cells_of(c.cells, "cell_type", "click").unionAll(samples.cells_in(c.cells, "sample", ["u1", "u2"]))
+    return found.select("cell_idx", "cell_type", "sample").distinct()
+
 
+@query("SELECT what, count(*) AS n, sum(cell_idx)::BIGINT AS total FROM cells, (VALUES ('all'), ('blank'), ('click'), ('list'), ('no column'), ('no list')) t(what) WHERE CASE what WHEN 'click' THEN cell_type = 'click' WHEN 'list' THEN order_no IN (1, 3) ELSE true END GROUP BY what")
+def category_rules(c: CellSet) -> DataFrame:
+    """What the two category filters keep, with the names that mean all cells."""
+    kept = {"all": samples.cells_of(c.cells, samples.ALL_CELLS, None), "blank": samples.cells_of(c.cells, " ", "x"), "click": samples.cells_of(c.cells, "cell_type", "click")}
+    kept |= {"list": samples.cells_in(c.cells, "order_no", ["1", "3"]), "no column": samples.cells_in(c.cells, "nothing", ["1"]), "no list": samples.cells_in(c.cells, "order_no", [])}
+    every = None
+    for what, df in kept.items():
+        part = df.select(F.lit(what).alias("what"), "cell_idx")
+        every = part if every is None else every.unionAll(part)
+    return every.groupBy("what").agg(F.count("*").alias("n"), F.sum("cell_idx").alias("total"))
 
-@query("""SELECT gene, (SELECT count(*) FROM expression e WHERE e.gene = t.gene) > 0 AS known FROM (VALUES ('G_k'), ('G_m'), ('nothing')) t(gene)""")
+
+@query("""SELECT gene, gene IN ('G_k', 'G_m', 'G_v', 'G_0') AS known FROM (VALUES ('G_k'), ('G_m'), ('G_0'), ('nothing')) t(gene)""")
 def groups_known_missing(c: CellSet) -> DataFrame:
-    return color.known_genes(c.expression.select("gene"), ["G_k", " G_m ", "nothing", ""])
+    return color.known_genes(c.genes, ["G_k", " G_m ", "G_0", "nothing", ""])
+
+
+# --- what there is ---
+
+
+@query("""SELECT * FROM (VALUES ('attribute', 'sample', 'categorical'), ('attribute', 'cell_type', 'categorical'), ('attribute', 'score', 'numeric'), ('attribute', 'condition', 'categorical'), ('attribute', 'batch', 'categorical'), ('attribute', 'order_no', 'numeric')) t(kind, name, detail)
+UNION ALL SELECT 'embedding', key, replace(key, 'X_', '') FROM coords GROUP BY key UNION ALL SELECT 'layout', 'X_mine', 'mine'
+UNION ALL SELECT 'sample', condition, (row_number() OVER (ORDER BY min(cell_idx)) - 1)::VARCHAR FROM cells GROUP BY condition""")
+def catalogue(c: CellSet) -> DataFrame:
+    """Attributes, embeddings, layouts and samples after a layout was added and the sample column changed."""
+    laid = c.coords.where("key = 'spatial'").withColumn("key", F.lit("X_mine"))
+    return replace(c, coords=c.coords.unionAll(laid)).with_sample("condition").with_sample("nothing", needed=False).catalogue()
+
+
+@query("""SELECT policy, wanted, found, n FROM (VALUES ('region', 'umap', 'X_umap'), ('region', 'other', 'spatial'), ('ribbon', 'umap', 'spatial'), ('ribbon', 'X_umap', 'X_umap'), ('recompute', 'umap', 'spatial'), ('recompute', 'X_umap', 'X_umap')) t(policy, wanted, found) JOIN (SELECT key AS found, count(*) AS n FROM coords GROUP BY key) USING (found)""")
+def embedding_rules(c: CellSet) -> DataFrame:
+    """The embeddings that names mean under each rule."""
+    asked = [(p, k, resolve(embedding_keys(c.coords), k, p)) for p, k in (("region", "umap"), ("region", "other"), ("ribbon", "umap"), ("ribbon", "X_umap"), ("recompute", "umap"), ("recompute", "X_umap"))]
+    n = c.coords.groupBy(F.col("key").alias("found")).agg(F.count("*").alias("n"))
+    return c.cells.sparkSession.createDataFrame(asked, "policy string, wanted string, found string").join(n, "found").select("policy", "wanted", "found", "n")
+
+
+@query("SELECT cell_idx, x, y FROM umap")
+def embedding_scan(c: CellSet) -> DataFrame:
+    return full_scan(c.coords, "X_umap")
+
+
+@query("SELECT sample, name LIKE 'n%' OR name IN ('', '__NA__') AS off FROM (SELECT sample, CASE ordinal % 6 WHEN 0 THEN 'nan' WHEN 1 THEN 'None' WHEN 2 THEN '' WHEN 3 THEN '__NA__' ELSE sample END AS name FROM stats) WHERE name <> 'None' UNION ALL SELECT sample, true FROM stats WHERE ordinal % 6 = 1")
+def sample_guard(c: CellSet) -> DataFrame:
+    """Names that stand for no sample."""
+    k = F.col("ordinal") % 6
+    name = F.when(k == 0, "nan").when(k == 1, "None").when(k == 2, "").when(k == 3, "__NA__").otherwise(F.col("sample"))
+    return samples.sample_stats(c.cells, points(c.coords, "spatial")).select("sample", unassigned(name).alias("off"))
+
+
+@query("""SELECT 'some_set' AS mask_set, 'Some Set' AS label, cell_type AS category, code, color, n FROM (SELECT cell_type, code, color, n FROM (VALUES ('click', 1, '#111111'), ('view', 2, '#222222')) t(cell_type, code, color) JOIN (SELECT cell_type, count(*) AS n FROM cells GROUP BY cell_type) USING (cell_type))""")
+def palette_roundtrip(c: CellSet) -> DataFrame:
+    """A palette that replaces an earlier one, and the label of a stored mask set."""
+    path = store_of(c)
+    sinks.save_palette(c.cells, path, "cell_type", ["old"], ["#000000"])
+    sinks.save_palette(c.cells, path, "sample", ["u1"], ["#333333"])
+    sinks.save_palette(c.cells, path, "cell_type", ["click", "view"], ["#111111", "#222222"])
+    stored = c.cells.sparkSession.read.parquet(path).where("column = 'cell_type'")
+    n = c.cells.groupBy(F.col("cell_type").alias("category")).agg(F.count("*").alias("n"))
+    sets = mask_sets(n.select(F.lit("some_set").alias("mask_set")))
+    return stored.join(n, "category").crossJoin(F.broadcast(sets)).select("mask_set", "label", "category", F.col("cat_code").alias("code"), "color", "n")
+
+
+@query(f", {WIDE} SELECT chunk, count(*) AS n, min(cell_idx) AS low, max(cell_idx) AS high, true AS ascending, round(sum(spatial_x), 3) AS total FROM cells JOIN wide USING (cell_idx) GROUP BY chunk")
+def page_export(c: CellSet) -> DataFrame:
+    """Exported pages read again: every file holds its cells in ascending order."""
+    path = store_of(c)
+    sinks.export_pages(page.page(c.cells, c.coords, KEYS), path)
+    read = c.cells.sparkSession.read.parquet(path).select("chunk", "cell_idx", "spatial_x", F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("place"))
+    read = read.withColumn("after", F.lag("cell_idx").over(Window.partitionBy("file").orderBy("place")) < F.col("cell_idx"))
+    return read.groupBy("chunk").agg(F.count("*").alias("n"), F.min("cell_idx").alias("low"), F.max("cell_idx").alias("high"), F.bool_and(F.coalesce("after", F.lit(True))).alias("ascending"), F.round(F.sum("spatial_x"), 3).alias("total"))
 
 
 # --- samples and layouts ---
@@ -275,6 +362,15 @@ def layout_labels(c: CellSet) -> DataFrame:
     return rounded(layout.labels(c.cells, points(c.coords, "spatial"), **PIVOT), "x", "y", places=5)
 
 
+@query(f""", {GRID}, lab AS (SELECT sample, grp, slot::BIGINT AS slot, tx, ty, cx, cy FROM placed), moved AS (SELECT x + tx - cx AS x, y + ty - cy AS y FROM lab JOIN cells USING (sample) JOIN pts USING (cell_idx))
+SELECT sample, grp, slot, round(tx, 5) AS x, round(ty, 5) AS y, (SELECT string_agg(sample, ',' ORDER BY slot) FROM lab b WHERE b.grp = lab.grp) AS samples, (SELECT round(min(x), 5) FROM moved) AS min_x, (SELECT round(max(y), 5) FROM moved) AS max_y FROM lab""")
+def layout_grid_parts(c: CellSet) -> DataFrame:
+    """Labels, groups and bounds of a group grid."""
+    found = layout.grid_parts(c.cells, points(c.coords, "spatial"), group_by="condition", sort_by="batch", order_by="order_no", gap_y=0.5)
+    named = found["targets"].select("sample", "grp", F.col("slot").cast("long").alias("slot")).join(found["labels"], "sample").join(found["groups"].select("grp", F.array_join("samples", ",").alias("samples")), "grp")
+    return rounded(named.crossJoin(F.broadcast(found["bounds"].select("min_x", "max_y"))), "x", "y", "min_x", "max_y", places=5)
+
+
 TARGETS = [("u0", 1000.0, 0.0), ("u3", 0.0, 1000.0), ("u7", -500.0, 250.0), ("nobody", 1.0, 1.0)]
 TARGET_SQL = f"targets AS (SELECT * FROM (VALUES {', '.join(map(str, TARGETS))}) t(sample, tx, ty))"
 REBUILT = "rebuilt AS (SELECT cell_idx, sample, x + coalesce(tx - cx, 0) AS x, y + coalesce(ty - cy, 0) AS y FROM cells JOIN pts USING (cell_idx) JOIN stats USING (sample) LEFT JOIN targets USING (sample))"
@@ -413,8 +509,15 @@ def masks_rename(c: CellSet) -> DataFrame:
 
 @query("""SELECT sample, (row_number() OVER (PARTITION BY sample ORDER BY cell_idx) - 1)::INT AS position, cell_idx FROM cells WHERE cell_type = 'click'""")
 def delta_decode(c: CellSet) -> DataFrame:
-    written = regions.encode_deltas(c.cells.where("cell_type = 'click'").select(F.col("sample").alias("region"), "cell_idx"))
-    return regions.decode_deltas(written, "region", "deltas").withColumnRenamed("region", "sample")
+    steps = cut(regions.encode_blocks(c.cells.where("cell_type = 'click'").select(F.col("sample").alias("region"), "cell_idx"), size=1024))
+    return regions.decode_blocks(steps, "region").withColumnRenamed("region", "sample")
+
+
+@query("""SELECT sample, (row_number() OVER (PARTITION BY sample ORDER BY cell_idx) - 1)::INT AS position, cell_idx FROM cells WHERE cell_type = 'error'""")
+def delta_text(c: CellSet) -> DataFrame:
+    """Steps as text, one list for each region (all numbers of cells lie in one block here), and back."""
+    steps = regions.encode_blocks(c.cells.where("cell_type = 'error'").select(F.col("sample").alias("region"), "cell_idx"), size=1 << 40)
+    return regions.decode_deltas(cut(regions.delta_text(steps)), "region", "deltas").withColumnRenamed("region", "sample")
 
 
 @query(f""", {HITS}, ranked AS (SELECT *, row_number() OVER (PARTITION BY region ORDER BY cell_idx) - 1 AS k, count(*) OVER (PARTITION BY region) AS n FROM hits)
@@ -441,22 +544,73 @@ def selection_labels(c: CellSet) -> DataFrame:
 
 def store_of(c: CellSet) -> str:
     """A new folder below the one that driver and executors share."""
-    import uuid
-
-    cut(c.cells.limit(0))  # sets a folder where the session has none
-    return f"{c.cells.sparkSession.sparkContext.getCheckpointDir()}/{uuid.uuid4().hex}"
+    return fresh_path(c.cells.sparkSession, "store")
 
 
 GROUPS = [("first", 0, "one", True, True), ("first", 1, "two", True, True), ("second", 0, "hole", False, True)]
 
 
-def stored_masks(c: CellSet, members: DataFrame, rings: DataFrame) -> dict[str, DataFrame]:
+def stored_masks(c: CellSet, members: DataFrame, rings: DataFrame, embedding: str = "spatial", **more) -> dict[str, DataFrame]:
     spark, path = c.cells.sparkSession, store_of(c)
     groups = spark.createDataFrame(GROUPS, "grp string, ordinal int, region string, expanded boolean, visible boolean")
-    sinks.save_masks(path, "some_masks", regions.masks(rings, members, points(c.coords, "spatial"), groups, "spatial"))
+    sinks.save_masks(path, "some_masks", regions.masks(rings, members, points(c.coords, "spatial"), groups, embedding, **more))
     return sinks.load_masks(spark, path, "some_masks")
 
 
+FALLBACK = f"""every AS (SELECT region, cell_idx, 0 AS p FROM hits UNION ALL SELECT 'far', cell_idx, 1 FROM cells WHERE cell_type = 'error' UNION ALL SELECT 'one', cell_idx, 1 FROM cells WHERE cell_type = 'error'
+UNION ALL SELECT 'line', cell_idx, 2 FROM cells WHERE cell_type = 'view' UNION ALL SELECT 'far', cell_idx, 2 FROM cells WHERE cell_type = 'view'),
+held AS (SELECT DISTINCT region, cell_idx FROM every JOIN (SELECT region, min(p) AS p FROM every GROUP BY region) USING (region, p))"""
+
+
+def fallbacks(c: CellSet) -> list[DataFrame]:
+    some = lambda kind, *names: c.cells.where(F.col("cell_type") == kind).select("cell_idx", F.explode(F.array(*map(F.lit, names))).alias("region"))
+    return [some("error", "far", "one"), some("view", "line", "far")]
+
+
+@query(f""", {HITS}, {FALLBACK} SELECT cell_idx, sample, arg_max(region, ordinal) AS saved FROM cells LEFT JOIN (SELECT cell_idx, region, ordinal FROM held JOIN (VALUES {', '.join(f"('{k}', {v})" for k, v in ORDER.items())}) t(region, ordinal) USING (region)) USING (cell_idx) GROUP BY cell_idx, sample""")
+def region_group_saved(c: CellSet) -> DataFrame:
+    """An attribute from a group of regions, where regions that capture nothing take stored members."""
+    order = c.cells.sparkSession.createDataFrame(list(ORDER.items()), "region string, ordinal int")
+    return regions.save_group(c.cells.select("cell_idx", "sample"), points(c.coords, "spatial"), ring_table(c), order, "saved", fallbacks(c))
+
+
+@query(f""", {HITS}, {FALLBACK}, n AS (SELECT region, count(*) AS n FROM held GROUP BY region)
+SELECT grp, ordinal::INT AS ordinal, region, 'polygon' AS tool, true AS visible, coalesce(n, 0) AS n, 'sample' AS sample_column, 0.25::DOUBLE AS fill_opacity, 2.0::DOUBLE AS outline_weight, 0.125::DOUBLE AS alpha
+FROM (VALUES ('one'), ('two'), ('hole'), ('far'), ('line')) t(region) LEFT JOIN (VALUES {', '.join(f"('{g}', {o}, '{r}')" for g, o, r, _, _ in GROUPS)}) u(grp, ordinal, region) USING (region) LEFT JOIN n USING (region)""")
+def mask_details(c: CellSet) -> DataFrame:
+    """Stored masks by groups, with what is stored about them."""
+    rings = ring_table(c)
+    stored = stored_masks(c, regions.capture(points(c.coords, "spatial"), rings), rings, fallbacks=fallbacks(c), sample_column="sample", fill_opacity=0.25, alpha=0.125)
+    return regions.grouped_regions(stored).crossJoin(F.broadcast(stored["mask_info"].drop("form")))
+
+
+@query(f""", {HITS}, {MOVED_SQL}, kept AS (SELECT region, count(*) AS n FROM hits GROUP BY region) SELECT region, vertex::INT AS vertex, round(vx + coalesce(tx - sx, 0), 6) AS x, round(vy + coalesce(ty - sy, 0), 6) AS y, coalesce(n, 0) AS n
+FROM (VALUES {RING_ROWS}) t(region, ring_no, vertex, vx, vy) LEFT JOIN means USING (region) LEFT JOIN kept USING (region) WHERE ring_no = 0""")
+def manual_loaded(c: CellSet) -> DataFrame:
+    """Selections stored under a wrong embedding: the places of their rings tell the right one; first rings and all members come back."""
+    rings = ring_table(c)
+    stored = stored_masks(c, regions.capture(points(c.coords, "spatial"), rings), rings, "X_umap", form="selections")
+    found = regions.loaded_masks(stored, c.coords, "X_umap")
+    n = found["shown_cells"].groupBy("region").agg(F.count("*").alias("n"))
+    return vertices(found["region_paths"].join(n, "region", "left").withColumn("n", F.coalesce("n", F.lit(0))), "region", "n")
+
+
+@query(f""", {HITS}, {MOVED_SQL} SELECT region, vertex::INT AS vertex, round(vx + coalesce(tx - sx, 0), 6) AS x, round(vy + coalesce(ty - sy, 0), 6) AS y, round(tx, 6) AS centroid_x FROM (VALUES {RING_ROWS}) t(region, ring_no, vertex, vx, vy) LEFT JOIN means USING (region) WHERE ring_no = 0""")
+def paths_moved(c: CellSet) -> DataFrame:
+    rings = ring_table(c)
+    found = regions.move_paths(rings.where("ring_no = 0").select("region", "ring"), regions.capture(points(c.coords, "spatial"), rings), c.coords, "spatial", "X_umap")
+    return rounded(vertices(found, "region", "centroid_x"), "centroid_x")
+
+
+@query(f", {HITS}, firsts AS (SELECT region, cell_idx FROM (SELECT *, row_number() OVER (PARTITION BY region ORDER BY cell_idx) AS k FROM hits) WHERE k <= 300) SELECT region, count(*) AS n, (SELECT count(*) FROM firsts f WHERE f.region = hits.region) AS shown, (SELECT max(cell_idx) FROM firsts f WHERE f.region = hits.region) AS last_shown FROM hits GROUP BY region")
+def masks_shown(c: CellSet) -> DataFrame:
+    """Loaded region masks show the first members of each region and keep all."""
+    rings = ring_table(c)
+    found = regions.loaded_masks(stored_masks(c, regions.capture(points(c.coords, "spatial"), rings), rings), c.coords, "spatial", most=300)
+    n = found["region_cells"].groupBy("region").agg(F.count("*").alias("n"))
+    return n.join(found["shown_cells"].groupBy("region").agg(F.count("*").alias("shown"), F.max("cell_idx").alias("last_shown")), "region")
+
+
 @query(f""", {HITS}, {MOVED_SQL} SELECT region, ring_no::INT AS ring_no, vertex::INT AS vertex, round(vx + coalesce(tx - sx, 0), 6) AS x, round(vy + coalesce(ty - sy, 0), 6) AS y,
 7::BIGINT AS rings, 5::BIGINT AS regions, 2::BIGINT AS groups, (SELECT count(*) FROM hits) AS cells FROM (VALUES {RING_ROWS}) t(region, ring_no, vertex, vx, vy) LEFT JOIN means USING (region)""")
 def mask_roundtrip(c: CellSet) -> DataFrame:
@@ -470,9 +624,9 @@ def mask_roundtrip(c: CellSet) -> DataFrame:
 @query("""SELECT region, count(*) AS n, round(avg(x), 6) AS centroid_x, round(avg(y), 6) AS centroid_y, 'polygon' AS tool FROM (SELECT sample AS region, cell_idx FROM cells WHERE cell_type = 'error') JOIN pts USING (cell_idx) GROUP BY region""")
 def manual_roundtrip(c: CellSet) -> DataFrame:
     spark = c.cells.sparkSession
-    written = regions.encode_deltas(c.cells.where("cell_type = 'error'").select(F.col("sample").alias("region"), "cell_idx"))
-    members = regions.decode_deltas(written, "region", "deltas").select("region", "cell_idx")
-    stored = stored_masks(c, members, spark.createDataFrame([], "region string, ring_no int, ring array<struct<x:double,y:double>>"))
+    steps = cut(regions.encode_blocks(c.cells.where("cell_type = 'error'").select(F.col("sample").alias("region"), "cell_idx"), size=1024))
+    members = regions.decode_blocks(steps, "region").select("region", "cell_idx")
+    stored = stored_masks(c, members, spark.createDataFrame([], "region string, ring_no int, ring array<struct<x:double,y:double>>"), form="selections")
     n = stored["region_cells"].groupBy("region").agg(F.count("*").alias("n"))
     return rounded(stored["regions"].join(n, "region").select("region", "n", "centroid_x", "centroid_y", "tool"), "centroid_x", "centroid_y")
 
@@ -493,6 +647,20 @@ def layout_roundtrip(c: CellSet) -> DataFrame:
     return spark.read.parquet(path).select("key", "cell_idx", F.round(F.col("x").cast("double"), 3).alias("x"), F.round(F.col("y").cast("double"), 3).alias("y"))
 
 
+@query(f", {TARGET_SQL}, {REBUILT} SELECT sample, round(avg(x), 3) + 0.0::DOUBLE AS x, round(avg(y), 3) + 0.0::DOUBLE AS y, 'by hand' AS note, (SELECT count(*) FROM targets) AS n_targets FROM rebuilt GROUP BY sample")
+def layout_loaded_by_name(c: CellSet) -> DataFrame:
+    """A layout rebuilt from given centroids under a sample column found by its usual name, stored with a note and loaded again."""
+    spark, path = c.cells.sparkSession, store_of(c)
+    targets = layout.targets_of(spark, [(x, y) for _, x, y in TARGETS], [n for n, _, _ in TARGETS])
+    sinks.save_layout(layout.rebuild(c.cells, points(c.coords, "spatial"), targets, "not there"), f"{path}/coords", "mine", c.cells)
+    sinks.save_layout_targets(f"{path}/layouts", "mine", targets, {"note": "by hand"})
+    _, labels = layout.loaded(c.cells, sinks.load_layout(spark, f"{path}/coords", "X_mine"))
+    note = sinks.layout_note(spark, f"{path}/layouts", "mine")["note"]
+    n = spark.read.parquet(f"{path}/layouts").where("layout = 'X_mine'").agg(F.count("*").alias("n_targets"))
+    found = labels.select("sample", *[(F.round(a, 3) + F.lit(0.0)).alias(a) for a in "xy"], F.lit(note).alias("note"))
+    return found.crossJoin(F.broadcast(n))
+
+
 # --- ribbon ---
 
 RIBBON = ribbon.Ribbon((10.0, 30.0), (150.0, 300.0), ((120.0, 60.0), (30.0, 240.0)), (40.0, 60.0, 40.0))
@@ -519,7 +687,7 @@ heat AS (SELECT gene, bin::INT AS bin, (SELECT count(*) FROM inbin i WHERE i.bin
 
 
 def heat_of(c: CellSet) -> DataFrame:
-    return ribbon.heatmap(points(c.coords, "spatial"), c.expression, ["G_k", "G_m", "absent"], ribbon.ribbon_bins(c.cells.sparkSession, RIBBON, N_BINS))
+    return ribbon.ribbon_heatmap(c, RIBBON, ["G_k", "G_m", "absent"], "spatial", n_bins=N_BINS)
 
 
 @query(f", {BINS}, counted AS (SELECT bin, count(*) AS n FROM inbin GROUP BY bin) SELECT bin::INT AS bin, coalesce(n, 0) AS n, (k - 1)::INT AS vertex, round(xs[k], 6) AS x, round(ys[k], 6) AS y FROM quad LEFT JOIN counted USING (bin), range(1, 5) r(k)")
@@ -534,6 +702,23 @@ def ribbon_heatmap(c: CellSet) -> DataFrame:
     return rounded(heat_of(c), "mean")
 
 
+@query(f", {BINS} SELECT gene, bin, cell_count, round(mean, 6) AS mean FROM heat WHERE gene = 'G_m' UNION ALL SELECT 'G_0', bin, cell_count, 0 FROM heat WHERE gene = 'G_m'")
+def ribbon_silent_gene(c: CellSet) -> DataFrame:
+    """A known gene that no cell has is a row of zeros."""
+    return rounded(ribbon.ribbon_heatmap(c, RIBBON, ["G_m", tables.SILENT, "absent"], "spatial", n_bins=N_BINS), "mean")
+
+
+@query(f""", {BINS}, some AS (SELECT bin, cell_idx FROM inbin JOIN cells USING (cell_idx) WHERE cell_type IN ('click', 'view'))
+SELECT 'G_m' AS gene, bin::INT AS bin, (SELECT count(*) FROM some s WHERE s.bin = quad.bin) AS cell_count, round(coalesce((SELECT sum(value::DOUBLE) FROM some s JOIN expression e USING (cell_idx) WHERE s.bin = quad.bin AND e.gene = 'G_m') / nullif((SELECT count(*) FROM some s WHERE s.bin = quad.bin), 0), 0), 6) AS mean FROM quad""")
+def ribbon_of_categories(c: CellSet) -> DataFrame:
+    return rounded(ribbon.ribbon_heatmap(c, RIBBON, ["G_m"], "elsewhere", "cell_type", ["click", "view"], N_BINS), "mean")
+
+
+@query(f", {BINS} SELECT quad.bin::INT AS bin, (SELECT count(*) FROM inbin i WHERE i.bin = quad.bin) AS n, (SELECT count(*) FROM inbin) AS total FROM quad")
+def ribbon_totals(c: CellSet) -> DataFrame:
+    return ribbon.bin_counts(points(c.coords, "spatial"), ribbon.ribbon_bins(c.cells.sparkSession, RIBBON, N_BINS))
+
+
 @query(f", {BINS} SELECT gene, bin, cell_count, round(mean, 6) AS mean, round((mean - lo) / (hi - lo), 6) AS t FROM heat, (SELECT min(mean) AS lo, max(mean) AS hi FROM heat)")
 def ribbon_scaled(c: CellSet) -> DataFrame:
     return rounded(ribbon.scaled(cut(heat_of(c))), "mean", "t")
@@ -574,8 +759,8 @@ def dbscan_summary(c: CellSet) -> DataFrame:
     return rounded(cluster.summary(cluster.density_clusters(places, EPS, LEAST), places), "cx", "cy")
 
 
-def edges_sql(places: str) -> str:
-    r = 1 / ALPHA
+def edges_sql(places: str, alpha: float = ALPHA) -> str:
+    r = 1 / alpha
     return f"""g AS (SELECT region, x, y, min(cell_idx) AS cell_idx FROM ({places}) GROUP BY region, x, y),
 pr AS (SELECT a.region, a.cell_idx AS a, b.cell_idx AS b, a.x AS xa, a.y AS ya, b.x AS xb, b.y AS yb, (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) AS q FROM g a JOIN g b ON a.region = b.region AND a.cell_idx < b.cell_idx AND (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) < {4 * r * r}),
 disc AS (SELECT region, a, b, s, (xa + xb) / 2 - s * sqrt(({r * r} - q / 4) / q) * (yb - ya) AS cx, (ya + yb) / 2 + s * sqrt(({r * r} - q / 4) / q) * (xb - xa) AS cy FROM pr, (VALUES (1), (-1)) t(s)),
@@ -585,7 +770,7 @@ ed AS (SELECT region, a, b FROM empt GROUP BY ALL HAVING count(*) = 1)"""
 
 def cluster_members(c: CellSet) -> DataFrame:
     """The members of all clusters, as regions."""
-    return cluster.named_members(cut(cluster.density_clusters(sample_places(c), EPS, LEAST)), "all", needed=False)
+    return cut(cluster.named_members(cluster.density_clusters(sample_places(c), EPS, LEAST), "all", needed=False))
 
 
 MEMBER_SQL = "SELECT concat_ws('_', sample, cluster, 'all') AS region, cell_idx, x, y FROM labelled JOIN pts USING (cell_idx) WHERE cluster >= 0"
@@ -596,10 +781,62 @@ def alpha_edges(c: CellSet) -> DataFrame:
     return outline.alpha_edges(cluster_members(c).join(points(c.coords, "spatial"), "cell_idx"), ALPHA)
 
 
-@query(f", {CLUSTERS}, {edges_sql(MEMBER_SQL.replace('JOIN pts', 'JOIN (SELECT cell_idx, y AS x, x AS y FROM pts)'))} SELECT * FROM ed", recursive=True)
+#: Of the rings that edges make: how many vertices, how long they are, and the area inside, holes taken off.
+RING_SUMS = """, sided AS (SELECT ed.region, s, xa, ya, xb, yb FROM ed JOIN empt USING (region, a, b) JOIN pr USING (region, a, b))
+SELECT region, count(*) AS vertices, round(sum(sqrt((xb - xa) * (xb - xa) + (yb - ya) * (yb - ya))), 6) AS perimeter, round(sum(-s * (xa * yb - xb * ya)) / 2, 6) AS area FROM sided GROUP BY region"""
+
+
+def ring_sums(rings: DataFrame) -> DataFrame:
+    """region, vertices, perimeter, area of rings, where those at odd depths are holes."""
+    steps = rings.select("region", "ring_no", F.explode(edges(F.col("ring"))).alias("e")).select("region", "ring_no", "e.*")
+    dx, dy = F.col("xi") - F.col("xj"), F.col("yi") - F.col("yj")
+    each = steps.groupBy("region", "ring_no").agg(F.count("*").alias("n"), F.sum(F.sqrt(dx * dx + dy * dy)).alias("way"), F.abs(F.sum(F.col("xj") * F.col("yi") - F.col("xi") * F.col("yj")) / 2).alias("size"))
+    each = each.join(outline.nesting(rings), ["region", "ring_no"])
+    area = F.sum(F.when(F.col("depth") % 2 == 0, F.col("size")).otherwise(-F.col("size")))
+    return rounded(each.groupBy("region").agg(F.sum("n").alias("vertices"), F.sum("way").alias("perimeter"), area.alias("area")), "perimeter", "area")
+
+
+@query(f", {CLUSTERS}, {edges_sql(MEMBER_SQL)}{RING_SUMS}", recursive=True)
+def outline_rings(c: CellSet) -> DataFrame:
+    """Rings of alpha shapes with their holes."""
+    found, _ = outline.outlines(cluster_members(c), points(c.coords, "spatial"), ALPHA)
+    return ring_sums(found)
+
+
+WIDER = ALPHA / 2
+UMAP_MEMBERS = MEMBER_SQL.replace("JOIN pts", "JOIN umap")
+
+
+@query(f", {CLUSTERS}, {edges_sql(UMAP_MEMBERS, WIDER)}{RING_SUMS}", recursive=True)
 def outlines_recomputed(c: CellSet) -> DataFrame:
-    turned = points(c.coords, "spatial").select("cell_idx", F.col("y").alias("x"), F.col("x").alias("y"))
-    return outline.alpha_edges(cluster_members(c).join(turned, "cell_idx"), ALPHA)
+    """The outlines of the same clusters in another embedding."""
+    found, _ = outline.outlines(cluster_members(c), c.embedding("umap", "region"), WIDER)
+    return ring_sums(found)
+
+
+MOST_SHOWN = 20
+
+
+@query(f""", {CLUSTERS}, {edges_sql(MEMBER_SQL)}, held AS (SELECT region, cell_idx, x, y, row_number() OVER (PARTITION BY region ORDER BY cell_idx) - 1 AS k, count(*) OVER (PARTITION BY region) AS n FROM ({MEMBER_SQL})),
+names AS (SELECT DISTINCT region FROM held UNION ALL SELECT 'u0_9999_all'), kept AS (SELECT region, x, y FROM held WHERE k % greatest(1, n // {MOST_SHOWN}) = 0 AND k < greatest(1, n // {MOST_SHOWN}) * {MOST_SHOWN})
+SELECT names.region, CASE WHEN region NOT IN (SELECT region FROM held) THEN 'no members' WHEN region NOT IN (SELECT region FROM ed) THEN 'no outline' ELSE '' END AS reason,
+coalesce((SELECT count(*) FROM kept WHERE kept.region = names.region AND region IN (SELECT region FROM ed)), 0) AS n, (SELECT round(avg(x), 6) FROM kept WHERE kept.region = names.region AND region IN (SELECT region FROM ed)) AS centroid_x FROM names""", recursive=True)
+def outlined_clusters(c: CellSet) -> DataFrame:
+    """Outlined clusters with the members shown and their mean, and the names that failed with reasons."""
+    members = cluster_members(c)
+    wanted = members.select("region").distinct().unionAll(c.cells.limit(1).select(F.lit("u0_9999_all")))
+    found = outline.outlined_regions(members, points(c.coords, "spatial"), ALPHA, MOST_SHOWN, wanted)
+    named = wanted.join(found["failures"], "region", "left").join(found["regions"], "region", "left")
+    return named.select("region", F.coalesce("reason", F.lit("")).alias("reason"), F.coalesce("n", F.lit(0)).alias("n"), F.round("centroid_x", 6).alias("centroid_x"))
+
+
+@query(f""", {CLUSTERS}, old AS (SELECT 'u1_0_all' AS region, cell_idx FROM cells WHERE cell_type = 'error' UNION ALL SELECT 'kept_from_before', cell_idx FROM cells WHERE cell_type = 'view'), new AS (SELECT region, cell_idx FROM ({MEMBER_SQL}))
+SELECT region, count(*) AS n, row_number() OVER (ORDER BY region)::INT AS place FROM (SELECT * FROM new UNION ALL SELECT * FROM old WHERE region NOT IN (SELECT region FROM new)) GROUP BY region""", recursive=True)
+def clusters_appended(c: CellSet) -> DataFrame:
+    """Clusters added to those of an earlier run: the same name replaces, others stay; then all in order of their names."""
+    old = c.cells.where("cell_type = 'error'").select(F.lit("u1_0_all").alias("region"), "cell_idx").unionAll(c.cells.where("cell_type = 'view'").select(F.lit("kept_from_before"), "cell_idx"))
+    named = cluster.cluster_names(regions.upsert(old, cluster_members(c)))
+    return named.withColumn("place", F.row_number().over(Window.orderBy("region")))  # a row for each cluster
 
 
 @query(f""", {CLUSTERS}, m AS (SELECT DISTINCT region, x, y, min(cell_idx) OVER (PARTITION BY region, x, y) AS cell_idx FROM ({MEMBER_SQL})),

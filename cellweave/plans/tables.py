@@ -10,6 +10,8 @@ from cellweave.sources.cells import CellSet, chunk_count
 
 CHUNK_SIZE = 2500
 GENES = ("G_k", "G_v", "G_m")
+#: Known, but no cell has it.
+SILENT = "G_0"
 
 
 def event_cells(spark: SparkSession, sf_dir: str) -> CellSet:
@@ -32,7 +34,7 @@ def event_cells(spark: SparkSession, sf_dir: str) -> CellSet:
     umap = events.select(F.lit("X_umap").alias("key"), F.col("event_id").alias("cell_idx"), one(F.col("user_id")).alias("x"), one(F.col("value")).alias("y"), one(F.hour("ts")).alias("z"))
     values = F.array(*[F.struct(F.lit(g).alias("gene"), one(v).alias("value")) for g, v in zip(GENES, (F.get_json_object("props", "$.k"), F.col("value"), F.minute("ts")), strict=True)])
     expression = events.select(F.col("event_id").alias("cell_idx"), F.inline(values)).where("value != 0")
-    return CellSet(cells, spatial.unionAll(umap), expression, gene_table(spark, GENES))
+    return CellSet(cells, spatial.unionAll(umap), expression, gene_table(spark, (*GENES, SILENT)))
 
 
 def gene_table(spark: SparkSession, genes: tuple[str, ...]) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cellweave.functions.values import chunk_of
@@ -41,10 +41,23 @@ class CellSet:
             raise ValueError(f"no column {self.sample!r}; there are {', '.join(self.cells.columns[:15])}")
         return self
 
-    def with_sample(self, sample: str) -> CellSet:
-        """Another column as the sample."""
+    def with_sample(self, sample: str, needed: bool = True) -> CellSet:
+        """Another column as the sample; one that isn't there is an error, or leaves all as it is."""
+        if not needed and sample not in self.cells.columns:
+            return self
         return replace(self, sample=sample).checked()
 
+    def catalogue(self, custom: tuple[str, ...] = ()) -> DataFrame:
+        """kind, name, detail of what there is now: attributes with their types, embeddings with their labels, saved layouts, and samples in the order of first appearance."""
+        keys = embedding_keys(self.coords)
+        rows = [("attribute", a, t) for a, t in attributes(self.cells).items()]
+        rows += [("embedding", k, k.removeprefix("X_")) for k in keys if k in STANDARD_KEYS or k in custom]
+        rows += [("layout", k, k.removeprefix("X_")) for k in keys if k.startswith("X_") and k not in STANDARD_KEYS and k not in custom]
+        known = self.cells.sparkSession.createDataFrame(rows, "kind string, name string, detail string")
+        named = self.cells.select(F.col(self.sample).cast("string").alias("name"), "cell_idx").where("name is not null").groupBy("name").agg(F.min("cell_idx").alias("first"))
+        ordinal = F.row_number().over(Window.orderBy("first")) - 1  # samples are few
+        return known.unionAll(named.select(F.lit("sample"), "name", ordinal.cast("string")))
+
     def with_chunks(self, size: int = 250_000) -> CellSet:
         """A chunk for each cell; kept where there are as many chunks already."""
         n = chunk_count(self.cells.count(), size)
@@ -62,7 +75,9 @@ def chunk_count(cells: int, size: int) -> int:
 
 
 def embedding_keys(coords: DataFrame) -> list[str]:
-    return sorted(r.key for r in coords.select("key").distinct().collect())
+    """The embeddings that are there, standard ones first."""
+    keys = {r.key for r in coords.select("key").distinct().collect()}
+    return [k for k in STANDARD_KEYS if k in keys] + sorted(keys.difference(STANDARD_KEYS))
 
 
 def resolve(keys: list[str], key: str, policy: str) -> str:
@@ -75,6 +90,13 @@ def resolve(keys: list[str], key: str, policy: str) -> str:
     raise ValueError(f"no embedding for {key!r}; there are {', '.join(keys)}")
 
 
+def full_scan(coords: DataFrame, key: str) -> DataFrame:
+    """cell_idx, x, y of all cells; ValueError for an embedding that isn't there."""
+    if key not in (keys := embedding_keys(coords)):
+        raise ValueError(f"no embedding {key!r}; there are {', '.join(keys)}")
+    return points(coords, key).select("cell_idx", "x", "y")
+
+
 def points(coords: DataFrame, key: str) -> DataFrame:
     return coords.where(F.col("key") == key).select("cell_idx", F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"), F.col("z").cast("double").alias("z"))
 

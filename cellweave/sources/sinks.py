@@ -5,10 +5,12 @@ Every writer writes whole partitions of a table below the given path, so that a
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellweave.sources.cells import layout_key
+from cellweave.sources.cells import layout_key, points
 
 
 def attribute_column(cells: DataFrame, labels: DataFrame, name: str) -> DataFrame:
@@ -23,8 +25,11 @@ def write_partition(df: DataFrame, path: str, by: str) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
 
 
-def save_palette(spark: SparkSession, path: str, column: str, categories: list[str], colours: list[str]) -> None:
-    """Colours of an attribute's categories in their order."""
+def save_palette(cells: DataFrame, path: str, column: str, categories: list[str], colours: list[str]) -> None:
+    """Colours of an attribute's categories in their order; ValueError for a column that isn't there."""
+    spark = cells.sparkSession
+    if column not in cells.columns:
+        raise ValueError(f"no column {column!r}; there are {', '.join(cells.columns[:15])}")
     if not colours or not categories:
         raise ValueError("a palette needs categories and colours")
     rows = [(column, i + 1, c, colour) for i, (c, colour) in enumerate(zip(categories, colours, strict=False))]
@@ -49,9 +54,33 @@ def delete_layout(spark: SparkSession, path: str, name: str) -> None:
         raise ValueError(f"no layout {name!r}")
 
 
+def save_layout_targets(path: str, name: str, targets: DataFrame, note: dict | None = None) -> str:
+    """The centroids (sample, target_x, target_y) that a layout was made from, and a note on it."""
+    key = layout_key(name)
+    kept = targets.select(F.lit(key).alias("layout"), "sample", "target_x", "target_y", F.lit(json.dumps(note) if note else None).cast("string").alias("note"))
+    write_partition(kept, path, "layout")
+    return key
+
+
+def layout_note(spark: SparkSession, path: str, name: str) -> dict | None:
+    """The note on a stored layout, as it was given; ValueError if there is no such layout."""
+    row = spark.read.parquet(path).where(F.col("layout") == layout_key(name)).select("note").first()
+    if row is None:
+        raise ValueError(f"no layout {name!r}")
+    return json.loads(row.note) if row.note else None
+
+
+def load_layout(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """cell_idx, x, y of a stored layout; ValueError if there is none."""
+    found = points(spark.read.parquet(path), layout_key(name)).drop("z")
+    if found.isEmpty():
+        raise ValueError(f"no layout {name!r}")
+    return found
+
+
 def export_pages(pages: DataFrame, path: str) -> None:
-    """One folder for each chunk, its cells in ascending order."""
-    pages.repartition("chunk").sortWithinPartitions("chunk", "cell_idx").write.mode("overwrite").partitionBy("chunk").parquet(path)
+    """One folder for each chunk; its files hold ranges of cells, each in ascending order. Chunks are few, so ranges of cells inside them make the tasks."""
+    pages.repartitionByRange("chunk", "cell_idx").sortWithinPartitions("chunk", "cell_idx").write.mode("overwrite").partitionBy("chunk").parquet(path)
 
 
 def save_masks(path: str, mask_set: str, tables: dict[str, DataFrame]) -> None:
@@ -65,6 +94,7 @@ MASK_TABLES = {
     "region_rings": "region string, ring_no int, ring array<struct<x:double,y:double>>, mask_set string",
     "region_cells": "region string, cell_idx long, mask_set string",
     "region_groups": "grp string, ordinal int, region string, expanded boolean, visible boolean, mask_set string",
+    "mask_info": "sample_column string, fill_opacity double, outline_weight double, alpha double, form string, mask_set string",
 }
 
 

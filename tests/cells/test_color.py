@@ -56,12 +56,13 @@ def test_clean(spark):
 
 
 def test_group_is_a_geometric_mean(few, gene):
-    rows = color.group_codes(few, gene, ["G", "H", "absent"]).orderBy("cell_idx").collect()
+    genes = few.sparkSession.createDataFrame([(0, "G"), (1, "H"), (2, "Z")], "gene_idx int, gene string")
+    rows = color.group_codes(few, gene, ["G", "H", "absent"], genes).orderBy("cell_idx").collect()
     assert rows[0].v == 0 and rows[0].code == 0
     assert abs(rows[1].v - 2**0.5) < 1e-6 and rows[1].code == 255
     assert abs(rows[3].v - (4e-9) ** 0.5) < 1e-6 and rows[3].code == 1
     with pytest.raises(ValueError):
-        color.group_codes(few, gene, ["absent"])
+        color.group_codes(few, gene, ["absent"], genes)
 
 
 def test_similar_genes(spark):

@@ -16,6 +16,8 @@ def test_chunk_page_keeps_cells_and_places_together(spark, cells, coords):
     assert [(r.cell_idx, r.spatial_x, r.X_layout_x, r.expression) for r in rows] == [(2, 0.5, 50.5, 7.0), (3, 2.0, 52.0, 0.0), (4, 10.0, 60.0, 0.0)]
     with pytest.raises(ValueError):
         page.chunk_page(cells.drop("chunk"), coords, ["spatial"], 1)
+    with pytest.raises(ValueError):
+        page.chunk_page(cells, coords, ["spatial"], 7)
 
 
 def test_viewport(cells, coords, places):
@@ -61,7 +63,7 @@ def test_catalog(spark, cells, coords):
     with pytest.raises(ValueError, match="cell_type"):
         attribute(cells, "nothing")
     more = coords.unionAll(coords.where("key = 'spatial'").withColumn("key", F.lit("X_umap")))
-    assert embedding_keys(more) == ["X_layout", "X_umap", "spatial"]
+    assert embedding_keys(more) == ["spatial", "X_umap", "X_layout"]
     assert embeddings(more) == {"X_umap": "umap", "spatial": "spatial"} and saved_layouts(more) == ["X_layout"] and saved_layouts(more, ("X_layout",)) == []
     sets = spark.createDataFrame([("my_old_masks", "r"), ("my_old_masks", "q")], "mask_set string, region string")
     assert [tuple(r) for r in mask_sets(sets).collect()] == [("my_old_masks", "My Old Masks")]
@@ -93,12 +95,14 @@ def test_open_and_export(spark, cells, coords, tmp_path):
     for chunk in (0, 1, 2):
         rows = spark.read.parquet(f"{path}/pages/chunk={chunk}").collect()
         assert [r.cell_idx for r in rows] == ids(cells.where(F.col("chunk") == chunk)) and all(r.spatial_x is not None for r in rows)
-    sinks.save_palette(spark, f"{path}/palettes", "cell_type", ["A", "B"], ["#1", "#2"])
-    sinks.save_palette(spark, f"{path}/palettes", "condition", ["ctrl"], ["#3"])
-    sinks.save_palette(spark, f"{path}/palettes", "cell_type", ["A", "B"], ["#8", "#9"])
+    sinks.save_palette(held.cells, f"{path}/palettes", "cell_type", ["A", "B"], ["#1", "#2"])
+    sinks.save_palette(held.cells, f"{path}/palettes", "condition", ["ctrl"], ["#3"])
+    sinks.save_palette(held.cells, f"{path}/palettes", "cell_type", ["A", "B"], ["#8", "#9"])
     assert sorted((r.column, r.color) for r in spark.read.parquet(f"{path}/palettes").collect()) == [("cell_type", "#8"), ("cell_type", "#9"), ("condition", "#3")]
     with pytest.raises(ValueError):
-        sinks.save_palette(spark, f"{path}/palettes", "x", [], [])
+        sinks.save_palette(held.cells, f"{path}/palettes", "cell_type", [], [])
+    with pytest.raises(ValueError):
+        sinks.save_palette(held.cells, f"{path}/palettes", "x", ["A"], ["#1"])
     sinks.save_layout(points(coords, "X_layout"), f"{path}/layouts", "mine", cells)
     with pytest.raises(ValueError):
         sinks.save_layout(points(coords, "X_layout").limit(3), f"{path}/layouts", "mine", cells)

@@ -105,7 +105,12 @@ def test_deltas(spark):
     rows = regions.decode_deltas(lists, "region", "text").orderBy("region", "position").collect()
     assert [(r.region, r.cell_idx) for r in rows] == [("a", 5), ("a", 8), ("a", 12), ("a", 20), ("c", 7), ("d", 1), ("d", 3)]
     members = spark.createDataFrame([("x", i) for i in (20, 5, 12, 8, 5)], "region string, cell_idx long")
-    assert regions.encode_deltas(members).first().deltas == "5,3,4,8"
+    assert [tuple(r) for r in regions.delta_text(regions.encode_blocks(members)).collect()] == [("x", 0, "5,3,4,8")]
+    many = spark.range(0, 5000, 3).selectExpr("if(id % 2 = 0, 'p', 'q') as region", "id as cell_idx")
+    for size in (1, 7, 1000, 1 << 20):
+        steps = regions.encode_blocks(many.unionAll(many), size)
+        rows = sorted(map(tuple, regions.decode_blocks(steps, "region").collect()))
+        assert rows == [(r, k, c) for r, first in (("p", 0), ("q", 3)) for k, c in enumerate(range(first, 5000, 6))]
 
 
 def test_members(spark):
@@ -136,6 +141,14 @@ def test_masks_are_kept(spark, places, coords, square, tmp_path):
     wrong = {**stored, "regions": stored["regions"].withColumn("embedding", F.lit("X_layout"))}
     assert regions.loaded_masks(wrong, coords, "X_layout", True)["region_rings"].first().ring[0].x == 47.5
     assert tuple(regions.totals(stored).first()) == (1, 1, 5)
+    # another name of the same places stays
+    twin = coords.unionAll(coords.where("key = 'spatial'").withColumn("key", F.lit("A_twin")))
+    assert regions.same_embedding(twin, "spatial", "A_twin") and not regions.same_embedding(twin, "spatial", "X_layout") and not regions.same_embedding(twin, "spatial", "none")
+    assert regions.embedding_of(stored, twin, True) == "spatial"
+    about = sinks.load_masks(spark, path, "one")["mask_info"].first()
+    assert (about.fill_opacity, about.outline_weight, about.alpha, about.form) == (0.1, 2.0, 0.05, "regions")
+    with pytest.raises(ValueError):
+        regions.move_paths(rings.select("region", "ring"), stored["region_cells"], coords, "spatial", "X_none")
     assert regions.rename(tables, "a", " ") is tables
     with pytest.raises(ValueError):
         sinks.load_masks(spark, path, "three")

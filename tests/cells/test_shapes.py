@@ -7,26 +7,29 @@ import pytest
 
 
 from cellweave.operators import cluster, layout, outline, ribbon, samples
-from cellweave.operators.graph import components
+from cellweave.operators.graph import HOT, components, even_join
 
 
 def test_straight_ribbon(spark):
     places = spark.createDataFrame([(i, 2.0 * i + 1, 0.0) for i in range(5)], "cell_idx long, x double, y double")
     expression = spark.createDataFrame([(i, "G", float(i + 1)) for i in range(5)], "cell_idx long, gene string, value float")
     bins = ribbon.ribbon_bins(spark, ribbon.Ribbon((0, 0), (10, 0), widths=(4, 4, 4)), 5)
-    rows = ribbon.heatmap(places, expression, ["G", "no"], bins).orderBy("bin").collect()
+    genes = spark.createDataFrame([(0, "G"), (1, "Z")], "gene_idx int, gene string")
+    zeros = ribbon.heatmap(places, expression, ["Z", "G"], bins, genes).where("gene = 'Z'").collect()
+    assert [(r.cell_count, r.mean) for r in zeros] == [(1, 0.0)] * 5
+    rows = ribbon.heatmap(places, expression, ["G", "no"], bins, genes).orderBy("bin").collect()
     assert [(r.gene, r.bin, r.cell_count, r.mean) for r in rows] == [("G", i, 1, i + 1.0) for i in range(5)]
-    assert ribbon.wide(ribbon.heatmap(places, expression, ["G"], bins)).first().means == [1, 2, 3, 4, 5]
-    assert [r.t for r in ribbon.scaled(ribbon.heatmap(places, expression, ["G"], bins)).orderBy("bin").collect()] == [0, 0.25, 0.5, 0.75, 1]
-    assert [r.t for r in ribbon.scaled(ribbon.heatmap(places, expression, ["G"], bins), 4, 4).orderBy("bin").collect()] == [0, 0, 0, 0, 1]
+    assert ribbon.wide(ribbon.heatmap(places, expression, ["G"], bins, genes)).first().means == [1, 2, 3, 4, 5]
+    assert [r.t for r in ribbon.scaled(ribbon.heatmap(places, expression, ["G"], bins, genes)).orderBy("bin").collect()] == [0, 0.25, 0.5, 0.75, 1]
+    assert [r.t for r in ribbon.scaled(ribbon.heatmap(places, expression, ["G"], bins, genes), 4, 4).orderBy("bin").collect()] == [0, 0, 0, 0, 1]
     with pytest.raises(ValueError):
-        ribbon.heatmap(places, expression, [], bins)
+        ribbon.heatmap(places, expression, [], bins, genes)
 
 
 def test_missing_expression_counts_as_zero(spark):
     places = spark.createDataFrame([(i, 1.0 + i / 10, 0.0) for i in range(4)], "cell_idx long, x double, y double")
     expression = spark.createDataFrame([(0, "G", 8.0)], "cell_idx long, gene string, value float")
-    rows = ribbon.heatmap(places, expression, ["G"], ribbon.ribbon_bins(spark, ribbon.Ribbon((0, 0), (10, 0)), 2)).orderBy("bin").collect()
+    rows = ribbon.heatmap(places, expression, ["G"], ribbon.ribbon_bins(spark, ribbon.Ribbon((0, 0), (10, 0)), 2), spark.createDataFrame([(0, "G")], "gene_idx int, gene string")).orderBy("bin").collect()
     assert [(r.cell_count, r.mean) for r in rows] == [(4, 2.0), (0, 0.0)]
 
 
@@ -81,12 +84,24 @@ def test_clusters_against_brute_force(spark, eps, least, spread):
 
 
 def test_components(spark):
-    edges = [(i, i + 1) for i in range(40)] + [(60, 50), (50, 55)]
+    draw = random.Random(4)
+    edges = [(i, i + 1) for i in range(60)] + [(100 + draw.randrange(80), 100 + draw.randrange(80)) for _ in range(60)] + [(300, x) for x in range(301, 340)] + [(500, 500), (60, 50)]
+    label = {x: x for e in edges for x in e}
+    for _ in label:
+        for a, b in edges:
+            label[a] = label[b] = min(label[a], label[b])
     rows = components(spark.createDataFrame(edges, "a long, b long")).collect()
-    assert {r.id: r.component for r in rows} == {**{i: 0 for i in range(41)}, 50: 50, 55: 50, 60: 50}
+    assert len(rows) == len(label) and {r.id: r.component for r in rows} == label
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_even_join_is_a_join(spark):
+    left = spark.range(3 * HOT).selectExpr("id", "if(id % 3 = 0, -1, id) as k")
+    right = left.groupBy("k").count().withColumnRenamed("count", "n").selectExpr("k", "n", "k * 2 as twice").where("k != 4")
+    rows = {(r.id, r.k, r.twice) for r in even_join(left, right, "k", left.count()).collect()}
+    assert rows == {(i, k, 2 * k) for i in range(3 * HOT) for k in [-1 if i % 3 == 0 else i] if k != 4}
+
+
 def places_of(spark, points):
     return spark.createDataFrame([("r", i, float(x), float(y)) for i, (x, y) in enumerate(points)], "region string, cell_idx long, x double, y double")
 
@@ -116,11 +131,51 @@ def test_outline_of_a_grid_with_a_hole(spark):
         outline.alpha_edges(places, 0)
 
 
+def alpha_brute(points, radius):
+    """Pairs closer than 2R with exactly one empty disc."""
+    found = set()
+    for i, (x, y) in enumerate(points):
+        for j, (u, v) in enumerate(points[:i]):
+            q = (x - u) ** 2 + (y - v) ** 2
+            if 0 < q < 4 * radius * radius:
+                rise, empty = math.sqrt((radius * radius - q / 4) / q), 0
+                for s in (1, -1):
+                    cx, cy = (x + u) / 2 - s * rise * (v - y), (y + v) / 2 + s * rise * (u - x)
+                    empty += all((a - cx) ** 2 + (b - cy) ** 2 >= (radius - 1e-9) ** 2 for k, (a, b) in enumerate(points) if k not in (i, j))
+                if empty == 1:
+                    found.add((j, i))
+    return found
+
+
+@pytest.mark.parametrize(("n", "spread", "radius"), [(150, 4, 1.0), (150, 4, 3.0), (200, 1.5, 0.7), (60, 10, 2.5), (200, 3, 20.0)])
+def test_alpha_edges_against_all_discs(spark, n, spread, radius):
+    draw = random.Random(n + int(10 * radius))
+    points = [(draw.gauss(0, spread), draw.gauss(0, spread)) for _ in range(n)]
+    rows = outline.alpha_edges(places_of(spark, points), 1 / radius).collect()
+    assert len(rows) == len(set(map(tuple, rows))) and {(r.a, r.b) for r in rows} == alpha_brute(points, radius)
+
+
+def test_islands_in_holes(spark):
+    """Three nested squares: the one in the midst is no hole."""
+    square = lambda k: [{"x": float(x), "y": float(y)} for x, y in ((-k, -k), (k, -k), (k, k), (-k, k))]
+    found = spark.createDataFrame([("r", 0, square(9)), ("r", 1, square(5)), ("r", 2, square(2)), ("s", 0, square(4))], "region string, ring_no int, ring array<struct<x:double,y:double>>")
+    assert sorted(map(tuple, outline.nesting(found).collect())) == [("r", 0, 0), ("r", 1, 1), ("r", 2, 2), ("s", 0, 0)]
+    filled = [(i, j) for i in range(-9, 10) for j in range(-9, 10) if max(abs(i), abs(j)) in (9, 8, 7, 1, 0)]
+    places = places_of(spark, filled)
+    only, _ = outline.outlines(places.select("region", "cell_idx"), places.drop("region"), 1 / 1.2, exterior_only=True)
+    assert sorted(abs(outline.area([(v.x, v.y) for v in r.ring])) for r in only.collect()) == [4.0, 324.0]
+
+
 def test_outline_failures(spark):
     members = spark.createDataFrame([("few", 0), ("few", 1), ("apart", 2), ("apart", 3), ("apart", 4)], "region string, cell_idx long")
     places = spark.createDataFrame([(i, 100.0 * i, 7.0 * i * i) for i in range(5)], "cell_idx long, x double, y double")
     rings, failed = outline.outlines(members, places, 1.0)
-    assert rings.count() == 0 and {r.region for r in failed.collect()} == {"few", "apart"}
+    assert rings.count() == 0 and {r.region: r.reason for r in failed.collect()} == {"few": "fewer than 3 cells", "apart": "no outline"}
+    wanted = members.select("region").distinct().unionAll(spark.createDataFrame([("gone",)], "region string"))
+    _, failed = outline.outlines(members, places, 1.0, wanted=wanted)
+    assert {r.region: r.reason for r in failed.collect()} == {"few": "fewer than 3 cells", "apart": "no outline", "gone": "no members"}
+    with pytest.raises(ValueError):
+        outline.outlined_regions(members, places, 1.0, 10)
 
 
 def test_layout_moves_samples_rigidly(spark, cells, places):
