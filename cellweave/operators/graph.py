@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from cellweave.sources.scratch import written
 
-#: A key with over 1 / HOT of a table's rows is hot; there are fewer than HOT of them.
-HOT = 1000
+#: A key with over 1 / HOT of a table's rows is hot; there are fewer than HOT of them. A table of up to FEW_ROWS is no load for a single task.
+HOT, FEW_ROWS = 1000, 100_000
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -22,6 +22,8 @@ def even_join(left: DataFrame, right: DataFrame, keys: str | list[str], total: i
     Hot keys are fewer than HOT whatever the size, so their rows of right are broadcast and left's stay where they are; no task gathers them.
     """
     keys = [keys] if isinstance(keys, str) else keys
+    if total <= FEW_ROWS:
+        return left.join(right.drop("n"), keys)
     is_hot = F.col("n") * HOT > total
     hot = right.where(is_hot).drop("n")
     rest = left.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(right.where(~is_hot).drop("n"), keys)
@@ -30,11 +32,9 @@ def even_join(left: DataFrame, right: DataFrame, keys: str | list[str], total: i
 
 def components(edges: DataFrame) -> DataFrame:
     """id, component (the smallest id reachable) of all ids in the edges (a, b), by alternating large-star and small-star rounds."""
-    given = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    edges = given = written(given, "edges")
-    edges = edges.where("a != b")
-    while True:
-        size = edges.count()
+    given = written(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
+    edges, size = given.where("a != b"), given.count()
+    while size:
         both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")).select("a", F.least("a", "m").alias("m"), "n")
         large = even_join(both.where("b > a"), least, "a", 2 * size).select(F.col("b").alias("a"), F.col("m").alias("b"))

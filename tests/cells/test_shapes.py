@@ -7,7 +7,7 @@ import pytest
 
 
 from cellweave.operators import cluster, layout, outline, ribbon, samples
-from cellweave.operators.graph import HOT, components, even_join
+from cellweave.operators.graph import FEW_ROWS, HOT, components, even_join
 
 
 def test_straight_ribbon(spark):
@@ -96,10 +96,11 @@ def test_components(spark):
 
 
 def test_even_join_is_a_join(spark):
-    left = spark.range(3 * HOT).selectExpr("id", "if(id % 3 = 0, -1, id) as k")
+    n = FEW_ROWS + 3 * HOT
+    left = spark.range(n).selectExpr("id", "if(id % 3 = 0, -1, id) as k")
     right = left.groupBy("k").count().withColumnRenamed("count", "n").selectExpr("k", "n", "k * 2 as twice").where("k != 4")
     rows = {(r.id, r.k, r.twice) for r in even_join(left, right, "k", left.count()).collect()}
-    assert rows == {(i, k, 2 * k) for i in range(3 * HOT) for k in [-1 if i % 3 == 0 else i] if k != 4}
+    assert rows == {(i, k, 2 * k) for i in range(n) for k in [-1 if i % 3 == 0 else i] if k != 4}
 
 
 def places_of(spark, points):
