@@ -1,10 +1,7 @@
-"""What several operators of this subpackage share: folders, written tables, batches and words."""
+"""What several operators of this subpackage share: rows of groups, batches and words."""
 
 from __future__ import annotations
 
-import re
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,38 +10,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Words are runs of anything but these characters.
-SPACES = r"[\x20\x09-\x0D]+"
-
-
-#: A key with over 1 / HOT of a table's rows is hot; there are fewer than HOT of them.
-HOT = 1000
-
-
-def shared_root(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir; where that is unset, a new local one if all runs in one process, else an error."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    current = spark.sparkContext.getCheckpointDir()
-    if current is None:
-        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        spark.sparkContext.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="cellweave-"))
-        current = spark.sparkContext.getCheckpointDir()
-    return current.rstrip("/")
-
+from cellweave.operators.graph import even_join
+from cellweave.sources.scratch import fresh_path, written
 
-def even_join(left: DataFrame, right: DataFrame, keys: str | list[str], total: int) -> DataFrame:
-    """left joined with right, which holds each key once and in n how many of left's `total` rows have it; n is dropped.
+__all__ = ["coded", "codes", "documents", "even_join", "fresh_path", "id_and_text", "one_of_each", "slices", "split_words", "table", "written"]
 
-    Hot keys are fewer than HOT whatever the size, so their rows of right are broadcast and left's stay where they are; no task gathers them.
-    """
-    keys = [keys] if isinstance(keys, str) else keys
-    is_hot = F.col("n") * HOT > total
-    hot = right.where(is_hot).drop("n")
-    rest = left.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(right.where(~is_hot).drop("n"), keys)
-    return left.join(F.broadcast(hot), keys).unionByName(rest)
+#: Words are runs of anything but these characters.
+SPACES = r"[\x20\x09-\x0D]+"
 
 
 def one_of_each(docs: DataFrame, found: DataFrame) -> DataFrame:
@@ -63,19 +35,6 @@ def one_of_each(docs: DataFrame, found: DataFrame) -> DataFrame:
     return once.unionAll(rows.join(chosen.where("n > 1"), mine).dropDuplicates(["g"]).select("row.*"))
 
 
-def fresh_path(spark: SparkSession, name: str) -> str:
-    """A path below the shared folder that nothing has used yet."""
-    return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
-
-
-def written(df: DataFrame, name: str, **options) -> DataFrame:
-    """df, written to the shared folder and read again; later steps don't depend on what it was made from."""
-    spark = df.sparkSession
-    path = fresh_path(spark, name)
-    df.write.options(**options).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

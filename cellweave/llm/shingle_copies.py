@@ -1,18 +1,19 @@
-"""Near copies by SimHash and by the exact similarity of their five-word shingles: all pairs at ALIKE or more, and no others, are linked.
+"""Near copies by SimHash and by the exact similarity of their five-word shingles: pairs at ALIKE or more, and no others, are linked.
 
 A text is the set of its five-word shingles (A-Z lower-cased; a shorter text is one shingle), as 64-bit hashes; equal sets are one from the start.
 
-1. The SimHashes of the sets are linked by pigeonring filtering (`simhash`), and what is linked so is verified on the sets.
-2. SimHashes of sets that are 0.8 alike differ in about 10 of 64 bits, so these links are not all. Sets are ordered alike everywhere: those shingles
-   seen often in a sample come last. Two sets of a and b shingles with similarity t = ALIKE or more share at least t / (1 + t) * (a + b), so
-   the first floor((1 - t) * n) + 1 of each have one in common; sets meet there. The order only changes how many meet, not which links are found.
-   What meets is thinned by conditions that no link fails: the sizes, how often the two meet and how many shingles can follow, and 256-bit
-   parities (a bit is the parity of the shingles that fall on it, so differing bits are no more than differing shingles). Links are then verified
-   on the sets.
+1. Sampled sets. Of a set of 64 * 2**k shingles or more, those whose hash ends in k zero bits are its sample (64 to 128 are expected; smaller sets are whole). Sets that could
+   be alike across a boundary of k also have the next sample. A sample is random, so of s sampled shingles of one set, at least needed(s) are in
+   any set that is alike, but for a chance of MISS: the same order of chance as that different shingles share a hash. So a set with fewer sampled shingles that any
+   other set has is alone. That leaves near copies, and texts that mostly are passages of others; common passages in other texts bring nobody together.
+2. SimHash. The SimHashes of what is left are linked by pigeonring filtering (`simhash`), and these links are verified on the sets.
+3. SimHashes of sets that are 0.8 alike differ in about 10 of 64 bits, so these links are not all. Samples are ordered alike everywhere, rare shingles first;
+   two samples with needed(s) shingles in common share one among the first s - needed(s) + 1 of each, and meet there. What meets is compared by sizes
+   and samples, and then verified on the sets.
 
-Large groups of copies would meet in all pairs. So in the first step each set is also compared with two of each bucket of a quarter of all
-buckets (by a hash of their shingle) where they meet often, and what the verified links of the first step join is one group; in the second step a set meets the
-groups that a bucket holds, then the sets of other groups; those of one group never meet.
+Large groups of copies would meet in all pairs. So before step 3 each set is also compared with two of each of its buckets: the one whose shingles are the most
+common (an original has few of its own), and any one. What the verified links join is one group; a set then meets the groups that a bucket holds, and
+the sets of other groups; those of one group never meet.
 
 Sets aren't stored: they are made again from the texts for those that are compared. Null texts count as empty; all texts without words are copies
 of each other. Rows without doc_id, and rows that share one, are kept once a group like all others; equal rows are copies. Texts are read whole,
@@ -21,6 +22,7 @@ however long. An empty table gives an empty result. Other columns, whatever thei
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,13 +35,15 @@ from pyspark.sql import functions as F
 
 from cellweave.llm import simhash
 from cellweave.llm.common import coded, even_join, id_and_text, one_of_each, slices, split_words, table, written
+from cellweave.operators.graph import components
 
-SHINGLE, PARTS, SAMPLE, OFTEN = 5, 4, 5000, 3
-#: One of SOME buckets is looked at in the first step; up to FEW ids are broadcast.
-SOME, FEW = 4, 1 << 18
+SHINGLE = 5
 #: Copies are alike in ALIKE[0] / ALIKE[1] of their shingles or more; whole numbers, as a limit must not be rounded.
 ALIKE = (4, 5)
-PARITY = [f"p{k}" for k in range(PARTS)]
+#: Sampled shingles at least, where a set has as many; the chance that a sample hides a link; up to FEW ids are broadcast.
+LEAST, MISS, FEW = 64, 1e-12, 1 << 18
+#: Samples larger than this need no more in common than one of this size.
+MOST = 511
 #: Fixed odd multipliers: one for each place of a shingle, then those of the mixer.
 ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB], dtype="<u8")
 
@@ -77,25 +81,14 @@ def by_row(values: np.ndarray, counts: np.ndarray, how: np.ufunc) -> np.ndarray:
     return out
 
 
-def parities(hashes: np.ndarray, counts: np.ndarray) -> list[np.ndarray]:
-    bit, word = np.uint64(1) << (hashes & np.uint64(63)), (hashes >> np.uint64(6)) % np.uint64(PARTS)
-    return [by_row(np.where(word == k, bit, np.uint64(0)), counts, np.bitwise_xor) for k in range(PARTS)]
-
-
-def often_seen(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles of OFTEN or more documents of a sample of about SAMPLE, ascending, and how many documents hold each."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, most=1 << 20):
-            yield pa.record_batch({"h": shingle_sets(batch.column("text"))[0].view(np.int64)})
-
-    text = F.coalesce("text", F.lit(""))
-    share = F.lit(max(1, docs.count() // SAMPLE))
-    chosen = docs.where(F.pmod(F.xxhash64(text, "doc_id"), share) == 0).select(text.alias("text"))
-    rows = chosen.mapInArrow(run, "h long").groupBy("h").count().where(F.col("count") >= OFTEN).orderBy(F.desc("count"), "h").limit(200000).toArrow()
-    h, n = rows["h"].to_numpy().view("<u8"), rows["count"].to_numpy()
-    order = np.argsort(h)
-    return h[order], n[order]
+def needed(s: int) -> int:
+    """Of s random shingles of a set at least so many are in a set that is alike, but for a chance of MISS."""
+    share, chance = ALIKE[0] / ALIKE[1], 0.0
+    for q in range(s + 1):
+        chance += math.comb(s, q) * share**q * (1 - share) ** (s - q)
+        if chance >= MISS:
+            return q
+    return s
 
 
 def simhashes(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -110,32 +103,25 @@ def simhashes(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 def shingled(docs: DataFrame) -> DataFrame:
-    """row (a key), doc_id, t (hash of the text), the set's digest d0 and d1, its SimHash fp, its size, its parities and its first shingles in the common order, rare ones first."""
-    longs = ("row", "doc_id", "t", "d0", "d1", "fp", "size", *PARITY)
-    schema = pa.schema([*((c, pa.int64()) for c in longs), ("prefix", pa.list_(pa.int64()))])
-    often = docs.sparkSession.sparkContext.broadcast(often_seen(docs))
+    """row (a key), doc_id, t (hash of the text), the set's digest d0 and d1, its SimHash fp, its size, the level of its sample, and this."""
+    longs = ("row", "doc_id", "t", "d0", "d1", "fp", "size", "level")
+    schema = pa.schema([*((c, pa.int64()) for c in longs), ("sample", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, seen = often.value
         row = TaskContext.get().partitionId() << 40
         for batch in slices(batches, most=1 << 19):
             hashes, counts = shingle_sets(batch.column("text"))
             d0, d1 = by_row(hashes, counts, np.add), by_row(mixed(hashes ^ ODD[0]), counts, np.add)
-            level = np.zeros(len(hashes), dtype=np.int64)
-            if len(known):
-                at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
-                level = np.where(known[at] == hashes, seen[at], 0)
-            order = np.lexsort((hashes, level, np.repeat(np.arange(len(counts)), counts)))
-            heads = np.where(counts > 0, counts * (ALIKE[1] - ALIKE[0]) // ALIKE[1] + 1, 0)  # as heads_of
-            nth = np.arange(len(hashes)) - np.repeat(np.cumsum(counts) - counts, counts)
-            first = hashes[order][nth < np.repeat(heads, counts)]
-            prefix = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(heads)]), pa.int32()), pa.array(first.view(np.int64)))
-            bits = {p: v.view(np.int64) for p, v in zip(PARITY, parities(hashes, counts), strict=True)}
+            level = np.floor(np.log2(np.maximum(counts, LEAST) / LEAST)).astype(np.int64)
+            of = np.repeat(np.arange(len(counts)), counts)
+            taken = hashes & ((np.uint64(1) << level.astype(np.uint64)) - np.uint64(1))[of] == 0
+            cuts = np.concatenate([[0], np.cumsum(np.bincount(of[taken], minlength=len(counts)))])
+            sample = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(hashes[taken].view(np.int64)))
             rows = np.arange(row, row + len(counts))
             row += len(counts)
-            yield table(schema, row=rows, doc_id=batch.column("doc_id"), t=batch.column("t"), d0=d0.view(np.int64), d1=d1.view(np.int64), fp=simhashes(hashes, counts).view(np.int64), size=counts, prefix=prefix, **bits)
+            yield table(schema, row=rows, doc_id=batch.column("doc_id"), t=batch.column("t"), d0=d0.view(np.int64), d1=d1.view(np.int64), fp=simhashes(hashes, counts).view(np.int64), size=counts, level=level, sample=sample)
 
-    return id_and_text(docs).withColumn("t", F.xxhash64("text")).mapInArrow(run, ", ".join(f"{c} long" for c in longs) + ", prefix array<long>")
+    return id_and_text(docs).withColumn("t", F.xxhash64("text")).mapInArrow(run, ", ".join(f"{c} long" for c in longs) + ", sample array<long>")
 
 
 def enough(common: Column, a: Column, b: Column) -> Column:
@@ -143,16 +129,29 @@ def enough(common: Column, a: Column, b: Column) -> Column:
     return common * (ALIKE[0] + ALIKE[1]) >= (a + b) * ALIKE[0]
 
 
-def heads_of(size: Column) -> Column:
-    """How many of a set's first shingles are compared."""
-    return F.floor(size * (ALIKE[1] - ALIKE[0]) / ALIKE[1]) + 1
+def samples(distinct: DataFrame) -> DataFrame:
+    """who (twice the id, and 1 more for the next level), level, sample and q, how many of it an alike set has at least."""
+    own = distinct.select("id", "size", "level", "sample", F.lit(0).alias("next"))
+    # a set that is alike may have up to ALIKE[1] / ALIKE[0] times the shingles
+    border = F.col("size") * ALIKE[1] >= F.call_function("shiftleft", F.lit(LEAST * ALIKE[0]).cast("long"), (F.col("level") + 1).cast("int"))
+    deeper = F.filter("sample", lambda x: x.bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("level") + 1).cast("int")) - 1) == 0)
+    more = distinct.where(border).select("id", "size", F.col("level") + 1, deeper, F.lit(1))
+    each = own.unionAll(more)
+    s = F.size("sample")
+    of_sample = F.element_at(F.array(*[F.lit(needed(k)) for k in range(MOST + 1)]), F.least(s, F.lit(MOST)) + 1)
+    q = F.when(F.col("level") == 0, F.ceil(s * ALIKE[0] / ALIKE[1])).otherwise(of_sample)
+    return each.select((F.col("id") * 2 + F.col("next")).alias("who"), "level", "sample", q.cast("int").alias("q"), s.alias("s")).where("s > 0")
 
 
-def possible(x: str, y: str) -> Column:
-    """What every link fulfils: sizes and parities."""
-    a, b = F.col(f"{x}.size"), F.col(f"{y}.size")
-    differ = sum((F.bit_count(F.col(f"{x}.{p}").bitwiseXOR(F.col(f"{y}.{p}"))) for p in PARITY), F.lit(0))
-    return enough(F.least(a, b), a, b) & (differ * (ALIKE[0] + ALIKE[1]) <= (a + b) * (ALIKE[1] - ALIKE[0]))
+def buckets(each: DataFrame) -> DataFrame:
+    """who, key (a sampled shingle at a level) and score of the first shingles, rare ones first, of those samples of which others have enough."""
+    key = F.explode(F.transform("sample", lambda x: x.bitwiseXOR(F.call_function("shiftleft", F.col("level"), F.lit(58))))).alias("key")
+    held = each.select("who", key).withColumn("held", F.count("*").over(Window.partitionBy("key"))).where("held > 1")
+    held = written(held, "shared-shingles")
+    known = held.groupBy("who").agg(F.count("*").alias("m"), F.sum("held").alias("sum")).join(each.select("who", "s", "q"), "who")
+    left = known.where(F.col("m") >= F.greatest("q", F.lit(1))).select("who", (F.col("m") - F.greatest("q", F.lit(1)) + 1).alias("first"), (F.col("sum") / F.col("s")).alias("score"))
+    some = held.join(left, "who").withColumn("nth", F.row_number().over(Window.partitionBy("who").orderBy("held", "key")))  # a sample is small
+    return written(some.where("nth <= first").select("who", "key", "score"), "first-shingles")
 
 
 def with_both(pairs: DataFrame, each: DataFrame, column: str) -> DataFrame:
@@ -196,35 +195,36 @@ def by_simhash(distinct: DataFrame) -> DataFrame:
     prints = written(distinct.groupBy("fp").agg(F.min("id").alias("first"), F.count("*").alias("n")), "distinct-fingerprints")
     same = even_join(distinct.select("id", "fp"), prints, "fp", distinct.count()).where("id != first").select(F.col("first").alias("a"), F.col("id").alias("b"))
     stars = written(simhash.star_links(prints.select(F.col("first").alias("id"), "fp")), "simhash-stars")
-    label = simhash.components(stars).withColumnRenamed("component", "group")
+    label = components(stars).withColumnRenamed("component", "group")
     known = prints.select(F.col("first").alias("id"), "fp").join(label, "id", "left").select("id", "fp", F.coalesce("group", "id").alias("group"))
     return same.unionAll(stars).unionAll(simhash.links(written(known, "grouped-fingerprints")))
 
 
-def by_some_buckets(shared: DataFrame, distinct: DataFrame) -> DataFrame:
-    """Pairs (a, b): each id with two of each of the buckets looked at, if they meet there about as often as links do."""
-    some = shared.where(F.pmod(F.xxhash64("key"), F.lit(SOME)) == 0)
-    first = [F.min_by("id", F.xxhash64("id", F.lit(turn))) for turn in range(2)]
-    middle = some.groupBy("key").agg(F.array_distinct(F.array(*first)).alias("middle"), F.count("*").alias("n"))
-    met = even_join(some.select("key", "id"), middle, "key", some.count()).select("id", F.explode("middle").alias("m")).where("id != m")
-    met = met.groupBy("id", "m").agg(F.count("*").alias("met")).join(distinct.select("id", "size"), "id")
-    # sets of a size that are alike share 4 / 45 of it among their first shingles; half of that will do
-    return met.where(F.col("met") * SOME * 90 >= F.col("size") * 4).select(F.least("id", "m").alias("a"), F.greatest("id", "m").alias("b"))
+def by_stars(shared: DataFrame) -> DataFrame:
+    """Pairs (a, b) of samples: each with two of each of its buckets."""
+    first = [F.max_by("who", F.struct("score", "who")), F.min_by("who", F.xxhash64("who"))]
+    middle = shared.groupBy("key").agg(F.array_distinct(F.array(*first)).alias("middle"), F.count("*").alias("n"))
+    met = even_join(shared.select("key", "who"), middle, "key", shared.count()).select("who", F.explode("middle").alias("m")).where("who != m")
+    return met.select(F.least("who", "m").alias("a"), F.greatest("who", "m").alias("b"))
 
 
-def between_groups(shared: DataFrame, members: DataFrame, distinct: DataFrame) -> DataFrame:
-    """Pairs (a, b) of ids of different groups that could be alike by the first shingles that they share."""
-    of = shared.join(members, "id")
+def between_groups(shared: DataFrame, members: DataFrame) -> DataFrame:
+    """Pairs (a, b) of samples of different groups that meet."""
+    of = shared.select("key", "who", F.floor(F.col("who") / 2).alias("id")).join(members, "id")
     mixed_keys = of.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low != high").select("key")
-    each = written(of.join(mixed_keys, "key", "left_semi").join(distinct.select("id", "size", *PARITY), "id"), "mixed-buckets")
+    each = written(of.join(mixed_keys, "key", "left_semi").select("key", "who", "group"), "mixed-buckets")
     others = each.select("key", "group").distinct().withColumnRenamed("group", "other")
     asks = each.join(others, "key").where(F.col("group") < F.col("other"))
     same = (F.col("x.key") == F.col("y.key")) & (F.col("x.other") == F.col("y.group"))
-    near = asks.alias("x").join(each.alias("y"), same & possible("x", "y"))
-    met = near.groupBy(F.col("x.id").alias("a"), F.col("y.id").alias("b")).agg(F.count("*").alias("met"), F.first("x.size").alias("x"), F.first("y.size").alias("y"))
-    # of the set whose last compared shingle comes first, all common shingles that come later are among its other ones
-    later = F.greatest(F.col("x") - heads_of(F.col("x")), F.col("y") - heads_of(F.col("y")))
-    return met.where(enough(F.col("met") + later, F.col("x"), F.col("y"))).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    met = asks.alias("x").join(each.alias("y"), same)
+    return met.select(F.least("x.who", "y.who").alias("a"), F.greatest("x.who", "y.who").alias("b"))
+
+
+def by_samples(pairs: DataFrame, each: DataFrame) -> DataFrame:
+    """The pairs (a, b) of ids whose samples (given as pairs of who) have enough in common."""
+    both = with_both(written(pairs.distinct(), "met"), each.select(F.col("who").alias("id"), F.struct("sample", "q").alias("held")), "held")
+    common = F.size(F.array_intersect("x.sample", "y.sample")) >= F.greatest("x.q", "y.q")
+    return both.where(common).select(F.floor(F.col("a") / 2).alias("a"), F.floor(F.col("b") / 2).alias("b")).where("a != b")
 
 
 def joined(members: DataFrame, links: DataFrame) -> DataFrame:
@@ -233,23 +233,25 @@ def joined(members: DataFrame, links: DataFrame) -> DataFrame:
         return members
     of = lambda c, g: members.select(F.col("id").alias(c), F.col("group").alias(g))
     between = links.join(of("a", "x"), "a").join(of("b", "y"), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
-    label = simhash.components(between).withColumnRenamed("id", "group")
+    label = components(between).withColumnRenamed("id", "group")
     return written(members.join(label, "group", "left").select("id", F.coalesce("component", "group").alias("group")), "grouped")
 
 
 def grouped(docs: DataFrame) -> DataFrame:
     """doc_id, t and group of every row."""
-    marked = written(shingled(docs), "shingle-prefixes")
-    whole = F.min_by(F.struct("doc_id", "t", "fp", "size", *PARITY), "row").alias("m")
+    marked = written(shingled(docs), "shingle-samples")
+    whole = F.min_by(F.struct("doc_id", "t", "fp", "size", "level"), "row").alias("m")
     distinct = marked.groupBy("d0", "d1").agg(F.min("row").alias("id"), F.count("*").alias("n"), whole)
     distinct = written(distinct.select("d0", "d1", "id", "n", "m.*"), "distinct-sets")
-    heads = marked.where(F.size("prefix") > 0).select(F.col("row").alias("id"), "prefix").join(distinct.select("id"), "id", "left_semi")
-    held = heads.select("id", F.explode("prefix").alias("key")).withColumn("held", F.count("*").over(Window.partitionBy("key")))
-    shared = written(held.where("held > 1").select("key", "id"), "shared-shingles")
-    members = distinct.select("id", F.col("id").alias("group"))
-    members = joined(members, verified(by_simhash(distinct).unionAll(by_some_buckets(shared, distinct)), distinct, docs))
-    members = joined(members, verified(between_groups(shared, members, distinct), distinct, docs))
-    of_set = distinct.join(members, "id").select("d0", "d1", "group", "n")
+    each = samples(marked.select(F.col("row").alias("id"), "size", "level", "sample").join(distinct.select("id"), "id", "left_semi"))
+    shared = buckets(each)
+    left = shared.select(F.floor(F.col("who") / 2).alias("id")).distinct()
+    some = written(distinct.join(left, "id", "left_semi"), "sets-with-neighbours")
+    each = written(each.join(shared.select("who").distinct(), "who", "left_semi"), "samples-with-neighbours")
+    members = some.select("id", F.col("id").alias("group"))
+    members = joined(members, verified(by_simhash(some).unionAll(by_samples(by_stars(shared), each)), some, docs))
+    members = joined(members, verified(by_samples(between_groups(shared, members), each), some, docs))
+    of_set = distinct.join(members, "id", "left").select("d0", "d1", F.coalesce("group", "id").alias("group"), "n")
     return even_join(marked.select("doc_id", "t", "d0", "d1"), of_set, ["d0", "d1"], marked.count()).select("doc_id", "t", "group")
 
 

@@ -1,10 +1,9 @@
 """Groups by exact five-word-shingle similarity against a comparison of all pairs."""
 
+import math
 import random
 import re
 
-import pytest
-
 from cellweave.llm import shingle_copies as S
 from test_simhash import reachable
 
@@ -34,17 +33,16 @@ def edited(w, kind, share, draw):
     return [f"new{draw.randrange(10**6)}" if draw.random() < share / 5 else x for x in w]
 
 
-@pytest.mark.parametrize("kind", ["cut", "appended", "inserted", "replaced"])
-def test_every_kind_of_edit_is_found(make, kind):
-    draw, texts = random.Random(kind), []
-    for share in (0.02, 0.05, 0.1, 0.15, 0.18):
-        for _ in range(16):
-            w = words(draw, draw.randrange(100, 600))
-            texts += [" ".join(w), " ".join(edited(w, kind, share, draw))]
-    sets = [shingles(t) for t in texts]
-    pairs = [i for i in range(0, len(texts), 2) if alike(sets[i], sets[i + 1])]
+def test_every_kind_of_edit_is_found(make):
+    draw, texts, pairs = random.Random("edits"), [], dict.fromkeys(["cut", "appended", "inserted", "replaced"], 0)
+    for kind in pairs:
+        for share in (0.02, 0.05, 0.1, 0.15, 0.18):
+            for _ in range(16):
+                w = words(draw, draw.randrange(100, 600))
+                texts += [" ".join(w), " ".join(edited(w, kind, share, draw))]
+                pairs[kind] += alike(*map(shingles, texts[-2:]))
     group = {r.doc_id: r.component_id for r in S.groups(make(texts)).collect()}
-    assert len(pairs) >= 40 and all((group[i] == group[i + 1]) == alike(sets[i], sets[i + 1]) for i in range(0, len(texts), 2))
+    assert min(pairs.values()) >= 40 and all((group[i] == group[i + 1]) == alike(shingles(texts[i]), shingles(texts[i + 1])) for i in range(0, len(texts), 2))
 
 
 def test_groups_against_all_pairs(make, odd, real):
@@ -69,3 +67,20 @@ def test_rows_without_or_with_shared_ids_are_kept_once_a_group(make):
     texts = ["a b c d e f g", "h i j k l m n", "h i j k l m n", "o p q r s t u", "v w x y z 1 2"]
     kept = S.keep_one(make(texts, ids=[None, None, None, 7, 7])).collect()
     assert sorted((r.text, r.doc_id) for r in kept) == [(texts[0], None), (texts[1], None), (texts[3], 7), (texts[4], 7)]
+
+
+def test_needed_is_the_quantile_of_a_binomial():
+    for n in (1, 7, 64, 127, 300):
+        below = sum(math.comb(n, k) * 0.8**k * 0.2 ** (n - k) for k in range(S.needed(n)))
+        assert below < S.MISS <= below + math.comb(n, S.needed(n)) * 0.8 ** S.needed(n) * 0.2 ** (n - S.needed(n))
+
+
+def test_long_texts_and_borders_of_samples(make):
+    """Sizes about the borders at which samples change, and very long texts, each with a copy that is just alike and one that isn't."""
+    draw, texts = random.Random(9), []
+    for n in (60, 66, 127, 130, 250, 262, 1030, 20000):
+        w = words(draw, n)
+        texts += [" ".join(w), " ".join(w[: int(0.82 * n) + 1]), " ".join(w + words(draw, int(0.2 * n))), " ".join(w[: int(0.7 * n)])]
+    sets = [shingles(t) for t in texts]
+    label = reachable(len(texts), [(a, b) for a in range(len(texts)) for b in range(a + 1, len(texts)) if alike(sets[a], sets[b])])
+    assert [(r.doc_id, r.component_id) for r in sorted(S.groups(make(texts)).collect())] == list(enumerate(label)) and len(set(label)) < len(texts) - 8

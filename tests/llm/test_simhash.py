@@ -71,24 +71,6 @@ def test_rows_without_or_with_shared_ids(make):
     assert S.keep_one(more).columns == more.columns and S.keep_one(more).count() == 4
 
 
-def test_even_join_is_a_join(spark):
-    from cellweave.llm.common import HOT, even_join
-
-    left = spark.range(3 * HOT).selectExpr("id", "if(id % 3 = 0, -1, id) as k")
-    right = left.groupBy("k").count().withColumnRenamed("count", "n").selectExpr("k", "n", "k * 2 as twice").where("k != 4")
-    rows = {(r.id, r.k, r.twice) for r in even_join(left, right, "k", left.count()).collect()}
-    assert rows == {(i, k, 2 * k) for i in range(3 * HOT) for k in [-1 if i % 3 == 0 else i] if k != 4}
-
-
-def test_components(spark):
-    draw = random.Random(4)
-    edges = [(i, i + 1) for i in range(60)] + [(100 + draw.randrange(80), 100 + draw.randrange(80)) for _ in range(60)] + [(300, x) for x in range(301, 340)]
-    rows = S.components(spark.createDataFrame(edges, "a long, b long")).collect()
-    label = reachable(400, edges)
-    assert sorted((r.id, r.component) for r in rows) == [(i, label[i]) for i in sorted({x for e in edges if e[0] != e[1] for x in e})]
-    assert S.components(spark.createDataFrame([], "a long, b long")).count() == 0
-
-
 def test_groups(make, odd, real):
     texts = odd + real.text.tolist() + odd
     docs = make(texts, ids=[3 * i + 1 for i in range(len(texts))])
