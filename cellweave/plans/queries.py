@@ -575,13 +575,14 @@ def region_group_saved(c: CellSet) -> DataFrame:
 
 
 @query(f""", {HITS}, {FALLBACK}, n AS (SELECT region, count(*) AS n FROM held GROUP BY region)
-SELECT grp, ordinal::INT AS ordinal, region, 'polygon' AS tool, true AS visible, coalesce(n, 0) AS n, 'sample' AS sample_column, 0.25::DOUBLE AS fill_opacity, 2.0::DOUBLE AS outline_weight, 0.125::DOUBLE AS alpha
+SELECT grp, coalesce(ordinal, -1)::INT AS ordinal, region, 'polygon' AS tool, true AS visible, coalesce(n, 0) AS n, 'sample' AS sample_column, 0.25::DOUBLE AS fill_opacity, 2.0::DOUBLE AS outline_weight, 0.125::DOUBLE AS alpha
 FROM (VALUES ('one'), ('two'), ('hole'), ('far'), ('line')) t(region) LEFT JOIN (VALUES {', '.join(f"('{g}', {o}, '{r}')" for g, o, r, _, _ in GROUPS)}) u(grp, ordinal, region) USING (region) LEFT JOIN n USING (region)""")
 def mask_details(c: CellSet) -> DataFrame:
     """Stored masks by groups, with what is stored about them."""
     rings = ring_table(c)
     stored = stored_masks(c, regions.capture(points(c.coords, "spatial"), rings), rings, fallbacks=fallbacks(c), sample_column="sample", fill_opacity=0.25, alpha=0.125)
-    return regions.grouped_regions(stored).crossJoin(F.broadcast(stored["mask_info"].drop("form")))
+    found = regions.grouped_regions(stored).withColumn("ordinal", F.coalesce("ordinal", F.lit(-1)))
+    return found.crossJoin(F.broadcast(stored["mask_info"].drop("form")))
 
 
 @query(f""", {HITS}, {MOVED_SQL}, kept AS (SELECT region, count(*) AS n FROM hits GROUP BY region) SELECT region, vertex::INT AS vertex, round(vx + coalesce(tx - sx, 0), 6) AS x, round(vy + coalesce(ty - sy, 0), 6) AS y, coalesce(n, 0) AS n
@@ -708,8 +709,8 @@ def ribbon_silent_gene(c: CellSet) -> DataFrame:
     return rounded(ribbon.ribbon_heatmap(c, RIBBON, ["G_m", tables.SILENT, "absent"], "spatial", n_bins=N_BINS), "mean")
 
 
-@query(f""", {BINS}, some AS (SELECT bin, cell_idx FROM inbin JOIN cells USING (cell_idx) WHERE cell_type IN ('click', 'view'))
-SELECT 'G_m' AS gene, bin::INT AS bin, (SELECT count(*) FROM some s WHERE s.bin = quad.bin) AS cell_count, round(coalesce((SELECT sum(value::DOUBLE) FROM some s JOIN expression e USING (cell_idx) WHERE s.bin = quad.bin AND e.gene = 'G_m') / nullif((SELECT count(*) FROM some s WHERE s.bin = quad.bin), 0), 0), 6) AS mean FROM quad""")
+@query(f""", {BINS}, part_of AS (SELECT bin, cell_idx FROM inbin JOIN cells USING (cell_idx) WHERE cell_type IN ('click', 'view'))
+SELECT 'G_m' AS gene, bin::INT AS bin, (SELECT count(*) FROM part_of s WHERE s.bin = quad.bin) AS cell_count, round(coalesce((SELECT sum(value::DOUBLE) FROM part_of s JOIN expression e USING (cell_idx) WHERE s.bin = quad.bin AND e.gene = 'G_m') / nullif((SELECT count(*) FROM part_of s WHERE s.bin = quad.bin), 0), 0), 6) AS mean FROM quad""")
 def ribbon_of_categories(c: CellSet) -> DataFrame:
     return rounded(ribbon.ribbon_heatmap(c, RIBBON, ["G_m"], "elsewhere", "cell_type", ["click", "view"], N_BINS), "mean")
 
