@@ -5,7 +5,8 @@ column (any lossless WebP file) to width, height and an array of red, green, blu
 
 Bytes 0 fill a text up to a positive multiple of 64, so null and empty texts are one row of zeros. Where a text needs more than 16384 rows, rows get
 wider, in multiples of 64, and the last one is filled up too. Nothing is shuffled: each task encodes and decodes the rows it
-reads. Equal texts give equal files. A text above 256 MiB doesn't fit an image and raises ValueError.
+reads. Equal texts give equal files; equal rows, rows without doc_id and rows that share one each have a row. An empty table gives an empty result. Other
+columns, whatever their names, are not read. Texts are read whole, however long; one above 256 MiB doesn't fit an image and raises ValueError.
 """
 
 from __future__ import annotations

@@ -11,8 +11,9 @@ those of their length; neither texts nor pieces pass through the driver.
    What has no exact complement goes by best fit, again many at a time.
 3. Ranges of ranks carry sequence numbers and offsets; each piece finds its range by binary search.
 
-Null texts count as empty; an empty text still has its end id, so no piece is empty. Equal rows are packed each on their own.
-An empty table gives an empty result. Other columns of the input are not read.
+Null texts count as empty; an empty text still has its end id, so no piece is empty. Equal rows, rows without doc_id and rows that share one are packed each on
+their own. Texts are read whole, however long. Of several combinations that fill a gap the one with the longest lengths is taken; which piece of a length goes
+where depends on the order of rows. An empty table gives an empty result. Other columns of the input, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -159,5 +160,6 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0)
             nth = length * RANKS + rank - r["key"][at]
             yield table(schema, **{c: b.column(c) for c in ("doc_id", "piece", "start", "length", "ids_crc32")}, sequence_id=r["sequence"][at] + nth // r["times"][at], offset=r["offset"][at] + nth % r["times"][at] * length)
 
-    ranked = pieces.join(counted.select("task", "length", "before"), ["task", "length"])
+    # as many rows as tasks have lengths: more than should be broadcast where tasks are many; no task wrote more pieces of a length than it has
+    ranked = pieces.join(counted.select("task", "length", "before").hint("merge"), ["task", "length"])
     return ranked.select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("task_rank") + F.col("before")).alias("rank")).mapInArrow(place, PLACED)

@@ -64,7 +64,7 @@ def suffix_array(symbols: np.ndarray, row: np.ndarray, ends: np.ndarray) -> tupl
     key = row.astype(np.uint64)
     for k in range(size):
         next_one = np.zeros(n, dtype=np.uint64)
-        next_one[: n - k] = np.where(left[: n - k] > k, symbols[k:], 0)
+        next_one[: max(n - k, 0)] = np.where(left[: max(n - k, 0)] > k, symbols[k:], 0)
         key = key << np.uint64(bits) | next_one
     order = np.argsort(key)
     slots, sorted_keys = np.arange(n), key[order]
@@ -242,7 +242,7 @@ def verdict(m: dict[str, np.ndarray], max_covered: float = MAX_COVERED, max_long
 
 COLUMNS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "covered_chars", "longest_repeat", "n_repeats")
 #: Bytes of text that are sorted at once.
-MOST = 1 << 20
+MOST = 1 << 18
 
 
 def apply_rules(docs: DataFrame, min_chars: int = MIN_CHARS, max_covered: float = MAX_COVERED, max_longest: int = MAX_LONGEST) -> DataFrame:

@@ -6,8 +6,9 @@ counts, and takes every document's count from the stored table. A second call ov
 
 Content is normalised as the tokenizer itself normalises it before it cuts anything (the byte-level tokenizer doesn't), so equal
 digests mean equal counts; a null text counts as an empty one. Equal texts are encoded once, also where a third of
-all rows are copies: they meet in the task that read them before anything is shuffled.
-Empty input gives no rows; other columns are not read; repeated rows give repeated results.
+all rows are copies: they meet in the task that read them before anything is shuffled, and counts of digests that very many rows have are broadcast.
+Empty input gives no rows and adds nothing to the cache. Texts are read whole, however long. Other columns, whatever their names, are not read; repeated rows, rows
+without doc_id and rows that share one each give a result.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellweave.llm.common import id_and_text, slices, table
+from cellweave.llm.common import even_join, id_and_text, slices, table, written
 from cellweave.llm.tokens import byte_bpe
 
 CACHE = "content binary, tokenizer binary, n_tokens long"
@@ -62,5 +63,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, cache: str, limit: int = 512)
     stored = read_cache(docs.sparkSession, cache).where(F.col("tokenizer") == F.lit(version(tokenizer)))
     # two runs at once may both have appended a digest; its counts are equal
     stored = stored.groupBy("content").agg(F.max("n_tokens").alias("n_tokens"))
-    each = digested(docs).select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), "content")
-    return each.join(stored, "content").select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
+    each = written(digested(docs).select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), "content"), "digests")
+    times = each.groupBy("content").agg(F.count("*").alias("n"))
+    found = even_join(each, stored.join(times, "content"), "content", each.count())
+    return found.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))

@@ -10,7 +10,9 @@ little-endian). A control byte holds the sizes, less one, of four ranks, two bit
 the files. Decoding looks up the four sizes of all control bytes in one table and gathers the data bytes by them.
 
 Documents are dealt by ranges of doc_id, so no task holds more than a range. The files are written to their final name by a rename; a
-task that runs again writes the same bytes. A null text counts as empty, a null doc_id comes first, equal rows are all kept.
+task that runs again writes the same bytes. A null text counts as empty, a null doc_id comes first, equal rows are all kept, and rows that share a doc_id follow
+each other in any order. Texts are read whole, however long: a file ends after the document with which it has FILE_IDS ids. Ids that are equally frequent are ranked
+by id. An empty table gives no files and an empty result. Other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations

@@ -1,6 +1,11 @@
 """From raw documents to packed sequences: quality rules, toxicity, near duplicates, mixing, packing.
 
-Each stage works on all that the one before kept, written as Parquet and read again.
+Each stage works on all that the one before kept, written as Parquet and read again. All but the last keep or drop whole rows of documents with all their
+columns, whatever their names.
+
+Null and empty texts have no words, so the quality rules drop them; repeated rows, ties in doc_id and rows without one are copies of each other only where their
+texts are (one of each group stays). Texts are read whole, however long. Without labels of both classes among what is left nothing is toxic.
+An empty table, or one of which nothing is left, gives an empty result.
 """
 
 from __future__ import annotations

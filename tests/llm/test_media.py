@@ -290,3 +290,12 @@ def test_wide_rows(monkeypatch):
     held = payload("a text of some length, " * 40)
     image = webp.decode(media.image_of(held))
     assert image.shape[1] == 256 and image[..., 1].tobytes()[: len(held)] == held
+
+
+def test_shared_and_missing_ids_and_long_texts(spark, make, tmp_path):
+    texts = ["one", "one", None, "line of a long text\n" * 20000]
+    docs = make(texts, ids=[7, 7, None, 7]).selectExpr("*", "1 as media", "2 as n_bytes")
+    media.store(docs, f"file://{tmp_path}/media")
+    rows = media.payloads(spark.read.parquet(f"file://{tmp_path}/media")).collect()
+    want = [(i or 0, len(t or ""), hashlib.sha256(media.padded((t or "").encode())).hexdigest()) for i, t in zip([7, 7, None, 7], texts, strict=True)]
+    assert sorted((r.doc_id or 0, r.n_bytes, r.payload_sha256) for r in rows) == sorted(want)

@@ -39,7 +39,7 @@ def test_stages(spark):
 
 def test_empty_and_odd_tables(spark, tmp_path, make, odd):
     """No document, or none with a label of both classes, is no error in any stage."""
-    for name, docs in (("none", make([])), ("odd", make(odd + [None, "x y z " * 9], ids=[*range(len(odd)), None, 3]))):
+    for name, docs in (("none", make([])), ("odd", make(odd + [None, "Twelve words that no other text has, so that it stays to the end.", "x y z " * 9], ids=[*range(len(odd)), None, None, 3]))):
         root = str(tmp_path / name)
         docs.withColumns({"group": F.lit(1), "cell_kept": F.lit(True), "t": F.lit("t")}).write.parquet(f"{root}/documents.parquet")
         spark.createDataFrame([(1, 1, None)], "doc_id long, quality int, toxic int").write.parquet(f"{root}/labels.parquet")

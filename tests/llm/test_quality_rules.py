@@ -90,6 +90,13 @@ def test_rules(make, odd):
     assert {(r.doc_id, r.first_char, r.n_chars, r.times) for r in Q.repeats(docs).collect()} == {(i, *k, n) for i, (_, _, maximal) in found.items() for k, n in maximal.items()}
 
 
+@pytest.mark.parametrize("batch", [["a"], ["", "ab"], ["a", "b"], [None], [""], ["aa"], ["a a", "a a"]])
+def test_tiny_batches(batch):
+    m = Q.measure(pa.array(batch, pa.string()), 1)
+    for i, text in enumerate(batch):
+        assert {c: int(m[c][i]) for c in Q.COLUMNS} == {c: v for c, v in brute(text, 1)[0].items() if c in Q.COLUMNS}
+
+
 def test_ids_and_columns(make):
     docs = make([None, "a b " * 9, "a b " * 9], ids=[None, 7, 7]).selectExpr("*", "1 as kept", "2 as n_words", "3 as covered")
     assert sorted((r.doc_id or 0, r.n_words) for r in Q.apply_rules(docs).collect()) == [(0, 0), (7, 18), (7, 18)]

@@ -131,3 +131,21 @@ def test_files_round_trip(spark, make, odd, tmp_path):
 def test_files_of_nothing(spark, make, tmp_path):
     token_store.write_files(make([]), WORD, f"file://{tmp_path}/files")
     assert token_store.read_files(spark, f"file://{tmp_path}/files").count() == 0
+
+
+def test_shared_and_missing_ids_long_texts_and_other_columns(spark, make, tmp_path):
+    """Every row counts on its own, whatever its id and however long its text."""
+    texts = ["one two", "one two", "three", None, "a longer text of words " * 30000, "x" * 200000]
+    ids = [7, 7, 7, None, None, 9]
+    docs = make(texts, ids=ids).selectExpr("*", "1 as task", "2 as length", "3 as n", "4 as content", "5 as ids", "6 as part")
+    lengths = [len(x) for x in ids_of(texts, 0)]
+    rows = packing.pack(docs, WORD).collect()
+    assert sorted(n for i in (7,) for n in [r.length for r in rows if r.doc_id == i]) == sorted(lengths[:3])
+    assert sum(r.length for r in rows if r.doc_id is None) == lengths[3] + lengths[4] and sum(r.length for r in rows) == sum(lengths)
+    path = f"file://{tmp_path}/files"
+    token_store.write_files(docs, WORD, path)
+    found = sorted((r.start, r.doc_id, r.n_tokens) for r in token_store.read_files(spark, path).collect())
+    assert [i for _, i, _ in found] == [None, None, 7, 7, 7, 9] and sorted(n for _, _, n in found) == sorted(lengths)
+    assert [a for a, _, _ in found] == [sum(n for _, _, n in found[:k]) for k in range(len(found))]
+    counted = token_counts.count_tokens(docs, BYTE, f"file://{tmp_path}/cache").collect()
+    assert sorted((r.doc_id or 0, r.n_bytes) for r in counted) == sorted((i or 0, len(t or "")) for i, t in zip(ids, texts, strict=True))
