@@ -29,17 +29,18 @@ def density_clusters(places: DataFrame, eps: float, min_samples: int) -> DataFra
     side = eps / math.sqrt(2) * (1 - 1e-12)
     at = places.join(F.broadcast(enough), "sample", "left_semi").select("sample", "cell_idx", "x", "y", tile(F.col("x"), side).alias("sx"), tile(F.col("y"), side).alias("sy"))
     tiles = at.groupBy("sample", "sx", "sy").agg(F.count("*").alias("n"), F.min("cell_idx").alias("of_tile"))
-    at = cut(at.join(tiles, ["sample", "sx", "sy"]).withColumn("dense", F.col("n") >= min_samples).select("sample", "cell_idx", "x", "y", "dense", F.when(F.col("n") >= min_samples, F.col("of_tile")).alias("of_tile")))
-    info = at.select(F.col("cell_idx").alias("b"), F.col("of_tile").alias("b_tile"))
+    at = cut(at.join(tiles, ["sample", "sx", "sy"]).withColumn("dense", F.col("n") >= min_samples).select("sample", "cell_idx", "x", "y", "sx", "sy", "dense", F.when(F.col("n") >= min_samples, F.col("of_tile")).alias("of_tile")))
     sparse = at.where("not dense")
     # pairs that start at a cell of a sparse tile: its degree, and its links
-    near = cut(pairs_between(sparse, at, eps).join(info, "b"))
+    near = cut(pairs_between(sparse, at, eps))
     degree = near.groupBy("a").agg(F.count("*").alias("degree"))
     core = degree.where(F.col("degree") >= min_samples).select(F.col("a").alias("cell_idx")).unionAll(at.where("dense").select("cell_idx"))
     core = cut(core)
-    stand_in = at.join(core, "cell_idx", "left_semi").select("cell_idx", F.coalesce("of_tile", "cell_idx").alias("node"))
-    from_core = near.join(core.withColumnRenamed("cell_idx", "a"), "a", "left_semi").join(stand_in.withColumnsRenamed({"cell_idx": "b", "node": "to"}), "b")
-    links = from_core.select(F.col("a").alias("a"), F.col("to").alias("b"))
+    # core cells of one tile are near each other: the first of them stands for all
+    core_cells = at.join(core, "cell_idx", "left_semi").select("cell_idx", "sample", "sx", "sy")
+    stand_in = cut(core_cells.join(core_cells.groupBy("sample", "sx", "sy").agg(F.min("cell_idx").alias("node")), ["sample", "sx", "sy"]).select("cell_idx", "node"))
+    of = lambda c, node: stand_in.select(F.col("cell_idx").alias(c), F.col("node").alias(node))
+    links = near.join(of("a", "x"), "a").join(of("b", "y"), "b").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
     dense = at.where("dense")
     between = near_tiles(dense, eps, side)
     itself = stand_in.select(F.col("node").alias("a"), F.col("node").alias("b"))
