@@ -63,8 +63,15 @@ def cut_pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int) -> D
     return written(id_and_text(docs).mapInArrow(run, PIECES), "pieces")
 
 
-def complement(have: np.ndarray, length: int, gap: int, pairs: np.ndarray) -> tuple[int, ...] | None:
-    """One, two or three lengths that sum to the gap and are there beside one of `length`; the longest first. pairs: sums that two lengths had."""
+def index_sums(have: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """Whether each sum up to the capacity is one of two lengths that are there, and of three. A sum is its own hash."""
+    one = (have > 0).astype(np.float64)
+    two = np.convolve(one, one)[: capacity + 1] > 0.5
+    return two, np.convolve(two.astype(np.float64), one)[: capacity + 1] > 0.5
+
+
+def complement(have: np.ndarray, length: int, gap: int, pairs: np.ndarray, triples: np.ndarray) -> tuple[int, ...] | None:
+    """One, two or three lengths that sum to the gap and are there beside one of `length`; the longest first. pairs, triples: index_sums of these lengths or more."""
     spare = have.copy()
     spare[length] -= 1
     if spare[gap] > 0:
@@ -77,6 +84,8 @@ def complement(have: np.ndarray, length: int, gap: int, pairs: np.ndarray) -> tu
 
     if pairs[gap] and (found := two(gap, spare)):
         return found
+    if not triples[gap]:
+        return None
     first = np.flatnonzero(spare[: max(gap - 1, 0)])
     for a in first[pairs[gap - first] & (first > 0)][::-1].tolist():
         spare[a] -= 1
@@ -93,14 +102,14 @@ def plan(counts: np.ndarray, capacity: int) -> list[tuple[list[tuple[int, int]],
     if have[capacity]:
         kinds.append(([(capacity, 1)], int(have[capacity])))
         have[capacity] = 0
-    pairs, left = None, -1
+    pairs = triples = None
+    left = -1
     for length in range(capacity - 1, 0, -1):
         while have[length]:
             there = int((have > 0).sum())
             if pairs is None or there < left - 16:  # the index may name sums that are gone, never miss one
-                present, left = (have > 0).astype(np.float64), there
-                pairs = np.convolve(present, present)[: capacity + 1] > 0.5
-            found = complement(have, length, capacity - length, pairs)
+                (pairs, triples), left = index_sums(have, capacity), there
+            found = complement(have, length, capacity - length, pairs, triples)
             if found is None:
                 break
             lengths, times = np.unique([length, *found], return_counts=True)

@@ -105,7 +105,19 @@ def test_complements_before_best_fit():
     # 6+4 and 7+2+1 leave nothing over; best fit alone would put 2 beside 6
     kinds = packing.plan(np.bincount([6, 4, 7, 2, 1], minlength=11), 10)
     assert sorted(sorted(a for a, n in held for _ in range(n)) for held, _ in kinds) == [[1, 2, 7], [4, 6]]
-    assert packing.complement(np.bincount([9, 5, 3, 3], minlength=21), 9, 11, np.ones(21, dtype=bool)) == (5, 3, 3)
+    have = np.bincount([9, 5, 3, 3], minlength=21)
+    assert packing.complement(have, 9, 11, *packing.index_sums(have, 20)) == (5, 3, 3)
+    assert packing.complement(have, 9, 12, *packing.index_sums(have, 20)) is None  # 3 + 9 would take the one 9 itself
+
+
+def test_index_of_sums():
+    draw = np.random.default_rng(3)
+    for _ in range(20):
+        have = draw.integers(0, 2, 31) * (np.arange(31) > 0)
+        there = np.flatnonzero(have)
+        two = {a + b for a in there for b in there}
+        pairs, triples = packing.index_sums(have, 30)
+        assert set(np.flatnonzero(pairs)) == {x for x in two if x <= 30} and set(np.flatnonzero(triples)) == {x + c for x in two for c in there if x + c <= 30}
 
 
 @pytest.mark.parametrize("most", [1, 200, 70_000, 1 << 26])
