@@ -7,7 +7,7 @@ DOCS = "doc_id long, text string, lang string, source string, n_chars long, piec
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     root = tmp_path_factory.mktemp("spark")
-    builder = SparkSession.builder.master("local[4]").config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false")
+    builder = SparkSession.builder.master("local[4]").config("spark.sql.shuffle.partitions", "2").config("spark.ui.enabled", "false")
     session = builder.config("spark.sql.session.timeZone", "UTC").config("spark.sql.warehouse.dir", str(root / "warehouse")).getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
     session.sparkContext.setCheckpointDir(f"file://{root}/shared")
