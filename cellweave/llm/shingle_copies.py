@@ -5,7 +5,8 @@ A text is the set of its five-word shingles (A-Z lower-cased; a shorter text is
 1. Sampled sets. Of a set of 64 * 2**k shingles or more, those whose hash ends in k zero bits are its sample (64 to 128 are expected; smaller sets are whole). Sets that could
    be alike across a boundary of k also have the next sample. A sample is random, so of s sampled shingles of one set, at least needed(s) are in
    any set that is alike, but for a chance of MISS: the same order of chance as that different shingles share a hash. So a set with fewer sampled shingles that any
-   other set has is alone. That leaves near copies, and texts that mostly are passages of others; common passages in other texts bring nobody together.
+   other set has is alone. Of what is left the whole sets are counted in the same way. That leaves near copies, and texts that mostly are passages of
+   others; common passages in other texts bring nobody together.
 2. SimHash. The SimHashes of what is left are linked by pigeonring filtering (`simhash`), and these links are verified on the sets.
 3. SimHashes of sets that are 0.8 alike differ in about 10 of 64 bits, so these links are not all. Samples are ordered alike everywhere, rare shingles first;
    two samples with needed(s) shingles in common share one among the first s - needed(s) + 1 of each, and meet there. What meets is compared by sizes
@@ -13,7 +14,7 @@ A text is the set of its five-word shingles (A-Z lower-cased; a shorter text is
 
 Large groups of copies would meet in all pairs. So before step 3 each set is also compared with two of each of its buckets: the one whose shingles are the most
 common (an original has few of its own), and any one. What the verified links join is one group; a set then meets the groups that a bucket holds, and
-the sets of other groups; those of one group never meet.
+the sets of other groups, if sizes and what others have of them allow it; those of one group never meet.
 
 Sets aren't stored: they are made again from the texts for those that are compared. Null texts count as empty; all texts without words are copies
 of each other. Rows without doc_id, and rows that share one, are kept once a group like all others; equal rows are copies. Texts are read whole,
@@ -103,8 +104,9 @@ def simhashes(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 def shingled(docs: DataFrame) -> DataFrame:
-    """row (a key), doc_id, t (hash of the text), the set's digest d0 and d1, its SimHash fp, its size, the level of its sample, and this."""
-    longs = ("row", "doc_id", "t", "d0", "d1", "fp", "size", "level")
+    """row (a key), doc_id, t (hash of the text), the set's digest d0 and d1, its SimHash fp, its size, the level of its sample, how many of it and of the next one an alike set has at least (-1: has no next), and the sample."""
+    longs = ("row", "doc_id", "t", "d0", "d1", "fp", "size", "level", "q", "next_q")
+    enough_of = np.array([needed(k) for k in range(MOST + 1)])
     schema = pa.schema([*((c, pa.int64()) for c in longs), ("sample", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -115,11 +117,17 @@ def shingled(docs: DataFrame) -> DataFrame:
             level = np.floor(np.log2(np.maximum(counts, LEAST) / LEAST)).astype(np.int64)
             of = np.repeat(np.arange(len(counts)), counts)
             taken = hashes & ((np.uint64(1) << level.astype(np.uint64)) - np.uint64(1))[of] == 0
-            cuts = np.concatenate([[0], np.cumsum(np.bincount(of[taken], minlength=len(counts)))])
+            s = np.bincount(of[taken], minlength=len(counts))
+            deeper = hashes & ((np.uint64(2) << level.astype(np.uint64)) - np.uint64(1))[of] == 0
+            q = np.where(level == 0, -(-s * ALIKE[0] // ALIKE[1]), enough_of[np.minimum(s, MOST)])
+            # a set that is alike may have up to ALIKE[1] / ALIKE[0] times the shingles
+            border = counts * ALIKE[1] >= (LEAST * ALIKE[0]) << (level + 1)
+            next_q = np.where(border, enough_of[np.minimum(np.bincount(of[deeper], minlength=len(counts)), MOST)], -1)
+            cuts = np.concatenate([[0], np.cumsum(s)])
             sample = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(hashes[taken].view(np.int64)))
             rows = np.arange(row, row + len(counts))
             row += len(counts)
-            yield table(schema, row=rows, doc_id=batch.column("doc_id"), t=batch.column("t"), d0=d0.view(np.int64), d1=d1.view(np.int64), fp=simhashes(hashes, counts).view(np.int64), size=counts, level=level, sample=sample)
+            yield table(schema, row=rows, doc_id=batch.column("doc_id"), t=batch.column("t"), d0=d0.view(np.int64), d1=d1.view(np.int64), fp=simhashes(hashes, counts).view(np.int64), size=counts, level=level, q=q, next_q=next_q, sample=sample)
 
     return id_and_text(docs).withColumn("t", F.xxhash64("text")).mapInArrow(run, ", ".join(f"{c} long" for c in longs) + ", sample array<long>")
 
@@ -131,16 +139,10 @@ def enough(common: Column, a: Column, b: Column) -> Column:
 
 def samples(distinct: DataFrame) -> DataFrame:
     """who (twice the id, and 1 more for the next level), level, sample and q, how many of it an alike set has at least."""
-    own = distinct.select("id", "size", "level", "sample", F.lit(0).alias("next"))
-    # a set that is alike may have up to ALIKE[1] / ALIKE[0] times the shingles
-    border = F.col("size") * ALIKE[1] >= F.call_function("shiftleft", F.lit(LEAST * ALIKE[0]).cast("long"), (F.col("level") + 1).cast("int"))
-    deeper = F.filter("sample", lambda x: x.bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("level") + 1).cast("int")) - 1) == 0)
-    more = distinct.where(border).select("id", "size", F.col("level") + 1, deeper, F.lit(1))
-    each = own.unionAll(more)
-    s = F.size("sample")
-    of_sample = F.element_at(F.array(*[F.lit(needed(k)) for k in range(MOST + 1)]), F.least(s, F.lit(MOST)) + 1)
-    q = F.when(F.col("level") == 0, F.ceil(s * ALIKE[0] / ALIKE[1])).otherwise(of_sample)
-    return each.select((F.col("id") * 2 + F.col("next")).alias("who"), "level", "sample", q.cast("int").alias("q"), s.alias("s")).where("s > 0")
+    own = distinct.select((F.col("id") * 2).alias("who"), "level", "sample", "q")
+    deeper = F.filter("sample", lambda x: x.bitwiseAND(F.call_function("shiftleft", F.lit(2).cast("long"), F.col("level").cast("int")) - 1) == 0)
+    more = distinct.where("next_q >= 0").select(F.col("id") * 2 + 1, F.col("level") + 1, deeper, "next_q")
+    return own.unionAll(more).withColumn("s", F.size("sample")).where("s > 0")
 
 
 def buckets(each: DataFrame) -> DataFrame:
@@ -208,16 +210,29 @@ def by_stars(shared: DataFrame) -> DataFrame:
     return met.select(F.least("who", "m").alias("a"), F.greatest("who", "m").alias("b"))
 
 
-def between_groups(shared: DataFrame, members: DataFrame) -> DataFrame:
-    """Pairs (a, b) of samples of different groups that meet."""
-    of = shared.select("key", "who", F.floor(F.col("who") / 2).alias("id")).join(members, "id")
+def with_shared(some: DataFrame, docs: DataFrame) -> DataFrame:
+    """some with the column common: how many of a set's shingles other sets among them have; those of which too few are left out."""
+    held = sets_of(docs, some.select("id", "doc_id", "t")).select("id", F.explode("set").alias("key")).withColumn("held", F.count("*").over(Window.partitionBy("key")))
+    counted = held.where("held > 1").groupBy("id").agg(F.count("*").alias("common"))
+    # an alike set has ALIKE[0] / ALIKE[1] of the shingles at least
+    return some.join(counted, "id").where(F.col("common") * ALIKE[1] >= F.col("size") * ALIKE[0])
+
+
+def between_groups(shared: DataFrame, members: DataFrame, some: DataFrame) -> DataFrame:
+    """Pairs (a, b) of samples of different groups that meet and could be alike by their sizes and by what others have of them."""
+    of = shared.select("key", "who", F.floor(F.col("who") / 2).alias("id")).join(members.join(some.select("id", "size", "common"), "id"), "id").drop("id")
     mixed_keys = of.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low != high").select("key")
-    each = written(of.join(mixed_keys, "key", "left_semi").select("key", "who", "group"), "mixed-buckets")
-    others = each.select("key", "group").distinct().withColumnRenamed("group", "other")
-    asks = each.join(others, "key").where(F.col("group") < F.col("other"))
-    same = (F.col("x.key") == F.col("y.key")) & (F.col("x.other") == F.col("y.group"))
-    met = asks.alias("x").join(each.alias("y"), same)
-    return met.select(F.least("x.who", "y.who").alias("a"), F.greatest("x.who", "y.who").alias("b"))
+    each = written(of.join(mixed_keys, "key", "left_semi"), "mixed-buckets")
+    # groups of a bucket, then their members: neither those of one group nor those that can't be alike make rows
+    groups_of = each.groupBy("key", "group").agg(F.min("size").alias("low"), F.max("size").alias("high"), F.max("common").alias("common"))
+    x, y = groups_of.alias("x"), groups_of.alias("y")
+    near = (F.col("x.high") * ALIKE[1] >= F.col("y.low") * ALIKE[0]) & (F.col("y.high") * ALIKE[1] >= F.col("x.low") * ALIKE[0])
+    near = near & enough(F.least("x.common", "y.common"), F.col("x.low"), F.col("y.low"))
+    pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.group") < F.col("y.group")) & near).select("x.key", F.col("x.group").alias("gx"), F.col("y.group").alias("gy"))
+    side = lambda s: each.select("key", F.col("group").alias(f"g{s}"), *[F.col(c).alias(f"{c}_{s}") for c in ("who", "size", "common")])
+    a, b = F.col("size_x"), F.col("size_y")
+    met = pairs.join(side("x"), ["key", "gx"]).join(side("y"), ["key", "gy"]).where(enough(F.least(a, b, "common_x", "common_y"), a, b))
+    return met.select(F.least("who_x", "who_y").alias("a"), F.greatest("who_x", "who_y").alias("b"))
 
 
 def by_samples(pairs: DataFrame, each: DataFrame) -> DataFrame:
@@ -243,14 +258,15 @@ def grouped(docs: DataFrame) -> DataFrame:
     whole = F.min_by(F.struct("doc_id", "t", "fp", "size", "level"), "row").alias("m")
     distinct = marked.groupBy("d0", "d1").agg(F.min("row").alias("id"), F.count("*").alias("n"), whole)
     distinct = written(distinct.select("d0", "d1", "id", "n", "m.*"), "distinct-sets")
-    each = samples(marked.select(F.col("row").alias("id"), "size", "level", "sample").join(distinct.select("id"), "id", "left_semi"))
+    each = samples(marked.select(F.col("row").alias("id"), "level", "sample", "q", "next_q").join(distinct.select("id"), "id", "left_semi"))
     shared = buckets(each)
     left = shared.select(F.floor(F.col("who") / 2).alias("id")).distinct()
-    some = written(distinct.join(left, "id", "left_semi"), "sets-with-neighbours")
+    some = written(with_shared(written(distinct.join(left, "id", "left_semi"), "sets-with-neighbours"), docs), "sets-of-others")
+    shared = written(shared.join(some.select((F.col("id") * 2).alias("who")).unionAll(some.select(F.col("id") * 2 + 1)), "who", "left_semi"), "shared-by-these")
     each = written(each.join(shared.select("who").distinct(), "who", "left_semi"), "samples-with-neighbours")
     members = some.select("id", F.col("id").alias("group"))
     members = joined(members, verified(by_simhash(some).unionAll(by_samples(by_stars(shared), each)), some, docs))
-    members = joined(members, verified(by_samples(between_groups(shared, members), each), some, docs))
+    members = joined(members, verified(by_samples(between_groups(shared, members, some), each), some, docs))
     of_set = distinct.join(members, "id", "left").select("d0", "d1", F.coalesce("group", "id").alias("group"), "n")
     return even_join(marked.select("doc_id", "t", "d0", "d1"), of_set, ["d0", "d1"], marked.count()).select("doc_id", "t", "group")
 
