@@ -13,8 +13,8 @@ A text is the set of its five-word shingles (A-Z lower-cased; a shorter text is
    and samples, and then verified on the sets.
 
 Large groups of copies would meet in all pairs. So before step 3 each set is also compared with two of each of its buckets: the one whose shingles are the most
-common (an original has few of its own), and any one. What the verified links join is one group; a set then meets the groups that a bucket holds, and
-the sets of other groups, if sizes and what others have of them allow it; those of one group never meet.
+common (an original has few of its own), and any one. What the verified links join is one group; the sets of different groups that a bucket holds are compared
+in blocks, and only pairs that sizes, samples and what others have of them allow make rows. Texts that are nearly, but not quite, alike can so be many.
 
 Sets aren't stored: they are made again from the texts for those that are compared. Null texts count as empty; all texts without words are copies
 of each other. Rows without doc_id, and rows that share one, are kept once a group like all others; equal rows are copies. Texts are read whole,
@@ -43,8 +43,8 @@ SHINGLE = 5
 ALIKE = (4, 5)
 #: Sampled shingles at least, where a set has as many; the chance that a sample hides a link; up to FEW ids are broadcast.
 LEAST, MISS, FEW = 64, 1e-12, 1 << 18
-#: Samples larger than this need no more in common than one of this size.
-MOST = 511
+#: Samples larger than this need no more in common than one of this size. Samples in a block of a bucket, and shingles compared at once.
+MOST, SIDE, COLUMNS = 511, 1000, 2048
 #: Fixed odd multipliers: one for each place of a shingle, then those of the mixer.
 ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB], dtype="<u8")
 
@@ -145,11 +145,17 @@ def samples(distinct: DataFrame) -> DataFrame:
     return own.unionAll(more).withColumn("s", F.size("sample")).where("s > 0")
 
 
+def with_holders(rows: DataFrame) -> DataFrame:
+    """rows (with a key) whose key others have too, with held, how many rows have it. Counts are partial sums, and rows of hot keys stay where they are."""
+    counts = written(rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "shared-keys")
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    return even_join(rows, counts.withColumn("held", F.col("n")), "key", total)
+
+
 def buckets(each: DataFrame) -> DataFrame:
     """who, key (a sampled shingle at a level) and score of the first shingles, rare ones first, of those samples of which others have enough."""
     key = F.explode(F.transform("sample", lambda x: x.bitwiseXOR(F.call_function("shiftleft", F.col("level"), F.lit(58))))).alias("key")
-    held = each.select("who", key).withColumn("held", F.count("*").over(Window.partitionBy("key"))).where("held > 1")
-    held = written(held, "shared-shingles")
+    held = written(with_holders(each.select("who", key)), "shared-shingles")
     known = held.groupBy("who").agg(F.count("*").alias("m"), F.sum("held").alias("sum")).join(each.select("who", "s", "q"), "who")
     left = known.where(F.col("m") >= F.greatest("q", F.lit(1))).select("who", (F.col("m") - F.greatest("q", F.lit(1)) + 1).alias("first"), (F.col("sum") / F.col("s")).alias("score"))
     some = held.join(left, "who").withColumn("nth", F.row_number().over(Window.partitionBy("who").orderBy("held", "key")))  # a sample is small
@@ -212,27 +218,81 @@ def by_stars(shared: DataFrame) -> DataFrame:
 
 def with_shared(some: DataFrame, docs: DataFrame) -> DataFrame:
     """some with the column common: how many of a set's shingles other sets among them have; those of which too few are left out."""
-    held = sets_of(docs, some.select("id", "doc_id", "t")).select("id", F.explode("set").alias("key")).withColumn("held", F.count("*").over(Window.partitionBy("key")))
-    counted = held.where("held > 1").groupBy("id").agg(F.count("*").alias("common"))
+    shingles = written(sets_of(docs, some.select("id", "doc_id", "t")).select("id", F.explode("set").alias("key")), "shingles-of-sets")
+    counted = with_holders(shingles).groupBy("id").agg(F.count("*").alias("common"))
     # an alike set has ALIKE[0] / ALIKE[1] of the shingles at least
     return some.join(counted, "id").where(F.col("common") * ALIKE[1] >= F.col("size") * ALIKE[0])
 
 
-def between_groups(shared: DataFrame, members: DataFrame, some: DataFrame) -> DataFrame:
-    """Pairs (a, b) of samples of different groups that meet and could be alike by their sizes and by what others have of them."""
-    of = shared.select("key", "who", F.floor(F.col("who") / 2).alias("id")).join(members.join(some.select("id", "size", "common"), "id"), "id").drop("id")
-    mixed_keys = of.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low != high").select("key")
-    each = written(of.join(mixed_keys, "key", "left_semi"), "mixed-buckets")
-    # groups of a bucket, then their members: neither those of one group nor those that can't be alike make rows
-    groups_of = each.groupBy("key", "group").agg(F.min("size").alias("low"), F.max("size").alias("high"), F.max("common").alias("common"))
-    x, y = groups_of.alias("x"), groups_of.alias("y")
-    near = (F.col("x.high") * ALIKE[1] >= F.col("y.low") * ALIKE[0]) & (F.col("y.high") * ALIKE[1] >= F.col("x.low") * ALIKE[0])
-    near = near & enough(F.least("x.common", "y.common"), F.col("x.low"), F.col("y.low"))
-    pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.group") < F.col("y.group")) & near).select("x.key", F.col("x.group").alias("gx"), F.col("y.group").alias("gy"))
-    side = lambda s: each.select("key", F.col("group").alias(f"g{s}"), *[F.col(c).alias(f"{c}_{s}") for c in ("who", "size", "common")])
-    a, b = F.col("size_x"), F.col("size_y")
-    met = pairs.join(side("x"), ["key", "gx"]).join(side("y"), ["key", "gy"]).where(enough(F.least(a, b, "common_x", "common_y"), a, b))
-    return met.select(F.least("who_x", "who_y").alias("a"), F.greatest("who_x", "who_y").alias("b"))
+def alike_samples(group: np.ndarray, size: np.ndarray, common: np.ndarray, q: np.ndarray, samples: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of rows of a bucket, one from the left and one from the right, of different groups, that sizes, what others have, and samples allow to be alike."""
+    x, y = np.ix_(left, right)
+    inner = np.minimum(np.minimum(size[x], size[y]), np.minimum(common[x], common[y]))
+    could = (group[x] != group[y]) & (inner * (ALIKE[0] + ALIKE[1]) >= (size[x] + size[y]) * ALIKE[0])
+    if not could.any():
+        return left[:0], right[:0]
+    needs = np.maximum(q[x], q[y])
+    # places of the shingles that two rows have at least, as columns of two matrices, a slice at a time
+    values, place, held = np.unique(np.concatenate(samples), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(len(samples)), [len(v) for v in samples])
+    column = np.cumsum(held > 1) - 1
+    row, column = row[held[place] > 1], column[place[held[place] > 1]]
+    both = np.zeros(could.shape, dtype=np.float32)
+    for a in range(0, int(column.max(initial=-1)) + 1, COLUMNS):
+        some = (column >= a) & (column < a + COLUMNS)
+        has = np.zeros((len(samples), COLUMNS), dtype=np.float32)
+        has[row[some], column[some] - a] = 1
+        both += has[left] @ has[right].T
+    i, j = np.nonzero(could & (both >= needs))
+    return left[i], right[j]
+
+
+def between_groups(shared: DataFrame, members: DataFrame, some: DataFrame, each: DataFrame) -> DataFrame:
+    """Pairs (a, b) of ids in different groups whose samples meet in a bucket and have enough in common, as far as sizes and what others have of them allow.
+
+    A bucket is cut into blocks of about SIDE samples, and each two blocks are compared where they meet, by products of matrices; only pairs that pass make rows, however many meet.
+    """
+    of = shared.select("key", "who", F.floor(F.col("who") / 2).alias("id")).join(members.join(some.select("id", "size", "common"), "id"), "id")
+    mixed_keys = of.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high"), F.count("*").alias("n"), F.max("common").alias("most"), F.min("size").alias("least")).where("low != high")
+    mixed_keys = written(mixed_keys.where(F.col("most") * ALIKE[1] >= F.col("least") * ALIKE[0]).select("key", "n", F.ceil(F.col("n") / SIDE).cast("int").alias("blocks")), "mixed-buckets")
+    total = mixed_keys.agg(F.sum("n")).first()[0] or 0
+    rows = even_join(of, mixed_keys, "key", total)
+    block = F.pmod(F.xxhash64("who"), F.col("blocks"))
+    rows = rows.withColumn("block", block.cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "who", "id", "group", "size", "common")
+    rows = rows.join(each.select("who", "q", "sample"), "who")
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def pairs(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        part = pa.Table.from_batches(held)
+        number = {c: part.column(c).to_numpy() for c in ("i", "j", "block", "id", "group", "size", "common", "q")}
+        samples = [x.values.to_numpy() for x in part.column("sample")]
+        i, j = number["i"][0], number["j"][0]
+        left, right = np.flatnonzero(number["block"] == i), np.flatnonzero(number["block"] == j)
+        x, y = alike_samples(number["group"], number["size"], number["common"], number["q"], samples, left, right)
+        a, b = number["id"][x], number["id"][y]
+        once = (a < b) if i == j else (a != b)
+        return table(schema, a=np.minimum(a, b)[once], b=np.maximum(a, b)[once])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []  # of one bucket and two blocks
+        last = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            marks = np.stack([batch.column(c).to_numpy() for c in ("key", "i", "j")], axis=1)
+            cuts = [0, *(np.flatnonzero((marks[1:] != marks[:-1]).any(axis=1)) + 1).tolist(), batch.num_rows]
+            for a, b in zip(cuts, cuts[1:], strict=False):
+                if last is not None and tuple(marks[a]) != last:
+                    yield pairs(held)
+                    held = []
+                last = tuple(marks[a])
+                held.append(batch.slice(a, b - a))
+        if held:
+            yield pairs(held)
+
+    rows = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    return rows.mapInArrow(run, "a long, b long").distinct()
 
 
 def by_samples(pairs: DataFrame, each: DataFrame) -> DataFrame:
@@ -266,7 +326,7 @@ def grouped(docs: DataFrame) -> DataFrame:
     each = written(each.join(shared.select("who").distinct(), "who", "left_semi"), "samples-with-neighbours")
     members = some.select("id", F.col("id").alias("group"))
     members = joined(members, verified(by_simhash(some).unionAll(by_samples(by_stars(shared), each)), some, docs))
-    members = joined(members, verified(by_samples(between_groups(shared, members, some), each), some, docs))
+    members = joined(members, verified(between_groups(shared, members, some, each), some, docs))
     of_set = distinct.join(members, "id", "left").select("d0", "d1", F.coalesce("group", "id").alias("group"), "n")
     return even_join(marked.select("doc_id", "t", "d0", "d1"), of_set, ["d0", "d1"], marked.count()).select("doc_id", "t", "group")
 
