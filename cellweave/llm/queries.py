@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellweave.llm import conversations, licenses, media, mixing, packing, quality_fm, quality_rules, simhash, spelling, token_counts, token_store, toxicity
+from cellweave.llm import conversations, licenses, media, mixing, packing, personal, quality_fm, quality_rules, simhash, spelling, token_counts, token_store, toxicity
 from cellweave.llm.common import documents, fresh_path
 
 
@@ -71,10 +71,14 @@ def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(documents(spark, sf_dir))
 
 
+def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal.scan(documents(spark, sf_dir))
+
+
 def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.repair(table_of(spark, sf_dir, "conversations"))
 
 
-ALL = (op1_toxicity, op2_media, op3_token_counts, op4_packing, op5_simhash, op6_licenses, op7_token_store, op8_mixing, op9_quality_fm, op10_quality_rules, op11_spelling, op13_conversations)
+ALL = (op1_toxicity, op2_media, op3_token_counts, op4_packing, op5_simhash, op6_licenses, op7_token_store, op8_mixing, op9_quality_fm, op10_quality_rules, op11_spelling, op12_pii, op13_conversations)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in ALL}
 ORACLE_SQL: dict[str, str] = {"op8_mixing": mixing.oracle_sql(), "op11_spelling": spelling.oracle_sql()}
