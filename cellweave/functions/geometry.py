@@ -19,13 +19,18 @@ def edges(ring: Column) -> Column:
     return F.zip_with(ring, before, lambda a, b: F.struct(a.x.alias("xi"), a.y.alias("yi"), b.x.alias("xj"), b.y.alias("yj")))
 
 
-def in_ring(x: Column, y: Column, ring: Column) -> Column:
-    """Even-odd rule; a lower or left edge belongs to the ring, an upper or right one doesn't."""
+def crossed_oddly(x: Column, y: Column, some: Column) -> Column:
+    """Whether a ray to the right crosses an odd number of edges."""
 
     def crosses(e: Column) -> Column:
         return ((e.yi > y) != (e.yj > y)) & (x < (e.xj - e.xi) * (y - e.yi) / (e.yj - e.yi) + e.xi)
 
-    return F.size(F.filter(edges(ring), crosses)) % 2 == 1
+    return F.size(F.filter(some, crosses)) % 2 == 1
+
+
+def in_ring(x: Column, y: Column, ring: Column) -> Column:
+    """Even-odd rule; a lower or left edge belongs to the ring, an upper or right one doesn't."""
+    return crossed_oddly(x, y, edges(ring))
 
 
 def in_any_ring(x: Column, y: Column, rings: Column) -> Column:

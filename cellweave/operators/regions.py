@@ -14,6 +14,8 @@ TOOLS = {"lasso", "polygon", "manual", "rectangle", "circle"}
 CANVAS_MEMBERS, VOTE_MEMBERS, NO_TOOL = 2000, 500, "polygon"
 #: Numbers of cells that one block of steps spans; places compared to tell embeddings apart, and how near they must be.
 BLOCK, FIRST_PLACES, SAME_PLACE = 1 << 20, 50, 1e-3
+#: Steps of a list that one task sums.
+STEPS = 1 << 16
 
 
 def shape(x: Column, y: Column, tool: str, path: list[tuple[float, float]], rotation: float = 0.0) -> Column:
@@ -94,18 +96,35 @@ def move_rings(rings: DataFrame, members: DataFrame, coords: DataFrame, source:
     return rings.join(means, "region", "left").select("region", "ring_no", shifted.alias("ring"), F.col("x").alias("centroid_x"), F.col("y").alias("centroid_y"))
 
 
+def blocks_of(members: DataFrame, size: int = BLOCK) -> tuple[DataFrame, DataFrame]:
+    """The members (region, cell_idx) with their block, and region, block, n, before (members in blocks before) and total of each block.
+
+    A block holds a region's cells of one range of `size` cell numbers, so no task has a whole region, however large it is; windows run over blocks.
+    """
+    each = members.withColumn("block", F.floor(F.col("cell_idx") / size))
+    counts = each.groupBy("region", "block").agg(F.count("*").alias("n"))
+    of_region = Window.partitionBy("region")
+    before = F.coalesce(F.sum("n").over(of_region.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return each, counts.select("region", "block", "n", before.alias("before"), F.sum("n").over(of_region).alias("total"))
+
+
+def ranked_members(members: DataFrame, below: int | None = None, size: int = BLOCK) -> DataFrame:
+    """region, cell_idx, k (place from 0 by cell_idx) and total of the members; with `below` only of the blocks that begin below that place."""
+    each, blocks = blocks_of(members, size)
+    blocks = blocks if below is None else blocks.where(F.col("before") < below)
+    place = F.row_number().over(Window.partitionBy("region", "block").orderBy("cell_idx")) - 1
+    return each.join(blocks.drop("n"), ["region", "block"]).select("region", "cell_idx", (F.col("before") + place).alias("k"), "total")
+
+
 def first_members(members: DataFrame, most: int) -> DataFrame:
     """region, cell_idx of the first so many members by cell_idx."""
-    rank = F.row_number().over(Window.partitionBy("region").orderBy("cell_idx"))
-    return members.withColumn("k", rank).where(F.col("k") <= most).drop("k")
+    return ranked_members(members.select("region", "cell_idx"), most).where(F.col("k") < most).select("region", "cell_idx")
 
 
 def spread_members(members: DataFrame, most: int = CANVAS_MEMBERS) -> DataFrame:
     """region, cell_idx of every k-th member by cell_idx, so that at most so many remain."""
-    by_region = Window.partitionBy("region")
-    ranked = members.withColumns({"k": F.row_number().over(by_region.orderBy("cell_idx")) - 1, "n": F.count("*").over(by_region)})
-    step = F.greatest(F.lit(1), F.floor(F.col("n") / most))
-    return ranked.where((F.col("k") % step == 0) & (F.col("k") < step * most)).select("region", "cell_idx")
+    step = F.greatest(F.lit(1), F.floor(F.col("total") / most))
+    return ranked_members(members.select("region", "cell_idx")).where((F.col("k") % step == 0) & (F.col("k") < step * most)).select("region", "cell_idx")
 
 
 def vote(rings: DataFrame, members: DataFrame, coords: DataFrame) -> DataFrame:
@@ -128,11 +147,19 @@ def rename(tables: dict[str, DataFrame], old: str, new: str) -> dict[str, DataFr
     return {k: t.withColumn("region", name) if "region" in t.columns else t for k, t in tables.items()}
 
 
-def decode_deltas(lists: DataFrame, key: str, text: str) -> DataFrame:
-    """key, position, cell_idx of lists such as '5,3,4,8': the first number, then steps. Blank lists hold nothing."""
-    number = F.trim("step")
+def decode_deltas(lists: DataFrame, key: str, text: str, size: int = STEPS) -> DataFrame:
+    """key, position, cell_idx of lists such as '5,3,4,8': the first number, then steps. Blank lists hold nothing.
+
+    Sums run inside parts of `size` steps; a part starts from the sum of all parts before, so a long list is decoded by many tasks.
+    """
     steps = lists.select(key, F.posexplode(F.filter(F.split(text, ","), lambda x: F.trim(x) != "")).alias("position", "step"))
-    return decode_blocks(steps.select(key, F.lit(0).cast("long").alias("block"), "position", number.cast("bigint").alias("step")), key)
+    steps = steps.select(key, "position", F.trim("step").cast("bigint").alias("step"), F.floor(F.col("position") / size).alias("part"))
+    sums = steps.groupBy(key, "part").agg(F.sum("step").alias("sum"))
+    before = F.coalesce(F.sum("sum").over(Window.partitionBy(key).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = sums.select(F.col(key).alias("of"), F.col("part").alias("of_part"), before.alias("before"))
+    inside = F.sum("step").over(Window.partitionBy(key, "part").orderBy("position"))
+    joined = steps.withColumn("inside", inside).join(starts, F.col(key).eqNullSafe(F.col("of")) & (F.col("part") == F.col("of_part")))
+    return joined.select(key, "position", (F.col("before") + F.col("inside")).alias("cell_idx"))
 
 
 def decode_blocks(steps: DataFrame, key: str) -> DataFrame:
@@ -142,16 +169,11 @@ def decode_blocks(steps: DataFrame, key: str) -> DataFrame:
 
 
 def encode_blocks(members: DataFrame, size: int = BLOCK) -> DataFrame:
-    """region, block, position (in the region), step of the cells of each region in ascending order: a block's first step is the cell itself.
-
-    A block holds the region's cells of one range of `size` cell numbers, so no task has a whole region, however large it is.
-    """
-    one = members.select("region", "cell_idx").distinct().withColumn("block", F.floor(F.col("cell_idx") / size))
+    """region, block, position (in the region), step of the cells of each region in ascending order: a block's first step is the cell itself."""
+    one, blocks = blocks_of(members.select("region", "cell_idx").distinct(), size)
     inside = Window.partitionBy("region", "block").orderBy("cell_idx")
     each = one.withColumns({"place": F.row_number().over(inside) - 1, "step": F.col("cell_idx") - F.coalesce(F.lag("cell_idx").over(inside), F.lit(0))})
-    counts = one.groupBy("region", "block").agg(F.count("*").alias("n"))
-    before = F.coalesce(F.sum("n").over(Window.partitionBy("region").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # a row for each block
-    return each.join(counts.select("region", "block", before.alias("before")), ["region", "block"]).select("region", "block", (F.col("before") + F.col("place")).cast("int").alias("position"), "step")
+    return each.join(blocks.select("region", "block", "before"), ["region", "block"]).select("region", "block", (F.col("before") + F.col("place")).cast("int").alias("position"), "step")
 
 
 def delta_text(steps: DataFrame) -> DataFrame:
