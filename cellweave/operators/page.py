@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cellweave.functions.values import unit
 from cellweave.operators.color import expression_of
-from cellweave.sources.cells import points
+from cellweave.sources.cells import CellSet, points
 
 SPREAD, FINE = 0.5, 16
 
@@ -23,18 +23,30 @@ def loading_order(cells: DataFrame) -> DataFrame:
     return cells.select(*by).orderBy(*by)
 
 
-def viewport(places: DataFrame, box: tuple[float, float, float, float]) -> DataFrame:
-    """Cells in the circle about a box (min_x, max_x, min_y, max_y), with their distance d. Half the box's width is the radius; its height has no part."""
+def circle_of(box: tuple[float, float, float, float]) -> tuple[float, float, float]:
+    """Radius and centre of what a box (min_x, max_x, min_y, max_y) shows. Half its width is the radius; its height has no part."""
     if any(v is None for v in box):
         raise ValueError("a viewport needs all four bounds")
     radius, cx, cy = (box[1] - box[0]) / 2, (box[0] + box[1]) / 2, (box[2] + box[3]) / 2
     if radius <= 0:
         raise ValueError("a viewport needs a positive width")
+    return radius, cx, cy
+
+
+def viewport(places: DataFrame, box: tuple[float, float, float, float]) -> DataFrame:
+    """Cells in the circle about a box, with their distance d."""
+    radius, cx, cy = circle_of(box)
     near = places.where(F.col("x").between(cx - radius, cx + radius) & F.col("y").between(cy - radius, cy + radius))
     dx, dy = F.col("x") - cx, F.col("y") - cy
     return near.withColumn("d", F.sqrt(dx * dx + dy * dy)).where(F.col("d") <= radius)
 
 
+def stored_places(held: CellSet, key: str, box: tuple[float, float, float, float]) -> DataFrame:
+    """The places that a viewport needs, without files of other zones."""
+    radius, cx, cy = circle_of(box)
+    return held.near(key, (cx - radius, cx + radius, cy - radius, cy + radius))
+
+
 def first_by_draw(cells: DataFrame, most: int) -> DataFrame:
     """The cells with the `most` smallest draws (above 0; ties by cell_idx), without draw.
 
@@ -102,8 +114,8 @@ def chunk_page(cells: DataFrame, coords: DataFrame, keys: list[str], chunk: int,
     return page(some, coords, keys, expression, gene, codes, heights)
 
 
-def viewport_page(cells: DataFrame, coords: DataFrame, key: str, box: tuple[float, float, float, float], keys: list[str], most: int = 30_000, seed: object = 42, expression: DataFrame | None = None, gene: str | None = None, codes: DataFrame | None = None) -> DataFrame:
-    """What a viewport shows beside chunk 0, as a page; no rows where it shows nothing."""
+def viewport_page(cells: DataFrame, coords: DataFrame, key: str, box: tuple[float, float, float, float], keys: list[str], most: int = 30_000, seed: object = 42, expression: DataFrame | None = None, gene: str | None = None, codes: DataFrame | None = None, places: DataFrame | None = None) -> DataFrame:
+    """What a viewport shows beside chunk 0, as a page; no rows where it shows nothing. places: those of the embedding, if fewer will do (stored_places)."""
     rest = cells.where(F.col("chunk") != 0) if "chunk" in cells.columns else cells
-    seen = viewport(points(coords, key), box).select("cell_idx", "d").join(rest, "cell_idx")
+    seen = viewport(points(coords, key) if places is None else places, box).select("cell_idx", "d").join(rest, "cell_idx")
     return page(viewport_sample(seen, (box[1] - box[0]) / 2, most, seed).drop("d"), coords, keys, expression, gene, codes)

@@ -180,6 +180,16 @@ def viewport_page_coloured(c: CellSet) -> DataFrame:
     return as_page(found, "expression", "code")
 
 
+@query(f", {SEEN}, {WIDE}, {GENE} SELECT {PAGE}, v AS expression FROM seen JOIN cells USING (cell_idx) JOIN wide USING (cell_idx) JOIN gene_v USING (cell_idx) WHERE chunk <> 0")
+def viewport_stored(c: CellSet) -> DataFrame:
+    """The same of a cell set that was stored by place and opened again; zones that the view doesn't meet aren't read."""
+    path = fresh_path(c.cells.sparkSession, "cells")
+    sinks.save_cells(c, path)
+    held = CellSet.open(c.cells.sparkSession, path)
+    found = page.viewport_page(held.cells, held.coords, "spatial", BOX, KEYS, most=1_000_000, expression=held.expression, gene="G_k", places=page.stored_places(held, "spatial", BOX))
+    return as_page(found, "expression")
+
+
 @query(f", {SEEN} SELECT cell_idx, round(d, 6) AS d FROM seen ORDER BY -ln({sql_unit(42, 'cell_idx')}) / exp(-((d / 60) * (d / 60)) / 0.5), cell_idx LIMIT 700")
 def viewport_sample(c: CellSet) -> DataFrame:
     return rounded(page.viewport_sample(page.viewport(points(c.coords, "spatial"), BOX), 60.0, 700).select("cell_idx", "d"), "d")
@@ -622,6 +632,20 @@ def mask_roundtrip(c: CellSet) -> DataFrame:
     return vertices(found, "region", "ring_no").crossJoin(F.broadcast(n)).crossJoin(F.broadcast(regions.totals(stored)))
 
 
+@query(f", {HITS} SELECT 'one' AS mask_set, region, count(*) AS n FROM hits GROUP BY region UNION ALL SELECT 'two', 'again', count(*) FROM cells WHERE cell_type = 'error'")
+def masks_replaced(c: CellSet) -> DataFrame:
+    """Two mask sets, of which the second is stored twice: its later form stands alone, and the first stays."""
+    spark, path, rings, places = c.cells.sparkSession, store_of(c), ring_table(c), points(c.coords, "spatial")
+    groups = spark.createDataFrame(GROUPS, "grp string, ordinal int, region string, expanded boolean, visible boolean")
+    first = regions.masks(rings, regions.capture(places, rings), places, groups, "spatial")
+    for name in ("one", "two"):
+        sinks.save_masks(path, name, first)
+    again = c.cells.where("cell_type = 'error'").select(F.lit("again").alias("region"), "cell_idx")
+    sinks.save_masks(path, "two", regions.masks(rings.limit(0), again, places, groups.limit(0), "spatial"))
+    each = [sinks.load_masks(spark, path, name)["region_cells"].withColumn("mask_set", F.lit(name)) for name in ("one", "two")]
+    return each[0].unionByName(each[1]).groupBy("mask_set", "region").agg(F.count("*").alias("n"))
+
+
 @query("""SELECT region, count(*) AS n, round(avg(x), 6) AS centroid_x, round(avg(y), 6) AS centroid_y, 'polygon' AS tool FROM (SELECT sample AS region, cell_idx FROM cells WHERE cell_type = 'error') JOIN pts USING (cell_idx) GROUP BY region""")
 def manual_roundtrip(c: CellSet) -> DataFrame:
     spark = c.cells.sparkSession
@@ -815,6 +839,23 @@ def outlines_recomputed(c: CellSet) -> DataFrame:
     return ring_sums(found)
 
 
+#: Rings as edges that hang together; those that go about the points, not about a hole, have an area above 0.
+EXTERIORS = """, sided AS (SELECT region, a, b, s, xa, ya, xb, yb FROM ed JOIN empt USING (region, a, b) JOIN pr USING (region, a, b)),
+steps AS (SELECT region, a, b FROM ed UNION ALL SELECT region, b, a FROM ed),
+along AS (SELECT region, a AS id, a AS label FROM steps UNION SELECT steps.region, steps.b, along.label FROM along JOIN steps ON steps.region = along.region AND steps.a = along.id WHERE steps.b > along.label),
+part AS (SELECT region, id, min(label) AS root FROM along GROUP BY region, id),
+outer_rings AS (SELECT sided.region, root, count(*) AS vertices, sum(sqrt((xb - xa) * (xb - xa) + (yb - ya) * (yb - ya))) AS perimeter, sum(-s * (xa * yb - xb * ya)) / 2 AS area FROM sided JOIN part ON part.region = sided.region AND part.id = a GROUP BY sided.region, root HAVING sum(-s * (xa * yb - xb * ya)) > 0)"""
+
+
+@query(f""", {CLUSTERS}, {edges_sql(MEMBER_SQL)}{EXTERIORS}, middle AS (SELECT region, avg(x) AS x, avg(y) AS y FROM ({MEMBER_SQL}) GROUP BY region)
+SELECT outer_rings.region, sum(vertices)::BIGINT AS vertices, round(sum(perimeter), 6) AS perimeter, round(sum(area), 6) AS area, round(any_value(x), 6) AS centroid_x, round(any_value(y), 6) AS centroid_y FROM outer_rings JOIN middle USING (region) GROUP BY outer_rings.region""", recursive=True)
+def outlines_exterior(c: CellSet) -> DataFrame:
+    """Outlines made anew in the embedding that the recompute rule gives: exterior rings, with the mean of all members."""
+    found, _ = outline.recomputed(cluster_members(c), c.embedding("no such embedding", "recompute"), ALPHA)
+    middle = found.groupBy("region").agg(F.first("centroid_x").alias("centroid_x"), F.first("centroid_y").alias("centroid_y"))
+    return rounded(ring_sums(found.select("region", "ring_no", "ring")).join(middle, "region"), "centroid_x", "centroid_y")
+
+
 MOST_SHOWN = 20
 
 

@@ -29,12 +29,15 @@ class CellSet:
     expression: DataFrame
     genes: DataFrame
     sample: str = "sample"
+    zones: DataFrame | None = None
 
     @staticmethod
     def open(spark: SparkSession, path: str, sample: str = "sample") -> CellSet:
-        """Tables stored below a path; coords are partitioned by key, cells by chunk where they have one."""
+        """Tables stored below a path; coords are partitioned by key, and by zone where they were stored by place; cells by chunk where they have one."""
         read = lambda name: spark.read.parquet(f"{path}/{name}")
-        return CellSet(read("cells"), read("coords"), read("expression"), read("genes"), sample).checked()
+        coords = read("coords")
+        zones = read("zones") if "zone" in coords.columns else None
+        return CellSet(read("cells"), coords, read("expression"), read("genes"), sample, zones).checked()
 
     def checked(self) -> CellSet:
         if self.sample not in self.cells.columns:
@@ -69,6 +72,14 @@ class CellSet:
         """cell_idx, x, y, z of an embedding, x and y as doubles."""
         return points(self.coords, resolve(embedding_keys(self.coords), key, policy))
 
+    def near(self, key: str, box: tuple[float, float, float, float]) -> DataFrame:
+        """cell_idx, x, y, z of all cells in a box (min_x, max_x, min_y, max_y), and of others; where coords are stored by place, files of zones that the box doesn't meet aren't read."""
+        if self.zones is None:
+            return points(self.coords, key)
+        meets = (F.col("max_x") >= box[0]) & (F.col("min_x") <= box[1]) & (F.col("max_y") >= box[2]) & (F.col("min_y") <= box[3])
+        met = [r.zone for r in self.zones.where((F.col("key") == key) & meets).select("zone").distinct().collect()]  # as many as there are zones
+        return points(self.coords.where(F.col("zone").isin(met)), key)
+
 
 def chunk_count(cells: int, size: int) -> int:
     return min(MOST_CHUNKS, max(1, math.ceil(cells / size)))

@@ -7,10 +7,54 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellweave.sources.cells import layout_key, points
+from cellweave.sources.cells import CellSet, layout_key, points
+
+#: Bits of a place along each axis that name its zone, and that order places.
+ZONE_BITS, PLACE_BITS = 4, 16
+
+
+def spread_bits(v: Column) -> Column:
+    """The low 16 bits with a zero bit after each."""
+    for by, mask in ((8, 0x00FF00FF), (4, 0x0F0F0F0F), (2, 0x33333333), (1, 0x55555555)):
+        v = v.bitwiseOR(F.shiftleft(v, by)).bitwiseAND(F.lit(mask).cast("long"))
+    return v
+
+
+def by_place(coords: DataFrame) -> DataFrame:
+    """coords with z_order, the bits of x and y in turns across each embedding's bounds, and zone, the first of them. Places without x or y are in zone 0."""
+    ends = coords.groupBy("key").agg(*[f(c).cast("double").alias(f"{n}_{c}") for c in ("x", "y") for n, f in (("low", F.min), ("high", F.max))])
+    cells = 2**PLACE_BITS - 1
+
+    def place(c: str) -> Column:
+        wide = F.col(f"high_{c}") - F.col(f"low_{c}")
+        at = F.when(wide > 0, (F.col(c).cast("double") - F.col(f"low_{c}")) / wide * cells)
+        return F.coalesce(F.least(F.greatest(F.floor(F.nanvl(at, F.lit(0.0))), F.lit(0)), F.lit(cells)), F.lit(0)).cast("long")
+
+    order = spread_bits(place("x")).bitwiseOR(F.shiftleft(spread_bits(place("y")), 1))
+    placed = coords.join(F.broadcast(ends), "key").withColumn("z_order", order)  # a row for each embedding
+    return placed.select(*coords.columns, "z_order", F.shiftright("z_order", 2 * (PLACE_BITS - ZONE_BITS)).cast("int").alias("zone"))
+
+
+def save_cells(held: CellSet, path: str) -> None:
+    """All tables of a cell set, so that CellSet.open finds them: cells by chunk where they have one, coords by embedding and zone, in the order of places.
+
+    Ranges of that order make the files, so a crowded zone has several; zones has the bounds of each zone's places.
+    """
+    cells = held.cells
+    if "chunk" in cells.columns:
+        cells.repartitionByRange("chunk", "cell_idx").write.mode("overwrite").partitionBy("chunk").parquet(f"{path}/cells")
+    else:
+        cells.write.mode("overwrite").parquet(f"{path}/cells")
+    placed = by_place(held.coords.select("key", "cell_idx", "x", "y", "z")).repartitionByRange("key", "z_order").sortWithinPartitions("key", "z_order")
+    placed.drop("z_order").write.mode("overwrite").partitionBy("key", "zone").parquet(f"{path}/coords")
+    stored = cells.sparkSession.read.parquet(f"{path}/coords")
+    ends = [f(c).cast("double").alias(f"{n}_{c}") for c in ("x", "y") for n, f in (("min", F.min), ("max", F.max))]
+    stored.groupBy("key", "zone").agg(*ends, F.count("*").alias("n")).write.mode("overwrite").parquet(f"{path}/zones")
+    held.expression.repartitionByRange("gene", "cell_idx").write.mode("overwrite").parquet(f"{path}/expression")
+    held.genes.write.mode("overwrite").parquet(f"{path}/genes")
 
 
 def attribute_column(cells: DataFrame, labels: DataFrame, name: str) -> DataFrame:

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from cellweave.operators import page, regions
 from cellweave.operators.spatial_join import DEPTH, captures, cover
+from cellweave.sources import sinks
+from cellweave.sources.cells import CellSet, points
 
 RING = "region string, ring array<struct<x:double,y:double>>"
 
@@ -81,3 +83,23 @@ def test_samples_by_limit_are_the_smallest_draws(spark, most):
     got = page.first_by_draw(seen, most)
     assert got.columns == ["cell_idx"] and sorted(r.cell_idx for r in got.collect()) == sorted(c for _, c in want)
     assert page.first_by_draw(seen.limit(0), most).count() == 0
+
+
+def test_views_of_stored_cells_skip_zones(spark, tmp_path):
+    draw = random.Random(14)
+    rows = [("spatial", i, draw.gauss(0, 40), draw.gauss(0, 40), None) for i in range(3000)] + [("X_umap", i, float(i), 1.0, 2.0) for i in range(50)] + [("spatial", 9000, None, float("nan"), None)]
+    coords = spark.createDataFrame(rows, "key string, cell_idx long, x float, y float, z float")
+    cells = spark.range(3000).select(F.col("id").alias("cell_idx"), F.lit("s").alias("sample"), (F.col("id") % 3).cast("int").alias("chunk"))
+    held = CellSet(cells, coords, spark.createDataFrame([], "cell_idx long, gene string, value float"), spark.createDataFrame([], "gene_idx int, gene string"))
+    sinks.save_cells(held, f"file://{tmp_path}/set")
+    again = CellSet.open(spark, f"file://{tmp_path}/set")
+    assert again.cells.count() == 3000 and again.coords.count() == len(rows) and again.zones.agg(F.sum("n")).first()[0] == len(rows)
+    for box in ((-10.0, 10.0, -100.0, 100.0), (30.0, 31.0, 0.0, 9.0), (5000.0, 5001.0, 0.0, 1.0)):
+        places = page.stored_places(again, "spatial", box)
+        want = sorted(r.cell_idx for r in page.viewport(points(coords, "spatial"), box).collect())
+        assert sorted(r.cell_idx for r in page.viewport(places, box).collect()) == want
+        read = lambda df: df.select(F.input_file_name().alias("f")).distinct().count()
+        assert read(places) < read(points(again.coords, "spatial"))
+        if want:
+            plan = page.viewport(places, box)._jdf.queryExecution().executedPlan().toString()
+            assert "zone" in plan.split("PartitionFilters:")[1].split("PushedFilters")[0]
