@@ -7,20 +7,25 @@ each sample by their first core cell.
 Neighbours come from an equi-join on tiles. Where at least min_samples cells lie in a tile of diagonal eps, all of them are core and linked
 through one of them, so neither their neighbours nor the pairs among them are needed. Two dense tiles are linked if any of their cells are near; that is mostly
 told by the boxes about the cells of SPLIT x SPLIT parts of each, and only where it isn't, cells of parts that could be near are compared.
+
+A cell of a sparse tile beside a dense one needs to know only whether any cell there is near, and how many are until it has min_samples neighbours. A tree of quarters
+tells: quarters whose box lies within eps count as a whole, those whose box is farther don't count, and only those on the circle are opened, down to parts of LEAF cells. So it meets about
+as many parts as the circle has on its way, not all cells of the tile.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellweave.operators.graph import components, cut
 from cellweave.operators.spatial_join import tile
 
 
-SPLIT = 4
+SPLIT, LEAF = 4, 32
+BOX = {"x0": F.min, "x1": F.max, "y0": F.min, "y1": F.max}
 
 
 def density_clusters(places: DataFrame, eps: float, min_samples: int) -> DataFrame:
@@ -30,10 +35,10 @@ def density_clusters(places: DataFrame, eps: float, min_samples: int) -> DataFra
     at = places.join(F.broadcast(enough), "sample", "left_semi").select("sample", "cell_idx", "x", "y", tile(F.col("x"), side).alias("sx"), tile(F.col("y"), side).alias("sy"))
     tiles = at.groupBy("sample", "sx", "sy").agg(F.count("*").alias("n"), F.min("cell_idx").alias("of_tile"))
     at = cut(at.join(tiles, ["sample", "sx", "sy"]).withColumn("dense", F.col("n") >= min_samples).select("sample", "cell_idx", "x", "y", "sx", "sy", "dense", F.when(F.col("n") >= min_samples, F.col("of_tile")).alias("of_tile")))
-    sparse = at.where("not dense")
-    # pairs that start at a cell of a sparse tile: its degree, and its links
-    near = cut(pairs_between(sparse, at, eps))
-    degree = near.groupBy("a").agg(F.count("*").alias("degree"))
+    sparse, dense = at.where("not dense"), at.where("dense")
+    # pairs that start at a cell of a sparse tile: its degree, and its links; b is a cell, or the first cell of a dense tile for n of its cells
+    near = cut(pairs_between(sparse, sparse, eps).withColumn("n", F.lit(1).cast("long")).unionByName(near_parts(sparse, dense, eps, side, min_samples)))
+    degree = near.groupBy("a").agg(F.sum("n").alias("degree"))
     core = degree.where(F.col("degree") >= min_samples).select(F.col("a").alias("cell_idx")).unionAll(at.where("dense").select("cell_idx"))
     core = cut(core)
     # core cells of one tile are near each other: the first of them stands for all
@@ -41,7 +46,6 @@ def density_clusters(places: DataFrame, eps: float, min_samples: int) -> DataFra
     stand_in = cut(core_cells.join(core_cells.groupBy("sample", "sx", "sy").agg(F.min("cell_idx").alias("node")), ["sample", "sx", "sy"]).select("cell_idx", "node"))
     of = lambda c, node: stand_in.select(F.col("cell_idx").alias(c), F.col("node").alias(node))
     links = near.join(of("a", "x"), "a").join(of("b", "y"), "b").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
-    dense = at.where("dense")
     between = near_tiles(dense, eps, side)
     itself = stand_in.select(F.col("node").alias("a"), F.col("node").alias("b"))
     found = components(links.unionAll(between).unionAll(itself).distinct()).withColumnRenamed("id", "node")
@@ -54,6 +58,45 @@ def density_clusters(places: DataFrame, eps: float, min_samples: int) -> DataFra
     return each.select("sample", "cell_idx", F.coalesce("cluster", "near_cluster", F.lit(-1)).cast("int").alias("cluster"), F.col("cluster").isNotNull().alias("core"))
 
 
+def gap_and_span(x: Column, y: Column) -> tuple[Column, Column]:
+    """Squares of the least and the greatest distance of a place from a box."""
+    gaps = [F.greatest(F.col(f"{c}0") - v, v - F.col(f"{c}1"), F.lit(0.0)) for c, v in (("x", x), ("y", y))]
+    spans = [F.greatest(v - F.col(f"{c}0"), F.col(f"{c}1") - v) for c, v in (("x", x), ("y", y))]
+    return gaps[0] * gaps[0] + gaps[1] * gaps[1], spans[0] * spans[0] + spans[1] * spans[1]
+
+
+def near_parts(sparse: DataFrame, dense: DataFrame, eps: float, side: float, least: int) -> DataFrame:
+    """a, b, n: cells of sparse tiles with the dense tiles b (of_tile) that hold cells within eps, and how many of these were counted: all, or enough for a to have `least`."""
+    nodes = lambda cells: cells.groupBy("sample", "of_tile", "ux", "uy").agg(F.count("*").alias("m"), *[f(c[0]).alias(c) for c, f in BOX.items()])
+    steps = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in range(-2, 3) for j in range(-2, 3)]))
+    asks = sparse.select("sample", F.col("cell_idx").alias("a"), F.col("x").alias("xa"), F.col("y").alias("ya"), "sx", "sy", steps.alias("s"))
+    asks = asks.select("sample", "a", "xa", "ya", (F.col("sx") + F.col("s.i")).alias("ux"), (F.col("sy") + F.col("s.j")).alias("uy"))
+    cells = dense.select("sample", "of_tile", "x", "y", F.col("sx").alias("ux"), F.col("sy").alias("uy"))
+    met, found, level = asks.join(nodes(cells), ["sample", "ux", "uy"]), None, 0
+    while True:
+        gap, span = gap_and_span(F.col("xa"), F.col("ya"))
+        met = cut(met.withColumns({"gap": gap, "span": span}).where(F.col("gap") <= eps * eps).withColumn("sure", F.col("span") <= eps * eps).drop("gap", "span"))
+        sure = met.where("sure").select("a", F.col("of_tile").alias("b"), F.col("m").alias("n"))
+        few = met.where(f"not sure and m <= {LEAF}").select("sample", "of_tile", "ux", "uy", "a", "xa", "ya").join(cells, ["sample", "of_tile", "ux", "uy"])
+        dx, dy = F.col("x") - F.col("xa"), F.col("y") - F.col("ya")
+        opened = few.where(dx * dx + dy * dy <= eps * eps).groupBy("a", F.col("of_tile").alias("b")).agg(F.count("*").alias("n"))
+        part = sure.unionByName(opened)
+        found = part if found is None else found.unionByName(part)
+        many = met.where(f"not sure and m > {LEAF}")
+        if many.isEmpty():
+            return found.groupBy("a", "b").agg(F.sum("n").alias("n"))
+        found = cut(found.groupBy("a", "b").agg(F.sum("n").alias("n")))
+        # told already: near this tile, and with enough neighbours
+        enough = found.groupBy("a").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("a")
+        told = found.join(enough, "a", "left_semi").select("a", F.col("b").alias("of_tile"))
+        many = many.join(told, ["a", "of_tile"], "left_anti").select("sample", "of_tile", F.col("ux").alias("px"), F.col("uy").alias("py"), "a", "xa", "ya")
+        level += 1
+        cells = cells.join(many.select("sample", "of_tile", F.col("px").alias("ux"), F.col("py").alias("uy")).distinct(), ["sample", "of_tile", "ux", "uy"], "left_semi")
+        cells = cut(cells.select("sample", "of_tile", "x", "y", tile(F.col("x"), side / 2**level).alias("ux"), tile(F.col("y"), side / 2**level).alias("uy")))
+        quarters = nodes(cells).withColumns({"px": F.floor(F.col("ux") / 2), "py": F.floor(F.col("uy") / 2)})
+        met = many.join(quarters, ["sample", "of_tile", "px", "py"]).drop("px", "py")
+
+
 def near_tiles(dense: DataFrame, eps: float, side: float) -> DataFrame:
     """a, b: tiles (of_tile) of which some cells are within eps. dense: sample, cell_idx, x, y, of_tile."""
     part = {"sx": tile(F.col("x"), side), "sy": tile(F.col("y"), side), "ux": tile(F.col("x"), side / SPLIT), "uy": tile(F.col("y"), side / SPLIT)}

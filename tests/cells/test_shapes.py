@@ -4,10 +4,10 @@ import math
 import random
 
 import pytest
-
+from pyspark.sql import functions as F
 
 from cellweave.operators import cluster, layout, outline, ribbon, samples
-from cellweave.operators.graph import FEW_ROWS, HOT, components, even_join
+from cellweave.operators.graph import FEW_ROWS, HOT, components, cut, even_join
 
 
 def test_straight_ribbon(spark):
@@ -74,6 +74,31 @@ def dbscan(points, eps, least):
     return [label[i] if i in core else min((label[j] for j in near[i] if j in core), default=-1) for i in range(len(points))]
 
 
+@pytest.mark.parametrize("leaf", [2, 32])
+def test_sparse_cells_beside_a_crowd(spark, monkeypatch, leaf):
+    """Crowded spots, one of cells at one place, with single cells all about them at distances near eps."""
+    monkeypatch.setattr(cluster, "LEAF", leaf)
+    draw, eps, least = random.Random(leaf), 2.0, 9
+    points = [("s", draw.gauss(5, 0.35), draw.gauss(5, 0.2)) for _ in range(700)] + [("s", 15.0, 5.0)] * 60 + [("s", draw.gauss(10.5, 0.1), draw.gauss(5, 0.5)) for _ in range(300)]
+    points += [("s", cx + r * math.cos(t), 5 + r * math.sin(t)) for cx in (5, 10.5, 15) for r in (1.5, 1.99, 2.0, 2.3, 2.9) for t in [draw.uniform(0, 6.3) for _ in range(12)]]
+    points += [("t", x, y) for _, x, y in points[600:760]]
+    places = spark.createDataFrame([(i, *p) for i, p in enumerate(points)], "cell_idx long, sample string, x double, y double")
+    rows = sorted(cluster.density_clusters(places, eps, least).select("cell_idx", "cluster").collect())
+    assert [r.cluster for r in rows] == dbscan(points, eps, least)
+
+
+def test_a_cell_meets_few_parts_of_a_crowd(spark):
+    side = 2.0 / math.sqrt(2)
+    crowd = spark.range(40_000).select(F.lit("s").alias("sample"), F.lit(0).cast("long").alias("of_tile"), (F.rand(1) * side).alias("x"), (F.rand(2) * side).alias("y"), F.lit(0).cast("long").alias("sx"), F.lit(0).cast("long").alias("sy"))
+    crowd = cut(crowd)
+    single = spark.createDataFrame([("s", 50_000 + i, 2 * side + 0.1 * i, 0.3) for i in range(5)], "sample string, cell_idx long, x double, y double").withColumns({"sx": F.lit(2).cast("long"), "sy": F.lit(0).cast("long")})
+    found = {r.a: r.n for r in cluster.near_parts(single, crowd, 2.0, side, 10).collect()}
+    for i in range(5):
+        dx, dy = F.col("x") - (2 * side + 0.1 * i), F.col("y") - 0.3
+        there = crowd.where(dx * dx + dy * dy <= 4).count()
+        assert min(there, 10) <= found.get(50_000 + i, 0) <= there
+
+
 @pytest.mark.parametrize(("eps", "least", "spread"), [(1.0, 4, 8.0), (2.5, 6, 9.0), (1.5, 3, 3.0), (4.0, 12, 10.0)])
 def test_clusters_against_brute_force(spark, eps, least, spread):
     draw = random.Random(int(eps * 10))
