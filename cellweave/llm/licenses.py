@@ -1,7 +1,7 @@
 """Licence scan of every paragraph of every text, with DataFrame functions and Spark ML only.
 
-Lines without words (blank ones, or bare comment marks) end a paragraph. What is scored are all runs of 1 to LINES lines inside a paragraph, so a notice is found on
-one line, hard-wrapped, behind comment marks, and between other lines of its paragraph; of confirmed runs of one family the shortest count.
+Lines without words (blank ones, or bare comment marks) end a paragraph. What is scored are all runs of lines inside a paragraph that have up to LINES lines, or up to WORDS words in any
+number of lines, so a notice is found on one line, wrapped at any width, behind comment marks, and between other lines of its paragraph; of confirmed runs of one family the shortest count, and of those that overlap one.
 
 A multinomial logistic regression with an L1 penalty over words, pairs and triples of words tells licence families from `unknown`. It learns from
 the templates below, from variants of them with a word left out, from sentences that only speak of licences, and from the lines and longest runs of a
@@ -92,8 +92,8 @@ OTHERS = (
     "The commons were open to the public, with attribution to the library",
 )
 SAMPLE, LEAST_PROBABILITY, LEAST_SIMILARITY = 1000, 0.5, 0.8
-#: A run has so many lines at most; wrapped at 40 columns, the longest template has them.
-LINES = 5
+#: A run has so many lines at most, or so many words: over twice those of the longest template.
+LINES, WORDS = 5, 80
 #: What tells a run apart.
 RUN = ("doc_id", "t", "line", "n_lines")
 TEMPERATURES = tuple(0.5 * 1.25**i for i in range(12))
@@ -127,10 +127,21 @@ def runs(docs: DataFrame, telling: list[str] | None = None) -> DataFrame:
     each = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("t"), F.transform(F.split("text", "\n"), words_of).alias("lines"))
     if telling is not None:
         each = each.where(F.exists("lines", lambda x: contains(x, telling)))
-    from_each = F.transform("lines", lambda x, i: F.struct(i.alias("line"), F.slice("lines", i + 1, LINES).alias("near")))
-    lines = each.select("doc_id", "t", F.inline(F.filter(from_each, lambda x: F.size(x.near[0]) > 0)))
-    blank = F.array_position(F.transform("near", lambda x: F.size(x) == 0), True)
-    lines = lines.withColumn("n_lines", F.explode(F.sequence(F.lit(1), F.when(blank > 0, blank.cast("int") - 1).otherwise(F.size("near")))))
+    each = each.withColumn("sizes", F.transform("lines", F.size))
+
+    def reach(i: Column) -> Column:
+        """How many lines from line i on are in its longest run."""
+        start = F.struct(F.lit(0).alias("n"), F.lit(0).alias("words"), F.lit(True).alias("open"))
+
+        def further(a: Column, size: Column) -> Column:
+            more = a.open & (size > 0) & ((a.n < LINES) | (a.words + size <= WORDS))
+            return F.struct(F.when(more, a.n + 1).otherwise(a.n).alias("n"), F.when(more, a.words + size).otherwise(a.words).alias("words"), more.alias("open"))
+
+        return F.aggregate(F.slice("sizes", i + 1, WORDS), start, further, lambda a: a.n)
+
+    from_each = F.transform("lines", lambda x, i: F.struct(i.alias("line"), F.slice("lines", i + 1, reach(i)).alias("near")))
+    lines = each.select("doc_id", "t", F.inline(F.filter(from_each, lambda x: F.size(x.near) > 0)))
+    lines = lines.withColumn("n_lines", F.explode(F.sequence(F.lit(1), F.size("near"))))
     found = lines.select("doc_id", "t", "line", "n_lines", F.flatten(F.slice("near", F.lit(1), F.col("n_lines"))).alias("words"))
     return found if telling is None else found.where(contains(F.col("words"), telling))
 
@@ -247,17 +258,29 @@ def classify(docs: DataFrame, model: Model, least_probability: float = LEAST_PRO
     both = both.select(*RUN, "family", "probability", "similarity", confirmed.alias("confirmed"), (F.col("line") + F.col("n_lines")).alias("end"))
     of_family = Window.partitionBy("doc_id", "t", "family").orderBy("line")
     end = F.min(F.when(F.col("confirmed"), F.col("end")))
-    both = both.withColumns({"first_end": end.over(of_family.rangeBetween(0, LINES - 1)), "later_end": end.over(of_family.rangeBetween(1, LINES - 1))})
+    both = both.withColumns({"first_end": end.over(of_family.rangeBetween(0, WORDS - 1)), "later_end": end.over(of_family.rangeBetween(1, WORDS - 1))})
     shortest = (F.col("end") == F.col("first_end")) & (F.col("later_end").isNull() | (F.col("later_end") > F.col("end")))
     return both.where(F.when(F.col("confirmed"), shortest).otherwise(F.col("n_lines") == 1)).select(*RUN, "family", "probability", "similarity", "confirmed")
 
 
+def apart(runs: Column) -> Column:
+    """How many runs (end, line), in ascending order, there are of which no two overlap: the one that ends first, then the next one after it, and so on."""
+    none = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).alias("end"))
+    return F.aggregate(runs, none, lambda a, x: F.when(x.line >= a.end, F.struct((a.n + 1).alias("n"), x.end.alias("end"))).otherwise(a), lambda a: a.n)
+
+
 def scan(docs: DataFrame, model: Model) -> DataFrame:
-    """For every document: the confirmed families (sorted, distinct), how many runs state one, how many lines were not confirmed, and the largest probability."""
-    found = classify(docs, model).groupBy("doc_id", "t").agg(
-        F.array_join(F.array_sort(F.collect_set(F.when(F.col("confirmed"), F.col("family")))), ",").alias("families"),
-        F.count_if("confirmed").alias("n_licenses"),
-        F.count_if(~F.col("confirmed")).alias("n_unconfirmed"),
+    """For every document: the confirmed families (sorted, distinct), how many runs apart from each other state one, how many lines were not confirmed, and the largest probability."""
+    run = F.struct((F.col("line") + F.col("n_lines")).alias("end"), "line")
+    of_family = classify(docs, model).groupBy("doc_id", "t", "family").agg(
+        apart(F.array_sort(F.collect_list(F.when(F.col("confirmed"), run)))).alias("n"),  # as many as a text's lines
+        F.count_if(~F.col("confirmed")).alias("unconfirmed"),
+        F.max("probability").alias("probability"),
+    )
+    found = of_family.groupBy("doc_id", "t").agg(
+        F.array_join(F.array_sort(F.collect_set(F.when(F.col("n") > 0, F.col("family")))), ",").alias("families"),
+        F.sum("n").alias("n_licenses"),
+        F.sum("unconfirmed").alias("n_unconfirmed"),
         F.max("probability").alias("probability"),
     ).withColumnsRenamed({"doc_id": "found_id", "t": "found_t"})
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("t"))

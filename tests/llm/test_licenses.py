@@ -42,10 +42,10 @@ def test_logits_against_all_runs(spark, make, model):
     for i, text in enumerate(texts):
         lines = [[w for w in re.split(r"[^\w]+|_", line.lower()) if w] for line in (text or "").split("\n")]
         for k in range(len(lines)):
-            for n in range(1, L.LINES + 1):
-                if k + n > len(lines) or not all(lines[k : k + n]):
-                    break
+            for n in range(1, len(lines) - k + 1):
                 words = sum(lines[k : k + n], [])
+                if not all(lines[k : k + n]) or (n > L.LINES and len(words) > L.WORDS):
+                    break
                 groups = {" ".join(words[a : a + m]) for m in (1, 2, 3) for a in range(len(words) - m + 1)}
                 x = [(b + sum(weights[g][j] for g in groups if g in weights)) / model.temperature for j, b in enumerate(model.intercepts)]
                 best = max(range(len(x)), key=x.__getitem__)
@@ -56,10 +56,10 @@ def test_logits_against_all_runs(spark, make, model):
 
 
 def wrapped(text, mark, width):
-    return "\n".join(mark + x for x in textwrap.wrap(text, width - len(mark)))
+    return "\n".join(mark + x for x in textwrap.wrap(text, width - len(mark), break_long_words=False, break_on_hyphens=False))
 
 
-@pytest.mark.parametrize(("mark", "width"), [("", 72), ("# ", 72), (" * ", 50)])
+@pytest.mark.parametrize(("mark", "width"), [("", 72), ("# ", 72), (" * ", 50), ("// ", 40), ("", 30), (" * ", 24), ("", 18), ("# ", 18), ("", 1)])
 def test_hard_wrapped_notices(make, model, mark, width):
     """Wrapped, behind comment marks, and between other lines of a block."""
     templates = [(f, t) for f, family in L.TEMPLATES.items() for t in family]
