@@ -23,6 +23,7 @@ however long. An empty table gives an empty result. Other columns, whatever thei
 
 from __future__ import annotations
 
+import ctypes
 import math
 from collections.abc import Iterator
 
@@ -49,6 +50,14 @@ MOST, SIDE, COLUMNS = 511, 1000, 2048
 ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB], dtype="<u8")
 
 
+def give_back() -> None:
+    """Memory that this task has freed goes back to the system, as the worker process stays for other stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # other C libraries do so by themselves
+    if trim:
+        trim(0)
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * ODD[5]
     x = (x ^ (x >> np.uint64(27))) * ODD[6]
@@ -128,6 +137,7 @@ def shingled(docs: DataFrame) -> DataFrame:
             rows = np.arange(row, row + len(counts))
             row += len(counts)
             yield table(schema, row=rows, doc_id=batch.column("doc_id"), t=batch.column("t"), d0=d0.view(np.int64), d1=d1.view(np.int64), fp=simhashes(hashes, counts).view(np.int64), size=counts, level=level, q=q, next_q=next_q, sample=sample)
+        give_back()
 
     return id_and_text(docs).withColumn("t", F.xxhash64("text")).mapInArrow(run, ", ".join(f"{c} long" for c in longs) + ", sample array<long>")
 
@@ -180,6 +190,7 @@ def sets_of(docs: DataFrame, asked: DataFrame) -> DataFrame:
             hashes, counts = shingle_sets(batch.column("text"))
             sets = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), pa.array(hashes.view(np.int64)))
             yield table(schema, id=batch.column("id"), set=sets)
+        give_back()
 
     few = asked.count() <= FEW  # then the texts stay where they are
     asked = asked.select("id", F.col("doc_id").alias("asked_id"), F.col("t").alias("asked_t"))
@@ -290,6 +301,7 @@ def between_groups(shared: DataFrame, members: DataFrame, some: DataFrame, each:
                 held.append(batch.slice(a, b - a))
         if held:
             yield pairs(held)
+        give_back()
 
     rows = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
     return rows.mapInArrow(run, "a long, b long").distinct()
