@@ -242,7 +242,7 @@ def variants(docs: DataFrame, damage: bool = True) -> DataFrame:
 
 
 def oracle_sql() -> str:
-    """The same in DuckDB: checksums by bits, and words that share what is left without one code point."""
+    """The same in DuckDB: checksums by bits, and words that share what is left without one code point. form_n is a double, as frames hold whole numbers beside nulls."""
     code = f"(SELECT list_transform(range(256), lambda i: list_reduce([i] || range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, {0xEDB88320}) ELSE c >> 1 END)))"
     return f"""WITH crc AS (SELECT {code} AS steps),
         runs AS (SELECT coalesce(doc_id::VARCHAR, '') AS d, translate(run, '{string.ascii_uppercase}', '{string.ascii_lowercase}') AS run, count(*) AS n FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')) AS run FROM documents) GROUP BY ALL),
@@ -251,6 +251,6 @@ def oracle_sql() -> str:
         less AS (SELECT word, n, unnest(list_transform(range(0, length(word) + 1), lambda i: {{'i': i, 'v': CASE WHEN i = 0 THEN word ELSE substr(word, 1, (i - 1)::INT) || substr(word, (i + 1)::INT) END}}), recursive := true) FROM words),
         near AS (SELECT DISTINCT a.word, a.n, b.word AS other, b.n AS other_n FROM less a JOIN less b ON a.v = b.v AND a.word <> b.word AND (a.i = b.i OR a.i = 0 OR b.i = 0)),
         best AS (SELECT word, n, count(*) AS n_near, min({{'m': -other_n, 'w': other}}) AS b FROM near GROUP BY word, n),
-        forms AS (SELECT words.word, words.n, coalesce(n_near, 0) AS n_near, CASE WHEN -b.m >= {TIMES} * words.n THEN b.w END AS form, CASE WHEN -b.m >= {TIMES} * words.n THEN (-b.m)::BIGINT END AS form_n FROM words LEFT JOIN best ON words.word = best.word),
+        forms AS (SELECT words.word, words.n, coalesce(n_near, 0) AS n_near, CASE WHEN -b.m >= {TIMES} * words.n THEN b.w END AS form, CASE WHEN -b.m >= {TIMES} * words.n THEN (-b.m)::DOUBLE END AS form_n FROM words LEFT JOIN best ON words.word = best.word),
         {', '.join(f"r{k} AS (SELECT x.word, coalesce(y.form, x.root) AS root FROM {'(SELECT word, coalesce(form, word) AS root FROM forms)' if k == 0 else f'r{k - 1}'} x LEFT JOIN forms y ON x.root = y.word)" for k in range(12))}
         SELECT word, form, root, n, n_near, form_n FROM forms JOIN r11 USING (word)"""
