@@ -32,7 +32,7 @@ def density_clusters(places: DataFrame, eps: float, min_samples: int) -> DataFra
     """sample, cell_idx, cluster (-1: noise), core. places: sample, cell_idx, x, y. Samples with fewer than min_samples cells are left out."""
     enough = places.groupBy("sample").count().where(F.col("count") >= min_samples).select("sample")
     side = eps / math.sqrt(2) * (1 - 1e-12)
-    at = places.join(F.broadcast(enough), "sample", "left_semi").select("sample", "cell_idx", "x", "y", tile(F.col("x"), side).alias("sx"), tile(F.col("y"), side).alias("sy"))
+    at = places.join(enough, "sample", "left_semi").select("sample", "cell_idx", "x", "y", tile(F.col("x"), side).alias("sx"), tile(F.col("y"), side).alias("sy"))
     tiles = at.groupBy("sample", "sx", "sy").agg(F.count("*").alias("n"), F.min("cell_idx").alias("of_tile"))
     at = cut(at.join(tiles, ["sample", "sx", "sy"]).withColumn("dense", F.col("n") >= min_samples).select("sample", "cell_idx", "x", "y", "sx", "sy", "dense", F.when(F.col("n") >= min_samples, F.col("of_tile")).alias("of_tile")))
     sparse, dense = at.where("not dense"), at.where("dense")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellweave.functions.values import clean_expression, code_between, code_of_expression, number
-from cellweave.operators.graph import cut
+from cellweave.operators.graph import FEW_ROWS, cut
 
 EPSILON = 1e-9
 
@@ -21,8 +21,11 @@ def numeric_codes(cells: DataFrame, column: str) -> DataFrame:
 
 
 def numbered(df: DataFrame, by: str) -> DataFrame:
-    """df with the column number, from 1 in the order of `by` (each value once). Ranges of values are numbered on their own, after the sizes of those before; no task orders all."""
-    ranged = cut(df.repartitionByRange(by).withColumn("part", F.spark_partition_id()))
+    """df with the column number, from 1 in the order of `by` (each value once). Ranges of values are numbered on their own, after the sizes of those before; no task orders all, unless FEW_ROWS are all."""
+    held = cut(df)
+    if held.count() <= FEW_ROWS:
+        return held.withColumn("number", F.row_number().over(Window.orderBy(by)))
+    ranged = cut(held.repartitionByRange(by).withColumn("part", F.spark_partition_id()))
     sizes = ranged.groupBy("part").agg(F.count("*").alias("n"))
     before = F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # one row a part
     inside = F.row_number().over(Window.partitionBy("part").orderBy(by))
@@ -106,7 +109,7 @@ def display_range(codes: DataFrame, vmax: float, low: float = 0.0, high: float |
 def visible(cells: DataFrame, column: str, enabled: DataFrame) -> DataFrame:
     """cell_idx, visible: hidden if its category (category, enabled) is switched off; cells without a category stay visible."""
     known = enabled.select(F.col("category").alias(column), "enabled")
-    return cells.join(F.broadcast(known), column, "left").select("cell_idx", F.coalesce("enabled", F.lit(True)).alias("visible"))
+    return cells.join(known, column, "left").select("cell_idx", F.coalesce("enabled", F.lit(True)).alias("visible"))
 
 
 def normalised_z(points: DataFrame) -> DataFrame:

@@ -75,7 +75,7 @@ def first_found(sources: list[DataFrame]) -> DataFrame:
 
 def last_region(members: DataFrame, order: DataFrame) -> DataFrame:
     """cell_idx, label: of all regions that hold a cell the one that comes last in the order (region, ordinal)."""
-    return members.join(F.broadcast(order), "region").groupBy("cell_idx").agg(F.max_by("region", "ordinal").alias("label"))
+    return members.join(order, "region").groupBy("cell_idx").agg(F.max_by("region", "ordinal").alias("label"))
 
 
 def centroids(members: DataFrame, places: DataFrame) -> DataFrame:
@@ -191,7 +191,7 @@ def save_group(cells: DataFrame, places: DataFrame, rings: DataFrame, order: Dat
     """cells with the attribute `name`: the last region of the order (region, ordinal) that holds a cell. Regions that capture none take the first of the fallbacks (region, cell_idx) that knows them."""
     if order.isEmpty():
         raise ValueError("a region group needs regions")
-    wanted = lambda df: df.join(F.broadcast(order.select("region")), "region", "left_semi")
+    wanted = lambda df: df.join(order.select("region"), "region", "left_semi")
     return attribute_column(cells, last_region(first_found([capture(places, wanted(rings)), *map(wanted, fallbacks)]), order), name)
 
 

@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from cellweave.operators import page, regions
+from cellweave.operators import color, page, regions
 from cellweave.operators.spatial_join import DEPTH, captures, cover
 from cellweave.sources import sinks
 from cellweave.sources.cells import CellSet, points
@@ -103,3 +103,12 @@ def test_views_of_stored_cells_skip_zones(spark, tmp_path):
         if want:
             plan = page.viewport(places, box)._jdf.queryExecution().executedPlan().toString()
             assert "zone" in plan.split("PartitionFilters:")[1].split("PushedFilters")[0]
+
+
+@pytest.mark.parametrize("few", [0, 100_000])
+def test_categories_are_numbered_alike_by_ranges_and_at_once(spark, monkeypatch, few):
+    monkeypatch.setattr(color, "FEW_ROWS", few)
+    some = spark.range(0, 3000, 3).select(F.concat(F.lit("k"), (F.col("id") % 7919).cast("string")).alias("category"), (F.col("id") * 7 % 3001).alias("first"))
+    want = {r.category: k + 1 for k, r in enumerate(sorted(some.collect(), key=lambda r: r[1]))}
+    got = {r.category: r.number for r in color.numbered(some, "first").collect()}
+    assert got == want
