@@ -9,7 +9,7 @@ radius R through both holds no other point. The centres of discs of radius R thr
 2. For the rest, arcs that only cover what is covered already are left out, and ends covered by another arc are found by a running maximum.
 3. The discs that remain, a few for each boundary point, are tested exactly against the points in them.
 
-Only boundary edges and hull points reach Python, where a group's edges are put in order.
+The edges are put in order by `tracing`. Only hull points reach Python.
 """
 
 from __future__ import annotations
@@ -22,10 +22,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cellweave.functions.geometry import in_ring
 from cellweave.operators.graph import cut
 from cellweave.operators.regions import centroids, spread_members
 from cellweave.operators.spatial_join import captures, neighbours, tile
+from cellweave.operators.tracing import rings
 
 LEAST_POINTS = 3
 TOLERANCE = 1e-9
@@ -35,6 +35,11 @@ SECTORS, SLACK, TURN = 64, 1e-6, 2 * math.pi
 
 def alpha_edges(places: DataFrame, alpha: float) -> DataFrame:
     """region, a, b (a < b) of the boundary. places: region, cell_idx, x, y; of cells at one place the first stands for all."""
+    return boundary(places, alpha).select("region", "a", "b")
+
+
+def boundary(places: DataFrame, alpha: float) -> DataFrame:
+    """The same with side (of the empty disc; 1: left of a to b) and both places, as xa, ya, xb, yb."""
     if alpha <= 0:
         raise ValueError("alpha must be above 0; use hull for 0")
     radius = 1 / alpha
@@ -46,15 +51,16 @@ def alpha_edges(places: DataFrame, alpha: float) -> DataFrame:
     discs = discs.where(squared < 4 * radius * radius).withColumn("rise", F.sqrt(F.greatest(F.lit(radius * radius) - squared / 4, F.lit(0.0)) / squared))
     cx = (F.col("xa") + F.col("xb")) / 2 - F.col("side") * F.col("rise") * dy
     cy = (F.col("ya") + F.col("yb")) / 2 + F.col("side") * F.col("rise") * dx
-    discs = discs.select("region", "a", "b", "side", cx.alias("cx"), cy.alias("cy"))
+    ends = ["xa", "ya", "xb", "yb"]
+    discs = discs.select("region", "a", "b", "side", *ends, cx.alias("cx"), cy.alias("cy"))
     steps = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)]))
     reach = discs.withColumn("s", steps).select("region", "a", "b", "side", "cx", "cy", (tile(F.col("cx"), radius) + F.col("s.i")).alias("tx"), (tile(F.col("cy"), radius) + F.col("s.j")).alias("ty"))
     points = one.select("region", "cell_idx", "x", "y", tile(F.col("x"), radius).alias("tx"), tile(F.col("y"), radius).alias("ty"))
     ex, ey = F.col("x") - F.col("cx"), F.col("y") - F.col("cy")
     inside = reach.join(points, ["region", "tx", "ty"]).where((F.col("cell_idx") != F.col("a")) & (F.col("cell_idx") != F.col("b")))
     full = inside.where(ex * ex + ey * ey < (radius - TOLERANCE) ** 2).select("region", "a", "b", "side").distinct()
-    empty = discs.select("region", "a", "b", "side").join(full, ["region", "a", "b", "side"], "left_anti")
-    return empty.groupBy("region", "a", "b").count().where("count = 1").select("region", "a", "b")
+    empty = discs.select("region", "a", "b", "side", *ends).join(full, ["region", "a", "b", "side"], "left_anti")
+    return empty.groupBy("region", "a", "b").agg(F.count("*").alias("n"), *[F.first(c).alias(c) for c in ("side", *ends)]).where("n = 1").drop("n")
 
 
 def arc(dx: Column, dy: Column, radius: float) -> tuple[Column, Column]:
@@ -109,48 +115,6 @@ def open_ends(one: DataFrame, some: DataFrame, radius: float) -> DataFrame:
     return found.select("region", pick("a", "b", "a"), pick("b", "a", "b"), F.when(up, -1).otherwise(1).alias("side"), pick("xa", "xb", "xa"), pick("ya", "yb", "ya"), pick("xb", "xa", "xb"), pick("yb", "ya", "yb"))
 
 
-def rings(edges: DataFrame, places: DataFrame, exterior_only: bool = False) -> DataFrame:
-    """region, ring_no, ring from boundary edges, the ring with the largest area first. A vertex where rings touch is gone through by each of them."""
-    a, b = (places.select("region", F.col("cell_idx").alias(s), F.col("x").alias(f"x{s}"), F.col("y").alias(f"y{s}")) for s in "ab")
-    full = edges.join(a, ["region", "a"]).join(b, ["region", "b"])
-
-    def stitch(held: pd.DataFrame) -> pd.DataFrame:
-        at, near = {}, {}
-        for r in held.itertuples():
-            at[r.a], at[r.b] = (r.xa, r.ya), (r.xb, r.yb)
-            near.setdefault(r.a, set()).add(r.b)
-            near.setdefault(r.b, set()).add(r.a)
-        found = []
-        for begin in sorted(near):
-            while begin in near:
-                way, place = [begin], {begin: 0}
-                while near.get(way[-1]):
-                    there = min(near[way[-1]])
-                    for p, q in ((way[-1], there), (there, way[-1])):
-                        near[p].discard(q)
-                        if not near[p]:
-                            del near[p]
-                    if there in place:  # a loop closes here; what led to it goes on
-                        k = place[there]
-                        found.append([at[p] for p in way[k:]])
-                        for p in way[k + 1 :]:
-                            del place[p]
-                        way = way[: k + 1]
-                    else:
-                        place[there] = len(way)
-                        way.append(there)
-        found = [r for r in found if len(r) >= LEAST_POINTS]
-        found.sort(key=lambda r: -abs(area(r)))
-        return pd.DataFrame({"region": held.region.iloc[0], "ring_no": range(len(found)), "ring": [[{"x": x, "y": y} for x, y in r] for r in found]})
-
-    found = full.groupBy("region").applyInPandas(stitch, "region string, ring_no int, ring array<struct<x:double,y:double>>")
-    if not exterior_only:
-        return found
-    found = cut(found)
-    holes = nesting(found).where("depth % 2 = 1").select("region", "ring_no")
-    return found.join(holes, ["region", "ring_no"], "left_anti")
-
-
 def nesting(found: DataFrame) -> DataFrame:
     """region, ring_no, depth: in how many other rings of its region a ring lies; at odd depths it is a hole. Rings don't cross, so an edge of it tells."""
     v, w = F.element_at("ring", 1), F.element_at("ring", 2)
@@ -215,7 +179,7 @@ def outlines(members: DataFrame, places: DataFrame, alpha: float, exterior_only:
     counts = each.groupBy("region").agg(F.count("*").alias("n"))
     good = each.join(counts.where(F.col("n") >= LEAST_POINTS).select("region"), "region", "left_semi")
     if alpha > 0:
-        found = rings(alpha_edges(good, alpha), good, exterior_only)
+        found = rings(boundary(good, alpha), exterior_only)
     else:
         ordered = hull(good).groupBy("region").agg(F.array_sort(F.collect_list(F.struct("position", "x", "y"))).alias("c"))
         found = ordered.select("region", F.lit(0).alias("ring_no"), F.transform("c", lambda p: F.struct(p.x.alias("x"), p.y.alias("y"))).alias("ring"))
