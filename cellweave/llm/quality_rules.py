@@ -9,7 +9,7 @@ begin and end inside words and overlap themselves. Limited are the share of a te
 Cheaper counts (words, symbols, equal lines, repeated 5-word windows) come first.
 
 Batches of texts are worked on where they were read: nothing is shuffled, and a filter keeps whole rows in place. Texts are read whole, however long;
-the ranks kept for a text take about 8 bytes a character for each doubling that still has equal prefixes.
+one text takes about 190 bytes of memory a character, whatever it repeats (10 million equal characters: 1.9 GB).
 
 Null and empty texts have no words and fail. Equal rows get equal results, rows without doc_id and with a shared one theirs. An empty table gives an empty
 result. Other columns, whatever their names, are not read, and pass through `keep_good` untouched.
@@ -17,6 +17,7 @@ result. Other columns, whatever their names, are not read, and pass through `kee
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,6 +34,8 @@ WINDOW = 5
 #: A repeat counts from this many characters; more than this share of word characters in repeats, or a longer repeat, is refused. Words in repeats
 #: are at most the fifth that the rule on 5-word windows lets through, so the share lies below that.
 MIN_CHARS, MAX_COVERED, MAX_LONGEST = 48, 0.15, 150
+#: Bytes of text that are sorted at once; symbols by which all pairs are compared together before each is on its own.
+MOST, STEPS = 1 << 18, 64
 #: Odd multipliers that mix a window's words into one number (any would do: what meets by chance is compared).
 ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xBF58476D1CE4E5B9], dtype="<u8")
 
@@ -52,8 +55,8 @@ class Level:
         return (self.at[i] == a) & (self.at[j] == b) & (self.rank[i] == self.rank[j])
 
 
-def suffix_array(symbols: np.ndarray, row: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, list[Level]]:
-    """All suffixes in order, text by text, and their ranks by ever longer prefixes.
+def suffix_array(symbols: np.ndarray, row: np.ndarray, ends: np.ndarray, least: int) -> tuple[np.ndarray, Level | None]:
+    """All suffixes in order, text by text, and their ranks by the longest prefixes that are no longer than `least`, if there are such.
 
     symbols: all texts' symbols (from 1) one after another; row: each one's text, ascending; ends: where its text ends.
     """
@@ -68,54 +71,73 @@ def suffix_array(symbols: np.ndarray, row: np.ndarray, ends: np.ndarray) -> tupl
         key = key << np.uint64(bits) | next_one
     order = np.argsort(key)
     slots, sorted_keys = np.arange(n), key[order]
+    del left, next_one, key
     rank = np.zeros(n, dtype=np.int64)
-    levels: list[Level] = []
+    level, first_time = None, True
     while True:
         new = np.concatenate([[True], sorted_keys[1:] != sorted_keys[:-1]])[: len(slots)]
         first = np.maximum.accumulate(np.where(new, np.arange(len(slots)), 0))
         at = order[slots]
         rank[at] = slots[first]
-        if levels:
-            by = np.argsort(at)
-            levels.append(Level(size, rank[at[by]].astype(np.int32), at[by].astype(np.int32)))
-        else:
-            levels.append(Level(size, rank.astype(np.int32)))
+        del first, sorted_keys
+        if size <= least:
+            by = None if first_time else np.argsort(at)
+            level = Level(size, rank.astype(np.int32)) if by is None else Level(size, rank[at[by]].astype(np.int32), at[by].astype(np.int32))
+        first_time = False
         slots = slots[~(new & np.concatenate([new[1:], [True]])[: len(slots)])]
         if not len(slots):
-            return order, levels
+            return order, level
         at = order[slots]
         after = np.where(at + size < ends[at], rank[np.minimum(at + size, n - 1)] + 1, 0)
         key = rank[at] * (n + 2) + after
+        del after
         by = np.argsort(key)
         order[slots], sorted_keys = at[by], key[by]
+        del key, by
         size *= 2
 
 
-def common_prefixes(symbols: np.ndarray, order: np.ndarray, levels: list[Level], ends: np.ndarray, least: int) -> np.ndarray:
-    """For each suffix in order the number of first symbols that it shares with the one before; 0 where that is below `least`."""
+def lengthened(symbols: np.ndarray, a: np.ndarray, b: np.ndarray, ends: np.ndarray, known: int) -> np.ndarray:
+    """How many symbols pairs of suffixes of one text share that share `known` at least."""
+    total, going = np.full(len(a), known, dtype=np.int64), np.arange(len(a))
+    for _ in range(STEPS):
+        later = np.maximum(a[going], b[going]) + total[going]
+        going, later = going[later < ends[a[going]]], later[later < ends[a[going]]]
+        going = going[symbols[later] == symbols[later - np.abs(a[going] - b[going])]]
+        total[going] += 1
+    for k in going.tolist():  # the few that share more are compared in slices
+        i, j, end, size = int(a[k] + total[k]), int(b[k] + total[k]), int(ends[a[k]]), STEPS
+        while max(i, j) < end:
+            size = min(2 * size, end - max(i, j), MOST)
+            differ = symbols[i : i + size] != symbols[j : j + size]
+            here = int(differ.argmax())
+            if differ[here]:
+                i += here
+                break
+            i, j = i + size, j + size
+        total[k] = i - a[k]
+    return total
+
+
+def common_prefixes(symbols: np.ndarray, order: np.ndarray, level: Level | None, begins: np.ndarray, ends: np.ndarray, least: int) -> np.ndarray:
+    """For each suffix in order the number of first symbols that it shares with the one before; 0 where that is below `least`.
+
+    Where the symbols before both suffixes are the same, the suffixes from there are neighbours too, and share one more. So only those where they differ are compared.
+    """
     n = len(order)
-    found = np.zeros(n, dtype=np.int64)
     pairs = np.flatnonzero(ends[order[1:]] == ends[order[:-1]]) + 1
-    for level in levels:  # the longest prefixes that are no longer than `least` leave few pairs
-        if level.size <= least:
-            pairs = pairs[level.same(order[pairs], order[pairs - 1])]
+    if level:  # leaves few pairs
+        pairs = pairs[level.same(order[pairs], order[pairs - 1])]
     a, b = order[pairs], order[pairs - 1]
-    ends_a, ends_b, total = ends[a], ends[b], np.zeros(len(pairs), dtype=np.int64)
-
-    def step(same: np.ndarray, size: int) -> None:
-        nonlocal a, b, total
-        total, a, b = total + same * size, a + same * size, b + same * size
-
-    for level in levels[::-1]:
-        inside = (a < ends_a) & (b < ends_b)
-        step(inside & level.same(np.minimum(a, n - 1), np.minimum(b, n - 1)), level.size)
-    going = np.ones(len(pairs), dtype=bool)
-    for _ in range(levels[0].size - 1 if levels else 0):
-        going = going & (a < ends_a) & (b < ends_b)
-        going &= symbols[np.minimum(a, n - 1)] == symbols[np.minimum(b, n - 1)]
-        step(going, 1)
-    found[pairs] = np.where(total >= least, total, 0)
-    return found
+    follows = (a > begins[a]) & (b > begins[b]) & (symbols[a - 1] == symbols[b - 1])
+    shared, head = np.zeros(n, dtype=np.int64), np.zeros(n, dtype=np.int64)
+    lead, a = a[~follows], a[follows]
+    shared[lead] = lengthened(symbols, lead, b[~follows], ends, level.size if level else 0)
+    head[lead] = lead
+    head = np.maximum.accumulate(head)
+    shared[a] = shared[head[a]] - (a - head[a])
+    shared[shared < least] = 0
+    return shared[order]
 
 
 def maximal_repeats(symbols: np.ndarray, order: np.ndarray, shared: np.ndarray, begins: np.ndarray) -> np.ndarray:
@@ -123,30 +145,34 @@ def maximal_repeats(symbols: np.ndarray, order: np.ndarray, shared: np.ndarray,
     before = np.where(order > begins[order], symbols[np.maximum(order - 1, 0)], -1 - order)  # none is like no other
     changes = np.cumsum(np.concatenate([[False], before[1:] != before[:-1]])[: len(order)])
     some = np.flatnonzero(shared)
-    found, stack, last = [], [], -2
-
-    def close(high: int, length: int) -> int:
-        """Ends the intervals that share more than `length`; the first one's low end, if any."""
-        low = high
-        while stack and stack[-1][1] > length:
-            low, size, least = stack.pop()
-            found.append((low, high, size, least))
-            if stack and least < stack[-1][2]:
-                stack[-1][2] = least
-        return low
-
-    for at, length, here, there in zip(some.tolist(), shared[some].tolist(), order[some].tolist(), order[some - 1].tolist(), strict=True):
-        if at != last + 1:  # nothing is shared in between
-            close(last, 0)
-        known = len(found)
-        low = close(at - 1, length)
-        if not stack or stack[-1][1] < length:
-            stack.append([low, length, found[-1][3] if len(found) > known else there])
-        if here < stack[-1][2]:
-            stack[-1][2] = here
-        last = at
+    # numbers side by side: low ends, lengths and first places of open intervals; low ends, high ends, lengths and first places of closed ones
+    lows, sizes, firsts, found, last = array("q"), array("q"), array("q"), array("q"), -2
+
+    def close(high: int, length: int) -> tuple[int, int | None]:
+        """Ends the intervals that share more than `length`; the low end and first place of the last one ended, if any."""
+        low, least = high, None
+        while sizes and sizes[-1] > length:
+            low, least = lows.pop(), firsts.pop()
+            found.extend((low, high, sizes.pop(), least))
+            if sizes and least < firsts[-1]:
+                firsts[-1] = least
+        return low, least
+
+    for part in range(0, len(some), MOST):
+        ats = some[part : part + MOST]
+        for at, length, here, there in zip(ats.tolist(), shared[ats].tolist(), order[ats].tolist(), order[ats - 1].tolist(), strict=True):
+            if at != last + 1:  # nothing is shared in between
+                close(last, 0)
+            low, least = close(at - 1, length)
+            if not sizes or sizes[-1] < length:
+                lows.append(low)
+                sizes.append(length)
+                firsts.append(there if least is None else least)
+            if here < firsts[-1]:
+                firsts[-1] = here
+            last = at
     close(last, 0)
-    low, high, length, first = np.array(found, dtype=np.int64).reshape(-1, 4).T
+    low, high, length, first = np.frombuffer(found, dtype=np.int64).reshape(-1, 4).T
     diverse = changes[high] > changes[low]
     return np.stack([first, length, high - low + 1])[:, diverse]
 
@@ -208,12 +234,12 @@ def measure(text: pa.Array, min_chars: int = MIN_CHARS) -> dict[str, np.ndarray]
     is_word = ~np.isin(points, SPACE)
     held = np.zeros(int(points.max(initial=0)) + 1, dtype=bool)
     held[points] = True
-    symbols = np.cumsum(held)[points] if n else np.zeros(0, dtype=np.int64)
-    row = np.repeat(np.arange(len(counts)), counts)
-    ends, begins = np.repeat(np.cumsum(counts), counts), np.repeat(np.cumsum(counts) - counts, counts)
+    symbols = np.cumsum(held, dtype=np.int32)[points] if n else np.zeros(0, dtype=np.int32)
+    row = np.repeat(np.arange(len(counts), dtype=np.int32), counts)  # a batch of strings has less than 2 ** 31 bytes
+    ends, begins = (np.repeat(x.astype(np.int32), counts) for x in (np.cumsum(counts), np.cumsum(counts) - counts))
+    order, level = suffix_array(symbols, row, ends, min_chars) if n else (np.zeros(0, dtype=np.int64), None)
+    shared = common_prefixes(symbols, order, level, begins, ends, min_chars)
     length = np.zeros(n, dtype=np.int64)
-    order, levels = suffix_array(symbols, row, ends) if n else (np.zeros(0, dtype=np.int64), [])
-    shared = common_prefixes(symbols, order, levels, ends, min_chars)
     length[order] = np.maximum(shared, np.concatenate([shared[1:], [0]])[:n])
     first, size, times = maximal_repeats(symbols, order, shared, begins)
     some = np.flatnonzero(length)
@@ -241,8 +267,6 @@ def verdict(m: dict[str, np.ndarray], max_covered: float = MAX_COVERED, max_long
 
 
 COLUMNS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "covered_chars", "longest_repeat", "n_repeats")
-#: Bytes of text that are sorted at once.
-MOST = 1 << 18
 
 
 def apply_rules(docs: DataFrame, min_chars: int = MIN_CHARS, max_covered: float = MAX_COVERED, max_longest: int = MAX_LONGEST) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -125,3 +126,20 @@ def test_labelled_clean_texts_stay(spark):
     labels = spark.read.parquet(f"{root}/labels.parquet").where("quality = 1").select("doc_id").distinct()
     rules = Q.apply_rules(spark.read.parquet(f"{root}/documents.parquet")).where("not base_failed").join(labels, "doc_id")
     assert rules.where("kept").count() >= 0.99 * rules.count() > 0
+
+
+@pytest.mark.parametrize("text", ["a" * 150_000, "ab" * 75_000, "the same passage, over and over again. " * 4000, "".join(random.Random(3).choices("ab", k=50_000)) * 3])
+def test_memory_is_in_proportion_to_the_text(text):
+    tracemalloc.start()
+    Q.measure(pa.array([text]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 220 * len(text) + 10_000_000
+
+
+def test_repeats_in_texts_much_longer_than_a_batch(make):
+    """Shifted copies of one long passage, told by what was put together."""
+    draw = random.Random(21)
+    passage = "".join(draw.choices("abcdefgh", k=300_000))
+    row = Q.apply_rules(make([passage + "X" + passage[1000:] + "Y" + passage[:200_000]])).first()
+    assert (row.longest_repeat, row.covered_chars) == (299_000, 300_000 + 299_000 + 200_000)
