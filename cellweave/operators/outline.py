@@ -4,7 +4,9 @@ With R = 1 / alpha, a pair of points is a boundary edge of the alpha shape if it
 radius R through both holds no other point. The centres of discs of radius R through a point lie on a circle about it, where each other point b closer than
 2R keeps an arc from being empty; an empty disc through both is an end of b's arc that no other arc covers.
 
-1. Points with few others all around them, one from each small tile nearby, are surrounded: their arcs cover all SECTORS of the circle. Those points are on no edge; the
+0. The plane is cut into small tiles, the smaller the denser the points. A disc whose centre lies in a tile that has a tile with points wholly within R isn't empty; only points R away from
+   other tiles can be on an edge. That is told for tiles, block by block, so points far inside are left out at the cost of a join, and those that stay grow with the square root of the density.
+1. Of these, points with few others all around them, one from each small tile nearby, are surrounded: their arcs cover all SECTORS of the circle. Those points are on no edge; the
    work for each is bounded, however dense the cells.
 2. For the rest, arcs that only cover what is covered already are left out, and ends covered by another arc are found by a running maximum.
 3. The discs that remain, a few for each boundary point, are tested exactly against the points in them.
@@ -31,6 +33,8 @@ LEAST_POINTS = 3
 TOLERANCE = 1e-9
 #: Ends of arcs that another one covers by less than SLACK radians are tested exactly.
 SECTORS, SLACK, TURN = 64, 1e-6, 2 * math.pi
+#: Small tiles along R at least and at most; tiles along the side of a block; what rounding may move a place by, in tiles.
+FINE, BLOCK, MOVED = (8, 64), 256, 1e-3
 
 
 def alpha_edges(places: DataFrame, alpha: float) -> DataFrame:
@@ -45,7 +49,8 @@ def boundary(places: DataFrame, alpha: float) -> DataFrame:
     radius = 1 / alpha
     one = places.groupBy("region", "x", "y").agg(F.min("cell_idx").alias("cell_idx"))
     one = cut(one)
-    discs = cut(open_ends(one, cut(not_surrounded(one, radius)), radius))
+    outer = cut(near_gaps(one, radius))
+    discs = cut(open_ends(outer, cut(not_surrounded(one, outer, radius)), radius))
     dx, dy = F.col("xb") - F.col("xa"), F.col("yb") - F.col("ya")
     squared = dx * dx + dy * dy
     discs = discs.where(squared < 4 * radius * radius).withColumn("rise", F.sqrt(F.greatest(F.lit(radius * radius) - squared / 4, F.lit(0.0)) / squared))
@@ -78,12 +83,71 @@ def sectors(low: Column, high: Column, touched: bool = False) -> Column:
     return F.call_function("shiftleft", ones, start).bitwiseOR(F.call_function("shiftrightunsigned", ones, (SECTORS - start).cast("int")))
 
 
-def not_surrounded(one: DataFrame, radius: float) -> DataFrame:
-    """region, cell_idx, x, y and covered (sectors, as bits) of the points whose circle isn't covered by the arcs of one point from each tile nearby."""
+def widened(held: np.ndarray, reach: np.ndarray) -> np.ndarray:
+    """The tiles of a grid that lie within reach of one that is held: reach[k] tiles to the left and right in the k-th row above and below, -1 for none."""
+    high, wide = held.shape
+    sums = np.zeros((high, wide + 1), dtype=np.int32)
+    np.cumsum(held, axis=1, out=sums[:, 1:])
+    out, column = np.zeros_like(held), np.arange(wide)
+    for k, w in enumerate(reach.tolist()):
+        if w < 0 or k >= high:
+            break
+        row = sums[:, np.minimum(column + w + 1, wide)] > sums[:, np.maximum(column - w, 0)]
+        out[k:] |= row[: high - k]
+        if k:
+            out[:-k] |= row[k:]
+    return out
+
+
+def open_tiles(held: np.ndarray, fine: int) -> np.ndarray:
+    """Of the tiles that hold points those that a disc of `fine` tiles' radius may touch without one wholly inside. Beyond the grid nothing is held."""
+    k, margin = np.arange(fine + 2), fine + 2
+    within = np.floor(np.sqrt(np.maximum((fine - MOVED) ** 2 - (k + 1) ** 2, 0)) - 1)  # all of a tile about all of another one
+    within[(k + 1) > fine - MOVED] = -1
+    touched = np.floor(np.sqrt(np.maximum((fine + MOVED) ** 2 - np.maximum(k - 1, 0) ** 2, 0)) + 1)
+    held = np.pad(held, margin)
+    gaps = ~widened(held, within.astype(int))
+    return (held & widened(gaps, touched.astype(int)))[margin:-margin, margin:-margin]
+
+
+def fineness(one: DataFrame, radius: float) -> int:
+    """Tiles along R, a power of two, so that a tile has about one point."""
+    counts = one.groupBy("region", tile(F.col("x"), radius), tile(F.col("y"), radius)).agg(F.count("*").alias("n"))
+    n = counts.agg(F.avg("n").alias("n")).first().n or 1
+    return int(min(max(2 ** round(math.log2(n) / 2), FINE[0]), FINE[1]))
+
+
+def near_gaps(one: DataFrame, radius: float) -> DataFrame:
+    """region, cell_idx, x, y of the points whose tile isn't far inside; all that are on an edge are among them."""
+    fine = fineness(one, radius)
+    around = 2 * fine + 2  # tiles that tell of a tile
+    at = one.select("region", "cell_idx", "x", "y", tile(F.col("x"), radius / fine).alias("ux"), tile(F.col("y"), radius / fine).alias("uy"))
+    blocks = lambda u: F.explode(F.sequence(F.floor((F.col(u) - around) / BLOCK), F.floor((F.col(u) + around) / BLOCK)))
+    dealt = at.select("region", "ux", "uy").distinct().withColumn("bx", blocks("ux")).withColumn("by", blocks("uy"))
+    spark = one.sparkSession
+    tasks = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+    def of_block(cells: pd.DataFrame) -> pd.DataFrame:
+        x, y = cells.ux.to_numpy(), cells.uy.to_numpy()
+        own = (x // BLOCK == cells.bx.to_numpy()) & (y // BLOCK == cells.by.to_numpy())
+        if not own.any():
+            return cells.loc[own, ["region", "ux", "uy"]]
+        held = np.zeros((y.max() - y.min() + 1, x.max() - x.min() + 1), dtype=bool)
+        held[y - y.min(), x - x.min()] = True
+        found = own & open_tiles(held, fine)[y - y.min(), x - x.min()]
+        return cells.loc[found, ["region", "ux", "uy"]]
+
+    keys = ["region", "bx", "by"]
+    kept = dealt.repartition(tasks, *keys).groupBy(*keys).applyInPandas(of_block, "region string, ux long, uy long")
+    return at.join(kept, ["region", "ux", "uy"]).select("region", "cell_idx", "x", "y")
+
+
+def not_surrounded(one: DataFrame, outer: DataFrame, radius: float) -> DataFrame:
+    """region, cell_idx, x, y and covered (sectors, as bits) of the outer points whose circle isn't covered by the arcs of one point from each tile nearby."""
     side = radius / 2
-    at = one.select("region", "cell_idx", "x", "y", tile(F.col("x"), side).alias("tx"), tile(F.col("y"), side).alias("ty"))
+    with_tile = lambda df: df.select("region", "cell_idx", "x", "y", tile(F.col("x"), side).alias("tx"), tile(F.col("y"), side).alias("ty"))
     steps = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in range(-2, 3) for j in range(-2, 3)])
-    few = at.groupBy("region", "tx", "ty").agg(F.min_by(F.struct("x", "y"), "cell_idx").alias("p")).withColumn("s", F.explode(steps))
+    few = with_tile(one).groupBy("region", "tx", "ty").agg(F.min_by(F.struct("x", "y"), "cell_idx").alias("p")).withColumn("s", F.explode(steps))
     few = few.groupBy("region", (F.col("tx") + F.col("s.i")).alias("tx"), (F.col("ty") + F.col("s.j")).alias("ty")).agg(F.collect_list("p").alias("near"))  # 25 at most
 
     def covers(p: Column) -> Column:
@@ -93,12 +157,12 @@ def not_surrounded(one: DataFrame, radius: float) -> DataFrame:
         return F.when(counts, sectors(middle - half + SLACK, middle + half - SLACK)).otherwise(F.lit(0).cast("long"))
 
     covered = F.aggregate("near", F.lit(0).cast("long"), lambda bits, p: bits.bitwiseOR(covers(p)))
-    return at.join(few, ["region", "tx", "ty"]).select("region", "cell_idx", "x", "y", covered.alias("covered")).where("covered != -1")
+    return with_tile(outer).join(few, ["region", "tx", "ty"]).select("region", "cell_idx", "x", "y", covered.alias("covered")).where("covered != -1")
 
 
-def open_ends(one: DataFrame, some: DataFrame, radius: float) -> DataFrame:
-    """region, a, b (a < b), side (1: left of a to b) and both places of the discs that may be empty: ends of arcs that no other arc of the same point covers."""
-    ends = neighbours(one, 2 * radius, ["region"], some.drop("covered")).where("a != b")
+def open_ends(outer: DataFrame, some: DataFrame, radius: float) -> DataFrame:
+    """region, a, b (a < b), side (1: left of a to b) and both places of the discs that may be empty: ends of arcs that no other arc of the same point covers. Arcs of outer points do: discs that hold other points only are found later."""
+    ends = neighbours(outer, 2 * radius, ["region"], some.drop("covered")).where("a != b")
     middle, half = arc(F.col("xb") - F.col("xa"), F.col("yb") - F.col("ya"), radius)
     arcs = ends.withColumns({"middle": middle, "half": half}).join(some.select("region", F.col("cell_idx").alias("a"), "covered"), ["region", "a"])
     free = sectors(F.col("middle") - F.col("half"), F.col("middle") + F.col("half"), touched=True).bitwiseAND(F.bitwise_not("covered"))
