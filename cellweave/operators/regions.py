@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellweave.functions.geometry import in_ellipse, in_rectangle, in_ring, moved, ring_of
+from cellweave.operators.graph import cut
 from cellweave.operators.spatial_join import captures
 from cellweave.sources.cells import points
 from cellweave.sources.sinks import attribute_column
@@ -198,12 +199,13 @@ def save_group(cells: DataFrame, places: DataFrame, rings: DataFrame, order: Dat
 def masks(rings: DataFrame, members: DataFrame, places: DataFrame, groups: DataFrame, embedding: str, tools: DataFrame | None = None, fallbacks: list[DataFrame] | None = None, form: str = "regions", **info) -> dict[str, DataFrame]:
     """The tables of a mask set. groups: grp, ordinal, region, expanded, visible; tools: region, tool ('manual' is kept as NO_TOOL).
 
-    Regions without members take the first of the fallbacks that knows them. info: sample_column, fill_opacity, outline_weight, alpha; form: 'regions' or 'selections'.
+    Members are found once and written; all tables come from them, however often they are stored. Regions without members take the first of the fallbacks that knows them. info: sample_column, fill_opacity, outline_weight, alpha; form: 'regions' or 'selections'.
     """
     spark = rings.sparkSession
     if fallbacks:
         members = first_found([members, *fallbacks])
-    found = centroids(members, places)
+    members = cut(members.select("region", "cell_idx"))
+    found = cut(centroids(members, places))  # a row for each region
     named = rings.select("region").union(members.select("region")).distinct().join(found, "region", "left")
     if tools is not None:
         named = named.join(tools.select("region", F.when(F.col("tool") != "manual", F.col("tool")).alias("tool")), "region", "left")
@@ -212,7 +214,7 @@ def masks(rings: DataFrame, members: DataFrame, places: DataFrame, groups: DataF
     regions = named.select("region", F.coalesce("tool", F.lit(NO_TOOL)).alias("tool"), F.lit(True).alias("visible"), F.lit(embedding).alias("embedding"), F.col("x").alias("centroid_x"), F.col("y").alias("centroid_y"))
     row = (info.get("sample_column"), float(info.get("fill_opacity", 0.1)), float(info.get("outline_weight", 2)), float(info.get("alpha", 0.05)), form)
     about = spark.createDataFrame([row], "sample_column string, fill_opacity double, outline_weight double, alpha double, form string")
-    return {"regions": regions, "region_rings": rings.select("region", "ring_no", "ring"), "region_cells": members.select("region", "cell_idx"), "region_groups": groups, "mask_info": about}
+    return {"regions": regions, "region_rings": rings.select("region", "ring_no", "ring"), "region_cells": members, "region_groups": groups, "mask_info": about}
 
 
 def same_embedding(coords: DataFrame, a: str, b: str) -> bool:
