@@ -14,7 +14,8 @@ A text is the set of its five-word shingles (A-Z lower-cased; a shorter text is
 
 Large groups of copies would meet in all pairs. So before step 3 each set is also compared with two of each of its buckets: the one whose shingles are the most
 common (an original has few of its own), and any one. What the verified links join is one group; the sets of different groups that a bucket holds are compared
-in blocks, and only pairs that sizes, samples and what others have of them allow make rows. Texts that are nearly, but not quite, alike can so be many.
+in blocks. Pairs that sizes, samples and what others have of them allow are joined to neighbourhoods, whose whole sets are compared in blocks as well; two blocks make fewer rows than
+they hold texts. So texts that are nearly, but not quite, alike can be many without a row for each pair.
 
 Sets aren't stored: they are made again from the texts for those that are compared. Null texts count as empty; all texts without words are copies
 of each other. Rows without doc_id, and rows that share one, are kept once a group like all others; equal rows are copies. Texts are read whole,
@@ -25,7 +26,7 @@ from __future__ import annotations
 
 import ctypes
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -44,8 +45,8 @@ SHINGLE = 5
 ALIKE = (4, 5)
 #: Sampled shingles at least, where a set has as many; the chance that a sample hides a link; up to FEW ids are broadcast.
 LEAST, MISS, FEW = 64, 1e-12, 1 << 18
-#: Samples larger than this need no more in common than one of this size. Samples in a block of a bucket, and shingles compared at once.
-MOST, SIDE, COLUMNS = 511, 1000, 2048
+#: Samples larger than this need no more in common than one of this size. Samples in a block of a bucket, shingles of the whole sets in a block, and shingles compared at once.
+MOST, SIDE, WHOLE, COLUMNS = 511, 1000, 1 << 20, 2048
 #: Fixed odd multipliers: one for each place of a shingle, then those of the mixer.
 ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB], dtype="<u8")
 
@@ -235,76 +236,130 @@ def with_shared(some: DataFrame, docs: DataFrame) -> DataFrame:
     return some.join(counted, "id").where(F.col("common") * ALIKE[1] >= F.col("size") * ALIKE[0])
 
 
-def alike_samples(group: np.ndarray, size: np.ndarray, common: np.ndarray, q: np.ndarray, samples: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of rows of a bucket, one from the left and one from the right, of different groups, that sizes, what others have, and samples allow to be alike."""
-    x, y = np.ix_(left, right)
-    inner = np.minimum(np.minimum(size[x], size[y]), np.minimum(common[x], common[y]))
-    could = (group[x] != group[y]) & (inner * (ALIKE[0] + ALIKE[1]) >= (size[x] + size[y]) * ALIKE[0])
-    if not could.any():
-        return left[:0], right[:0]
-    needs = np.maximum(q[x], q[y])
-    # places of the shingles that two rows have at least, as columns of two matrices, a slice at a time
-    values, place, held = np.unique(np.concatenate(samples), return_inverse=True, return_counts=True)
-    row = np.repeat(np.arange(len(samples)), [len(v) for v in samples])
+def common_counts(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """How many values each set on the left has in common with each on the right (rows of sets): products of matrices, a slice of the values at a time."""
+    values, place, held = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(len(sets)), [len(v) for v in sets])
     column = np.cumsum(held > 1) - 1
     row, column = row[held[place] > 1], column[place[held[place] > 1]]
-    both = np.zeros(could.shape, dtype=np.float32)
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    both = np.zeros((len(left), len(right)), dtype=np.float32)
     for a in range(0, int(column.max(initial=-1)) + 1, COLUMNS):
-        some = (column >= a) & (column < a + COLUMNS)
-        has = np.zeros((len(samples), COLUMNS), dtype=np.float32)
-        has[row[some], column[some] - a] = 1
-        both += has[left] @ has[right].T
-    i, j = np.nonzero(could & (both >= needs))
-    return left[i], right[j]
-
-
-def between_groups(shared: DataFrame, members: DataFrame, some: DataFrame, each: DataFrame) -> DataFrame:
-    """Pairs (a, b) of ids in different groups whose samples meet in a bucket and have enough in common, as far as sizes and what others have of them allow.
-
-    A bucket is cut into blocks of about SIDE samples, and each two blocks are compared where they meet, by products of matrices; only pairs that pass make rows, however many meet.
+        x, y = np.searchsorted(column, (a, a + COLUMNS))
+        has = np.zeros((len(sets), COLUMNS), dtype=np.float32)
+        has[row[x:y], column[x:y] - a] = 1
+        there = np.zeros(len(sets), dtype=bool)
+        there[row[x:y]] = True
+        i, j = np.flatnonzero(there[left]), np.flatnonzero(there[right])
+        both[np.ix_(i, j)] += has[left[i]] @ has[right[j]].T
+    return both
+
+
+def tree(linked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links of a square table that join all that its links join; fewer than it has rows."""
+    linked = linked | linked.T
+    new, a, b = np.ones(len(linked), dtype=bool), [], []
+    for start in np.flatnonzero(linked.any(axis=1)).tolist():
+        if not new[start]:
+            continue
+        new[start], ahead = False, [start]
+        while ahead:
+            at = ahead.pop()
+            found = np.flatnonzero(linked[at] & new)
+            new[found] = False
+            a += [at] * len(found)
+            b += found.tolist()
+            ahead += found.tolist()
+    return np.array(a, dtype=np.int64), np.array(b, dtype=np.int64)
+
+
+def in_blocks(rows: DataFrame, key: str, columns: list[str], which: Callable[[dict[str, np.ndarray], list[np.ndarray], np.ndarray, np.ndarray], np.ndarray]) -> DataFrame:
+    """Pairs (a, b) of ids that join what `which` links among the rows of a key, in blocks: key, blocks, id, the columns, and set. Each two blocks meet once.
+
+    which(columns, sets, left, right) gives a table of links for rows on the left and right. Each two blocks make fewer pairs than they have rows, however many are linked.
     """
-    of = shared.select("key", "who", F.floor(F.col("who") / 2).alias("id")).join(members.join(some.select("id", "size", "common"), "id"), "id")
-    mixed_keys = of.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high"), F.count("*").alias("n"), F.max("common").alias("most"), F.min("size").alias("least")).where("low != high")
-    mixed_keys = written(mixed_keys.where(F.col("most") * ALIKE[1] >= F.col("least") * ALIKE[0]).select("key", "n", F.ceil(F.col("n") / SIDE).cast("int").alias("blocks")), "mixed-buckets")
-    total = mixed_keys.agg(F.sum("n")).first()[0] or 0
-    rows = even_join(of, mixed_keys, "key", total)
-    block = F.pmod(F.xxhash64("who"), F.col("blocks"))
+    block = F.pmod(F.xxhash64("id"), F.col("blocks"))
     rows = rows.withColumn("block", block.cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "who", "id", "group", "size", "common")
-    rows = rows.join(each.select("who", "q", "sample"), "who")
+    rows = rows.select(key, F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "id", *columns, "set")
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
-    def pairs(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+    def pairs(held: list[pa.RecordBatch]) -> np.ndarray:
         part = pa.Table.from_batches(held)
-        number = {c: part.column(c).to_numpy() for c in ("i", "j", "block", "id", "group", "size", "common", "q")}
-        samples = [x.values.to_numpy() for x in part.column("sample")]
-        i, j = number["i"][0], number["j"][0]
-        left, right = np.flatnonzero(number["block"] == i), np.flatnonzero(number["block"] == j)
-        x, y = alike_samples(number["group"], number["size"], number["common"], number["q"], samples, left, right)
-        a, b = number["id"][x], number["id"][y]
-        once = (a < b) if i == j else (a != b)
-        return table(schema, a=np.minimum(a, b)[once], b=np.maximum(a, b)[once])
+        number = {c: part.column(c).to_numpy() for c in ("i", "j", "block", "id", *columns)}
+        sets = [x.values.to_numpy() for x in part.column("set")]
+        left, right = np.flatnonzero(number["block"] == number["i"][0]), np.flatnonzero(number["block"] == number["j"][0])
+        linked = np.zeros((len(sets), len(sets)), dtype=bool)
+        if len(left) and len(right):
+            linked[np.ix_(left, right)] = which(number, sets, left, right)
+        a, b = tree(linked)
+        a, b = number["id"][a], number["id"][b]
+        return np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1)[a != b]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []  # of one bucket and two blocks
-        last = None
+        held: list[pa.RecordBatch] = []  # of one key and two blocks
+        found, last = np.zeros((0, 2), dtype=np.int64), None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            marks = np.stack([batch.column(c).to_numpy() for c in ("key", "i", "j")], axis=1)
+            marks = np.stack([batch.column(c).to_numpy() for c in (key, "i", "j")], axis=1)
             cuts = [0, *(np.flatnonzero((marks[1:] != marks[:-1]).any(axis=1)) + 1).tolist(), batch.num_rows]
             for a, b in zip(cuts, cuts[1:], strict=False):
                 if last is not None and tuple(marks[a]) != last:
-                    yield pairs(held)
-                    held = []
+                    found, held = np.concatenate([found, pairs(held)]), []
                 last = tuple(marks[a])
                 held.append(batch.slice(a, b - a))
+            if len(found) > 1 << 16:
+                found = np.unique(found, axis=0)  # keys have many pairs in common
+            if len(found) > 1 << 16:
+                yield table(schema, a=found[:, 0], b=found[:, 1])
+                found = found[:0]
         if held:
-            yield pairs(held)
+            found = np.unique(np.concatenate([found, pairs(held)]), axis=0)
+        yield table(schema, a=found[:, 0], b=found[:, 1])
         give_back()
 
-    rows = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    return rows.mapInArrow(run, "a long, b long").distinct()
+    return rows.repartition(key, "i", "j").sortWithinPartitions(key, "i", "j").mapInArrow(run, "a long, b long").distinct()
+
+
+def may_be_alike(number: dict[str, np.ndarray], sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Which sets of different groups are alike as far as sizes, what others have of them, and samples tell."""
+    x, y = np.ix_(left, right)
+    size, common = number["size"], number["common"]
+    inner = np.minimum(np.minimum(size[x], size[y]), np.minimum(common[x], common[y]))
+    could = (number["group"][x] != number["group"][y]) & (inner * (ALIKE[0] + ALIKE[1]) >= (size[x] + size[y]) * ALIKE[0])
+    return could & (common_counts(sets, left, right) >= np.maximum(number["q"][x], number["q"][y])) if could.any() else could
+
+
+def are_alike(number: dict[str, np.ndarray], sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Which whole sets of different groups are alike."""
+    x, y = np.ix_(left, right)
+    both = number["size"][x] + number["size"][y]
+    could = (number["group"][x] != number["group"][y]) & (np.minimum(number["size"][x], number["size"][y]) * (ALIKE[0] + ALIKE[1]) >= both * ALIKE[0])
+    return could & (common_counts(sets, left, right) * (ALIKE[0] + ALIKE[1]) >= both * ALIKE[0]) if could.any() else could
+
+
+def between_groups(shared: DataFrame, members: DataFrame, some: DataFrame, each: DataFrame, docs: DataFrame) -> DataFrame:
+    """Pairs (a, b) of ids in different groups that are alike, so many that they join all that are.
+
+    A bucket is cut into blocks of about SIDE samples, and each two blocks are compared where they meet. What could be alike there, by sizes and samples, is joined to neighbourhoods;
+    in each of them all whole sets are compared, again in blocks. So pairs that fail on the whole sets make no rows, however many there are.
+    """
+    of = shared.select("key", "who", F.floor(F.col("who") / 2).alias("id")).join(members.join(some.select("id", "size", "common"), "id"), "id")
+    mixed_keys = of.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high"), F.count("*").alias("n"), F.max("common").alias("most"), F.min("size").alias("least")).where("low != high")
+    mixed_keys = written(mixed_keys.where(F.col("most") * ALIKE[1] >= F.col("least") * ALIKE[0]).select("key", "n", F.ceil(F.col("n") / SIDE).cast("int").alias("blocks")), "mixed-buckets")
+    total = mixed_keys.agg(F.sum("n")).first()[0] or 0
+    rows = even_join(of, mixed_keys, "key", total).join(each.select("who", "q", F.col("sample").alias("set")), "who")
+    near = written(in_blocks(rows, "key", ["group", "size", "common", "q"], may_be_alike), "neighbours")
+    if near.isEmpty():
+        return near
+    label = written(components(near), "neighbourhoods")
+    sized = label.join(some.select("id", "doc_id", "t", "size"), "id").join(members, "id")
+    blocks = F.greatest(F.ceil(F.count("*") / SIDE), F.ceil(F.sum("size") / WHOLE)).cast("int")
+    counts = written(label.join(some.select("id", "size"), "id").groupBy("component").agg(F.count("*").alias("n"), blocks.alias("blocks")), "blocks-of-neighbourhoods")
+    sets = written(sets_of(docs, sized.select("id", "doc_id", "t")), "sets-of-neighbours")
+    rows = even_join(sized.select("id", "component", "group", "size"), counts, "component", label.count()).join(sets, "id")
+    return written(in_blocks(rows, "component", ["group", "size"], are_alike), "links-between-groups")
 
 
 def by_samples(pairs: DataFrame, each: DataFrame) -> DataFrame:
@@ -338,7 +393,7 @@ def grouped(docs: DataFrame) -> DataFrame:
     each = written(each.join(shared.select("who").distinct(), "who", "left_semi"), "samples-with-neighbours")
     members = some.select("id", F.col("id").alias("group"))
     members = joined(members, verified(by_simhash(some).unionAll(by_samples(by_stars(shared), each)), some, docs))
-    members = joined(members, verified(between_groups(shared, members, some, each), some, docs))
+    members = joined(members, between_groups(shared, members, some, each, docs))
     of_set = distinct.join(members, "id", "left").select("d0", "d1", F.coalesce("group", "id").alias("group"), "n")
     return even_join(marked.select("doc_id", "t", "d0", "d1"), of_set, ["d0", "d1"], marked.count()).select("doc_id", "t", "group")
 
