@@ -36,6 +36,8 @@ SIZES = (np.arange(256)[:, None] >> (np.arange(4) * 2) & 3) + 1  # of the four r
 #: Ids that one file holds at least before it ends.
 FILE_IDS = 4 << 20
 NULL_ID = -(2**63)
+#: Bytes of text that are encoded at once: a word that stands twice among them is looked up once.
+TEXT = 8 << 20
 
 
 def encode_ranks(ranks: np.ndarray) -> tuple[bytes, bytes]:
@@ -84,7 +86,7 @@ def tokenised(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, before, library = TaskContext.get().partitionId(), 0, word_bpe(tokenizer)
-        for batch in slices(batches):
+        for batch in slices(batches, most=TEXT):
             ids, counts = library.encode(batch.column("text"))
             ends = np.cumsum(counts)
             whole = np.insert(ids, ends, np.array(end_id, dtype=ids.dtype))
