@@ -11,6 +11,9 @@ many there are. Large groups of near copies would meet in all pairs: so each fin
 joins is one group, and only fingerprints of different groups meet after that. Components are found by alternating large-star and
 small-star rounds on the links, written out each round.
 
+Spark sizes a table by its files, without the rows that an explode adds, so joins of rings would be broadcasts that the driver can't hold: they merge by hint, as do all
+joins of tables that grow with the fingerprints.
+
 Null texts count as empty; texts without words have fingerprint zero and are linked like any other. Texts are read whole, however long. Rows without doc_id
 are linked like others, and component_id is null where no row of a component has one. Equal rows, and rows that share a doc_id, each
 have a row in the result. An empty table gives an empty result. Other columns, whatever their names, are not read by `groups`; `keep_one` returns them.
@@ -82,7 +85,7 @@ def star_links(distinct: DataFrame) -> DataFrame:
     """Links of fingerprints (id, fp, each fp once) to one in each of their buckets: never more than four for each, however large the buckets."""
     rings = rings_of(distinct.withColumn("group", F.col("id")))
     first = rings.groupBy("k", "head").agg(F.min(F.struct("id", "ring")).alias("m"), F.count("*").alias("held")).where("held > 1")
-    met = rings.join(first, ["k", "head"]).where(F.col("id") > F.col("m.id"))
+    met = rings.join(first.hint("merge"), ["k", "head"]).where(F.col("id") > F.col("m.id"))
     return met.where(F.bit_count(F.col("ring").bitwiseXOR(F.col("m.ring"))) <= DISTANCE).select(F.col("m.id").alias("a"), F.col("id").alias("b")).distinct()
 
 
@@ -94,8 +97,8 @@ def links(distinct: DataFrame) -> DataFrame:
     rings = rings_of(distinct)
     flips = F.array(*[F.lit(0).cast("long"), *[F.lit(1 << j).cast("long") for j in range(BITS)]])
     asks = rings.select(F.col("id").alias("a"), F.col("group").alias("group_a"), "k", F.col("ring").alias("ring_a"), F.explode(F.transform(flips, lambda x: F.col("head").bitwiseXOR(x))).alias("head"))
-    others = asks.join(rings.select("k", "head", "group").distinct(), ["k", "head"]).where("group_a != group")
-    met = others.join(rings.select(F.col("id").alias("b"), "group", "k", F.col("ring").alias("ring_b"), "head"), ["k", "head", "group"]).where("a < b")
+    others = asks.join(rings.select("k", "head", "group").distinct().hint("merge"), ["k", "head"]).where("group_a != group")
+    met = others.join(rings.select(F.col("id").alias("b"), "group", "k", F.col("ring").alias("ring_b"), "head").hint("merge"), ["k", "head", "group"]).where("a < b")
     differ = F.col("ring_a").bitwiseXOR(F.col("ring_b"))
     three = F.bit_count(F.shiftrightunsigned(differ, BITS)) * SEGMENTS <= 3 * DISTANCE
     return met.where(three).where(F.bit_count(differ) <= DISTANCE).select("a", "b").distinct()
@@ -106,7 +109,7 @@ def near_groups(distinct: DataFrame) -> DataFrame:
     first = components(star_links(distinct.select(F.col("fp").alias("id"), "fp"))).withColumnRenamed("component", "group")
     known = distinct.select("fp").join(first, F.col("fp") == F.col("id"), "left").select("fp", F.coalesce("group", "fp").alias("group"))
     known = written(known, "grouped-fingerprints")
-    of = lambda c, g: known.select(F.col("fp").alias(c), F.col("group").alias(g))
+    of = lambda c, g: known.select(F.col("fp").alias(c), F.col("group").alias(g)).hint("merge")
     between = links(known.withColumn("id", F.col("fp"))).join(of("a", "x"), "a").join(of("b", "y"), "b")
     last = components(between.select(F.col("x").alias("a"), F.col("y").alias("b"))).withColumnRenamed("id", "group")
     return known.join(last, "group", "left").select("fp", F.coalesce("component", "group").alias("group"))
@@ -116,7 +119,7 @@ def grouped(docs: DataFrame) -> DataFrame:
     """doc_id, t, fp, group and component_id, the smallest doc_id of the group (null where none has one), of every document."""
     marked = written(fingerprints(docs), "fingerprints")
     distinct = written(marked.groupBy("fp").agg(F.min("doc_id").alias("id"), F.count("*").alias("n")), "distinct-fingerprints")
-    of_fp = written(distinct.join(near_groups(distinct), "fp"), "groups")
+    of_fp = written(distinct.hint("merge").join(near_groups(distinct), "fp"), "groups")
     least = of_fp.groupBy("group").agg(F.min("id").alias("component_id"), F.count("*").alias("n"))
     of_fp = even_join(of_fp.withColumnRenamed("n", "rows"), least, "group", of_fp.count()).select("fp", "group", "component_id", F.col("rows").alias("n"))
     return even_join(marked, of_fp, "fp", marked.count())

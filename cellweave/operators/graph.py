@@ -19,14 +19,15 @@ def cut(df: DataFrame) -> DataFrame:
 def even_join(left: DataFrame, right: DataFrame, keys: str | list[str], total: int) -> DataFrame:
     """left joined with right, which holds each key once and in n how many of left's `total` rows have it; n is dropped.
 
-    Hot keys are fewer than HOT whatever the size, so their rows of right are broadcast and left's stay where they are; no task gathers them.
+    Hot keys are fewer than HOT whatever the size, so their rows of right are broadcast and left's stay where they are; no task gathers them. The rest merge: as files, which
+    is how Spark sizes them, long tables can be a small part of what they are in the driver's memory.
     """
     keys = [keys] if isinstance(keys, str) else keys
     if total <= FEW_ROWS:
         return left.join(right.drop("n"), keys)
     is_hot = F.col("n") * HOT > total
     hot = right.where(is_hot).drop("n")
-    rest = left.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(right.where(~is_hot).drop("n"), keys)
+    rest = left.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(right.where(~is_hot).drop("n").hint("merge"), keys)
     return left.join(F.broadcast(hot), keys).unionByName(rest)
 
 
@@ -48,4 +49,4 @@ def components(edges: DataFrame) -> DataFrame:
         if ends.groupBy("a").agg(F.max("up").alias("up"), F.sum("down").alias("down")).where("down + up > 1").isEmpty():
             break
     ids = given.select("a").unionAll(given.select("b")).distinct().withColumnRenamed("a", "id")
-    return ids.join(edges.select(F.col("a").alias("id"), F.col("b").alias("component")), "id", "left").select("id", F.coalesce("component", "id").alias("component"))
+    return ids.join(edges.select(F.col("a").alias("id"), F.col("b").alias("component")).hint("merge"), "id", "left").select("id", F.coalesce("component", "id").alias("component"))
