@@ -10,10 +10,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellweave.operators.graph import even_join
+from cellweave.operators.graph import even_join, merging
 from cellweave.sources.scratch import fresh_path, written
 
-__all__ = ["coded", "codes", "documents", "even_join", "fresh_path", "id_and_text", "one_of_each", "slices", "split_words", "table", "written"]
+__all__ = ["coded", "codes", "documents", "even_join", "fresh_path", "id_and_text", "merging", "one_of_each", "slices", "split_words", "table", "written"]
 
 #: Words are runs of anything but these characters.
 SPACES = r"[\x20\x09-\x0D]+"
@@ -29,10 +29,11 @@ def one_of_each(docs: DataFrame, found: DataFrame) -> DataFrame:
     chosen = written(least.select(F.col("group").alias("g"), F.col("m.doc_id").alias("chosen_id"), F.col("m.t").alias("chosen_t"), "m.n"), "chosen")
     rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("row_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("row_t"))
     mine = F.col("row_id").eqNullSafe(F.col("chosen_id")) & (F.col("row_t") == F.col("chosen_t"))
-    once = rows.join(chosen.where("n = 1"), mine, "left_semi").select("row.*")
+    size = chosen.count()
+    once = rows.join(merging(chosen.where("n = 1"), size), mine, "left_semi").select("row.*")
     if chosen.where("n > 1").isEmpty():
         return once
-    return once.unionAll(rows.join(chosen.where("n > 1"), mine).dropDuplicates(["g"]).select("row.*"))
+    return once.unionAll(rows.join(merging(chosen.where("n > 1"), size), mine).dropDuplicates(["g"]).select("row.*"))
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellweave.llm import simhash
-from cellweave.llm.common import coded, even_join, id_and_text, one_of_each, slices, split_words, table, written
+from cellweave.llm.common import coded, even_join, id_and_text, merging, one_of_each, slices, split_words, table, written
 from cellweave.operators.graph import components
 
 SHINGLE = 5
@@ -167,9 +167,10 @@ def buckets(each: DataFrame) -> DataFrame:
     """who, key (a sampled shingle at a level) and score of the first shingles, rare ones first, of those samples of which others have enough."""
     key = F.explode(F.transform("sample", lambda x: x.bitwiseXOR(F.call_function("shiftleft", F.col("level"), F.lit(58))))).alias("key")
     held = written(with_holders(each.select("who", key)), "shared-shingles")
-    known = held.groupBy("who").agg(F.count("*").alias("m"), F.sum("held").alias("sum")).join(each.select("who", "s", "q"), "who")
+    n = held.count()
+    known = merging(held.groupBy("who").agg(F.count("*").alias("m"), F.sum("held").alias("sum")), n).join(each.select("who", "s", "q"), "who")
     left = known.where(F.col("m") >= F.greatest("q", F.lit(1))).select("who", (F.col("m") - F.greatest("q", F.lit(1)) + 1).alias("first"), (F.col("sum") / F.col("s")).alias("score"))
-    some = held.join(left, "who").withColumn("nth", F.row_number().over(Window.partitionBy("who").orderBy("held", "key")))  # a sample is small
+    some = merging(held, n).join(left, "who").withColumn("nth", F.row_number().over(Window.partitionBy("who").orderBy("held", "key")))  # a sample is small
     return written(some.where("nth <= first").select("who", "key", "score"), "first-shingles")
 
 
@@ -177,7 +178,7 @@ def with_both(pairs: DataFrame, each: DataFrame, column: str) -> DataFrame:
     """pairs (a, b) with a column of each (id, column) for both: x and y."""
     total = pairs.count()
     for side, name in (("b", "y"), ("a", "x")):
-        right = each.select(F.col("id").alias(side), F.col(column).alias(name)).join(pairs.groupBy(side).agg(F.count("*").alias("n")), side)
+        right = each.select(F.col("id").alias(side), F.col(column).alias(name)).join(merging(pairs.groupBy(side).agg(F.count("*").alias("n")), total), side)
         pairs = even_join(pairs, right, side, total)
     return pairs
 
@@ -196,7 +197,7 @@ def sets_of(docs: DataFrame, asked: DataFrame) -> DataFrame:
     few = asked.count() <= FEW  # then the texts stay where they are
     asked = asked.select("id", F.col("doc_id").alias("asked_id"), F.col("t").alias("asked_t"))
     same = F.col("doc_id").eqNullSafe(F.col("asked_id")) & (F.col("t") == F.col("asked_t"))
-    texts = id_and_text(docs).withColumn("t", F.xxhash64("text")).join(F.broadcast(asked) if few else asked, same)
+    texts = id_and_text(docs).withColumn("t", F.xxhash64("text")).join(F.broadcast(asked) if few else asked.hint("merge"), same)
     return texts.select("id", "text").mapInArrow(run, "id long, set array<long>").dropDuplicates(["id"])
 
 
@@ -205,7 +206,7 @@ def verified(pairs: DataFrame, distinct: DataFrame, docs: DataFrame) -> DataFram
     sized = with_both(written(pairs.distinct(), "pairs"), distinct, "size").where(enough(F.least("x", "y"), F.col("x"), F.col("y")))
     pairs = written(sized.select("a", "b"), "pairs-of-like-sizes")
     ids = pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id"))).distinct()
-    asked = written(distinct.select("id", "doc_id", "t").join(ids, "id", "left_semi"), "asked")
+    asked = written(distinct.select("id", "doc_id", "t").join(merging(ids, pairs.count()), "id", "left_semi"), "asked")
     both = with_both(pairs, written(sets_of(docs, asked), "sets-of-pairs"), "set")
     return written(both.where(enough(F.size(F.array_intersect("x", "y")), F.size("x"), F.size("y"))).select("a", "b"), "links")
 
@@ -233,7 +234,7 @@ def with_shared(some: DataFrame, docs: DataFrame) -> DataFrame:
     shingles = written(sets_of(docs, some.select("id", "doc_id", "t")).select("id", F.explode("set").alias("key")), "shingles-of-sets")
     counted = with_holders(shingles).groupBy("id").agg(F.count("*").alias("common"))
     # an alike set has ALIKE[0] / ALIKE[1] of the shingles at least
-    return some.join(counted, "id").where(F.col("common") * ALIKE[1] >= F.col("size") * ALIKE[0])
+    return merging(some, some.count()).join(counted, "id").where(F.col("common") * ALIKE[1] >= F.col("size") * ALIKE[0])
 
 
 def common_counts(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -345,20 +346,21 @@ def between_groups(shared: DataFrame, members: DataFrame, some: DataFrame, each:
     A bucket is cut into blocks of about SIDE samples, and each two blocks are compared where they meet. What could be alike there, by sizes and samples, is joined to neighbourhoods;
     in each of them all whole sets are compared, again in blocks. So pairs that fail on the whole sets make no rows, however many there are.
     """
-    of = shared.select("key", "who", F.floor(F.col("who") / 2).alias("id")).join(members.join(some.select("id", "size", "common"), "id"), "id")
+    total = shared.count()
+    of = merging(shared.select("key", "who", F.floor(F.col("who") / 2).alias("id")), total).join(merging(members, total).join(some.select("id", "size", "common"), "id"), "id")
     mixed_keys = of.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high"), F.count("*").alias("n"), F.max("common").alias("most"), F.min("size").alias("least")).where("low != high")
     mixed_keys = written(mixed_keys.where(F.col("most") * ALIKE[1] >= F.col("least") * ALIKE[0]).select("key", "n", F.ceil(F.col("n") / SIDE).cast("int").alias("blocks")), "mixed-buckets")
-    total = mixed_keys.agg(F.sum("n")).first()[0] or 0
-    rows = even_join(of, mixed_keys, "key", total).join(each.select("who", "q", F.col("sample").alias("set")), "who")
+    met = mixed_keys.agg(F.sum("n")).first()[0] or 0
+    rows = even_join(of, mixed_keys, "key", met).join(merging(each.select("who", "q", F.col("sample").alias("set")), total), "who")
     near = written(in_blocks(rows, "key", ["group", "size", "common", "q"], may_be_alike), "neighbours")
     if near.isEmpty():
         return near
     label = written(components(near), "neighbourhoods")
-    sized = label.join(some.select("id", "doc_id", "t", "size"), "id").join(members, "id")
+    sized = merging(label, total).join(some.select("id", "doc_id", "t", "size"), "id").join(merging(members, total), "id")
     blocks = F.greatest(F.ceil(F.count("*") / SIDE), F.ceil(F.sum("size") / WHOLE)).cast("int")
-    counts = written(label.join(some.select("id", "size"), "id").groupBy("component").agg(F.count("*").alias("n"), blocks.alias("blocks")), "blocks-of-neighbourhoods")
+    counts = written(merging(label, total).join(some.select("id", "size"), "id").groupBy("component").agg(F.count("*").alias("n"), blocks.alias("blocks")), "blocks-of-neighbourhoods")
     sets = written(sets_of(docs, sized.select("id", "doc_id", "t")), "sets-of-neighbours")
-    rows = even_join(sized.select("id", "component", "group", "size"), counts, "component", label.count()).join(sets, "id")
+    rows = even_join(sized.select("id", "component", "group", "size"), counts, "component", label.count()).join(merging(sets, total), "id")
     return written(in_blocks(rows, "component", ["group", "size"], are_alike), "links-between-groups")
 
 
@@ -373,10 +375,11 @@ def joined(members: DataFrame, links: DataFrame) -> DataFrame:
     """members (id, group) with the groups that links (a, b) of ids join."""
     if links.isEmpty():
         return members
-    of = lambda c, g: members.select(F.col("id").alias(c), F.col("group").alias(g))
+    n = members.count()
+    of = lambda c, g: merging(members.select(F.col("id").alias(c), F.col("group").alias(g)), n)
     between = links.join(of("a", "x"), "a").join(of("b", "y"), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
     label = components(between).withColumnRenamed("id", "group")
-    return written(members.join(label, "group", "left").select("id", F.coalesce("component", "group").alias("group")), "grouped")
+    return written(members.join(merging(label, n), "group", "left").select("id", F.coalesce("component", "group").alias("group")), "grouped")
 
 
 def grouped(docs: DataFrame) -> DataFrame:
@@ -385,16 +388,18 @@ def grouped(docs: DataFrame) -> DataFrame:
     whole = F.min_by(F.struct("doc_id", "t", "fp", "size", "level"), "row").alias("m")
     distinct = marked.groupBy("d0", "d1").agg(F.min("row").alias("id"), F.count("*").alias("n"), whole)
     distinct = written(distinct.select("d0", "d1", "id", "n", "m.*"), "distinct-sets")
-    each = samples(marked.select(F.col("row").alias("id"), "level", "sample", "q", "next_q").join(distinct.select("id"), "id", "left_semi"))
+    n = distinct.count()
+    each = samples(marked.select(F.col("row").alias("id"), "level", "sample", "q", "next_q").join(merging(distinct.select("id"), n), "id", "left_semi"))
     shared = buckets(each)
     left = shared.select(F.floor(F.col("who") / 2).alias("id")).distinct()
-    some = written(with_shared(written(distinct.join(left, "id", "left_semi"), "sets-with-neighbours"), docs), "sets-of-others")
-    shared = written(shared.join(some.select((F.col("id") * 2).alias("who")).unionAll(some.select(F.col("id") * 2 + 1)), "who", "left_semi"), "shared-by-these")
-    each = written(each.join(shared.select("who").distinct(), "who", "left_semi"), "samples-with-neighbours")
+    some = written(with_shared(written(distinct.join(merging(left, n), "id", "left_semi"), "sets-with-neighbours"), docs), "sets-of-others")
+    whose = some.select((F.col("id") * 2).alias("who")).unionAll(some.select(F.col("id") * 2 + 1))
+    shared = written(shared.join(merging(whose, n), "who", "left_semi"), "shared-by-these")
+    each = written(each.join(merging(shared.select("who").distinct(), n), "who", "left_semi"), "samples-with-neighbours")
     members = some.select("id", F.col("id").alias("group"))
     members = joined(members, verified(by_simhash(some).unionAll(by_samples(by_stars(shared), each)), some, docs))
     members = joined(members, between_groups(shared, members, some, each, docs))
-    of_set = distinct.join(members, "id", "left").select("d0", "d1", F.coalesce("group", "id").alias("group"), "n")
+    of_set = distinct.join(merging(members, n), "id", "left").select("d0", "d1", F.coalesce("group", "id").alias("group"), "n")
     return even_join(marked.select("doc_id", "t", "d0", "d1"), of_set, ["d0", "d1"], marked.count()).select("doc_id", "t", "group")
 
 

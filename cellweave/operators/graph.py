@@ -16,11 +16,15 @@ def cut(df: DataFrame) -> DataFrame:
     return written(df, "cut")
 
 
+def merging(df: DataFrame, rows: int) -> DataFrame:
+    """df for a join, which merges where df has many rows. Spark sizes tables by their files, and as files numbers can be a tenth of what they take in the driver's memory."""
+    return df.hint("merge") if rows > FEW_ROWS else df
+
+
 def even_join(left: DataFrame, right: DataFrame, keys: str | list[str], total: int) -> DataFrame:
     """left joined with right, which holds each key once and in n how many of left's `total` rows have it; n is dropped.
 
-    Hot keys are fewer than HOT whatever the size, so their rows of right are broadcast and left's stay where they are; no task gathers them. The rest merge: as files, which
-    is how Spark sizes them, long tables can be a small part of what they are in the driver's memory.
+    Hot keys are fewer than HOT whatever the size, so their rows of right are broadcast and left's stay where they are; no task gathers them. The rest merge, as by `merging`.
     """
     keys = [keys] if isinstance(keys, str) else keys
     if total <= FEW_ROWS:
@@ -49,4 +53,4 @@ def components(edges: DataFrame) -> DataFrame:
         if ends.groupBy("a").agg(F.max("up").alias("up"), F.sum("down").alias("down")).where("down + up > 1").isEmpty():
             break
     ids = given.select("a").unionAll(given.select("b")).distinct().withColumnRenamed("a", "id")
-    return ids.join(edges.select(F.col("a").alias("id"), F.col("b").alias("component")).hint("merge"), "id", "left").select("id", F.coalesce("component", "id").alias("component"))
+    return ids.join(merging(edges.select(F.col("a").alias("id"), F.col("b").alias("component")), size), "id", "left").select("id", F.coalesce("component", "id").alias("component"))
