@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from cellweave.sources.scratch import written
 
-#: A key with over 1 / HOT of a table's rows is hot; there are fewer than HOT of them. A table of up to FEW_ROWS is no load for a single task.
-HOT, FEW_ROWS = 1000, 100_000
+#: Up to so many short rows are broadcast. A key with over 1 / HOT of a table's rows is hot; there are fewer than HOT of them. A table of up to FEW_ROWS is no load for a single task.
+FEW, HOT, FEW_ROWS = 1 << 17, 1000, 100_000
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -21,6 +21,12 @@ def merging(df: DataFrame, rows: int) -> DataFrame:
     return df.hint("merge") if rows > FEW_ROWS else df
 
 
+def beside(df: DataFrame) -> DataFrame:
+    """df, of short rows, for a join with a long table: few rows come to the table, which then stays where it is; many merge."""
+    df = cut(df)
+    return F.broadcast(df) if df.count() <= FEW else df.hint("merge")
+
+
 def even_join(left: DataFrame, right: DataFrame, keys: str | list[str], total: int) -> DataFrame:
     """left joined with right, which holds each key once and in n how many of left's `total` rows have it; n is dropped.
 

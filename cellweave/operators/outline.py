@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cellweave.operators.graph import cut
+from cellweave.operators.graph import beside, cut
 from cellweave.operators.regions import centroids, spread_members
 from cellweave.operators.spatial_join import captures, neighbours, tile
 from cellweave.operators.tracing import rings
@@ -61,8 +61,9 @@ def boundary(places: DataFrame, alpha: float) -> DataFrame:
     steps = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)]))
     reach = discs.withColumn("s", steps).select("region", "a", "b", "side", "cx", "cy", (tile(F.col("cx"), radius) + F.col("s.i")).alias("tx"), (tile(F.col("cy"), radius) + F.col("s.j")).alias("ty"))
     points = one.select("region", "cell_idx", "x", "y", tile(F.col("x"), radius).alias("tx"), tile(F.col("y"), radius).alias("ty"))
+    points = points.join(beside(reach.select("region", "tx", "ty").distinct()), ["region", "tx", "ty"], "left_semi")
     ex, ey = F.col("x") - F.col("cx"), F.col("y") - F.col("cy")
-    inside = reach.join(points, ["region", "tx", "ty"]).where((F.col("cell_idx") != F.col("a")) & (F.col("cell_idx") != F.col("b")))
+    inside = reach.hint("merge").join(points, ["region", "tx", "ty"]).where((F.col("cell_idx") != F.col("a")) & (F.col("cell_idx") != F.col("b")))
     full = inside.where(ex * ex + ey * ey < (radius - TOLERANCE) ** 2).select("region", "a", "b", "side").distinct()
     empty = discs.select("region", "a", "b", "side", *ends).join(full, ["region", "a", "b", "side"], "left_anti")
     return empty.groupBy("region", "a", "b").agg(F.count("*").alias("n"), *[F.first(c).alias(c) for c in ("side", *ends)]).where("n = 1").drop("n")
@@ -139,7 +140,7 @@ def near_gaps(one: DataFrame, radius: float) -> DataFrame:
 
     keys = ["region", "bx", "by"]
     kept = dealt.repartition(tasks, *keys).groupBy(*keys).applyInPandas(of_block, "region string, ux long, uy long")
-    return at.join(kept, ["region", "ux", "uy"]).select("region", "cell_idx", "x", "y")
+    return at.join(beside(kept), ["region", "ux", "uy"], "left_semi").select("region", "cell_idx", "x", "y")
 
 
 def not_surrounded(one: DataFrame, outer: DataFrame, radius: float) -> DataFrame:
@@ -157,21 +158,24 @@ def not_surrounded(one: DataFrame, outer: DataFrame, radius: float) -> DataFrame
         return F.when(counts, sectors(middle - half + SLACK, middle + half - SLACK)).otherwise(F.lit(0).cast("long"))
 
     covered = F.aggregate("near", F.lit(0).cast("long"), lambda bits, p: bits.bitwiseOR(covers(p)))
-    return with_tile(outer).join(few, ["region", "tx", "ty"]).select("region", "cell_idx", "x", "y", covered.alias("covered")).where("covered != -1")
+    return with_tile(outer).join(few.hint("merge"), ["region", "tx", "ty"]).select("region", "cell_idx", "x", "y", covered.alias("covered")).where("covered != -1")
 
 
 def open_ends(outer: DataFrame, some: DataFrame, radius: float) -> DataFrame:
     """region, a, b (a < b), side (1: left of a to b) and both places of the discs that may be empty: ends of arcs that no other arc of the same point covers. Arcs of outer points do: discs that hold other points only are found later."""
-    ends = neighbours(outer, 2 * radius, ["region"], some.drop("covered")).where("a != b")
+    ends = neighbours(outer, 2 * radius, ["region"], some, ["covered"]).where("a != b")
     middle, half = arc(F.col("xb") - F.col("xa"), F.col("yb") - F.col("ya"), radius)
-    arcs = ends.withColumns({"middle": middle, "half": half}).join(some.select("region", F.col("cell_idx").alias("a"), "covered"), ["region", "a"])
+    arcs = ends.withColumns({"middle": middle, "half": half})
     free = sectors(F.col("middle") - F.col("half"), F.col("middle") + F.col("half"), touched=True).bitwiseAND(F.bitwise_not("covered"))
     low = F.pmod(F.col("middle") - F.col("half"), F.lit(TURN))
     twice = F.explode(F.array(F.lit(0), F.lit(1))).alias("turn")  # so that what begins before angle 0 covers what comes after it
-    arcs = arcs.where(free != 0).select("region", "a", "b", "xa", "ya", "xb", "yb", low.alias("low"), (low + F.col("half") * 2).alias("high"), twice)
-    arcs = arcs.withColumns({c: F.col(c) + F.col("turn") * TURN for c in ("low", "high")})
-    before = F.expr(f"max(high) OVER (PARTITION BY region, a ORDER BY low RANGE BETWEEN UNBOUNDED PRECEDING AND {SLACK!r}D PRECEDING)")
-    found = arcs.withColumn("before", before).where((F.col("turn") == 1) & (F.col("before").isNull() | (F.col("before") <= F.col("low") + SLACK)))
+    before = lambda by: F.expr(f"max(high) OVER (PARTITION BY {by} ORDER BY low RANGE BETWEEN UNBOUNDED PRECEDING AND {SLACK!r}D PRECEDING)")
+    arcs = arcs.where(free != 0).select("region", "tx", "ty", "a", "b", "xa", "ya", "xb", "yb", low.alias("low"), (low + F.col("half") * 2).alias("high"))
+    # where they met: an arc inside those before it neither opens nor covers what they don't, so few of a point's arcs move to where all of them meet
+    outside = F.col("before").isNull() | (F.col("before") <= F.col("low") + SLACK) | (F.col("before") < F.col("high"))
+    arcs = arcs.withColumn("before", before("region, tx, ty, a")).where(outside).select("region", "a", "b", "xa", "ya", "xb", "yb", "low", "high")
+    arcs = arcs.repartition("region", "a").select("*", twice).withColumns({c: F.col(c) + F.col("turn") * TURN for c in ("low", "high")})
+    found = arcs.withColumn("before", before("region, a")).where((F.col("turn") == 1) & (F.col("before").isNull() | (F.col("before") <= F.col("low") + SLACK)))
     found = found.join(some.select("region", F.col("cell_idx").alias("b")), ["region", "b"], "left_semi")
     # the low end lies right of a to b
     up = F.col("a") < F.col("b")
@@ -239,9 +243,10 @@ def hull(places: DataFrame, salts: int = 32) -> DataFrame:
 def outlines(members: DataFrame, places: DataFrame, alpha: float, exterior_only: bool = False, wanted: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Rings of each region, and failures: region, reason. members: region, cell_idx; alpha 0 gives hulls. With `wanted` (region) of these names, whether they have members or not."""
     names = members.select("region").distinct() if wanted is None else wanted.select("region").distinct()
-    each = members.join(names, "region", "left_semi").join(places, "cell_idx")
-    counts = each.groupBy("region").agg(F.count("*").alias("n"))
-    good = each.join(counts.where(F.col("n") >= LEAST_POINTS).select("region"), "region", "left_semi")
+    mine = members if wanted is None else members.join(beside(names), "region", "left_semi")
+    each = cut(mine.join(places.select("cell_idx", "x", "y"), "cell_idx"))
+    counts = cut(each.groupBy("region").agg(F.count("*").alias("n")))
+    good = each.join(beside(counts.where(F.col("n") >= LEAST_POINTS).select("region")), "region", "left_semi")
     if alpha > 0:
         found = rings(boundary(good, alpha), exterior_only)
     else:

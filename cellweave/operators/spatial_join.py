@@ -85,12 +85,17 @@ def captures(places: DataFrame, rings: DataFrame, keys: list[str]) -> DataFrame:
     return met.where(F.col("edges").isNull() | crossed_oddly(F.col("x"), F.col("y"), F.col("edges"))).select(*keys, "cell_idx")
 
 
-def neighbours(places: DataFrame, reach: float, by: list[str], of: DataFrame | None = None) -> DataFrame:
-    """by..., a, b (with xa, ya, xb, yb) for all ordered pairs within `reach`, itself included; a is in `of` where that is given. places: by..., cell_idx, x, y."""
-    at = lambda df: df.select(*by, "cell_idx", "x", "y", tile(F.col("x"), reach).alias("tx"), tile(F.col("y"), reach).alias("ty"))
+def neighbours(places: DataFrame, reach: float, by: list[str], of: DataFrame | None = None, carried: list[str] | None = None) -> DataFrame:
+    """by..., a, b (with xa, ya, xb, yb) for all ordered pairs within `reach`, itself included; a is in `of` where that is given. places: by..., cell_idx, x, y.
+
+    With `carried`, these columns of `of` stand beside a, and tx and ty say in which tile a pair met: rows of a tile are in one task already.
+    """
+    carried, met_at = carried or [], [] if carried is None else ["tx", "ty"]
+    at = lambda df, *more: df.select(*by, "cell_idx", "x", "y", tile(F.col("x"), reach).alias("tx"), tile(F.col("y"), reach).alias("ty"), *more)
     near = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)]))
-    left = at(places if of is None else of).select(*by, F.col("cell_idx").alias("a"), F.col("x").alias("xa"), F.col("y").alias("ya"), "tx", "ty", near.alias("n"))
-    left = left.select(*by, "a", "xa", "ya", (F.col("tx") + F.col("n.i")).alias("tx"), (F.col("ty") + F.col("n.j")).alias("ty"))
+    left = at(places if of is None else of, *carried).select(*by, F.col("cell_idx").alias("a"), F.col("x").alias("xa"), F.col("y").alias("ya"), "tx", "ty", near.alias("n"), *carried)
+    left = left.select(*by, "a", "xa", "ya", (F.col("tx") + F.col("n.i")).alias("tx"), (F.col("ty") + F.col("n.j")).alias("ty"), *carried)
     right = at(places).select(*by, F.col("cell_idx").alias("b"), F.col("x").alias("xb"), F.col("y").alias("yb"), "tx", "ty")
     dx, dy = F.col("xa") - F.col("xb"), F.col("ya") - F.col("yb")
-    return left.join(right, [*by, "tx", "ty"]).where(dx * dx + dy * dy <= reach * reach).drop("tx", "ty")
+    met = left.join(right.hint("merge"), [*by, "tx", "ty"]).where(dx * dx + dy * dy <= reach * reach)
+    return met.select(*by, "a", "xa", "ya", *carried, "b", "xb", "yb", *met_at)
