@@ -59,6 +59,16 @@ def give_back() -> None:
         trim(0)
 
 
+def giving_back(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """run, after which memory goes back to the system: what it still holds itself at its end is free by then."""
+
+    def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        give_back()
+
+    return tidy
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * ODD[5]
     x = (x ^ (x >> np.uint64(27))) * ODD[6]
@@ -138,9 +148,8 @@ def shingled(docs: DataFrame) -> DataFrame:
             rows = np.arange(row, row + len(counts))
             row += len(counts)
             yield table(schema, row=rows, doc_id=batch.column("doc_id"), t=batch.column("t"), d0=d0.view(np.int64), d1=d1.view(np.int64), fp=simhashes(hashes, counts).view(np.int64), size=counts, level=level, q=q, next_q=next_q, sample=sample)
-        give_back()
 
-    return id_and_text(docs).withColumn("t", F.xxhash64("text")).mapInArrow(run, ", ".join(f"{c} long" for c in longs) + ", sample array<long>")
+    return id_and_text(docs).withColumn("t", F.xxhash64("text")).mapInArrow(giving_back(run), ", ".join(f"{c} long" for c in longs) + ", sample array<long>")
 
 
 def enough(common: Column, a: Column, b: Column) -> Column:
@@ -192,13 +201,12 @@ def sets_of(docs: DataFrame, asked: DataFrame) -> DataFrame:
             hashes, counts = shingle_sets(batch.column("text"))
             sets = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), pa.array(hashes.view(np.int64)))
             yield table(schema, id=batch.column("id"), set=sets)
-        give_back()
 
     few = asked.count() <= FEW  # then the texts stay where they are
     asked = asked.select("id", F.col("doc_id").alias("asked_id"), F.col("t").alias("asked_t"))
     same = F.col("doc_id").eqNullSafe(F.col("asked_id")) & (F.col("t") == F.col("asked_t"))
     texts = id_and_text(docs).withColumn("t", F.xxhash64("text")).join(F.broadcast(asked) if few else asked.hint("merge"), same)
-    return texts.select("id", "text").mapInArrow(run, "id long, set array<long>").dropDuplicates(["id"])
+    return texts.select("id", "text").mapInArrow(giving_back(run), "id long, set array<long>").dropDuplicates(["id"])
 
 
 def verified(pairs: DataFrame, distinct: DataFrame, docs: DataFrame) -> DataFrame:
@@ -318,9 +326,8 @@ def in_blocks(rows: DataFrame, key: str, columns: list[str], which: Callable[[di
         if held:
             found = np.unique(np.concatenate([found, pairs(held)]), axis=0)
         yield table(schema, a=found[:, 0], b=found[:, 1])
-        give_back()
 
-    return rows.repartition(key, "i", "j").sortWithinPartitions(key, "i", "j").mapInArrow(run, "a long, b long").distinct()
+    return rows.repartition(key, "i", "j").sortWithinPartitions(key, "i", "j").mapInArrow(giving_back(run), "a long, b long").distinct()
 
 
 def may_be_alike(number: dict[str, np.ndarray], sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
